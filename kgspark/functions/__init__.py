@@ -1 +1,17 @@
 """Column expressions: identities, predicates and text rules."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with costly columns that are computed exactly once per row.
+
+    The optimizer copies an expression into every filter and projection above it,
+    which for a JSON parse means parsing again. A generator over a one-element array
+    is not copied, costs no shuffle and stays inside generated code.
+    """
+    row = F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))
+    return df.select("*", F.inline(row))

@@ -7,6 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Number forms whose JSON text depends on the writer (fractions, exponents, minus zero).
 _WRITER_DEPENDENT_NUMBER = r"[0-9][.eE]|-0"
@@ -17,10 +18,10 @@ def stable_bigint(text: Column) -> Column:
     digest = F.sha2(text, 256)
     first = F.translate(F.substring(digest, 1, 1), "89abcdef", "01234567")
     number = F.conv(F.concat(first, F.substring(digest, 2, 15)), 16, 10).cast("bigint")
-    return F.when(number == 0, F.lit(1).cast("bigint")).otherwise(number)
+    return F.greatest(number, F.lit(1).cast("bigint"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _canonical_json_python(texts: pd.Series) -> pd.Series:
     def canonical(text):
         if text is None:

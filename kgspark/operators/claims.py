@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kgspark.functions import ident
+from kgspark.functions import ident, once
 
 # Dump datatype to local value type; every other datatype is dropped.
 LOCAL_TYPE = {
@@ -83,10 +83,11 @@ def explode_claims(entities: DataFrame, properties: Sequence[str] | None = None,
     )
     if properties is not None:
         per_property = per_property.filter(F.col("ID_PROPERTY").isin(*properties))
+    # explode_outer: the inner form would parse each list again to test that it is filled.
     raw = per_property.select(
-        "ID_WIKIDATA", "ID_PROPERTY", F.explode(F.from_json("list", "ARRAY<STRING>")).alias("raw")
-    )
-    claim = raw.withColumn("c", F.from_json("raw", _CLAIM))
+        "ID_WIKIDATA", "ID_PROPERTY", F.explode_outer(F.from_json("list", "ARRAY<STRING>")).alias("raw")
+    ).filter(F.col("raw").isNotNull())
+    claim = once(raw, c=F.from_json("raw", _CLAIM))
     fallback = ident.canonical_json(F.when(F.coalesce(F.col("c.id"), F.lit("")) == "", F.col("raw")), exact_ids)
     return claim.select(
         "ID_WIKIDATA",
@@ -169,24 +170,20 @@ def _with_value(rows: DataFrame) -> DataFrame:
         rows.withColumn("WIKIDATA_DATATYPE", F.col("snak.datatype"))
         .withColumn("VALUE_TYPE", local_type(F.col("snak.datatype")))
         .filter(F.col("VALUE_TYPE").isNotNull())
-        .withColumn("value", snak_value(F.col("snak")))
     )
-    kind, value = F.col("VALUE_TYPE"), F.col("value")
+    typed = once(typed, value=snak_value(F.col("snak")), shape=F.schema_of_variant(snak_value(F.col("snak"))))
+    kind, value, shape = F.col("VALUE_TYPE"), F.col("value"), F.col("shape")
     textual = kind.isin("string", "external_id", "media")
-    # An empty object, 0 or "" counts as no value for times and quantities.
-    present = value.isNotNull() & F.schema_of_variant(value).startswith("OBJECT<") & (F.schema_of_variant(value) != "OBJECT<>")
+    # An empty object counts as no value for times and quantities.
+    present = shape.startswith("OBJECT<") & (shape != "OBJECT<>")
     v = F.struct(
         F.when(kind == "item", item_value(value)).alias("ID_ITEM"),
-        F.when(textual, text_value(value)).alias("TEXT"),
+        F.when(textual & (shape == "STRING"), F.try_variant_get(value, "$", "string")).alias("TEXT"),
         F.when((kind == "time") & present, time_value(value)).alias("TIME"),
         F.when((kind == "quantity") & present, quantity_value(value)).alias("QUANTITY"),
     )
-    kept = F.coalesce(
-        F.col("v.ID_ITEM").isNotNull() | F.col("v.TEXT").isNotNull()
-        | F.col("v.TIME").isNotNull() | F.col("v.QUANTITY").isNotNull(),
-        F.lit(False),
-    )
-    return typed.withColumn("v", v).filter(kept).drop("snak", "value")
+    kept = F.coalesce(F.col("v.ID_ITEM"), F.col("v.TEXT")).isNotNull() | F.col("v.TIME").isNotNull() | F.col("v.QUANTITY").isNotNull()
+    return once(typed, v=v).drop("snak", "value", "shape").filter(kept)
 
 
 def statements(claims: DataFrame) -> DataFrame:
@@ -199,11 +196,12 @@ def qualifiers(stmts: DataFrame, exact_ids: bool = True) -> DataFrame:
     per_property = stmts.filter(F.col("qualifiers").isNotNull()).select(
         "ID_STATEMENT", F.explode("qualifiers").alias("ID_QUALIFIER_PROPERTY", "list")
     )
-    snaks = per_property.select(
+    listed = per_property.select(
         "ID_STATEMENT",
         "ID_QUALIFIER_PROPERTY",
-        F.posexplode(F.from_json("list", "ARRAY<STRING>")).alias("pos", "raw"),
-    ).withColumn("snak", F.from_json("raw", _SNAK))
+        F.posexplode_outer(F.from_json("list", "ARRAY<STRING>")).alias("pos", "raw"),
+    ).filter(F.col("raw").isNotNull())
+    snaks = once(listed, snak=F.from_json("raw", _SNAK))
     no_hash = F.coalesce(F.col("snak.hash"), F.lit("")) == ""
     key = F.coalesce(F.nullif(F.col("snak.hash"), F.lit("")), ident.canonical_json(F.when(no_hash, F.col("raw")), exact_ids))
     ids = snaks.select(

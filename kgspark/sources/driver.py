@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kgspark.functions import ident
+from kgspark.functions import ident, once
 
 REGION, NATION, CUSTOMER, SUPPLIER, PART, ORDER = 1, 2, 3, 4, 5, 6
 FAMILIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -36,6 +36,15 @@ class Driver:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def spread(self, df: DataFrame) -> DataFrame:
+        """``df`` over all cores when its files give fewer partitions than there are cores.
+
+        Building text per row is CPU work; a small one-file table would do it in one
+        task. A table with enough files is left as it is.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
@@ -187,65 +196,54 @@ class Driver:
 
     @cached_property
     def dump_lines(self) -> DataFrame:
-        """The lineitem table as dump text: one entity document, one claim, per line."""
-        c = F.col
-        flag = c("l_returnflag")
-        value = lambda kind, v: F.struct(F.lit(kind).alias("type"), v.alias("value"))
-        item = lambda q: F.struct(F.lit("item").alias("entity-type"), q.alias("id"))
-        time = F.struct(
-            day("l_shipdate", "'+'yyyy-MM-dd'T00:00:00Z'").alias("time"), F.lit(0).alias("timezone"), F.lit(11).alias("precision"),
-            F.lit("http://www.wikidata.org/entity/Q1985727").alias("calendarmodel"),
+        """The lineitem table as dump text: one entity document with one claim per line."""
+        c, lit = F.col, F.lit
+        entity = "http://www.wikidata.org/entity/"
+
+        def text(*parts):
+            return F.concat(*[lit(p) if isinstance(p, str) else p for p in parts])
+
+        def item(q):
+            return text('{"value":{"entity-type":"item","id":"', q, '"},"type":"wikibase-entityid"}')
+
+        time = text(
+            '{"value":{"time":"', day("l_shipdate", "'+'yyyy-MM-dd'T00:00:00Z'"), '","timezone":0,"precision":11,"calendarmodel":"',
+            f'{entity}Q1985727"', '},"type":"time"}',
         )
-        quantity = F.struct(
-            F.concat(F.lit("+"), c("l_extendedprice").cast("decimal(15,2)").cast("string")).alias("amount"),
-            F.concat(F.lit("http://www.wikidata.org/entity/"), qid(SUPPLIER, "l_suppkey")).alias("unit"),
-        )
+        quantity = text(
+            '{"value":{"amount":"+', c("l_extendedprice").cast("decimal(15,2)").cast("string"), f'","unit":"{entity}',
+            qid(SUPPLIER, "l_suppkey"), '"},"type":"quantity"}',
+        )
+        flag = c("l_returnflag")
+        datatype = F.when(flag == "A", "wikibase-item").when(flag == "N", "time").otherwise("quantity")
+        datavalue = F.when(flag == "A", item(qid(PART, "l_partkey"))).when(flag == "N", time).otherwise(quantity)
 
-        def snak(prop, datatype, datavalue):
-            return F.struct(F.lit("value").alias("snaktype"), F.lit(prop).alias("property"), F.lit(datatype).alias("datatype"), datavalue.alias("datavalue"))
-
-        def qsnak(prop, datatype, text, datavalue):
-            h = F.md5(F.concat_ws("|", F.lit(prop), text))
-            return F.struct(F.lit("value").alias("snaktype"), F.lit(prop).alias("property"), h.alias("hash"), F.lit(datatype).alias("datatype"), datavalue.alias("datavalue"))
-
-        # Each value kind is its own JSON text; the claim is chosen as text so that the
-        # polymorphic value keeps its shape.
-        def claim(prop, datatype, datavalue):
-            n = c("l_linenumber")
-            one = qsnak("P1545", "string", n.cast("string"), value("string", n.cast("string")))
-            two = qsnak("P1545", "string", (n + 1).cast("string"), value("string", (n + 1).cast("string")))
-            work, part = qid(SUPPLIER, "l_suppkey"), qid(PART, "l_partkey")
-            quals = F.struct(
-                F.when(c("l_tax") >= 0.02, F.array(qsnak("P585", "time", day("l_shipdate", "'+'yyyy-MM-dd'T00:00:00Z'"), value("time", time)))).alias("P585"),
-                F.when(c("l_discount") >= 0.03, F.array(qsnak("P1686", "wikibase-item", work, value("wikibase-entityid", item(work))))).alias("P1686"),
-                F.array(qsnak("P805", "wikibase-item", part, value("wikibase-entityid", item(part)))).alias("P805"),
-                F.when(c("l_quantity").cast("int") % 2 == 0, F.array(one, two)).otherwise(F.array(one)).alias("P1545"),
-            )
-            return F.struct(
-                snak(prop, datatype, datavalue).alias("mainsnak"), F.lit("statement").alias("type"),
-                F.lit("normal").alias("rank"), c("STATEMENT_GUID").alias("id"), quals.alias("qualifiers"),
-            )
-
-        def document(prop):
-            def line(datatype, datavalue):
-                return F.to_json(
-                    F.struct(
-                        F.lit("item").alias("type"), qid(ORDER, "l_orderkey").alias("id"),
-                        F.struct(F.array(claim(prop, datatype, datavalue)).alias(prop)).alias("claims"),
-                    )
-                )
-
-            return (
-                F.when(flag == "A", line("wikibase-item", value("wikibase-entityid", item(qid(PART, "l_partkey")))))
-                .when(flag == "N", line("time", value("time", time)))
-                .otherwise(line("quantity", value("quantity", quantity)))
-            )
+        def snak(prop, kind, key, value):
+            digest = F.md5(F.concat_ws("|", lit(prop), key))
+            return text('{"snaktype":"value","property":"', prop, '","hash":"', digest, '","datatype":"', kind, '","datavalue":', value, "}")
+
+        def ordinal(n):
+            return snak("P1545", "string", n, text('{"value":"', n, '","type":"string"}'))
 
-        text = F.when(c("l_linestatus") == "O", document("P166")).otherwise(document("P1411"))
-        dressed = F.when(c("l_linenumber") == 1, F.concat(F.lit("["), text, F.lit(","))).when(
-            c("l_linenumber") == 2, F.concat(F.lit("  "), text, F.lit(" ]"))
-        ).otherwise(F.concat(text, F.lit(",")))
-        return self._line.select(dressed.alias("value"))
+        first, second = c("l_linenumber").cast("string"), (c("l_linenumber") + 1).cast("string")
+        work, part = qid(SUPPLIER, "l_suppkey"), qid(PART, "l_partkey")
+        raw_time = day("l_shipdate", "'+'yyyy-MM-dd'T00:00:00Z'")
+        quals = F.concat_ws(
+            ",",
+            F.when(c("l_tax") >= 0.02, text('"P585":[', snak("P585", "time", raw_time, time), "]")),
+            F.when(c("l_discount") >= 0.03, text('"P1686":[', snak("P1686", "wikibase-item", work, item(work)), "]")),
+            text('"P805":[', snak("P805", "wikibase-item", part, item(part)), "]"),
+            text('"P1545":[', F.concat_ws(",", ordinal(first), F.when(c("l_quantity").cast("int") % 2 == 0, ordinal(second))), "]"),
+        )
+        prop = F.when(c("l_linestatus") == "O", "P166").otherwise("P1411")
+        doc = text(
+            '{"type":"item","id":"', qid(ORDER, "l_orderkey"), '","claims":{"', prop, '":[{"mainsnak":{"snaktype":"value","property":"', prop,
+            '","datatype":"', datatype, '","datavalue":', datavalue, '},"type":"statement","rank":"normal","id":"', c("STATEMENT_GUID"),
+            '","qualifiers":{', quals, "}}]}}",
+        )
+        opening = F.when(c("l_linenumber") == 1, "[").when(c("l_linenumber") == 2, "  ").otherwise("")
+        closing = F.when(c("l_linenumber") == 2, " ]").otherwise(",")
+        return once(self.spread(self._line), value=F.concat(opening, doc, closing)).select("value")
 
     @cached_property
     def labelled_lines(self) -> DataFrame:

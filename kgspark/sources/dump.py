@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kgspark.functions import once
+
 # Claims stay raw text per property, so a property filter applies before its list is
 # parsed and one malformed property cannot blank its neighbours.
-ENTITY_SCHEMA = """
-    id STRING, type STRING, datatype STRING,
-    labels MAP<STRING, VARIANT>, descriptions MAP<STRING, VARIANT>,
-    claims MAP<STRING, STRING>
-"""
+ENTITY_FIELDS = {
+    "id": "STRING",
+    "type": "STRING",
+    "datatype": "STRING",
+    "labels": "MAP<STRING, VARIANT>",
+    "descriptions": "MAP<STRING, VARIANT>",
+    "claims": "MAP<STRING, STRING>",
+}
 
 # The entity's own id leads its line; a claim or snak id can never match here.
 _TOP_LEVEL_ID = r'^\{"type":"(?:item|property)","id":"([A-Za-z][0-9]+)"'
@@ -24,12 +31,15 @@ def read_entity_dump(spark: SparkSession, path: str) -> DataFrame:
 
 def clean_lines(lines: DataFrame) -> DataFrame:
     """Drop the array's brackets, separators and blank lines around the objects."""
-    blank = r"^\s+|\s+$"
-    v = F.regexp_replace("value", blank, "")
-    v = F.regexp_replace(v, r"^\[\s*", "")
-    v = F.regexp_replace(v, r"\s*\]$", "")
-    v = F.regexp_replace(v, r"\s*,$", "")
-    return lines.select(v.alias("value")).filter(F.col("value") != "")
+    blanks = F.lit(" \t\n\r\x0b\f")
+    trimmed = once(lines.select(F.col("value").alias("_raw")), v=F.btrim("_raw", blanks))
+    v = F.col("v")
+    opened = F.when(v.startswith("["), F.ltrim(F.substring(v, 2, 1 << 30), blanks)).otherwise(v)
+    shorter = lambda x: F.rtrim(F.left(x, F.length(x) - 1), blanks)
+    closed = F.when(F.col("o").endswith("]"), shorter(F.col("o"))).otherwise(F.col("o"))
+    alone = F.when(F.col("c").endswith(","), shorter(F.col("c"))).otherwise(F.col("c"))
+    kept = once(once(trimmed, o=opened), c=closed)
+    return once(kept, value=alone).select("value").filter(F.col("value") != "")
 
 
 def top_level_id(line: Column) -> Column:
@@ -50,11 +60,18 @@ def idgate(lines: DataFrame, ids: DataFrame) -> DataFrame:
     return kept.select("value").union(keyed.filter(~gated).select("value"))
 
 
-def parse_entities(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, bad): parsed entities, and the lines no JSON parser accepts."""
-    bad = F.try_parse_json("value").isNull()
-    good = lines.filter(~bad).select(F.from_json("value", ENTITY_SCHEMA).alias("e")).select("e.*")
-    return good, lines.filter(bad)
+def parse_entities(lines: DataFrame, fields: Sequence[str] = tuple(ENTITY_FIELDS)) -> tuple[DataFrame, DataFrame]:
+    """(good, bad): parsed entities, and the lines no JSON parser accepts.
+
+    One parse per line. The parser keeps the text of lines it could not read fully;
+    only those are looked at again, since a field of an unexpected shape makes that
+    field NULL but not the line bad. ``fields`` narrows what is parsed.
+    """
+    schema = ", ".join([f"{f} {ENTITY_FIELDS[f]}" for f in fields] + ["_text STRING"])
+    parsed = once(lines.select("value"), e=F.from_json("value", schema, {"columnNameOfCorruptRecord": "_text"}))
+    bad = F.coalesce(F.col("e._text").isNotNull() & F.try_parse_json("e._text").isNull(), F.lit(False))
+    good = parsed.filter(~bad).select("e.*").drop("_text")
+    return good, parsed.filter(bad).select("value")
 
 
 def text_of(payload: Column) -> Column:
