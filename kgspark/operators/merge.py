@@ -27,8 +27,12 @@ def loadable(staging: DataFrame, batch: str) -> DataFrame:
 def mark_loaded(staging: DataFrame, batch: str) -> DataFrame:
     done = (F.col("IMPORT_BATCH_ID") == batch) & F.col("ROW_STATUS").isin("NEW", "VALID")
     done = F.coalesce(done, F.lit(False))
-    return staging.withColumn("ROW_STATUS", F.when(done, "LOADED").otherwise(F.col("ROW_STATUS"))).withColumn(
-        "ERROR_MESSAGE", F.when(done, F.lit(None)).otherwise(F.col("ERROR_MESSAGE")).cast("string")
+    # Both columns at once: the second must still see the old status.
+    return staging.withColumns(
+        {
+            "ROW_STATUS": F.when(done, "LOADED").otherwise(F.col("ROW_STATUS")),
+            "ERROR_MESSAGE": F.when(done, F.lit(None)).otherwise(F.col("ERROR_MESSAGE")).cast("string"),
+        }
     )
 
 
