@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-MODULES = ("ingest", "claims", "graph", "joins", "aggregates", "writes", "constraints", "media", "awards", "reports")
+MODULES = ("ingest", "claims", "graph", "joins", "aggregates", "writes", "constraints", "media", "awards", "reports", "snapshots")
 
 
 def load() -> ModuleType:

@@ -381,11 +381,3 @@ def missing_root_kind(d):
     members = d.kg_subclass.select(c("ID_CHILD").alias(ID), c("ID_PARENT").alias("CLASS_ID"))
     pool = closure(d.kg_subclass, root(d, "Q1000000001"))
     return rp.missing_root_kind(rp.missing(d.v1_entity, d.v2_entity), members, ["Q3000000001", "Q3000000002"], pool)
-
-
-@query(
-    "schema_gap",
-    """SELECT 'orders' AS TABLE_NAME, unnest(['o_orderstatus','o_orderpriority']) AS COLUMN_NAME, 'string' AS DATA_TYPE FROM (SELECT 1 FROM orders LIMIT 1)""",
-)
-def schema_gap(d):
-    return rp.schema_gap({"orders": d.orders}, {"orders": d.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")})

@@ -589,11 +589,15 @@ def images(payloads: DataFrame, entity: str, main: DataFrame | None = None, main
 
     listed_ = once(docs, **{k: F.coalesce(entries(k), empty) for k in IMAGE_LISTS})
     none = F.lit(None).cast("string")
+
+    def typed(placed: Column, kind: str) -> Column:
+        return F.transform(placed, lambda y: F.struct(F.lit(kind).alias("type"), y["position"].cast("int").alias("position"), y["image"].alias("image")))
+
     parts = []
     for key, kind in IMAGE_LISTS.items():
         base, local = (F.col("_base"), F.transform("_local", lambda x: x["path"])) if kind == main_type else (none, F.array().cast("array<string>"))
         placed = pinned_order(F.col(key), base, local)
-        parts.append(F.transform(placed, lambda y, kind=kind: F.struct(F.lit(kind).alias("type"), y["position"].cast("int").alias("position"), y["image"].alias("image"))))
+        parts.append(typed(placed, kind))
     shown = F.flatten(F.array(*[F.transform(key, lambda x: x["path"]) for key in IMAGE_LISTS]))
 
     def injected(path: Column, lang: Column, order: int) -> Column:

@@ -326,3 +326,154 @@ class Driver:
             F.when(c("page_id") % 7 == 0, "deprecated").otherwise("normal").alias("RANK"), F.lit(0).alias("DELETED"),
         )
         return docs.unionByName(pages)
+
+    # Catalogue payloads: JSON documents built row by row from the tables.
+    def _payload(self, df: DataFrame, entity: str, id_: Column, endpoint: str, lang: Column, body: Column) -> DataFrame:
+        return self.spread(df).select(
+            F.lit(entity).alias("entity"), id_.cast("bigint").alias("id"), F.lit(endpoint).alias("endpoint"), lang.alias("lang"),
+            F.lit("2024-02-01 00:00:00").alias("fetched_at"), F.to_json(body).alias("payload"),
+        )
+
+    @cached_property
+    def movie_payload(self) -> DataFrame:
+        """Documents as film payloads: every word of the text is a cast member."""
+        c = F.col
+        words = F.split("text", r"\s+")
+        cast = F.transform(
+            words,
+            lambda w, i: F.struct(F.length(w).alias("id"), w.alias("name"), F.concat_ws("-", c("doc_id").cast("string"), i.cast("string")).alias("credit_id"), F.left(w, F.lit(5)).alias("character")),
+        )
+        crew = F.array(
+            F.struct((c("n_chars") % 7).alias("id"), c("lang").alias("name"), F.concat(F.lit("c"), c("doc_id").cast("string")).alias("credit_id"), c("lang").alias("department"), c("source").alias("job")),
+        )
+        genre = F.when(c("n_chars") % 5 == 0, "Documentary").otherwise("Drama")
+        body = F.struct(
+            c("doc_id").alias("id"), F.left("text", F.lit(300)).alias("title"), c("text").alias("overview"), (c("n_chars") % 150).alias("runtime"),
+            F.when(c("doc_id") % 3 == 0, F.lit("1999-02-30")).when(c("doc_id") % 3 == 1, F.lit("2001-07-04")).otherwise("soon").alias("release_date"),
+            (c("n_chars") % 2 == 0).alias("adult"), c("n_chars").alias("budget"),
+            F.array(F.struct(F.lit(1).alias("id"), genre.alias("name")), F.struct(F.lit(2).alias("id"), c("source").alias("name"))).alias("genres"),
+            F.transform(words, lambda w: F.struct(F.left(w, F.lit(2)).alias("iso_3166_1"))).alias("production_countries"),
+            F.transform(F.slice(words, 1, 3), lambda w: F.struct(w.alias("iso_639_1"))).alias("spoken_languages"),
+            F.struct(cast.alias("cast"), crew.alias("crew")).alias("credits"),
+            F.transform(words, lambda w: F.struct(F.length(w).alias("id"), w.alias("name"))).alias("keywords"),
+            F.transform(words, lambda w: F.struct(F.length(w).alias("id"))).alias("results"),
+            F.transform(words, lambda w, i: F.struct(F.concat(F.lit("/"), w).alias("file_path"), F.when(i % 2 == 0, "en").otherwise("fr").alias("iso_639_1"), i.alias("width"))).alias("posters"),
+        )
+        return self._payload(self.table("documents"), "movie", c("doc_id"), "details", F.lit("en"), body)
+
+    @cached_property
+    def person_payload(self) -> DataFrame:
+        """Customers as person payloads."""
+        c = F.col
+        k = c("c_custkey")
+        credit = lambda media, n: F.struct((k + n).alias("id"), F.concat(F.lit(f"{media}{n}-"), k.cast("string")).alias("credit_id"), c("c_mktsegment").alias("character"), F.lit(media).alias("media_type"))
+        body = F.struct(
+            k.alias("id"), c("c_name").alias("name"), c("c_mktsegment").alias("biography"),
+            F.when(k % 4 == 0, F.concat(F.lit("19"), F.lpad((k % 100).cast("string"), 2, "0"), F.lit("-0"), (k % 9 + 1).cast("string"), F.lit("-31"))).alias("birthday"),
+            (k % 3).alias("gender"), F.when(k % 5 != 0, F.concat(F.lit("  place "), c("c_nationkey").cast("string"), F.lit(" "))).alias("place_of_birth"),
+            (c("c_acctbal") > 0).alias("adult"), F.split(c("c_name"), "#").alias("also_known_as"),
+            F.struct(F.array(credit("movie", 1), credit("tv", 2)).alias("cast")).alias("combined_credits"),
+        )
+        return self._payload(self.table("customer"), "person", k, "details", F.lit("en"), body)
+
+    @cached_property
+    def release_payload(self) -> DataFrame:
+        """Orders as release-date payloads; finished orders answer with a broken entry."""
+        c = F.col
+        at = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'.000Z'")
+        release = lambda kind: F.struct(at.alias("release_date"), F.lit(kind).alias("type"), c("o_orderpriority").alias("certification"))
+        late = F.struct(F.lit("someday").alias("release_date"), F.lit(4).alias("type"), F.lit(None).cast("string").alias("certification"))
+        country = F.when(c("o_orderstatus") != "F", c("o_orderpriority"))
+        body = F.struct(F.array(F.struct(country.alias("iso_3166_1"), F.array(release(3), late).alias("release_dates"))).alias("results"))
+        return self._payload(self.table("orders"), "movie", c("o_orderkey"), "release_dates", F.lit("en"), body)
+
+    @cached_property
+    def watch_payload(self) -> DataFrame:
+        """Orders as watch-provider payloads with two countries."""
+        c = F.col
+        provider = F.array(F.struct(c("o_custkey").alias("provider_id"), c("o_orderpriority").alias("provider_name"), F.lit(1).alias("display_priority")))
+        country = F.struct(
+            c("o_orderstatus").alias("link"), F.when(c("o_totalprice") > 100000, provider).alias("flatrate"), F.when(c("o_totalprice") > 200000, F.concat(provider, provider)).alias("rent")
+        )
+        body = F.struct(F.struct(country.alias("FR"), country.alias("USA")).alias("results"))
+        return self._payload(self.table("orders"), "movie", c("o_orderkey"), "watch_providers", F.lit("en"), body)
+
+    @cached_property
+    def catalog_payload(self) -> DataFrame:
+        """Parts as one-provider catalogues: films for even parts, series for every third."""
+        c = F.col
+        p = self.table("part")
+        body = F.struct(
+            F.array(
+                F.struct(
+                    (c("p_partkey") + 1).alias("provider_id"), c("p_name").alias("provider_name"), c("p_brand").alias("logo_path"),
+                    F.create_map(F.lit("fr"), c("p_size"), F.lit("us"), c("p_size") + 1).alias("display_priorities"),
+                )
+            ).alias("results")
+        )
+        film = self._payload(p.filter(c("p_partkey") % 2 == 0), "providers", c("p_partkey"), "catalog", F.lit("movie"), body)
+        serie = self._payload(p.filter(c("p_partkey") % 3 == 0), "providers", c("p_partkey"), "catalog", F.lit("serie"), body)
+        return film.unionByName(serie)
+
+    @cached_property
+    def video_payload(self) -> DataFrame:
+        """Events as video payloads in two requested languages."""
+        c = F.col
+        at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'.000Z'")
+        video = F.struct(
+            F.concat(F.lit("v"), c("event_id").cast("string")).alias("id"), F.when(c("event_type") != "error", at).alias("published_at"), c("event_type").alias("type"),
+            F.lit("en").alias("iso_639_1"), c("user_id").cast("int").alias("size"), (c("value") > 10).alias("official"),
+        )
+        blank = F.struct(
+            F.lit("").alias("id"), F.lit("").alias("published_at"), F.lit("").alias("type"), F.lit("").alias("iso_639_1"), F.lit(0).alias("size"), F.lit(False).alias("official")
+        )
+        lang = F.when(c("event_id") % 2 == 0, "en").otherwise("fr")
+        return self._payload(self.table("events"), "movie", c("event_id"), "videos", lang, F.struct(F.array(blank, video).alias("results")))
+
+    @cached_property
+    def list_payload(self) -> DataFrame:
+        """Conversations as lists: a turn is a page, its words are the members."""
+        c = F.col
+        items = F.transform(F.split("text", r"\s+"), lambda w: F.struct(F.length(w).alias("id"), F.when(F.length(w) % 2 == 0, "movie").otherwise("tv").alias("media_type")))
+        return self._payload(self.table("conversations"), "list", c("conv_id"), "page", F.lit("en"), F.struct((c("turn") + 1).alias("page"), items.alias("items")))
+
+    @cached_property
+    def season_payload(self) -> DataFrame:
+        """Orders as season payloads with two episodes and both kinds of credits."""
+        c = F.col
+        k = c("o_orderkey")
+        air = F.date_format("o_orderdate", "yyyy-MM-dd")
+        person = lambda n, extra: F.struct((k + n).alias("id"), F.concat_ws("-", F.lit(f"p{n}"), k.cast("string")).alias("credit_id"), *extra)
+        crew = F.array(person(1, [F.lit("Directing").alias("department"), F.lit("Director").alias("job")]), person(2, [F.lit("Writing").alias("department"), F.lit("Writer").alias("job")]))
+        guest = F.array(person(3, [c("o_orderpriority").alias("character"), F.lit(9).alias("order")]))
+        episode = lambda n: F.struct((k * 10 + n).alias("id"), air.alias("air_date"), F.concat(F.lit(f"E{n} "), c("o_orderpriority")).alias("name"), F.lit(1).alias("season_number"), F.lit(n).alias("episode_number"), crew.alias("crew"), guest.alias("guest_stars"))
+        role = lambda n: F.struct(F.concat_ws("-", F.lit(f"r{n}"), k.cast("string")).alias("credit_id"), c("o_orderstatus").alias("character"), F.lit(n).alias("episode_count"))
+        job = lambda n: F.struct(F.concat_ws("-", F.lit(f"j{n}"), k.cast("string")).alias("credit_id"), F.lit("Editor").alias("job"), F.lit(n).alias("episode_count"))
+        rich = F.struct(
+            F.array(F.struct((k + 1).alias("id"), F.lit(5).alias("order"), F.array(role(1), role(2)).alias("roles"))).alias("cast"),
+            F.array(F.struct((k + 2).alias("id"), F.lit("Editing").alias("department"), F.array(job(1)).alias("jobs"))).alias("crew"),
+        )
+        plain = F.struct(guest.alias("cast"), crew.alias("crew"))
+        body = F.struct(
+            (k + 1).alias("id"), F.lit(1).alias("season_number"), c("o_orderpriority").alias("name"), air.alias("air_date"), F.array(episode(1), episode(2)).alias("episodes"),
+            F.when(c("o_orderstatus") == "O", rich).alias("aggregate_credits"), plain.alias("credits"),
+        )
+        return self._payload(self.table("orders"), "season", k, "details", F.lit("en"), body)
+
+    @cached_property
+    def serie_payload(self) -> DataFrame:
+        """Orders as series payloads; the creator is in the crew, in the cast, or in neither."""
+        c = F.col
+        k = c("o_orderkey")
+        person = lambda pid, credit: F.struct(pid.alias("id"), F.concat_ws("-", F.lit(credit), k.cast("string")).alias("credit_id"), F.lit("x").alias("character"), F.lit("D").alias("department"), F.lit("J").alias("job"))
+        lit = lambda n: F.lit(n).cast("bigint")
+        maker = F.when(c("o_orderstatus") == "O", lit(11)).when(c("o_orderstatus") == "F", lit(1)).otherwise(lit(99))
+        body = F.struct(
+            k.alias("id"), c("o_orderpriority").alias("name"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("first_air_date"),
+            F.when(c("o_orderstatus") != "F", c("o_orderstatus") == "O").alias("in_production"),
+            F.when(c("o_orderstatus") == "P", F.struct(F.lit("2024-01-01").alias("air_date"), F.lit(2).alias("season_number"), F.lit(3).alias("episode_number"))).alias("next_episode_to_air"),
+            F.struct(c("o_custkey").alias("tvdb_id"), F.lit("tt1").alias("imdb_id")).alias("external_ids"),
+            F.array(F.struct(maker.alias("id"), F.concat_ws("-", F.lit("m"), k.cast("string")).alias("credit_id"))).alias("created_by"),
+            F.struct(F.array(person(lit(1), "a1"), person(lit(2), "a2")).alias("cast"), F.array(person(lit(10), "b1"), person(lit(11), "b2"), person(lit(10), "b3")).alias("crew")).alias("credits"),
+        )
+        return self._payload(self.table("orders"), "serie", k, "details", F.lit("en"), body)
