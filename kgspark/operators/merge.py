@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from kgspark.functions import ident
 from kgspark.operators.ranking import dedupe_keep_first, latest_wins
+from kgspark.session import cut
 
 
 class GuardError(RuntimeError):
@@ -134,12 +135,15 @@ def prune_cascade(
     subclass: DataFrame,
     batch: str,
 ) -> dict[str, object]:
-    """Prune every batch-bound table and what hangs below it; entities stay."""
-    gone = statements.filter(F.col("IMPORT_BATCH_ID") < batch).select("ID_STATEMENT")
+    """Prune every batch-bound table and what hangs below it; entities stay.
+
+    The ids that go are written once: every table below is filtered by them.
+    """
+    gone = cut(statements.filter(F.col("IMPORT_BATCH_ID") < batch).select("ID_STATEMENT"), "gone")
     # A qualifier goes with its own old batch or with its old statement.
     old_q = qualifiers.filter(F.col("IMPORT_BATCH_ID") < batch).select("ID_STATEMENT_QUALIFIER")
     below = qualifiers.join(gone, "ID_STATEMENT", "left_semi").select("ID_STATEMENT_QUALIFIER")
-    gone_q = old_q.union(below).distinct()
+    gone_q = cut(old_q.union(below).distinct(), "gone-qualifiers")
     return {
         "statements": prune_older(statements, batch),
         "values": {k: v.join(gone, "ID_STATEMENT", "left_anti") for k, v in values.items()},

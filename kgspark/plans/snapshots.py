@@ -280,20 +280,23 @@ def _credits_of(docs: DataFrame, owner: str) -> DataFrame:
     lists = f"STRUCT<`cast`: ARRAY<STRUCT<{_PERSON}>>, crew: ARRAY<STRUCT<{_PERSON}>>>"
     empty = F.array().cast(f"array<struct<{_PERSON}>>")
     credits = once(docs, k=_fields().sub("credits", lists))
-    return once(
+    lists_ = once(
         credits.withColumnRenamed("id", owner),
         cast_=F.coalesce(F.col("k.cast"), empty),
         crew_=F.coalesce(F.col("k.crew"), empty),
     )
+    # The id lists are columns of their own: inside a lambda they would be rebuilt per element.
+    return once(lists_, cast_ids=_ids(F.col("cast_")), crew_ids=_ids(F.col("crew_")))
 
 
 def _ids(people: Column) -> Column:
     return F.transform(people, lambda x: x["id"])
 
 
-def _first_positions(people: Column, kind: str, shift=lambda x: F.lit(0)) -> Column:
+def _first_positions(kind: str, shift=lambda x: F.lit(0)) -> Column:
     """Credits of one list; a person's later credits reuse the first position."""
-    return F.transform(people, lambda x: _credit(x, kind, F.array_position(_ids(people), x["id"]) + shift(x)))
+    people, ids = F.col(f"{kind}_"), F.col(f"{kind}_ids")
+    return F.transform(people, lambda x: _credit(x, kind, F.array_position(ids, x["id"]) + shift(x)))
 
 
 def title_credits(payloads: DataFrame, entity: str = "movie") -> DataFrame:
@@ -301,15 +304,14 @@ def title_credits(payloads: DataFrame, entity: str = "movie") -> DataFrame:
     owner = f"ID_{entity.upper()}"
     docs = documents(payloads, entity, "details")
     base = _credits_of(docs, owner)
-    cast_, crew = F.col("cast_"), F.col("crew_")
     if entity != "serie":
-        base = once(base, all_=F.concat(_first_positions(cast_, "cast"), _first_positions(crew, "crew")))
+        base = once(base, all_=F.concat(_first_positions("cast"), _first_positions("crew")))
         return base.select(owner, F.explode("all_").alias("c")).select(owner, "c.*")
 
     people = F.coalesce(_fields().rows("created_by", "id BIGINT, credit_id STRING"), F.array().cast("array<struct<id:bigint,credit_id:string>>"))
-    base = once(base, creators=people)
-    makers = F.col("creators")
-    is_maker = lambda x: F.array_contains(_ids(makers), x["id"])
+    base = once(once(base, creators=people), maker_ids=_ids(people))
+    makers, maker_ids = F.col("creators"), F.col("maker_ids")
+    is_maker = lambda x: F.array_contains(maker_ids, x["id"])
 
     def creator(x: Column, order: Column) -> Column:
         return F.struct(
@@ -318,16 +320,16 @@ def title_credits(payloads: DataFrame, entity: str = "movie") -> DataFrame:
         )
 
     # A creator among the crew gets an extra row at the crew position, the crew row moves one on.
-    first_of = lambda x, i: F.array_position(_ids(makers), x["id"]) == i + 1
-    working = F.filter(makers, lambda x, i: first_of(x, i) & F.array_contains(_ids(crew), x["id"]))
-    working = F.transform(working, lambda x: creator(x, F.array_position(_ids(crew), x["id"])))
-    crew_rows = _first_positions(crew, "crew", lambda x: F.when(is_maker(x), 1).otherwise(0))
-    base = once(base, own=F.concat(_first_positions(cast_, "cast"), working, crew_rows), crew_rows=crew_rows)
+    first_of = lambda x, i: F.array_position(maker_ids, x["id"]) == i + 1
+    working = F.filter(makers, lambda x, i: first_of(x, i) & F.array_contains("crew_ids", x["id"]))
+    working = F.transform(working, lambda x: creator(x, F.array_position("crew_ids", x["id"])))
+    crew_rows = _first_positions("crew", lambda x: F.when(is_maker(x), 1).otherwise(0))
+    base = once(base, own=F.concat(_first_positions("cast"), working, crew_rows), crew_rows=crew_rows)
     # Creators credited nowhere follow the last position handed out.
-    last_cast = F.coalesce(F.array_position(_ids(cast_), F.try_element_at(cast_, F.lit(-1))["id"]), F.lit(0))
+    last_cast = F.coalesce(F.array_position("cast_ids", F.try_element_at("cast_ids", F.lit(-1))), F.lit(0))
     last = F.coalesce(F.try_element_at("crew_rows", F.lit(-1))["DISPLAY_ORDER"].cast("bigint"), last_cast)
     base = once(base, last=last)
-    absent = F.filter(makers, lambda x: ~F.array_contains(F.concat(_ids(cast_), _ids(crew)), x["id"]))
+    absent = F.filter(makers, lambda x: ~(F.array_contains("cast_ids", x["id"]) | F.array_contains("crew_ids", x["id"])))
     absent = F.transform(absent, lambda x, i: creator(x, F.col("last") + i + 1))
     rows = once(base, all_=F.concat(F.col("own"), absent))
     return rows.select(owner, F.explode("all_").alias("c")).select(owner, "c.*")

@@ -120,7 +120,7 @@ class Driver:
             F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"),
             day("l_shipdate", "yyyyMMdd"), cents,
         )
-        return self.table("lineitem").withColumn("STATEMENT_GUID", guid)
+        return self.spread(self.table("lineitem")).withColumn("STATEMENT_GUID", guid)
 
     @cached_property
     def kg_claim(self) -> DataFrame:
@@ -243,7 +243,7 @@ class Driver:
         )
         opening = F.when(c("l_linenumber") == 1, "[").when(c("l_linenumber") == 2, "  ").otherwise("")
         closing = F.when(c("l_linenumber") == 2, " ]").otherwise(",")
-        return once(self.spread(self._line), value=F.concat(opening, doc, closing)).select("value")
+        return once(self._line, value=F.concat(opening, doc, closing)).select("value")
 
     @cached_property
     def labelled_lines(self) -> DataFrame:
