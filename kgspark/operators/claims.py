@@ -71,6 +71,22 @@ VALUE_COLUMNS = {
 }
 
 
+def _exploded(rows: DataFrame, schema: str, key: str, name: str) -> DataFrame:
+    """Expand the JSON text ``list`` into (pos, parsed element, raw text).
+
+    A list is parsed once, as a whole. The raw text of its elements is extracted only
+    from lists in which some element lacks its ``key`` and needs a canonical identity;
+    a list with an element of another shape is read element by element.
+    """
+    texts = F.from_json("list", "ARRAY<STRING>")
+    parsed = F.coalesce(F.from_json("list", f"ARRAY<{schema}>"), F.transform(texts, lambda r: F.from_json(r, schema)))
+    lists = once(rows, s=parsed).filter(F.col("s").isNotNull())
+    keyless = F.exists("s", lambda x: F.coalesce(x.getField(key), F.lit("")) == "")
+    lists = once(lists, t=F.when(keyless, texts)).drop("list")
+    flat = lists.select(*[c for c in rows.columns if c != "list"], F.posexplode("s").alias("pos", name), "t")
+    return flat.withColumn("raw", F.get("t", F.col("pos"))).drop("t")
+
+
 def explode_claims(entities: DataFrame, properties: Sequence[str] | None = None, exact_ids: bool = True) -> DataFrame:
     """One row per claim: subject, property, parsed claim, statement id.
 
@@ -83,11 +99,7 @@ def explode_claims(entities: DataFrame, properties: Sequence[str] | None = None,
     )
     if properties is not None:
         per_property = per_property.filter(F.col("ID_PROPERTY").isin(*properties))
-    # explode_outer: the inner form would parse each list again to test that it is filled.
-    raw = per_property.select(
-        "ID_WIKIDATA", "ID_PROPERTY", F.explode_outer(F.from_json("list", "ARRAY<STRING>")).alias("raw")
-    ).filter(F.col("raw").isNotNull())
-    claim = once(raw, c=F.from_json("raw", _CLAIM))
+    claim = _exploded(per_property, _CLAIM, "id", "c")
     fallback = ident.canonical_json(F.when(F.coalesce(F.col("c.id"), F.lit("")) == "", F.col("raw")), exact_ids)
     return claim.select(
         "ID_WIKIDATA",
@@ -196,12 +208,7 @@ def qualifiers(stmts: DataFrame, exact_ids: bool = True) -> DataFrame:
     per_property = stmts.filter(F.col("qualifiers").isNotNull()).select(
         "ID_STATEMENT", F.explode("qualifiers").alias("ID_QUALIFIER_PROPERTY", "list")
     )
-    listed = per_property.select(
-        "ID_STATEMENT",
-        "ID_QUALIFIER_PROPERTY",
-        F.posexplode_outer(F.from_json("list", "ARRAY<STRING>")).alias("pos", "raw"),
-    ).filter(F.col("raw").isNotNull())
-    snaks = once(listed, snak=F.from_json("raw", _SNAK))
+    snaks = _exploded(per_property, _SNAK, "hash", "snak")
     no_hash = F.coalesce(F.col("snak.hash"), F.lit("")) == ""
     key = F.coalesce(F.nullif(F.col("snak.hash"), F.lit("")), ident.canonical_json(F.when(no_hash, F.col("raw")), exact_ids))
     ids = snaks.select(
