@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from kgspark.functions import n
 from kgspark.catalog.registry import query
 from kgspark.functions import text as tx
 from kgspark.operators import aggregates as ag
 
-N = F.count(F.lit(1)).alias("N")
 
 
 @query("count_by_type_and_rank", 'SELECT VALUE_TYPE, "RANK", count(*) AS N FROM kg_statement GROUP BY 1,2')
@@ -75,7 +75,7 @@ def collapse_verdict_per_batch(d):
 
 @query(
     "batch_span",
-    """SELECT event_type, count(*) AS N, strftime(min(ts),'%Y-%m-%d %H:%M:%S') AS FIRST_AT, strftime(max(ts),'%Y-%m-%d %H:%M:%S') AS LAST_AT, datesub('hour',min(ts),max(ts)) AS HOURS FROM events GROUP BY 1""",
+    """SELECT event_type, count(*) AS n(), strftime(min(ts),'%Y-%m-%d %H:%M:%S') AS FIRST_AT, strftime(max(ts),'%Y-%m-%d %H:%M:%S') AS LAST_AT, datesub('hour',min(ts),max(ts)) AS HOURS FROM events GROUP BY 1""",
 )
 def batch_span(d):
     return ag.batch_span(d.events, "event_type", "ts")

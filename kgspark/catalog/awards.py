@@ -6,7 +6,6 @@ from kgspark.catalog.registry import query
 from kgspark.operators import awards
 
 c = F.col
-N = F.count(F.lit(1)).alias("N")
 FAMILY = "Q7000000003"
 
 LABELS = """

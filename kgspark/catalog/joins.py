@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from kgspark.functions import n
 from kgspark.catalog.registry import query
 from kgspark.operators import joins, ranking
 
-N = F.count(F.lit(1)).alias("N")
 
 
 def of_class(d, *names):
@@ -26,7 +26,7 @@ def join_statement_value(d):
     """SELECT s.ID_WIKIDATA, coalesce(e.LABEL_EN, s.ID_WIKIDATA) AS LABEL, count(*) AS N FROM kg_claim s LEFT JOIN kg_entity e ON e.ID_WIKIDATA=s.ID_WIKIDATA GROUP BY 1,2""",
 )
 def label_lookup(d):
-    counts = d.kg_claim.groupBy("ID_WIKIDATA").agg(N)
+    counts = d.kg_claim.groupBy("ID_WIKIDATA").agg(n())
     return joins.label_lookup(counts, d.kg_entity.select("ID_WIKIDATA", "LABEL_EN"), "ID_WIKIDATA")
 
 
@@ -75,7 +75,7 @@ def semi_join(d):
     ),
 )
 def semi_join_any_table(d):
-    used = d.kg_qualifier.filter(F.col("ID_ITEM").isNotNull()).groupBy(F.col("ID_ITEM").alias("ID_WIKIDATA")).agg(N)
+    used = d.kg_qualifier.filter(F.col("ID_ITEM").isNotNull()).groupBy(F.col("ID_ITEM").alias("ID_WIKIDATA")).agg(n())
     return joins.exists_in_any(used, "ID_WIKIDATA", of_class(d, "SERIE"), of_class(d, "PERSON"))
 
 
@@ -107,8 +107,8 @@ def left_join_null_count(d):
 )
 def null_aware_not_in(d):
     keys, listed = d.v1_entity.select("ID_EXTERNAL"), d.v2_entity.select("ID_EXTERNAL")
-    a = joins.not_in(keys, "ID_EXTERNAL", listed.dropna()).agg(N).select(F.lit("without null").alias("LIST"), "N")
-    b = joins.not_in(keys, "ID_EXTERNAL", listed).agg(N).select(F.lit("with null").alias("LIST"), "N")
+    a = joins.not_in(keys, "ID_EXTERNAL", listed.dropna()).agg(n()).select(F.lit("without null").alias("LIST"), "N")
+    b = joins.not_in(keys, "ID_EXTERNAL", listed).agg(n()).select(F.lit("with null").alias("LIST"), "N")
     return a.union(b)
 
 
@@ -129,10 +129,10 @@ def existence_flags(d):
 
 @query(
     "scalar_lookup_after_group",
-    """SELECT o_orderpriority, N, (SELECT c_name FROM customer WHERE c_custkey=K) AS EXAMPLE FROM (SELECT o_orderpriority, count(*) AS N, min(o_custkey) AS K FROM orders GROUP BY 1)""",
+    """SELECT o_orderpriority, n(), (SELECT c_name FROM customer WHERE c_custkey=K) AS EXAMPLE FROM (SELECT o_orderpriority, count(*) AS n(), min(o_custkey) AS K FROM orders GROUP BY 1)""",
 )
 def scalar_lookup_after_group(d):
-    groups = d.orders.groupBy("o_orderpriority").agg(N, F.min("o_custkey").alias("c_custkey"))
+    groups = d.orders.groupBy("o_orderpriority").agg(n(), F.min("o_custkey").alias("c_custkey"))
     names = joins.first_per_key(d.customer.select("c_custkey", "c_name"), "c_custkey", "c_name", ["c_name"])
     return groups.join(names, "c_custkey", "left").select("o_orderpriority", "N", F.col("c_name").alias("EXAMPLE"))
 
@@ -152,7 +152,7 @@ def pair_by_language(d):
     """SELECT ID_PROPERTY, count(*) AS N FROM v1_triple a WHERE EXISTS (SELECT 1 FROM v2_triple b WHERE a.ID_WIKIDATA=b.ID_WIKIDATA AND a.ID_PROPERTY=b.ID_PROPERTY AND a.ID_ITEM=b.ID_ITEM) GROUP BY 1""",
 )
 def matched_triples(d):
-    return joins.matched_triples(d.v1_triple, d.v2_triple).groupBy("ID_PROPERTY").agg(N)
+    return joins.matched_triples(d.v1_triple, d.v2_triple).groupBy("ID_PROPERTY").agg(n())
 
 
 @query("cast_key_join", "SELECT event_id, c_name FROM (SELECT event_id, json_extract_string(props,'$.k') AS k FROM events) e JOIN customer ON c_custkey::VARCHAR = k")
@@ -196,7 +196,7 @@ def hierarchical_join(d):
 def collation_match(d):
     names = d.supplier.select("s_nationkey", F.concat(F.lit("natión_"), F.col("s_nationkey").cast("string"), F.lit("  ")).alias("t"))
     pairs = names.join(d.nation, joins.same_text(F.col("t"), F.col("n_name")))
-    return pairs.groupBy(F.col("n_nationkey").alias("A"), F.col("s_nationkey").alias("B")).agg(N)
+    return pairs.groupBy(F.col("n_nationkey").alias("A"), F.col("s_nationkey").alias("B")).agg(n())
 
 
 @query(
@@ -225,7 +225,7 @@ def overlap(d):
 def union_all_tagged(d):
     a = d.v1_entity.select("ENTITY_CLASS", F.lit("v1").alias("GENERATION"))
     b = d.v2_entity.select("ENTITY_CLASS", F.lit("v2").alias("GENERATION"))
-    return a.unionByName(b).groupBy("GENERATION", "ENTITY_CLASS").agg(N)
+    return a.unionByName(b).groupBy("GENERATION", "ENTITY_CLASS").agg(n())
 
 
 @query("union_distinct", "SELECT ID_WIKIDATA FROM v1_entity UNION SELECT ID_WIKIDATA FROM v2_entity")

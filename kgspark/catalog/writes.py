@@ -2,12 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from kgspark.functions import n
 from kgspark.catalog.registry import query
 from kgspark.catalog.twins import stable_bigint
 from kgspark.operators import merge
 from kgspark.sources.driver import ORDER, PART, qid
 
-N = F.count(F.lit(1)).alias("N")
 c = F.col
 
 
@@ -67,12 +67,12 @@ def upsert_audit_columns(d):
 @query(
     "mark_loaded",
     """SELECT IMPORT_BATCH_ID, CASE WHEN IMPORT_BATCH_ID='batch_1997' AND VALUE_TYPE<>'time' THEN 'LOADED' WHEN VALUE_TYPE='time' THEN 'ERROR' WHEN VALUE_TYPE='item' THEN 'NEW' ELSE 'VALID' END AS ROW_STATUS,
-       count(*) AS N, count(CASE WHEN IMPORT_BATCH_ID='batch_1997' AND VALUE_TYPE<>'time' THEN NULL ELSE 1 END) AS WITH_MESSAGE FROM kg_statement GROUP BY 1,2""",
+       count(*) AS n(), count(CASE WHEN IMPORT_BATCH_ID='batch_1997' AND VALUE_TYPE<>'time' THEN NULL ELSE 1 END) AS WITH_MESSAGE FROM kg_statement GROUP BY 1,2""",
 )
 def mark_loaded(d):
     status = F.when(c("VALUE_TYPE") == "time", "ERROR").when(c("VALUE_TYPE") == "item", "NEW").otherwise("VALID")
     staged = d.kg_statement.select("IMPORT_BATCH_ID", status.alias("ROW_STATUS"), F.lit("x").alias("ERROR_MESSAGE"))
-    return merge.mark_loaded(staged, "batch_1997").groupBy("IMPORT_BATCH_ID", "ROW_STATUS").agg(N, F.count("ERROR_MESSAGE").alias("WITH_MESSAGE"))
+    return merge.mark_loaded(staged, "batch_1997").groupBy("IMPORT_BATCH_ID", "ROW_STATUS").agg(n(), F.count("ERROR_MESSAGE").alias("WITH_MESSAGE"))
 
 
 def flipped_parents(d):
@@ -104,7 +104,7 @@ def maybe_batch(d):
     """SELECT IMPORT_BATCH_ID, count(*) AS N FROM (SELECT CASE WHEN DELETED=0 THEN IMPORT_BATCH_ID END AS IMPORT_BATCH_ID FROM kg_statement) WHERE IMPORT_BATCH_ID IS NULL OR IMPORT_BATCH_ID >= 'batch_1998' GROUP BY 1""",
 )
 def prune_older(d):
-    return merge.prune_older(maybe_batch(d), "batch_1998").groupBy("IMPORT_BATCH_ID").agg(N)
+    return merge.prune_older(maybe_batch(d), "batch_1998").groupBy("IMPORT_BATCH_ID").agg(n())
 
 
 @query(
@@ -139,7 +139,7 @@ def prune_cascade(d):
 
 @query("clear_staging", "SELECT IMPORT_BATCH_ID, count(*) AS N FROM kg_statement WHERE IMPORT_BATCH_ID<>'batch_1999' GROUP BY 1")
 def clear_staging(d):
-    return merge.clear_staging(d.kg_statement, "batch_1999").groupBy("IMPORT_BATCH_ID").agg(N)
+    return merge.clear_staging(d.kg_statement, "batch_1999").groupBy("IMPORT_BATCH_ID").agg(n())
 
 
 def owner_rows(d):
@@ -264,7 +264,7 @@ def repair_dry_run(d):
 
 @query(
     "qualifiers_only_load",
-    """SELECT VALUE_TYPE, count(*) AS N, min(TIM_UPDATED) AS FIRST_AT, max(TIM_UPDATED) AS LAST_AT FROM (SELECT VALUE_TYPE, CASE WHEN DISPLAY_ORDER=1 THEN '2024-02-01' ELSE '2020-01-01' END AS TIM_UPDATED FROM kg_qualifier) GROUP BY 1""",
+    """SELECT VALUE_TYPE, count(*) AS n(), min(TIM_UPDATED) AS FIRST_AT, max(TIM_UPDATED) AS LAST_AT FROM (SELECT VALUE_TYPE, CASE WHEN DISPLAY_ORDER=1 THEN '2024-02-01' ELSE '2020-01-01' END AS TIM_UPDATED FROM kg_qualifier) GROUP BY 1""",
 )
 def qualifiers_only_load(d):
     from kgspark.plans.refresh import QUALIFIERS_ONLY, full_load
@@ -275,7 +275,7 @@ def qualifiers_only_load(d):
         "*", F.lit("b").alias("IMPORT_BATCH_ID"), F.lit("NEW").alias("ROW_STATUS"), F.lit("").alias("ERROR_MESSAGE"), F.lit(1).alias("ID_STG_ROW")
     )
     targets, _ = full_load({"STATEMENT_QUALIFIER": target}, {"STATEMENT_QUALIFIER": staged}, "b", F.lit("2024-02-01"), QUALIFIERS_ONLY)
-    return targets["STATEMENT_QUALIFIER"].groupBy("VALUE_TYPE").agg(N, F.min("TIM_UPDATED").alias("FIRST_AT"), F.max("TIM_UPDATED").alias("LAST_AT"))
+    return targets["STATEMENT_QUALIFIER"].groupBy("VALUE_TYPE").agg(n(), F.min("TIM_UPDATED").alias("FIRST_AT"), F.max("TIM_UPDATED").alias("LAST_AT"))
 
 
 OUTCOME_SQL = """CASE event_type WHEN 'error' THEN 'error' WHEN 'purchase' THEN 'ok' WHEN 'view' THEN 'gone' WHEN 'click' THEN 'gone' ELSE 'error' END"""
@@ -295,7 +295,7 @@ def api_events(d):
 
 @query("fetch_outcome", f"SELECT {OUTCOME_SQL} AS OUTCOME, count(*) AS N FROM events GROUP BY 1")
 def fetch_outcome(d):
-    return api_events(d).groupBy("OUTCOME").agg(N)
+    return api_events(d).groupBy("OUTCOME").agg(n())
 
 
 LEDGER_SQL = f"""WITH e AS (SELECT user_id, ts, event_id, {OUTCOME_SQL} AS o FROM events), k AS (SELECT user_id, max(CASE WHEN o='ok' THEN ts END) AS t FROM e GROUP BY 1)

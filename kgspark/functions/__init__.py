@@ -15,3 +15,8 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     """
     row = F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))
     return df.select("*", F.inline(row))
+
+
+def n(name: str = "N") -> Column:
+    """Row count of a group. A function, since columns need a running session."""
+    return F.count(F.lit(1)).alias(name)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from kgspark.functions.text import alias_count, safe_pct
 
-N = F.count(F.lit(1))
 
 
 def count_by(df: DataFrame, *keys: str | Column) -> DataFrame:

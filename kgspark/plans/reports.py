@@ -12,11 +12,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kgspark.functions import n
 from kgspark.functions.text import active, external_id_shape, filled, id_bucket, not_deprecated, safe_pct
 from kgspark.operators.joins import existence_flags
 
 ID = "ID_WIKIDATA"
-N = F.count(F.lit(1))
 
 
 def _ids(df: DataFrame, column: str = ID) -> DataFrame:
@@ -47,7 +47,7 @@ def missing_elsewhere(v1: DataFrame, v2: DataFrame) -> DataFrame:
     anywhere = _ids(v2).distinct().withColumn("_k", F.lit(1))
     rows = missing(v1, v2).join(anywhere, ID, "left")
     return rows.groupBy("ENTITY_CLASS").agg(
-        N.alias("MISSING"), F.count("_k").alias("IN_ANOTHER_TABLE"), F.count_if(F.col("_k").isNull()).alias("NOWHERE")
+        n("MISSING"), F.count("_k").alias("IN_ANOTHER_TABLE"), F.count_if(F.col("_k").isNull()).alias("NOWHERE")
     )
 
 
@@ -57,7 +57,7 @@ def destination(v1: DataFrame, v2: DataFrame, order: Sequence[str]) -> DataFrame
     now = v2.groupBy(ID).agg(F.min(rank).alias("_r"))
     names = F.array(*[F.lit(t) for t in order])
     moved = live(v1).select(ID, "ENTITY_CLASS").join(now, ID, "left")
-    return moved.groupBy("ENTITY_CLASS", F.coalesce(F.get(names, F.col("_r")), F.lit("nowhere")).alias("DESTINATION")).agg(N.alias("N"))
+    return moved.groupBy("ENTITY_CLASS", F.coalesce(F.get(names, F.col("_r")), F.lit("nowhere")).alias("DESTINATION")).agg(n("N"))
 
 
 def missing_by_class(v1: DataFrame, v2: DataFrame, labels: DataFrame, top: int = 25) -> DataFrame:
@@ -65,14 +65,14 @@ def missing_by_class(v1: DataFrame, v2: DataFrame, labels: DataFrame, top: int =
 
     Grouped first, labelled after: one label per class, not one per entity.
     """
-    counts = missing(v1, v2).groupBy("INSTANCE_OF").agg(N.alias("N"))
+    counts = missing(v1, v2).groupBy("INSTANCE_OF").agg(n("N"))
     names = labels.groupBy(F.col(ID).alias("INSTANCE_OF")).agg(F.min("LABEL_EN").alias("LABEL"))
     return counts.join(names, "INSTANCE_OF", "left").orderBy(F.desc("N"), "INSTANCE_OF").limit(top)
 
 
 def class_used_flag(entities: DataFrame, facts: DataFrame) -> DataFrame:
     """Entities per class, and whether that class occurs as a P31 value."""
-    counts = entities.groupBy("INSTANCE_OF").agg(N.alias("N"))
+    counts = entities.groupBy("INSTANCE_OF").agg(n("N"))
     used = _ids(facts.filter(F.col("ID_PROPERTY") == "P31"), "ID_ITEM").distinct().select(F.col(ID).alias("INSTANCE_OF"), F.lit(True).alias("_u"))
     return counts.join(used, "INSTANCE_OF", "left").select("INSTANCE_OF", "N", F.coalesce("_u", F.lit(False)).alias("USED_AS_CLASS"))
 
@@ -82,14 +82,14 @@ def value_gap(v1: DataFrame, v2: DataFrame, old_facts: DataFrame, new_facts: Dat
     common = _ids(live(v1)).join(_ids(live(v2)), ID, "left_semi").distinct()
     keys = [ID, "ID_PROPERTY", "ID_ITEM"]
     lost = old_facts.select(*keys).join(common, ID, "left_semi").join(new_facts.select(*keys), keys, "left_anti")
-    return lost.groupBy("ID_ITEM").agg(N.alias("N")).orderBy(F.desc("N"), "ID_ITEM").limit(top)
+    return lost.groupBy("ID_ITEM").agg(n("N")).orderBy(F.desc("N"), "ID_ITEM").limit(top)
 
 
 def missing_by_bucket(v1: DataFrame, v2: DataFrame, bounds: Sequence[tuple[int, str]], rest: str) -> DataFrame:
     """Missing entities by presence and shape of an external id, and by id age."""
     return missing(v1, v2).groupBy(
         filled(F.col("ID_EXTERNAL")).alias("HAS_EXTERNAL"), external_id_shape(F.col("ID_EXTERNAL")).alias("SHAPE"), id_bucket(F.col(ID), bounds, rest).alias("AGE")
-    ).agg(N.alias("N"), F.min("ID_EXTERNAL").alias("EXAMPLE"))
+    ).agg(n("N"), F.min("ID_EXTERNAL").alias("EXAMPLE"))
 
 
 def schema_gap(old: Mapping[str, DataFrame], new: Mapping[str, DataFrame]) -> DataFrame:
@@ -112,7 +112,7 @@ def column_recoverable(v1: DataFrame, columns: Mapping[str, str], facts: DataFra
     mapping = F.array(*[F.struct(F.lit(c).alias("COLUMN_NAME"), F.lit(p).alias("ID_PROPERTY"), filled(F.col(c).cast("string")).alias("f")) for c, p in columns.items()])
     long = rows.select(ID, F.explode(mapping).alias("m")).filter("m.f").select(ID, "m.COLUMN_NAME", "m.ID_PROPERTY")
     have = facts.filter(F.col("ID_PROPERTY").isin(*set(columns.values()))).select(ID, "ID_PROPERTY").distinct().withColumn("_k", F.lit(1))
-    out = long.join(have, [ID, "ID_PROPERTY"], "left").groupBy("COLUMN_NAME", "ID_PROPERTY").agg(N.alias("FILLED"), F.count("_k").alias("RECOVERABLE"))
+    out = long.join(have, [ID, "ID_PROPERTY"], "left").groupBy("COLUMN_NAME", "ID_PROPERTY").agg(n("FILLED"), F.count("_k").alias("RECOVERABLE"))
     return out.withColumn("PCT", safe_pct(F.col("RECOVERABLE"), F.col("FILLED")))
 
 
@@ -123,7 +123,7 @@ def label_coverage(v1_texts: DataFrame, v2_labels: DataFrame, langs: Sequence[st
     """
     old = v1_texts.filter(F.col("LANG").isin(*langs) & filled(F.col("LABEL")))
     new = v2_labels.select(ID, F.explode("LABELS").alias("LANG", "_t")).filter(filled(F.col("_t")))
-    out = old.join(new, [ID, "LANG"], "left").groupBy("LANG").agg(N.alias("V1_FILLED"), F.count("_t").alias("ALSO_V2"))
+    out = old.join(new, [ID, "LANG"], "left").groupBy("LANG").agg(n("V1_FILLED"), F.count("_t").alias("ALSO_V2"))
     return out.withColumn("LOST", F.col("V1_FILLED") - F.col("ALSO_V2"))
 
 
@@ -131,7 +131,7 @@ def translation_real(texts: DataFrame, lang: str, fallback: str = "en") -> DataF
     """Texts of a language that only repeat the fallback language, and real translations."""
     a = texts.filter(F.col("LANG") == lang).select(ID, F.col("LABEL").alias("_a"))
     b = texts.filter(F.col("LANG") == fallback).select(ID, F.col("LABEL").alias("_b"))
-    return a.join(b, ID).agg(N.alias("PAIRS"), F.count_if(F.col("_a") == F.col("_b")).alias("FALLBACK"), F.count_if(F.col("_a") != F.col("_b")).alias("TRANSLATED"))
+    return a.join(b, ID).agg(n("PAIRS"), F.count_if(F.col("_a") == F.col("_b")).alias("FALLBACK"), F.count_if(F.col("_a") != F.col("_b")).alias("TRANSLATED"))
 
 
 def reverse_links(links: DataFrame, mirror: DataFrame) -> DataFrame:
@@ -141,7 +141,7 @@ def reverse_links(links: DataFrame, mirror: DataFrame) -> DataFrame:
     by_foreign = mirror.select("ID_FOREIGN").distinct().withColumn("_f", F.lit(1))
     rows = links.join(both, [ID, "ID_FOREIGN"], "left").join(by_id, ID, "left").join(by_foreign, "ID_FOREIGN", "left")
     return rows.agg(
-        N.alias("LINKS"), F.count("_both").alias("RECIPROCAL"),
+        n("LINKS"), F.count("_both").alias("RECIPROCAL"),
         F.count_if(F.col("_both").isNull() & (F.col("_id").isNotNull() | F.col("_f").isNotNull())).alias("OTHER_PARTNER"),
         F.count_if(F.col("_id").isNull() & F.col("_f").isNull()).alias("UNKNOWN"),
     )
@@ -157,7 +157,7 @@ def recovery_paths(links: DataFrame, by_property: DataFrame, by_reverse: DataFra
     b = by_reverse.select(ID, F.col("ID_FOREIGN").cast("string").alias("_f")).distinct().withColumn("_b", F.lit(1))
     rows = text.join(a, [ID, "_f"], "left").join(b, [ID, "_f"], "left")
     return rows.agg(
-        N.alias("LINKS"), F.count("_a").alias("PATH_A"), F.count("_b").alias("PATH_B"),
+        n("LINKS"), F.count("_a").alias("PATH_A"), F.count("_b").alias("PATH_B"),
         F.count_if(F.col("_a").isNotNull() | F.col("_b").isNotNull()).alias("EITHER_PATH"), F.count_if(F.col("_a").isNull() & F.col("_b").isNull()).alias("NO_PATH"),
     )
 
@@ -166,7 +166,7 @@ def image_coverage(v1: DataFrame, path: str, pages: DataFrame) -> DataFrame:
     """Old image paths covered by a page row of the same id."""
     known = _ids(pages).distinct().withColumn("_k", F.lit(1))
     rows = v1.filter(filled(F.col(path))).select(ID).join(known, ID, "left")
-    out = rows.agg(N.alias("WITH_IMAGE"), F.count("_k").alias("COVERED"))
+    out = rows.agg(n("WITH_IMAGE"), F.count("_k").alias("COVERED"))
     return out.withColumn("PCT", safe_pct(F.col("COVERED"), F.col("WITH_IMAGE")))
 
 
@@ -174,7 +174,7 @@ def silent_entities(entities: DataFrame, stmts: DataFrame) -> DataFrame:
     """Entities without any statement, per type."""
     speaking = _ids(stmts).distinct().withColumn("_k", F.lit(1))
     rows = live(entities).select(ID, "ENTITY_CLASS").join(speaking, ID, "left")
-    out = rows.groupBy("ENTITY_CLASS").agg(N.alias("ENTITIES"), F.count_if(F.col("_k").isNull()).alias("SILENT"))
+    out = rows.groupBy("ENTITY_CLASS").agg(n("ENTITIES"), F.count_if(F.col("_k").isNull()).alias("SILENT"))
     return out.withColumn("PCT_SILENT", safe_pct(F.col("SILENT"), F.col("ENTITIES")))
 
 
@@ -182,14 +182,14 @@ def silent_known(entities: DataFrame, stmts: DataFrame, old_triples: DataFrame)
     """Silent entities the old generation knew facts about."""
     silent = _ids(live(entities)).join(_ids(stmts), ID, "left_anti")
     known = _ids(old_triples).distinct().withColumn("_k", F.lit(1))
-    return silent.join(known, ID, "left").agg(N.alias("SILENT"), F.count("_k").alias("KNOWN_IN_V1"))
+    return silent.join(known, ID, "left").agg(n("SILENT"), F.count("_k").alias("KNOWN_IN_V1"))
 
 
 def reference_origin(items: DataFrame, stmts: DataFrame, quals: DataFrame) -> DataFrame:
     """Items as a main value, only as a qualifier value, or never referenced."""
     flagged = existence_flags(_ids(items), ID, {"_m": _ids(stmts, "ID_ITEM"), "_q": _ids(quals, "ID_ITEM")})
     return flagged.agg(
-        N.alias("ITEMS"), F.count_if(F.col("_m")).alias("AS_MAIN_VALUE"), F.count_if(~F.col("_m") & F.col("_q")).alias("QUALIFIER_ONLY"), F.count_if(~F.col("_m") & ~F.col("_q")).alias("NEVER")
+        n("ITEMS"), F.count_if(F.col("_m")).alias("AS_MAIN_VALUE"), F.count_if(~F.col("_m") & F.col("_q")).alias("QUALIFIER_ONLY"), F.count_if(~F.col("_m") & ~F.col("_q")).alias("NEVER")
     )
 
 
@@ -197,7 +197,7 @@ def carrier_properties(items: DataFrame, triples: DataFrame, top: int = 25) -> D
     """Properties through which the given items arrived."""
     wanted = items.select(F.col(ID).alias("ID_ITEM")).distinct()
     rows = triples.join(wanted, "ID_ITEM", "left_semi")
-    out = rows.groupBy("ID_PROPERTY").agg(F.count_distinct("ID_ITEM").alias("ITEMS"), N.alias("LINKS"))
+    out = rows.groupBy("ID_PROPERTY").agg(F.count_distinct("ID_ITEM").alias("ITEMS"), n("LINKS"))
     return out.orderBy(F.desc("ITEMS"), "ID_PROPERTY").limit(top)
 
 
@@ -206,7 +206,7 @@ def subject_presence(lost_triples: DataFrame, entities: DataFrame) -> DataFrame:
     known = entities.groupBy(ID).agg(F.min("ENTITY_CLASS").alias("_t"))
     rows = lost_triples.join(known, ID, "left")
     return rows.groupBy("ID_PROPERTY").agg(
-        N.alias("LINKS"), F.count("_t").alias("SUBJECT_PRESENT"), F.count_if(F.col("_t").isNull()).alias("SUBJECT_ABSENT"), F.count_distinct(ID).alias("SUBJECTS")
+        n("LINKS"), F.count("_t").alias("SUBJECT_PRESENT"), F.count_if(F.col("_t").isNull()).alias("SUBJECT_ABSENT"), F.count_distinct(ID).alias("SUBJECTS")
     )
 
 
@@ -220,7 +220,7 @@ def start_set_coverage(old: DataFrame, new: DataFrame) -> DataFrame:
     keys = [ID, "ID_PROPERTY", "ID_ITEM"]
     seen = new.select(*keys).distinct().withColumn("_k", F.lit(1))
     rows = old.select(*keys).join(seen, keys, "left").groupBy("ID_PROPERTY", "ID_ITEM").agg(F.max("_k").alias("_k"))
-    out = rows.groupBy("ID_PROPERTY").agg(N.alias("V1_ITEMS"), F.count("_k").alias("COVERED"))
+    out = rows.groupBy("ID_PROPERTY").agg(n("V1_ITEMS"), F.count("_k").alias("COVERED"))
     return out.withColumn("PCT", safe_pct(F.col("COVERED"), F.col("V1_ITEMS")))
 
 
@@ -230,7 +230,7 @@ def qualifier_presence(stmts: DataFrame, quals: DataFrame, pairs: Sequence[tuple
     asked = stmts.select("ID_STATEMENT", "ID_PROPERTY", F.explode(F.filter(wanted, lambda x: x["p"] == F.col("ID_PROPERTY"))).alias("w"))
     asked = asked.select("ID_STATEMENT", "ID_PROPERTY", F.col("w.q").alias("ID_QUALIFIER_PROPERTY"))
     have = quals.select("ID_STATEMENT", "ID_QUALIFIER_PROPERTY").distinct().withColumn("_k", F.lit(1))
-    out = asked.join(have, ["ID_STATEMENT", "ID_QUALIFIER_PROPERTY"], "left").groupBy("ID_PROPERTY", "ID_QUALIFIER_PROPERTY").agg(N.alias("STATEMENTS"), F.count("_k").alias("WITH_QUALIFIER"))
+    out = asked.join(have, ["ID_STATEMENT", "ID_QUALIFIER_PROPERTY"], "left").groupBy("ID_PROPERTY", "ID_QUALIFIER_PROPERTY").agg(n("STATEMENTS"), F.count("_k").alias("WITH_QUALIFIER"))
     return out.withColumn("PCT", safe_pct(F.col("WITH_QUALIFIER"), F.col("STATEMENTS")))
 
 
@@ -238,7 +238,7 @@ def qualifier_only_items(quals: DataFrame, stmts: DataFrame, entities: DataFrame
     """Items known only as qualifier values, and how many are in no entity table."""
     side = _ids(quals, "ID_ITEM").distinct().join(_ids(stmts, "ID_ITEM"), ID, "left_anti")
     known = _ids(entities).distinct().withColumn("_k", F.lit(1))
-    return side.join(known, ID, "left").agg(N.alias("QUALIFIER_ONLY"), F.count_if(F.col("_k").isNull()).alias("IN_NO_TABLE"))
+    return side.join(known, ID, "left").agg(n("QUALIFIER_ONLY"), F.count_if(F.col("_k").isNull()).alias("IN_NO_TABLE"))
 
 
 def locate(entities: DataFrame, qid: str) -> DataFrame:
@@ -247,7 +247,7 @@ def locate(entities: DataFrame, qid: str) -> DataFrame:
 
 
 def qualifier_volume(quals: DataFrame, top: int = 25) -> DataFrame:
-    counts = quals.groupBy("ID_QUALIFIER_PROPERTY").agg(N.alias("N"), F.count_distinct("ID_STATEMENT").alias("STATEMENTS"))
+    counts = quals.groupBy("ID_QUALIFIER_PROPERTY").agg(n("N"), F.count_distinct("ID_STATEMENT").alias("STATEMENTS"))
     return counts.orderBy(F.desc("N"), "ID_QUALIFIER_PROPERTY").limit(top)
 
 
@@ -255,7 +255,7 @@ def qualifier_carriers(stmts: DataFrame, quals: DataFrame, qualifier: str, top:
     """Properties whose statements carry a qualifier."""
     with_it = quals.filter(F.col("ID_QUALIFIER_PROPERTY") == qualifier).select("ID_STATEMENT")
     rows = stmts.select("ID_STATEMENT", "ID_PROPERTY").join(with_it, "ID_STATEMENT", "left_semi")
-    return rows.groupBy("ID_PROPERTY").agg(N.alias("N")).orderBy(F.desc("N"), "ID_PROPERTY").limit(top)
+    return rows.groupBy("ID_PROPERTY").agg(n("N")).orderBy(F.desc("N"), "ID_PROPERTY").limit(top)
 
 
 def witness(stmts: DataFrame, quals: DataFrame, subject: str) -> DataFrame:
@@ -267,7 +267,7 @@ def witness(stmts: DataFrame, quals: DataFrame, subject: str) -> DataFrame:
 
 def property_profile(stmts: DataFrame, allowed: Sequence[str], top: int = 25) -> DataFrame:
     """Statements and subjects per property, and whether it is in the allowed set."""
-    out = stmts.groupBy("ID_PROPERTY").agg(N.alias("STATEMENTS"), F.count_distinct(ID).alias("SUBJECTS"))
+    out = stmts.groupBy("ID_PROPERTY").agg(n("STATEMENTS"), F.count_distinct(ID).alias("SUBJECTS"))
     return out.withColumn("ALLOWED", F.col("ID_PROPERTY").isin(*allowed)).orderBy(F.desc("STATEMENTS"), "ID_PROPERTY").limit(top)
 
 
@@ -278,25 +278,25 @@ def type_landing(parents: DataFrame, children: DataFrame, kinds: Sequence[str])
     """
     flags = children.groupBy("ID_STATEMENT").agg(*[F.max(F.when(F.col("CHILD_TABLE") == k, 1).otherwise(0)).alias(f"_{k}") for k in kinds])
     rows = parents.select("ID_STATEMENT", "VALUE_TYPE").join(flags, "ID_STATEMENT", "left")
-    return rows.groupBy("VALUE_TYPE").agg(N.alias("STATEMENTS"), *[F.coalesce(F.sum(f"_{k}"), F.lit(0)).alias(f"IN_{k.upper()}") for k in kinds])
+    return rows.groupBy("VALUE_TYPE").agg(n("STATEMENTS"), *[F.coalesce(F.sum(f"_{k}"), F.lit(0)).alias(f"IN_{k.upper()}") for k in kinds])
 
 
 def freshness(df: DataFrame, ts: str, since: Column) -> DataFrame:
     """Rows written since a moment, and the last write."""
-    return df.agg(N.alias("ROWS"), F.count_if(F.col(ts) >= since).alias("SINCE"), F.date_format(F.max(ts), "yyyy-MM-dd HH:mm:ss").alias("LAST_WRITE"))
+    return df.agg(n("ROWS"), F.count_if(F.col(ts) >= since).alias("SINCE"), F.date_format(F.max(ts), "yyyy-MM-dd HH:mm:ss").alias("LAST_WRITE"))
 
 
 def class_membership(facts: DataFrame, entities: DataFrame, table: str) -> DataFrame:
     """Per class: entities carrying it as P31, and those of them in a table."""
     held = _ids(entities.filter(F.col("ENTITY_CLASS") == table)).distinct().withColumn("_k", F.lit(1))
     rows = facts.filter(F.col("ID_PROPERTY") == "P31").select(ID, F.col("ID_ITEM").alias("CLASS_ID")).distinct().join(held, ID, "left")
-    return rows.groupBy("CLASS_ID").agg(N.alias("MEMBERS"), F.count("_k").alias("IN_TABLE"))
+    return rows.groupBy("CLASS_ID").agg(n("MEMBERS"), F.count("_k").alias("IN_TABLE"))
 
 
 def occupation_probe(missing_ids: DataFrame, facts: DataFrame, prop: str) -> DataFrame:
     """Missing ids with and without a property."""
     have = facts.filter(F.col("ID_PROPERTY") == prop).select(ID).distinct().withColumn("_k", F.lit(1))
-    return _ids(missing_ids).distinct().join(have, ID, "left").agg(N.alias("MISSING"), F.count("_k").alias("WITH_PROPERTY"), F.count_if(F.col("_k").isNull()).alias("WITHOUT"))
+    return _ids(missing_ids).distinct().join(have, ID, "left").agg(n("MISSING"), F.count("_k").alias("WITH_PROPERTY"), F.count_if(F.col("_k").isNull()).alias("WITHOUT"))
 
 
 def top_values(missing_ids: DataFrame, facts: DataFrame, prop: str, top: int = 20) -> DataFrame:
@@ -307,8 +307,8 @@ def top_values(missing_ids: DataFrame, facts: DataFrame, prop: str, top: int = 2
 
 def batch_progress(staging: DataFrame, target: DataFrame, batch: str) -> DataFrame:
     """Staged rows by status and loaded rows by value type, for one batch."""
-    a = staging.filter(F.col("IMPORT_BATCH_ID") == batch).groupBy(F.concat(F.lit("staging "), F.col("ROW_STATUS")).alias("STEP")).agg(N.alias("N"))
-    b = target.filter(F.col("IMPORT_BATCH_ID") == batch).groupBy(F.concat(F.lit("target "), F.col("VALUE_TYPE")).alias("STEP")).agg(N.alias("N"))
+    a = staging.filter(F.col("IMPORT_BATCH_ID") == batch).groupBy(F.concat(F.lit("staging "), F.col("ROW_STATUS")).alias("STEP")).agg(n("N"))
+    b = target.filter(F.col("IMPORT_BATCH_ID") == batch).groupBy(F.concat(F.lit("target "), F.col("VALUE_TYPE")).alias("STEP")).agg(n("N"))
     return a.union(b)
 
 
@@ -318,14 +318,14 @@ def batch_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
     for name, df in tables.items():
         part = df.select(F.lit(name).alias("TABLE_NAME"), "IMPORT_BATCH_ID")
         out = part if out is None else out.union(part)
-    return out.groupBy("TABLE_NAME", "IMPORT_BATCH_ID").agg(N.alias("N"))
+    return out.groupBy("TABLE_NAME", "IMPORT_BATCH_ID").agg(n("N"))
 
 
 def award_rows_by_class(stmts: DataFrame, facts: DataFrame, prop: str) -> DataFrame:
     """Award rows whose value has a class, counted per class."""
     won = stmts.filter((F.col("ID_PROPERTY") == prop) & F.col("ID_ITEM").isNotNull()).select("ID_STATEMENT", "ID_ITEM")
     cls = facts.filter(F.col("ID_PROPERTY") == "P31").select(F.col(ID).alias("ID_ITEM"), F.col("ID_ITEM").alias("CLASS_ID")).distinct()
-    return won.join(cls, "ID_ITEM").groupBy("CLASS_ID").agg(N.alias("AWARD_ROWS"), F.count_distinct("ID_ITEM").alias("AWARDS"))
+    return won.join(cls, "ID_ITEM").groupBy("CLASS_ID").agg(n("AWARD_ROWS"), F.count_distinct("ID_ITEM").alias("AWARDS"))
 
 
 def run_status(ledger: DataFrame, prefix: str) -> DataFrame:
@@ -342,7 +342,7 @@ def probe_coverage(old: DataFrame, new: DataFrame, entities: DataFrame, prop: st
     """Subjects of a property before: present as an entity now, and still carrying it."""
     subjects = _ids(old.filter(F.col("ID_PROPERTY") == prop)).distinct()
     flagged = existence_flags(subjects, ID, {"_e": _ids(entities), "_p": _ids(new.filter(F.col("ID_PROPERTY") == prop))})
-    return flagged.agg(N.alias("V1_SUBJECTS"), F.count_if(F.col("_e")).alias("PRESENT"), F.count_if(F.col("_p")).alias("CARRYING"), F.count_if(~F.col("_e")).alias("ABSENT"))
+    return flagged.agg(n("V1_SUBJECTS"), F.count_if(F.col("_e")).alias("PRESENT"), F.count_if(F.col("_p")).alias("CARRYING"), F.count_if(~F.col("_e")).alias("ABSENT"))
 
 
 def missing_root_kind(missing_ids: DataFrame, memberships: DataFrame, roots: Sequence[str], pool: DataFrame) -> DataFrame:
@@ -352,7 +352,7 @@ def missing_root_kind(missing_ids: DataFrame, memberships: DataFrame, roots: Seq
     rows = memberships.join(_ids(missing_ids).distinct(), ID, "left_semi").join(inside, "CLASS_ID", "left")
     best = rows.groupBy(ID).agg(F.min(rank).alias("_r"))
     kind = F.when(F.col("_r") == 0, "bare root").when(F.col("_r") == 1, "subclass").otherwise("outside")
-    return best.groupBy(kind.alias("CLASS_KIND")).agg(N.alias("N"))
+    return best.groupBy(kind.alias("CLASS_KIND")).agg(n("N"))
 
 
 def live_statements(stmts: DataFrame) -> DataFrame:
