@@ -129,7 +129,7 @@ def existence_flags(d):
 
 @query(
     "scalar_lookup_after_group",
-    """SELECT o_orderpriority, n(), (SELECT c_name FROM customer WHERE c_custkey=K) AS EXAMPLE FROM (SELECT o_orderpriority, count(*) AS n(), min(o_custkey) AS K FROM orders GROUP BY 1)""",
+    """SELECT o_orderpriority, n(), (SELECT c_name FROM customer WHERE c_custkey=K) AS EXAMPLE FROM (SELECT o_orderpriority, count(*) AS N, min(o_custkey) AS K FROM orders GROUP BY 1)""",
 )
 def scalar_lookup_after_group(d):
     groups = d.orders.groupBy("o_orderpriority").agg(n(), F.min("o_custkey").alias("c_custkey"))
