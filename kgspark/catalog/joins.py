@@ -69,10 +69,8 @@ def semi_join(d):
 @query(
     "semi_join_any_table",
     """SELECT ID_WIKIDATA, N FROM (SELECT ID_ITEM AS ID_WIKIDATA, count(*) AS N FROM kg_qualifier WHERE ID_ITEM IS NOT NULL GROUP BY 1) WHERE
-       EXISTS (SELECT 1 FROM kg_entity m WHERE m.ID_WIKIDATA=ID_WIKIDATA AND m.ENTITY_CLASS='MOVIE') AND (ID_WIKIDATA IN (SELECT ID_WIKIDATA FROM kg_entity WHERE ENTITY_CLASS='SERIE')
-        OR ID_WIKIDATA IN (SELECT ID_WIKIDATA FROM kg_entity WHERE ENTITY_CLASS='PERSON'))""".replace(
-        "EXISTS (SELECT 1 FROM kg_entity m WHERE m.ID_WIKIDATA=ID_WIKIDATA AND m.ENTITY_CLASS='MOVIE') AND ", ""
-    ),
+       (ID_WIKIDATA IN (SELECT ID_WIKIDATA FROM kg_entity WHERE ENTITY_CLASS='SERIE')
+        OR ID_WIKIDATA IN (SELECT ID_WIKIDATA FROM kg_entity WHERE ENTITY_CLASS='PERSON'))""",
 )
 def semi_join_any_table(d):
     used = d.kg_qualifier.filter(F.col("ID_ITEM").isNotNull()).groupBy(F.col("ID_ITEM").alias("ID_WIKIDATA")).agg(n())
@@ -129,7 +127,7 @@ def existence_flags(d):
 
 @query(
     "scalar_lookup_after_group",
-    """SELECT o_orderpriority, n(), (SELECT c_name FROM customer WHERE c_custkey=K) AS EXAMPLE FROM (SELECT o_orderpriority, count(*) AS N, min(o_custkey) AS K FROM orders GROUP BY 1)""",
+    """SELECT o_orderpriority, N, (SELECT c_name FROM customer WHERE c_custkey=K) AS EXAMPLE FROM (SELECT o_orderpriority, count(*) AS N, min(o_custkey) AS K FROM orders GROUP BY 1)""",
 )
 def scalar_lookup_after_group(d):
     groups = d.orders.groupBy("o_orderpriority").agg(n(), F.min("o_custkey").alias("c_custkey"))
@@ -201,9 +199,7 @@ def collation_match(d):
 
 @query(
     "best_of_group",
-    """SELECT o_custkey, arg_min(o_orderpriority, (-o_totalprice, o_orderkey)) AS o_orderpriority FROM orders GROUP BY 1""".replace(
-        "arg_min(o_orderpriority, (-o_totalprice, o_orderkey))", "first(o_orderpriority ORDER BY o_totalprice DESC, o_orderkey)"
-    ),
+    """SELECT o_custkey, first(o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS o_orderpriority FROM orders GROUP BY 1""",
 )
 def best_of_group(d):
     return joins.best_of(d.orders, "o_custkey", "o_orderpriority", "o_totalprice", "o_orderkey")

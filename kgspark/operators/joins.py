@@ -36,14 +36,13 @@ def missing_from_all(df: DataFrame, key: str, *tables: DataFrame) -> DataFrame:
 def not_in(df: DataFrame, key: str, listed: DataFrame) -> DataFrame:
     """SQL ``NOT IN``: one NULL on the right empties the result, a NULL key never passes.
 
-    An anti join plus one flag row that tells whether the list holds a NULL; the flag
-    is joined on a constant key, so nothing is paired with anything else.
+    An anti join, and an uncorrelated EXISTS for the NULL rule: it is answered once,
+    before the join, and pairs nothing with anything.
     """
-    column = listed.columns[0]
-    values = listed.select(F.col(column).alias(key))
-    has_null = values.filter(F.col(key).isNull()).limit(1).select(F.lit(1).alias("_one"))
-    passed = df.filter(F.col(key).isNotNull()).join(values.filter(F.col(key).isNotNull()), key, "left_anti")
-    return passed.withColumn("_one", F.lit(1)).join(has_null, "_one", "left_anti").drop("_one")
+    values = listed.select(F.col(listed.columns[0]).alias(key))
+    has_null = values.filter(F.col(key).isNull())
+    rows = df.filter(F.col(key).isNotNull() & ~has_null.exists())
+    return rows.join(values.filter(F.col(key).isNotNull()), key, "left_anti")
 
 
 def existence_flags(df: DataFrame, key: str, tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -48,6 +48,16 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     its true size, so a broadcast is only chosen for what is known to be small.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/kgspark/{name}-{uuid.uuid4().hex}"
+    path = f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/kgspark/{spark.sparkContext.applicationId}"
+
+
+def drop_cuts(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables once its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

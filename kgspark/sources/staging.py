@@ -79,12 +79,7 @@ def read_staging_jsonl(spark: SparkSession, root: str, spec: StagingSpec, schema
             return None
         raise
     located = rows.select("*", F.col("_metadata.file_path").alias("_file"))
-    return as_staging(located.drop("_file"), batch, F.lit(path)) if not rows.columns else _located(located, batch)
-
-
-def _located(located: DataFrame, batch: str) -> DataFrame:
-    staged = as_staging(located, batch, F.col("_file"))
-    return staged.drop("_file")
+    return as_staging(located, batch, F.col("_file")).drop("_file")
 
 
 def read_staging_table(spark: SparkSession, root: str, table: str, schema: T.StructType, batch: str) -> DataFrame:

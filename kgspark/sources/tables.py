@@ -80,16 +80,16 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 def snapshot_changed(df: DataFrame, ledger: DataFrame, name: str) -> DataFrame:
     """Is this snapshot new? Compares its fingerprint with the last one in the ledger."""
-    last = (
-        ledger.filter(F.col("NAME") == name)
-        .agg(F.max_by("CONTENT", "RUN_NO").alias("OLD_CONTENT"), F.max_by("ROWS", "RUN_NO").alias("OLD_ROWS"))
-        .withColumn("NAME", F.lit(name))
+    old = ledger.filter(F.col("NAME") == name).agg(
+        F.max_by("ROWS", "RUN_NO").alias("ROWS"), F.max_by("CONTENT", "RUN_NO").alias("CONTENT")
     )
-    new = fingerprint(df).withColumn("NAME", F.lit(name))
-    same = (F.col("CONTENT") == F.col("OLD_CONTENT")) & (F.col("ROWS") == F.col("OLD_ROWS"))
-    return new.join(last, "NAME").select(
-        "NAME", "ROWS", "OLD_ROWS", (~F.coalesce(same, F.lit(False))).alias("CHANGED")
+    both = fingerprint(df).withColumn("_new", F.lit(1)).unionByName(old.withColumn("_new", F.lit(0)))
+    pick = lambda c, side: F.max(F.when(F.col("_new") == side, F.col(c)))
+    sides = both.agg(
+        pick("ROWS", 1).alias("ROWS"), pick("ROWS", 0).alias("OLD_ROWS"), pick("CONTENT", 1).alias("_a"), pick("CONTENT", 0).alias("_b")
     )
+    same = (F.col("_a") == F.col("_b")) & (F.col("ROWS") == F.col("OLD_ROWS"))
+    return sides.select(F.lit(name).alias("NAME"), "ROWS", "OLD_ROWS", (~F.coalesce(same, F.lit(False))).alias("CHANGED"))
 
 
 def register_tables(spark: SparkSession, folder: str, names: Sequence[str]) -> None:
