@@ -50,14 +50,15 @@ def top_level_id(line: Column) -> Column:
 def idgate(lines: DataFrame, ids: DataFrame) -> DataFrame:
     """Keep lines worth parsing: wanted items, all properties, unreadable starts.
 
-    ``ids`` has one column of wanted ids. The gate is one semi join on a key cut out
-    of the raw text; Spark broadcasts the id side only when its size allows.
+    ``ids`` has one column of wanted ids. One pass over the dump: the key is cut out of
+    the raw text once, and a left join on it flags the wanted lines. Lines that are not
+    gated have no key, so they pass without meeting the id side.
     """
-    wanted = ids.select(F.col(ids.columns[0]).alias("_id")).distinct()
-    keyed = lines.withColumn("_id", top_level_id("value"))
-    gated = F.coalesce(F.col("_id").startswith("Q"), F.lit(False))
-    kept = keyed.filter(gated).join(wanted, "_id", "left_semi")
-    return kept.select("value").union(keyed.filter(~gated).select("value"))
+    wanted = ids.select(F.col(ids.columns[0]).alias("_id"), F.lit(True).alias("_wanted")).distinct()
+    item_id = F.when(F.col("_top").startswith("Q"), F.col("_top"))
+    keyed = once(lines.select("value"), _top=top_level_id(F.col("value"))).withColumn("_id", item_id)
+    flagged = keyed.join(wanted, "_id", "left")
+    return flagged.filter(F.col("_id").isNull() | F.col("_wanted")).select("value")
 
 
 def parse_entities(lines: DataFrame, fields: Sequence[str] = tuple(ENTITY_FIELDS)) -> tuple[DataFrame, DataFrame]:
