@@ -156,7 +156,8 @@ def statement_values_display(d):
 
 @query(
     "qualifiers_grouped",
-    """SELECT ID_STATEMENT, ID_QUALIFIER_PROPERTY, (DISPLAY_ORDER-1)//500 AS PAGE, list(VALUE_TEXT ORDER BY DISPLAY_ORDER) AS "VALUES" FROM kg_qualifier GROUP BY 1,2,3""",
+    """SELECT ID_STATEMENT, ID_QUALIFIER_PROPERTY, (DISPLAY_ORDER-1)//500 AS PAGE, string_agg(VALUE_TEXT, '|' ORDER BY DISPLAY_ORDER) AS VALUE_LIST FROM kg_qualifier GROUP BY 1,2,3""",
 )
 def qualifiers_grouped(d):
-    return claims.qualifiers_grouped(d.kg_qualifier)
+    pages = claims.qualifiers_grouped(d.kg_qualifier)
+    return pages.withColumn("VALUE_LIST", F.array_join("VALUES", "|")).drop("VALUES")
