@@ -1,17 +1,23 @@
-"""From raw documents to packed sequences: each stage is one operator of kgspark.llm, written and read again."""
+"""From raw documents to packed sequences: each stage is one operator of kgspark.llm, written and read again.
+
+Stages take every row that the stage before kept. Rows with null ids or texts, empty and repeated rows go through: the
+classifier scores the empty text, of equal texts one row stays, and a document without an id stays unless it copies one.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kgspark.llm import exact, quality
+from kgspark.llm import exact, neardup, packing, quality, secrets
 from kgspark.llm.common import cut, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop what the quality classifier rejects."""
+    """Drop what the quality classifier rejects; clean documents stay."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels")).select(*COLUMNS)
 
 
@@ -20,7 +26,30 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return exact.drop_exact(docs).select(*COLUMNS)
 
 
-STAGES = [("quality classifier", good_quality), ("exact dedup", without_copies)]
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays; documents without shingles have no group."""
+    found = neardup.near_classes(docs.select("doc_id", "text"))
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti").select(*COLUMNS)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; its secrets are masked and its length is told anew."""
+    masked = secrets.masked(docs)
+    return masked.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences, as the packing operator returns them."""
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality classifier", good_quality), ("exact dedup", without_copies), ("near dedup", without_near_copies),
+    ("secret scans", without_secrets), ("packing", packed),
+]
+
+#: SQL can express neither the classifier nor the sketches; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

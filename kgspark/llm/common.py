@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kgspark.session import cut
 
-__all__ = ["cut", "table", "text_or_empty", "keyed_text", "map_rows"]
+__all__ = ["cut", "table", "text_or_empty", "keyed_text", "map_rows", "ship"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +29,14 @@ def keyed_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers on this machine find the library where the driver found it; a cluster gets it by --py-files."""
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [x for x in known.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def map_rows(df: DataFrame, rows: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str) -> DataFrame:
     """Apply ``rows()`` to Arrow batches as lists of Python values by column.
 
@@ -46,4 +56,5 @@ def map_rows(df: DataFrame, rows: Callable[[], Callable[[dict[str, list]], dict[
                 out = apply({name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)})
                 yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in ((out[f.name], f) for f in arrow)], schema=arrow)
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)

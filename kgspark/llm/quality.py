@@ -11,10 +11,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kgspark.llm.common import cut, text_or_empty
+from kgspark.llm.common import cut, ship, text_or_empty
 
 #: Byte classes counted for every text: marks that prose rarely has, table bars, sentence marks, digits, capitals, letters.
 CLASSES = {
@@ -55,6 +55,7 @@ def statistics(text: str) -> list[float]:
 
 def features(text: Column) -> Column:
     """The statistics as array<double>, by Arrow batches."""
+    ship(SparkSession.active())
 
     @F.udf("array<double>", useArrow=True)
     def one(value):
@@ -110,6 +111,8 @@ def fit(labelled: DataFrame, features_col: str = "features", label_col: str = "l
 
 
 def score(features_col: Column, model: Discriminant) -> Column:
+    ship(SparkSession.active())
+
     @F.pandas_udf("double")
     def batch(x):
         import pandas as pd

@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kgspark.llm import exact, pieces, quality, tokens
+from kgspark.llm import exact, mtree, neardup, packing, pieces, pii, quality, secrets, tokens, warc
 from kgspark.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
+WORDS = "word_bpe_49k.json"
 TOKEN_LIMIT = 4096
 
 
@@ -21,10 +22,35 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), F.col("cuts")[0].cast("long").alias("cut_chars"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_classes(table(spark, sf_dir, "documents"))
+
+
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest inner products of every fiftieth id against all rows."""
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest_columns(pii.with_spans(table(spark, sf_dir, "documents")))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to archives and read back."""
+    folder = warc.scratch_archives(spark)
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    records = warc.read_archives(spark, folder, with_payload=False).filter("reason is null")
+    return records.select(warc.page_id("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_id("refers_to").alias("refers_to"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -34,11 +60,35 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest_columns(secrets.with_spans(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op4_quality, op8_exact_dedup, op9_pieces)
+    f.__name__: f
+    for f in (
+        op1_token_counts, op2_near_duplicates, op3_top_k, op4_quality, op5_pii, op6_warc, op7_packing, op8_exact_dedup, op9_pieces, op10_secrets,
+    )
 }
 
 SQL: dict[str, str] = {
+    "op3_top_k": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op6_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+        d AS (SELECT page_id, strlen(html) AS payload_bytes, h, min(page_id) OVER (PARTITION BY h) AS first,
+          list_transform(generate_series(0, 39), lambda i: instr('0123456789abcdef', substr(h, CAST(i + 1 AS BIGINT), 1)) - 1) AS n FROM p),
+        b AS (SELECT *, list_reduce(list_transform(generate_series(0, 31), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+          ((n[1 + (5 * i) // 4] * 16 + coalesce(n[2 + (5 * i) // 4], 0)) // CAST(pow(2, 3 - (5 * i) % 4) AS BIGINT)) % 32 AS BIGINT), 1)), lambda x, y: x || y) AS digest FROM d)
+        SELECT page_id, payload_bytes, digest AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+          CASE WHEN page_id <> first THEN first END AS refers_to FROM b""",
     "op8_exact_dedup": r"""
         WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h FROM documents),
         w AS (SELECT *, first_value(doc_id) OVER (PARTITION BY h ORDER BY n DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size FROM t)
