@@ -56,40 +56,42 @@ def frequent(df: DataFrame, column: str, slots: int) -> DataFrame:
     return part.groupBy("value").agg(F.sum("n").alias("n")).filter("n > 0").orderBy(F.desc("n"), "value").limit(slots)
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = 256, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Which row stays of each group of equal texts.
-
-    Texts are equal when they are identical without white space (blank and U+0009 to U+000D); null counts as empty.
-    Of equal texts the one with the most code points stays, then the smallest id (nulls last), then the row read first.
-    Returns a row per input row: the id, ``keep_id``, ``group_size`` (rows), ``kept`` (one row a group), ``text_sha256``
-    and the columns in ``carry``. Repeated rows count each and one of them stays; other columns are ignored.
-    """
+def _grouped(docs: DataFrame, id_col: str, text_col: str, slots: int, carry: bool) -> DataFrame:
+    """``__row``, ``__id``, ``__digest``, ``__carry`` (the whole row, if asked for) and, of its group, ``__first`` and ``__size``."""
     text = text_or_empty(text_col)
     rows = cut(
         docs.select(
             F.monotonically_increasing_id().alias("__row"), F.col(id_col).cast("long").alias("__id"),
             F.length(text).cast("long").alias("__n"), digest(text).alias("__digest"),
-            F.struct(*carry).alias("__carry") if carry else F.lit(None).cast("boolean").alias("__carry"),
+            (F.struct(*docs.columns) if carry else F.lit(None).cast("boolean")).alias("__carry"),
         ), "digests",
     )
     first = F.struct((-F.col("__n")).alias("n"), F.col("__id").isNull().alias("no_id"), F.col("__id").alias("id"), F.col("__row").alias("row"))
-    named = frequent(rows, "__digest", slots).select(F.col("value").alias("__digest"))
+    named = frequent(rows, "__digest", slots).select(F.col("value").alias("__digest"))  # at most ``slots`` rows
     winners = cut(
         rows.join(F.broadcast(named), "__digest", "left_semi").groupBy("__digest").agg(F.min(first).alias("__first"), F.count("*").alias("__size")),
         "winners",
     )  # at most ``slots`` rows
-    marked = rows.join(F.broadcast(winners), "__digest", "left")
-    settled = marked.filter("__first is not null")
+    settled = rows.join(F.broadcast(winners), "__digest")
     group = Window.partitionBy("__digest")
     rest = rows.join(F.broadcast(winners), "__digest", "left_anti").select("*", F.min(first).over(group).alias("__first"), F.count("*").over(group).alias("__size"))
-    return settled.unionByName(rest).select(
+    return settled.unionByName(rest)
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = 256) -> DataFrame:
+    """Which row stays of each group of equal texts.
+
+    Texts are equal when they are identical without white space (blank and U+0009 to U+000D); null counts as empty.
+    Of equal texts the one with the most code points stays, then the smallest id (nulls last), then the row read first.
+    Returns a row per input row: the id, ``keep_id``, ``group_size`` (rows), ``kept`` (one row a group) and ``text_sha256``.
+    Repeated rows count each and one of them stays; an empty table gives none; other columns are ignored.
+    """
+    return _grouped(docs, id_col, text_col, slots, carry=False).select(
         F.col("__id").alias(id_col), F.col("__first.id").alias("keep_id"), F.col("__size").alias("group_size"),
         (F.col("__row") == F.col("__first.row")).alias("kept"), F.col("__digest").alias("text_sha256"),
-        *[F.col(f"__carry.`{c}`").alias(c) for c in carry if c != id_col],
     )
 
 
-def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; see ``exact_groups``."""
-    found = exact_groups(docs, id_col, text_col, carry=tuple(docs.columns))
-    return found.filter("kept").select(*docs.columns)
+def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = 256) -> DataFrame:
+    """The rows that stay, with all their columns, whatever their names; see ``exact_groups``."""
+    return _grouped(docs, id_col, text_col, slots, carry=True).filter(F.col("__row") == F.col("__first.row")).select("__carry.*")

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kgspark.llm.common import cut, keyed_text
+from kgspark.llm.common import cut, keyed_text, text_or_empty
 from kgspark.llm.spans import listed, located
 
 
@@ -163,20 +163,14 @@ def candidates(index: DataFrame, queries: dict[int, Query]) -> DataFrame:
     return present.select("id", passed.alias("rules")).filter(F.size("rules") > 0)
 
 
-def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Spans of all rules in whole texts: a row per input row with the id, the columns in ``carry`` and ``spans``, an
-    array by rule of arrays of spans.
-
-    A rule's matches are leftmost and non-overlapping; those that its length limit fails are dropped and not retried.
-    Null texts are empty. Rows without an id are not in the index and are searched with every rule; repeated ids share
-    their postings. Other columns are ignored, whatever their names.
-    """
+def _searched(docs: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col: str, carry: bool) -> DataFrame:
+    """``id``, ``text``, ``carry`` (the whole row, if asked for) and ``spans``, a struct of arrays by kind."""
     queries = {k: q for k, rule in enumerate(rules) if (q := trigram_query(rule.pattern)) is not None}
     wanted = sorted(set().union(*map(names, queries.values()))) if queries else []
-    keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *([F.struct(*carry).alias("kept")] if carry else []))
+    whole = F.struct(*docs.columns) if carry else F.lit(None).cast("boolean")
+    keyed = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"), whole.alias("carry"))
     if wanted:
-        found = candidates(postings(keyed_text(docs, id_col, text_col), wanted), queries)
-        keyed = keyed.join(found, "id", "left")
+        keyed = keyed.join(candidates(postings(keyed_text(docs, id_col, text_col), wanted), queries), "id", "left")
     else:
         keyed = keyed.withColumn("rules", F.lit(None).cast("array<int>"))
 
@@ -184,14 +178,23 @@ def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED, id_col:
         given = None
         if k in queries:
             given = F.col("id").isNull() | F.coalesce(F.array_contains("rules", k), F.lit(False))
-        elif rule.least > 1 and rule.group == 0:
-            given = F.col("text").rlike(rule.pattern.removesuffix("+") + f"{{{rule.least},}}") if rule.pattern.endswith("]+") else None
+        elif rule.least > 1 and rule.group == 0 and re.fullmatch(r"\[[^\]]+\]\+", rule.pattern):
+            given = F.col("text").rlike(f"{rule.pattern[:-1]}{{{rule.least},}}")  # a run: its length can be asked for
         found = located(F.col("text"), rule.pattern, rule.group or None, given=given)
         kept = F.filter(found, lambda s: F.length(s["group" if rule.group else "value"]) >= rule.least) if rule.least > 1 else found
         return kept.alias(rule.kind)
 
-    every = F.struct(*[spans(k, r) for k, r in enumerate(rules)])
-    return keyed.select(F.col("id").alias(id_col), *[F.col(f"kept.`{c}`").alias(c) for c in carry if c != id_col], every.alias("spans"))
+    return keyed.select("id", "text", "carry", F.struct(*[spans(k, r) for k, r in enumerate(rules)]).alias("spans"))
+
+
+def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Spans of all rules in whole texts: a row per input row with the id and ``spans``, a struct with an array for each kind.
+
+    A rule's matches are leftmost and non-overlapping; those that its length limit fails are dropped and not retried.
+    Null texts are empty. Rows without an id are not in the index and are searched with every rule; repeated ids share
+    their postings. Other columns are ignored, whatever their names.
+    """
+    return _searched(docs, rules, id_col, text_col, carry=False).select(F.col("id").alias(id_col), "spans")
 
 
 def digest_columns(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -204,19 +207,20 @@ def digest_columns(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
-def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sign: str = "[SECRET]", rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
+def masked(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED, sign: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns of ``docs``, with the spans of all rules replaced; overlapping spans become one sign. Null texts stay null."""
-    found = with_spans(docs, rules, id_col, text_col, carry=tuple(docs.columns))
-    spans = F.array_sort(F.flatten(F.array(*[F.transform(F.col(f"spans.{r.kind}"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for r in rules])))
-    text = F.col(text_col)
+    found = _searched(docs, rules, id_col, text_col, carry=True)
+    ends = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))
+    spans = F.array_sort(F.flatten(F.array(*[F.transform(F.col(f"spans.{r.kind}"), ends) for r in rules])))
+    text = F.col("text")
 
-    def step(acc, s):
-        fresh = s["start"] >= acc["at"]
-        piece = F.when(fresh, F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(sign))).otherwise(F.lit(""))
+    def step(acc: Column, s: Column) -> Column:
+        piece = F.when(s["start"] >= acc["at"], F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(sign))).otherwise(F.lit(""))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["parts"], F.array(piece)).alias("parts"))
 
-    end = F.aggregate(
-        F.col("__spans"), F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")), step,
+    clean = F.aggregate(
+        F.col("all"), F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")), step,
         lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text))),
     )
-    return found.withColumn("__spans", spans).withColumn(text_col, F.when(F.size("__spans") > 0, end).otherwise(text)).select(*docs.columns)
+    whole = found.withColumn("all", spans).withColumn("clean", F.when(F.size("all") > 0, clean).otherwise(F.col(f"carry.`{text_col}`")))
+    return whole.select(*[F.col("clean").alias(c) if c == text_col else F.col(f"carry.`{c}`").alias(c) for c in docs.columns])
