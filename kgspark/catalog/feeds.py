@@ -102,7 +102,7 @@ def v1_properties(d):
 
 def turn_rows(d):
     """Conversation turns as alias and label bindings of their conversation."""
-    t = F.left("text", F.lit(12))
+    t = c("text")
     return d.conversations.select(
         uri(F.concat(F.lit("Q"), c("conv_id").cast("string"))).alias("item"), F.lit("en").alias("lang"), c("turn").alias("pos"), c("role").alias("itemAlias"),
         F.when(c("role") == "assistant", t).alias("itemLabel"), F.when(c("role") == "user", t).alias("itemDescription"), uri(F.concat(F.lit("Q"), F.length("text").cast("string"))).alias("instanceOf"),
@@ -116,7 +116,7 @@ def v1_aliases(d):
 
 @query(
     "v1_items",
-    """SELECT 'Q'||conv_id AS ID_WIKIDATA, 'en' AS LANG, coalesce(first(left(text,12) ORDER BY turn) FILTER (role='assistant' AND left(text,12)<>''),'') AS LABEL, coalesce(first(left(text,12) ORDER BY turn) FILTER (role='user' AND left(text,12)<>''),'') AS DESCRIPTION,
+    """SELECT 'Q'||conv_id AS ID_WIKIDATA, 'en' AS LANG, coalesce(first(text ORDER BY turn) FILTER (role='assistant' AND text<>''),'') AS LABEL, coalesce(first(text ORDER BY turn) FILTER (role='user' AND text<>''),'') AS DESCRIPTION,
        'Q'||first(length(text) ORDER BY turn DESC) AS INSTANCE_OF FROM conversations GROUP BY conv_id""",
 )
 def v1_items(d):
@@ -189,7 +189,7 @@ def stream_retry_ledger(d):
 
 @query(
     "stream_changes_feed",
-    f"""WITH {REFRESH_CTE}, t AS (SELECT DISTINCT event_id%1000 AS s FROM events WHERE event_type IN ('view','click')), h AS (SELECT DISTINCT event_id%1000 AS s FROM events WHERE event_type='view')
+    f"""WITH {REFRESH_CTE}, t AS (SELECT DISTINCT event_id AS s FROM events WHERE event_type IN ('view','click')), h AS (SELECT DISTINCT event_id AS s FROM events WHERE event_type='view')
         SELECT * FROM (SELECT r.s AS ID_SERIE, r.n AS SEASON_NUMBER, CASE WHEN n=5 THEN 'missing locally' WHEN n=4 THEN 'episode count drift' WHEN n=3 THEN 'completion incomplete' {REASON_TAIL.format(days=120, what="season")}
         WHEN n=m THEN 'active series, latest season' WHEN n=1 AND r.s IN (SELECT s FROM h) THEN 'episode hint' END AS REASON FROM r JOIN o ON o.s=r.s LEFT JOIN mx ON mx.s=r.s WHERE r.s IN (SELECT s FROM t)) WHERE REASON IS NOT NULL""",
 )
@@ -199,6 +199,6 @@ def stream_changes_feed(d):
     key = F.when(c("event_type") == "view", "episodes").when(c("event_type") == "click", "seasons").otherwise("images")
     value = F.struct(F.lit(1).alias("season_number"), F.lit(1).alias("episode_number"))
     body = F.struct(F.array(F.struct(key.alias("key"), F.array(F.struct(value.alias("value"))).alias("items"))).alias("changes"))
-    changes = stream_of(d, "events").select((c("event_id") % 1000).alias("id"), F.to_json(body).alias("payload"))
+    changes = stream_of(d, "events").select(c("event_id").alias("id"), F.to_json(body).alias("payload"))
     feeds.changes_feed(changes, remote, local, series, today, f"{folder}/rows", f"{folder}/state").awaitTermination()
     return d.spark.read.parquet(f"{folder}/rows").select("ID_SERIE", "SEASON_NUMBER", "REASON")

@@ -114,7 +114,7 @@ def staging_rows(d):
 
 @query(
     "label_in_language",
-    """SELECT 'Q'||doc_id AS ID_WIKIDATA, CASE WHEN lang='fr' THEN left(text,40) END AS LABEL_FR, CASE WHEN lang='en' THEN left(text,40) END AS LABEL_EN,
+    """SELECT 'Q'||doc_id AS ID_WIKIDATA, CASE WHEN lang='fr' THEN text END AS LABEL_FR, CASE WHEN lang='en' THEN text END AS LABEL_EN,
        NULL::VARCHAR AS LABEL_NUMERIC FROM documents""",
 )
 def label_in_language(d):
@@ -129,7 +129,7 @@ def label_in_language(d):
 
 @query(
     "labels_map_languages",
-    """SELECT lang AS LANG, count(*) AS N, sum(length(left(text,40)))::BIGINT AS CHARS FROM documents WHERE lang IN ('en','fr','de','es') GROUP BY lang""",
+    """SELECT lang AS LANG, count(*) AS N, sum(length(text))::BIGINT AS CHARS FROM documents WHERE lang IN ('en','fr','de','es') GROUP BY lang""",
 )
 def labels_map_languages(d):
     good, _ = dump.parse_entities(d.labelled_lines)

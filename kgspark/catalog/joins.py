@@ -137,11 +137,11 @@ def scalar_lookup_after_group(d):
 
 @query(
     "pair_by_language",
-    """SELECT a.source AS ID_WIKIDATA, a.t AS LABEL_FR, b.t AS LABEL_EN FROM (SELECT source, min(left(text,40)) AS t FROM documents WHERE lang='fr' GROUP BY 1) a
-       JOIN (SELECT source, min(left(text,40)) AS t FROM documents WHERE lang='en' GROUP BY 1) b ON a.source=b.source""",
+    """SELECT a.source AS ID_WIKIDATA, a.t AS LABEL_FR, b.t AS LABEL_EN FROM (SELECT source, min(text) AS t FROM documents WHERE lang='fr' GROUP BY 1) a
+       JOIN (SELECT source, min(text) AS t FROM documents WHERE lang='en' GROUP BY 1) b ON a.source=b.source""",
 )
 def pair_by_language(d):
-    texts = d.documents.groupBy(F.col("source").alias("ID_WIKIDATA"), F.col("lang").alias("LANG")).agg(F.min(F.left("text", F.lit(40))).alias("LABEL"))
+    texts = d.documents.groupBy(F.col("source").alias("ID_WIKIDATA"), F.col("lang").alias("LANG")).agg(F.min("text").alias("LABEL"))
     return joins.pair_by_language(texts, "fr", "en")
 
 
@@ -162,17 +162,17 @@ def cast_key_join(d):
 @query(
     "coalesce_sides",
     """SELECT coalesce(a.user_id,b.user_id) AS user_id, coalesce(a.V,b.V) AS V, strftime(greatest(a.T,b.T),'%Y-%m-%d %H:%M:%S') AS T FROM
-       (SELECT user_id, max("value") AS V, max(ts) AS T FROM events WHERE event_type='view' AND event_id%5=0 GROUP BY 1) a FULL JOIN
-       (SELECT user_id, max("value") AS V, max(ts) AS T FROM events WHERE event_type='click' AND event_id%3=0 GROUP BY 1) b ON a.user_id=b.user_id""",
+       (SELECT user_id, max("value") AS V, max(ts) AS T FROM events WHERE event_type='view' GROUP BY 1) a FULL JOIN
+       (SELECT user_id, max("value") AS V, max(ts) AS T FROM events WHERE event_type='click' GROUP BY 1) b ON a.user_id=b.user_id""",
 )
 def coalesce_sides(d):
     from kgspark.operators.merge import coalesce_sides as sides
 
-    def side(kind, n):
-        rows = d.events.filter((F.col("event_type") == kind) & (F.col("event_id") % n == 0))
+    def side(kind):
+        rows = d.events.filter(F.col("event_type") == kind)
         return rows.groupBy("user_id").agg(F.max("value").alias("V"), F.max("ts").alias("T"))
 
-    out = sides(side("view", 5), side("click", 3), "user_id", ["V"], "T")
+    out = sides(side("view"), side("click"), "user_id", ["V"], "T")
     return out.withColumn("T", F.date_format("T", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -300,11 +300,11 @@ def latest_wins(d):
 
 @query(
     "first_non_empty",
-    """SELECT conv_id, first(CASE WHEN role='assistant' THEN left(text,30) END ORDER BY CASE WHEN role='assistant' AND left(text,30)<>'' THEN turn ELSE 1000000 END) AS ANSWER,
-       first(CASE WHEN role='system' THEN left(text,30) END ORDER BY CASE WHEN role='system' AND left(text,30)<>'' THEN turn ELSE 1000000 END) AS SYSTEM FROM conversations GROUP BY 1""",
+    """SELECT conv_id, first(CASE WHEN role='assistant' THEN text END ORDER BY CASE WHEN role='assistant' AND text<>'' THEN turn ELSE 1000000 END) AS ANSWER,
+       first(CASE WHEN role='system' THEN text END ORDER BY CASE WHEN role='system' AND text<>'' THEN turn ELSE 1000000 END) AS SYSTEM FROM conversations GROUP BY 1""",
 )
 def first_non_empty(d):
-    t = F.left("text", F.lit(30))
+    t = F.col("text")
     rows = d.conversations.select("conv_id", "turn", F.when(F.col("role") == "assistant", t).alias("ANSWER"), F.when(F.col("role") == "system", t).alias("SYSTEM"))
     return ranking.first_non_empty(rows, ["conv_id"], ["turn"], ["ANSWER", "SYSTEM"])
 

@@ -11,10 +11,10 @@ BATCH = "batch_media"
 
 
 def served(d):
-    """Customers below 600 serve as the live films, series and persons."""
+    """Customers in credit serve as the live films, series and persons."""
     from kgspark.sources.driver import CUSTOMER, qid
 
-    return d.customer.filter(c("c_custkey") < 600).select(qid(CUSTOMER, "c_custkey"))
+    return d.customer.filter(c("c_acctbal") > 0).select(qid(CUSTOMER, "c_custkey"))
 
 
 def commons(d):
@@ -27,7 +27,7 @@ def external(d, build):
     return build(s.drop("FILE_NAME", "VALUE_EXTERNAL_ID"), s.filter(c("VALUE_EXTERNAL_ID").isNotNull()), served(d), BATCH)
 
 
-LIVE = """ID_WIKIDATA IN (SELECT 'Q'||(3000000000+c_custkey) FROM customer WHERE c_custkey<600) AND DELETED=0 AND coalesce("RANK",'')<>'deprecated'"""
+LIVE = """ID_WIKIDATA IN (SELECT 'Q'||(3000000000+c_custkey) FROM customer WHERE c_acctbal>0) AND DELETED=0 AND coalesce("RANK",'')<>'deprecated'"""
 COMMONS = f"""SELECT ID_STATEMENT, ID_WIKIDATA, ID_PROPERTY, n, replace(n,' ','_') AS norm, lower(list_last(string_split(n,'.'))) AS ext, 'commons:'||left(replace(n,' ','_'),200)||':S'||ID_STATEMENT AS k,
    CASE WHEN lower(list_last(string_split(n,'.'))) IN ('webm','mp4','ogv','mov','mkv') THEN 'video' WHEN lower(list_last(string_split(n,'.'))) IN ('wav','mp3','oga','ogg','opus','flac') THEN 'audio'
      WHEN lower(list_last(string_split(n,'.'))) IN ('pdf','djvu') THEN 'document' ELSE 'image' END AS kind FROM (SELECT *, trim(FILE_NAME) AS n FROM media_statement WHERE {LIVE}) WHERE n<>''"""

@@ -103,20 +103,20 @@ def column_recoverable_sample(d):
     return rp.column_recoverable(d.v1_entity, RECOVER, d.kg_claim, 2000)
 
 
-TEXT_SQL = """(SELECT source AS ID_WIKIDATA, lang AS LANG, min(left(text,40)) AS LABEL FROM documents GROUP BY 1,2)"""
+TEXT_SQL = """(SELECT source AS ID_WIKIDATA, lang AS LANG, min(text) AS LABEL FROM documents GROUP BY 1,2)"""
 
 
 def texts(d):
-    return d.documents.groupBy(c("source").alias(ID), c("lang").alias("LANG")).agg(F.min(F.left("text", F.lit(40))).alias("LABEL"))
+    return d.documents.groupBy(c("source").alias(ID), c("lang").alias("LANG")).agg(F.min("text").alias("LABEL"))
 
 
 @query(
     "label_coverage",
     f"""SELECT a.LANG, count(*) AS V1_FILLED, count(b.LABEL) AS ALSO_V2, count(*)-count(b.LABEL) AS LOST FROM {TEXT_SQL} a
-        LEFT JOIN (SELECT source AS ID_WIKIDATA, lang AS LANG, min(left(text,40)) AS LABEL FROM documents WHERE n_chars > 3000 GROUP BY 1,2) b ON a.ID_WIKIDATA=b.ID_WIKIDATA AND a.LANG=b.LANG WHERE a.LANG IN ('fr','de') AND a.LABEL<>'' GROUP BY 1""",
+        LEFT JOIN (SELECT source AS ID_WIKIDATA, lang AS LANG, min(text) AS LABEL FROM documents WHERE source NOT LIKE '%7' GROUP BY 1,2) b ON a.ID_WIKIDATA=b.ID_WIKIDATA AND a.LANG=b.LANG WHERE a.LANG IN ('fr','de') AND a.LABEL<>'' GROUP BY 1""",
 )
 def label_coverage(d):
-    rows = d.documents.filter(c("n_chars") > 3000).groupBy(c("source").alias(ID), c("lang").alias("LANG")).agg(F.min(F.left("text", F.lit(40))).alias("LABEL"))
+    rows = d.documents.filter(~c("source").endswith("7")).groupBy(c("source").alias(ID), c("lang").alias("LANG")).agg(F.min("text").alias("LABEL"))
     # One map per id, of at most one entry per language.
     maps = rows.groupBy(ID).agg(F.map_from_entries(F.collect_list(F.struct("LANG", "LABEL"))).alias("LABELS"))
     return rp.label_coverage(texts(d), maps, ["fr", "de"])
@@ -124,10 +124,10 @@ def label_coverage(d):
 
 @query(
     "translation_real",
-    """SELECT count(*) AS PAIRS, count(*) FILTER (a=b) AS FALLBACK, count(*) FILTER (a<>b) AS TRANSLATED FROM (SELECT CASE WHEN o_orderkey%3=0 THEN o_orderpriority ELSE 'fr '||o_orderpriority END AS a, o_orderpriority AS b FROM orders WHERE o_orderkey%2=0)""",
+    """SELECT count(*) AS PAIRS, count(*) FILTER (a=b) AS FALLBACK, count(*) FILTER (a<>b) AS TRANSLATED FROM (SELECT CASE WHEN o_orderkey%3=0 THEN o_orderpriority ELSE 'fr '||o_orderpriority END AS a, o_orderpriority AS b FROM orders)""",
 )
 def translation_real(d):
-    fr = d.orders.filter(c("o_orderkey") % 2 == 0).select(
+    fr = d.orders.select(
         c("o_orderkey").alias(ID), F.lit("fr").alias("LANG"), F.when(c("o_orderkey") % 3 == 0, c("o_orderpriority")).otherwise(F.concat(F.lit("fr "), c("o_orderpriority"))).alias("LABEL")
     )
     en = d.orders.select(c("o_orderkey").alias(ID), F.lit("en").alias("LANG"), c("o_orderpriority").alias("LABEL"))
@@ -286,9 +286,9 @@ def property_profile(d):
     """SELECT VALUE_TYPE, count(*) AS STATEMENTS, count(*) FILTER (VALUE_TYPE='item') AS IN_ITEM, count(*) FILTER (VALUE_TYPE='time') AS IN_TIME, count(*) FILTER (VALUE_TYPE='quantity') AS IN_QUANTITY, count(*) FILTER (l_orderkey%7=0) AS IN_STRING FROM kg_claim GROUP BY 1""",
 )
 def type_landing(d):
-    from kgspark.catalog.constraints import children
+    from kgspark.catalog.constraints import typed_children
 
-    return rp.type_landing(d.kg_claim, children(d).filter(c("ID_STATEMENT") > 10_000_000), ["item", "time", "quantity", "string"])
+    return rp.type_landing(d.kg_claim, typed_children(d), ["item", "time", "quantity", "string"])
 
 
 @query("freshness", "SELECT count(*) AS \"ROWS\", count(*) FILTER (ts >= TIMESTAMP '2024-01-20') AS SINCE, strftime(max(ts),'%Y-%m-%d %H:%M:%S') AS LAST_WRITE FROM events")

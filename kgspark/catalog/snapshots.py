@@ -24,7 +24,7 @@ def movie_details(d):
 
 @query(
     "movie_country_list",
-    f"""SELECT doc_id AS ID_MOVIE, '|'||string_agg(left(w,2),'|' ORDER BY i)||'|' AS COUNTRIES FROM {WORDS} GROUP BY 1""",
+    f"""SELECT doc_id AS ID_MOVIE, '|'||string_agg(w,'|' ORDER BY i)||'|' AS COUNTRIES FROM {WORDS} GROUP BY 1""",
 )
 def movie_country_list(d):
     return sn.movie_details(d.movie_payload).select("ID_MOVIE", "COUNTRIES")
@@ -96,7 +96,7 @@ def season_credits(d):
 
 @query(
     "title_relations",
-    f"""SELECT doc_id AS ID_MOVIE, left(w,2) AS COUNTRY_CODE, max(i)::INT AS DISPLAY_ORDER FROM {WORDS} GROUP BY 1,2""",
+    f"""SELECT doc_id AS ID_MOVIE, w AS COUNTRY_CODE, max(i)::INT AS DISPLAY_ORDER FROM {WORDS} GROUP BY 1,2""",
 )
 def title_relations(d):
     return sn.title_relations(d.movie_payload, "movie", "PRODUCTION_COUNTRY")
@@ -104,7 +104,7 @@ def title_relations(d):
 
 @query(
     "title_credits",
-    f"""SELECT doc_id AS ID_MOVIE, length(w) AS ID_PERSON, doc_id||'-'||(i-1) AS ID_CREDIT, left(w,5) AS CAST_CHARACTER, '' AS CREW_JOB, 'cast' AS CREDIT_TYPE, (min(i) OVER (PARTITION BY doc_id, length(w)))::INT AS DISPLAY_ORDER FROM {WORDS}
+    f"""SELECT doc_id AS ID_MOVIE, length(w) AS ID_PERSON, doc_id||'-'||(i-1) AS ID_CREDIT, w AS CAST_CHARACTER, '' AS CREW_JOB, 'cast' AS CREDIT_TYPE, (min(i) OVER (PARTITION BY doc_id, length(w)))::INT AS DISPLAY_ORDER FROM {WORDS}
         UNION ALL SELECT doc_id, n_chars%7, 'c'||doc_id, '', source, 'crew', 1 FROM documents""",
 )
 def title_credits(d):
@@ -210,7 +210,7 @@ def catalog_state(d):
 
 @query(
     "images",
-    f"""WITH w AS {WORDS}, x AS (SELECT doc_id, '/'||w AS p, i, CASE WHEN i%2=1 THEN 'en' ELSE 'fr' END AS l, CASE WHEN '/'||w='/'||source THEN 1 WHEN '/'||w='/the' THEN 1 ELSE 0 END AS pin FROM w WHERE w<>'')
+    f"""WITH w AS {WORDS}, x AS (SELECT doc_id, '/'||w AS p, i, CASE WHEN i%2=1 THEN 'en' ELSE 'fr' END AS l, CASE WHEN '/'||w='/'||source THEN 1 WHEN '/'||w='/the' THEN 1 ELSE 0 END AS pin FROM w)
         SELECT doc_id AS ID_MOVIE, p AS IMAGE_PATH, l AS LANG, CASE WHEN p='/the' AND l='en' THEN 0 WHEN pin=1 THEN 1 ELSE (sum(1-pin) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING))::INT END AS DISPLAY_ORDER FROM x
         UNION ALL SELECT doc_id, '/the', 'en', 0 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM x WHERE p='/the') UNION ALL SELECT doc_id, '/'||source, 'fr', 1 FROM documents""",
 )
@@ -220,8 +220,7 @@ def images(d):
         "doc_id", F.lit("/the").alias("base"), F.array(F.struct(F.concat(F.lit("/"), c("source")).alias("path"), F.lit("fr").alias("lang"))).alias("local")
     )
     rows = sn.images(d.movie_payload.withColumn("endpoint", F.lit("images")), "movie", main)
-    # The text's blank words make the bare path '/', which stays an image of its own.
-    return rows.filter(c("IMAGE_PATH") != "/").select("ID_MOVIE", "IMAGE_PATH", "LANG", "DISPLAY_ORDER")
+    return rows.select("ID_MOVIE", "IMAGE_PATH", "LANG", "DISPLAY_ORDER")
 
 
 @query(
@@ -271,7 +270,7 @@ def refresh_inputs(d):
         c("o_orderkey").alias("ID_SERIE"), F.when(c("o_orderstatus") == "O", 1).otherwise(0).alias("IN_PRODUCTION"), F.lit(None).cast("date").alias("NEXT_EPISODE_DAT_AIR"),
         c("o_orderdate").cast("date").alias("LAST_EPISODE_DAT_AIR"),
     )
-    hints = d.events.select((c("event_id") % 1000).alias("ID_SERIE"), F.lit(1).alias("SEASON_NUMBER"), F.lit(1).alias("EPISODE_NUMBER"))
+    hints = d.events.select(c("event_id").alias("ID_SERIE"), F.lit(1).alias("SEASON_NUMBER"), F.lit(1).alias("EPISODE_NUMBER"))
     return remote, local, series, hints, F.lit("2001-08-02").cast("date")
 
 
@@ -283,7 +282,7 @@ REASON_TAIL = """WHEN datediff('day',dt,DATE '2001-08-02') BETWEEN 0 AND {days}
 @query(
     "season_refresh_selection",
     f"""WITH {REFRESH_CTE} SELECT * FROM (SELECT r.s AS ID_SERIE, r.n AS SEASON_NUMBER, CASE WHEN n=5 THEN 'missing locally' WHEN n=4 THEN 'episode count drift' WHEN n=3 THEN 'completion incomplete'
-        {REASON_TAIL.format(days=120, what="season")} WHEN n=m THEN 'active series, latest season' WHEN n=1 AND r.s IN (SELECT event_id%1000 FROM events) THEN 'episode hint' END AS REASON FROM r JOIN o ON o.s=r.s LEFT JOIN mx ON mx.s=r.s) WHERE REASON IS NOT NULL""",
+        {REASON_TAIL.format(days=120, what="season")} WHEN n=m THEN 'active series, latest season' WHEN n=1 AND r.s IN (SELECT event_id FROM events) THEN 'episode hint' END AS REASON FROM r JOIN o ON o.s=r.s LEFT JOIN mx ON mx.s=r.s) WHERE REASON IS NOT NULL""",
 )
 def season_refresh_selection(d):
     remote, local, series, hints, today = refresh_inputs(d)
@@ -292,7 +291,7 @@ def season_refresh_selection(d):
 
 @query(
     "episode_refresh_selection",
-    f"""WITH {REFRESH_CTE} SELECT * FROM (SELECT r.s AS ID_SERIE, r.n AS SEASON_NUMBER, 1 AS EPISODE_NUMBER, CASE WHEN n=1 AND r.s IN (SELECT event_id%1000 FROM events) THEN 'episode hint' WHEN n=3 THEN 'completion incomplete'
+    f"""WITH {REFRESH_CTE} SELECT * FROM (SELECT r.s AS ID_SERIE, r.n AS SEASON_NUMBER, 1 AS EPISODE_NUMBER, CASE WHEN n=1 AND r.s IN (SELECT event_id FROM events) THEN 'episode hint' WHEN n=3 THEN 'completion incomplete'
         {REASON_TAIL.format(days=45, what="episode")} WHEN n=m THEN 'active season' END AS REASON FROM r JOIN o ON o.s=r.s LEFT JOIN mx ON mx.s=r.s WHERE n<>5 AND n<>2) WHERE REASON IS NOT NULL""",
 )
 def episode_refresh_selection(d):

@@ -204,12 +204,12 @@ def fill_empty(d):
 
 @query(
     "move_rows",
-    """WITH ids AS (SELECT DISTINCT source FROM documents WHERE n_chars > 5000), src AS (SELECT source, lang, min(left(text,20)) AS L FROM documents GROUP BY 1,2)
+    """WITH ids AS (SELECT DISTINCT source FROM documents WHERE n_chars > 5000), src AS (SELECT source, lang, min(text) AS L FROM documents GROUP BY 1,2)
        SELECT 'source' AS SIDE, source, lang, L FROM src WHERE source NOT IN (SELECT source FROM ids)
        UNION ALL SELECT 'target', source, NULL, max(L) FROM src WHERE source IN (SELECT source FROM ids) GROUP BY source""",
 )
 def move_rows(d):
-    src = d.documents.groupBy("source", "lang").agg(F.min(F.left("text", F.lit(20))).alias("L"))
+    src = d.documents.groupBy("source", "lang").agg(F.min("text").alias("L"))
     target = src.limit(0).select("source", "L")
     ids = d.documents.filter(c("n_chars") > 5000).select("source").distinct()
     left, moved = merge.move_rows(src, target, ids, "source", ["L"])

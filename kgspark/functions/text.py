@@ -84,7 +84,7 @@ def label_like(col: Column, prefix: str) -> Column:
 
 def id_bucket(qid: Column, bounds: Sequence[tuple[int, str]], rest: str) -> Column:
     """Label of the first bound the numeric part of an id stays below."""
-    number = F.substring(qid, 2, 18).try_cast("bigint")
+    number = F.substr(qid, F.lit(2)).try_cast("decimal(38,0)")
     out = None
     for bound, name in bounds:
         out = F.when(number < bound, name) if out is None else out.when(number < bound, name)

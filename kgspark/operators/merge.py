@@ -279,7 +279,7 @@ _OLD_PREFIX = "qualifier|"
 
 def _new_qualifier_key(parents: DataFrame) -> DataFrame:
     old = F.coalesce(F.col("QUALIFIER_HASH"), F.lit(""))
-    occurrence = F.when(old.startswith(_OLD_PREFIX), F.substring(old, len(_OLD_PREFIX) + 1, 1 << 30)).otherwise(old)
+    occurrence = F.when(old.startswith(_OLD_PREFIX), F.substr(old, F.lit(len(_OLD_PREFIX) + 1))).otherwise(old)
     return (
         parents.withColumn("OLD_ID", F.col("ID_STATEMENT_QUALIFIER"))
         .withColumn("QUALIFIER_HASH", ident.qualifier_hash(F.col("ID_STATEMENT"), F.col("ID_QUALIFIER_PROPERTY"), occurrence))

@@ -72,7 +72,7 @@ def root_frame(spark: SparkSession, roots: Mapping[str, Sequence[str]]) -> DataF
     return spark.createDataFrame(rows, "ROOT_TYPE string, QID string")
 
 
-def closure_multi(edges: DataFrame, roots: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def closure_multi(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """(ROOT_TYPE, QID): every root and everything below it, for all roots at once.
 
     Breadth first: each round joins only the newest nodes with the edges and drops
@@ -82,7 +82,7 @@ def closure_multi(edges: DataFrame, roots: DataFrame, max_rounds: int = 1000) ->
     edges = cut(edges.select("ID_PARENT", "ID_CHILD").dropna().distinct(), "edges")
     frontier = cut(roots.select("ROOT_TYPE", "QID").distinct(), "roots")
     seen = frontier
-    for _ in range(max_rounds):
+    while True:  # a round only ever adds nodes not seen before, so this ends
         below = (
             frontier.join(edges, frontier["QID"] == edges["ID_PARENT"])
             .select("ROOT_TYPE", F.col("ID_CHILD").alias("QID"))
@@ -92,7 +92,6 @@ def closure_multi(edges: DataFrame, roots: DataFrame, max_rounds: int = 1000) ->
         if frontier.isEmpty():
             return seen
         seen = seen.union(frontier)
-    raise RuntimeError(f"closure still growing after {max_rounds} rounds")
 
 
 def closure(edges: DataFrame, roots: DataFrame) -> DataFrame:

@@ -249,8 +249,7 @@ class Driver:
     def labelled_lines(self) -> DataFrame:
         """Documents as dump lines with a label in their own language and a numeric one."""
         c = F.col
-        first = F.left("text", F.lit(40))
-        payload = lambda lang: F.when(c("lang") == lang, F.struct(F.lit(lang).alias("language"), first.alias("value")))
+        payload = lambda lang: F.when(c("lang") == lang, F.struct(F.lit(lang).alias("language"), c("text").alias("value")))
         labels = F.struct(
             *[payload(x).alias(x) for x in ("en", "fr", "de", "es")],
             F.struct(F.lit("zz").alias("language"), c("n_chars").alias("value")).alias("zz"),
@@ -341,19 +340,19 @@ class Driver:
         words = F.split("text", r"\s+")
         cast = F.transform(
             words,
-            lambda w, i: F.struct(F.length(w).alias("id"), w.alias("name"), F.concat_ws("-", c("doc_id").cast("string"), i.cast("string")).alias("credit_id"), F.left(w, F.lit(5)).alias("character")),
+            lambda w, i: F.struct(F.length(w).alias("id"), w.alias("name"), F.concat_ws("-", c("doc_id").cast("string"), i.cast("string")).alias("credit_id"), w.alias("character")),
         )
         crew = F.array(
             F.struct((c("n_chars") % 7).alias("id"), c("lang").alias("name"), F.concat(F.lit("c"), c("doc_id").cast("string")).alias("credit_id"), c("lang").alias("department"), c("source").alias("job")),
         )
         genre = F.when(c("n_chars") % 5 == 0, "Documentary").otherwise("Drama")
         body = F.struct(
-            c("doc_id").alias("id"), F.left("text", F.lit(300)).alias("title"), c("text").alias("overview"), (c("n_chars") % 150).alias("runtime"),
+            c("doc_id").alias("id"), c("text").alias("title"), c("text").alias("overview"), (c("n_chars") % 150).alias("runtime"),
             F.when(c("doc_id") % 3 == 0, F.lit("1999-02-30")).when(c("doc_id") % 3 == 1, F.lit("2001-07-04")).otherwise("soon").alias("release_date"),
             (c("n_chars") % 2 == 0).alias("adult"), c("n_chars").alias("budget"),
             F.array(F.struct(F.lit(1).alias("id"), genre.alias("name")), F.struct(F.lit(2).alias("id"), c("source").alias("name"))).alias("genres"),
-            F.transform(words, lambda w: F.struct(F.left(w, F.lit(2)).alias("iso_3166_1"))).alias("production_countries"),
-            F.transform(F.slice(words, 1, 3), lambda w: F.struct(w.alias("iso_639_1"))).alias("spoken_languages"),
+            F.transform(words, lambda w: F.struct(w.alias("iso_3166_1"))).alias("production_countries"),
+            F.transform(words, lambda w: F.struct(w.alias("iso_639_1"))).alias("spoken_languages"),
             F.struct(cast.alias("cast"), crew.alias("crew")).alias("credits"),
             F.transform(words, lambda w: F.struct(F.length(w).alias("id"), w.alias("name"))).alias("keywords"),
             F.transform(words, lambda w: F.struct(F.length(w).alias("id"))).alias("results"),

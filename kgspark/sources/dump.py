@@ -34,7 +34,7 @@ def clean_lines(lines: DataFrame) -> DataFrame:
     blanks = F.lit(" \t\n\r\x0b\f")
     trimmed = once(lines.select(F.col("value").alias("_raw")), v=F.btrim("_raw", blanks))
     v = F.col("v")
-    opened = F.when(v.startswith("["), F.ltrim(F.substring(v, 2, 1 << 30), blanks)).otherwise(v)
+    opened = F.when(v.startswith("["), F.ltrim(F.substr(v, F.lit(2)), blanks)).otherwise(v)
     shorter = lambda x: F.rtrim(F.left(x, F.length(x) - 1), blanks)
     closed = F.when(F.col("o").endswith("]"), shorter(F.col("o"))).otherwise(F.col("o"))
     alone = F.when(F.col("c").endswith(","), shorter(F.col("c"))).otherwise(F.col("c"))
