@@ -73,7 +73,7 @@ class PieceModel:
                 self.byte_ids[int(p.piece[1:-1], 16)] = i
         self.longest = max(map(len, self.ids), default=1)
         self.unknown_score = min(self.scores.values(), default=0.0) - 10.0
-        self.tails = {p[k:] for p in self.ids for k in range(len(p))}
+        self.tails = {p[k:]: -1 for p in self.ids for k in range(len(p))} | self.ids
         self.follows = Memo(self._follows, 400_000)
         self.chunks = self._chunks()
         bare = type(proto)()
@@ -119,19 +119,18 @@ class PieceModel:
 
     def last_pieces(self, chunk: str) -> tuple[list[int], list[int]]:
         """Of a merge vocabulary: each prefix's token count, and the id of its last token (-1: a character's bytes)."""
-        ids, tails, follows, n, size = self.ids, self.tails, self.follows, len(chunk), len(self.names)
+        tails, follows, n, size = self.tails, self.follows, len(chunk), len(self.names)
         counts, last = [0] * (n + 1), [-1] * (n + 1)
         for i in range(1, n + 1):
-            j = i - 1
-            while j > 0 and chunk[j - 1 : i] in tails:
-                j -= 1
-            while j < i:
-                piece = ids.get(chunk[j:i])
-                if piece is not None and follows[(last[j] + 1) * size + piece]:
+            for j in range(i - 1, -1, -1):
+                piece = tails.get(chunk[j:i])
+                if piece is None:  # no piece ends in this; so neither in anything longer
+                    counts[i] = -1
+                    break
+                if piece >= 0 and follows[(last[j] + 1) * size + piece]:  # true of one piece only
                     counts[i], last[i] = counts[j] + 1, piece
                     break
-                j += 1
-            else:  # outside the vocabulary: its bytes, which merge with nothing
+            if counts[i] <= 0:  # outside the vocabulary: its bytes, which merge with nothing
                 counts[i] = counts[i - 1] + len(chunk[i - 1].encode("utf-8", "surrogatepass"))
         return counts, last
 

@@ -45,17 +45,14 @@ class StreamingViterbi:
 
     def _merge_step(self) -> tuple[int, int, float]:
         model, text, end = self.model, self.window, len(self.back)
-        n = len(text)
-        j = n - 1
-        while j > 0 and text[j - 1 :] in model.tails:
-            j -= 1
-        size = len(model.names)
-        while j < n:
+        n, size = len(text), len(model.names)
+        for j in range(n - 1, max(-1, n - 1 - end), -1):
+            piece = model.tails.get(text[j:])
+            if piece is None:
+                break
             start = end - (n - j)
-            piece = model.ids.get(text[j:]) if start >= 0 else None
-            if piece is not None and model.follows[(self.back[start][1] + 1) * size + piece]:
+            if piece >= 0 and model.follows[(self.back[start][1] + 1) * size + piece]:
                 return self.base + start, piece, 0.0
-            j += 1
         return self.base + end - 1, -1, 0.0
 
     def _score_step(self) -> tuple[int, int, float]:
@@ -110,10 +107,18 @@ def packed(ids: list[int]) -> bytes:
 class Coder:
     """Whole texts to ids and back. A chunk's end is a boundary that all paths share, so chunks repeat from memory."""
 
-    def __init__(self, model: PieceModel, memo: int = 250_000):
+    def __init__(self, model: PieceModel, memo: int = 200_000, words: int = 500_000):
         self.model = model
         self.of_chunk = Memo(self._chunk, memo)
-        self.of_word = Memo(lambda word: b"".join(map(self.of_chunk.__getitem__, model.chunks.findall(BLANK + word))), memo)
+        self.of_word = Memo(self._word, words)
+
+    def _word(self, word: str) -> bytes:
+        chunks = self.model.chunks.findall(BLANK + word)
+        if len(chunks) == 1:
+            return self._chunk(chunks[0])
+        if len(chunks[0]) > 1:  # the same word without what stands behind it
+            return self.of_word[chunks[0][1:]] + b"".join(map(self.of_chunk.__getitem__, chunks[1:]))
+        return b"".join(map(self.of_chunk.__getitem__, chunks))
 
     def _chunk(self, chunk: str) -> bytes:
         model = self.model

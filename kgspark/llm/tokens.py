@@ -7,7 +7,8 @@ prefix's count is that of a shorter prefix plus one. Questions about limits are
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -19,16 +20,21 @@ from kgspark.llm.piece_model import BLANK, Memo, PieceModel, load
 class PrefixCounter:
     """Prefix counts of whole texts, chunk by chunk: no piece reaches across a chunk's end, so counts add up."""
 
-    def __init__(self, model: PieceModel, memo: int = 300_000):
+    def __init__(self, model: PieceModel, memo: int = 300_000, words: int = 800_000):
         if not model.merges:
             raise ValueError("prefix counts need a merge vocabulary; a unigram path has no single last token")
         self.model = model
         self.of_chunk = Memo(lambda chunk: tuple(model.last_pieces(chunk)[0]), memo)
-        self.of_word = Memo(self._word, memo)
+        self.of_word = Memo(self._word, words)
 
     def _word(self, word: str) -> int:
+        chunks = self.model.chunks.findall(BLANK + word)
+        if len(chunks) == 1:
+            return self.model.last_pieces(chunks[0])[0][-1]
         of = self.of_chunk
-        return sum(of[chunk][-1] for chunk in self.model.chunks.findall(BLANK + word))
+        if len(chunks[0]) > 1:  # the same word without what stands behind it
+            return self.of_word[chunks[0][1:]] + sum([of[chunk][-1] for chunk in chunks[1:]])
+        return sum([of[chunk][-1] for chunk in chunks])
 
     def count(self, text: str) -> int:
         if not text:
@@ -39,6 +45,37 @@ class PrefixCounter:
         of = self.of_chunk
         return sum([of[chunk][-1] for chunk in model.chunks.findall(model.normalised(text))])
 
+    def cuts(self, text: str, limits: list[int]) -> tuple[int, list[int]]:
+        """The text's tokens, and for each limit the code points of its longest prefix within it."""
+        model = self.model
+        if not text or not model.plain:
+            n = self.count(text)
+            return n, cheapest_cuts(self.prefixes(text), limits) if text else [0] * len(limits)
+        if model.dummy and "  " not in text and text[0] != " " and text[-1] != " " and BLANK not in text:
+            parts = text.split(" ")
+            counts = list(map(self.of_word.__getitem__, parts))
+            n = sum(counts)
+            lengths = [1 + len(x) for x in parts] if any(n > x for x in limits) else []
+            inside = self._prefixes_of_word
+        else:
+            parts = model.chunks.findall(model.normalised(text))
+            counts = [self.of_chunk[x][-1] for x in parts]
+            n = sum(counts)
+            lengths = [len(x) for x in parts] if any(n > x for x in limits) else []
+            inside = self.of_chunk.__getitem__
+        if not lengths:
+            return n, [len(text)] * len(limits)
+        bases, at = [0, *accumulate(counts[:-1])], [0, *accumulate(lengths[:-1])]
+        reach = [len(text) if n <= x else max(0, _furthest(bases, at, parts, x, inside) - model.dummy) if x >= 0 else 0 for x in limits]
+        return n, reach
+
+    def _prefixes_of_word(self, word: str) -> list[int]:
+        out = [0]
+        for chunk in self.model.chunks.findall(BLANK + word):
+            base = out[-1]
+            out.extend([base + n for n in self.of_chunk[chunk][1:]])
+        return out
+
     def prefixes(self, text: str) -> np.ndarray:
         """Counts of the text's prefixes, by number of code points, from 0 on.
 
@@ -58,6 +95,16 @@ class PrefixCounter:
         return out
 
 
+def _furthest(bases: list[int], at: list[int], parts: list[str], limit: int, counts_of) -> int:
+    """Normalised characters of the longest prefix within ``limit``: only the part that the limit falls in is looked into.
+
+    ``bases`` are the tokens before each part; they grow, and every longer prefix has more than the part's base.
+    """
+    k = bisect_right(bases, limit) - 1
+    inside = counts_of(parts[k])
+    return at[k] + max(p for p, n in enumerate(inside) if bases[k] + n <= limit)
+
+
 def longest_within(prefixes: np.ndarray, limit: int) -> int:
     """Code points of the longest prefix that has at most ``limit`` tokens."""
     within = np.flatnonzero(prefixes <= limit)
@@ -85,11 +132,10 @@ def token_counts(docs: DataFrame, model_path: str, limits: list[int], id_col: st
         counter = PrefixCounter(load(model_path))
 
         def one(text: str):
-            n = counter.count(text)
-            if keep_prefixes or any(n > x for x in limits):
+            if keep_prefixes or not counter.model.plain:
                 counts = counter.prefixes(text)
-                return n, cheapest_cuts(counts, limits), counts.tolist() if keep_prefixes else None
-            return n, [len(text)] * len(limits), None
+                return int(counts[-1]), cheapest_cuts(counts, limits), counts.tolist()
+            return *counter.cuts(text, limits), None
 
         def apply(batch):
             found = [one(x) for x in batch["text"]]
