@@ -9,8 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Number forms whose JSON text depends on the writer (fractions, exponents, minus zero).
-_WRITER_DEPENDENT_NUMBER = r"[0-9][.eE]|-0"
+# Number forms whose JSON text depends on the writer: fractions, exponents, minus zero, whole numbers past 38 digits.
+_WRITER_DEPENDENT_NUMBER = r"[0-9][.eE]|-0|[0-9]{39}"
 
 
 def stable_bigint(text: Column) -> Column:
@@ -26,7 +26,10 @@ def _canonical_json_python(texts: pd.Series) -> pd.Series:
     def canonical(text):
         if text is None:
             return None
-        return json.dumps(json.loads(text), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+        try:
+            return json.dumps(json.loads(text), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+        except ValueError:  # no JSON, or a number too long to read: the text is its own identity
+            return text
 
     return texts.map(canonical, na_action="ignore")
 
@@ -35,14 +38,16 @@ def canonical_json(text: Column, any_number: bool = True) -> Column:
     """Sorted keys, no blanks, non-ASCII kept.
 
     A VARIANT stores object fields sorted by name, so the round trip through it is
-    the canonical form. Only texts with fractional or exponent numbers go to the
-    Python writer, whose number format is the contract; ``any_number=False`` leaves
-    that branch out of the plan for inputs known to hold whole numbers.
+    the canonical form. Texts with other numbers, and those a VARIANT refuses (a
+    repeated key: the last one counts), go to the Python writer, whose format is the
+    contract; ``any_number=False`` leaves that branch out of the plan for inputs known
+    to hold plain whole numbers. A text is never without an identity: what no writer
+    reads stands for itself.
     """
     sorted_text = F.to_json(F.try_parse_json(text))
     if not any_number:
-        return sorted_text
-    exotic = text.rlike(_WRITER_DEPENDENT_NUMBER)
+        return F.coalesce(sorted_text, text)
+    exotic = text.rlike(_WRITER_DEPENDENT_NUMBER) | sorted_text.isNull()
     return F.when(exotic, _canonical_json_python(F.when(exotic, text))).otherwise(sorted_text)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -119,8 +119,33 @@ def media_gate(resources: DataFrame, urls: DataFrame) -> DataFrame:
     )
 
 
-def run_summary(good: DataFrame, bad: DataFrame) -> DataFrame:
-    """Entities seen, items, properties and parse errors of one dump."""
+def run_summary(good: DataFrame, bad: DataFrame, core: DataFrame | None = None, statements: DataFrame | None = None, qualifiers: DataFrame | None = None) -> DataFrame:
+    """Counters of one dump, in one row: entities seen, items, properties and parse errors.
+
+    With the frames of a run also what ``pass_gate`` asks for: core entities, by class too
+    (``CORE_BY_CLASS``), statements, by type of value (``VALUES_BY_TYPE``), and qualifiers.
+    """
+    more = []
+    if core is not None:
+        by_class = core.groupBy("ENTITY_CLASS").agg(F.count(F.lit(1)).alias("n"))
+        more.append(by_class.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("CORE_ENTITIES"), _counted("ENTITY_CLASS").alias("CORE_BY_CLASS")))
+    if statements is not None:
+        by_type = statements.groupBy("VALUE_TYPE").agg(F.count(F.lit(1)).alias("n"))
+        more.append(by_type.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("STATEMENTS"), _counted("VALUE_TYPE").alias("VALUES_BY_TYPE")))
+    if qualifiers is not None:
+        more.append(qualifiers.agg(F.count(F.lit(1)).alias("QUALIFIERS")))
+    out = _lines_summary(good, bad)
+    for part in more:  # one row each
+        out = out.withColumn("_one", F.lit(1)).join(part.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return out
+
+
+def _counted(name: str) -> Column:
+    """Map from name to count; there are few names."""
+    return F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.coalesce(F.col(name), F.lit("")).alias("k"), "n"))))
+
+
+def _lines_summary(good: DataFrame, bad: DataFrame) -> DataFrame:
     lines = good.select("type").union(bad.select(F.lit("#bad").alias("type")))
     is_bad = F.coalesce(F.col("type") == "#bad", F.lit(False))
     return lines.agg(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from kgspark.operators import checks, claims, merge, scope
 from kgspark.session import cut
 from kgspark.sources import dump
+from kgspark.sources.staging import as_staging
 
 ENTITY_COLUMNS = ("ID_WIKIDATA", "LABEL_EN", "DESCRIPTION_EN", "LABELS", "DESCRIPTIONS")
 
@@ -42,8 +43,8 @@ class Refresh:
 def refresh(lines: DataFrame, roots: Mapping[str, tuple[str, ...]] = scope.ROOTS, exact_ids: bool = True) -> Refresh:
     """All three passes as one job. ``lines`` is the cleaned dump text."""
     spark = lines.sparkSession
-    good, bad = dump.parse_entities(lines)
-    parsed = cut(good, "entities")
+    # One parse: entities and unreadable lines are written side by side, and everything below reads that.
+    parsed, bad = dump.split_marked(cut(dump.parse_marked(lines), "entities"))
 
     # Scope: the closure of the root classes decides which entities are core.
     edges = cut(scope.subclass_edges(parsed), "subclass")
@@ -79,7 +80,7 @@ def refresh(lines: DataFrame, roots: Mapping[str, tuple[str, ...]] = scope.ROOTS
         referenced_items=used.withColumnRenamed("ID_ITEM", "ID_WIKIDATA"),
         referenced_persons=persons.withColumnRenamed("ID_ITEM", "ID_WIKIDATA"),
         classes=classes,
-        summary=checks.run_summary(parsed, bad),
+        summary=checks.run_summary(parsed, bad, core, stmts, quals),
         bad_lines=bad,
     )
 
@@ -88,6 +89,32 @@ STATEMENT_POLICY = {"TIM_UPDATED": "now"}
 ENTITY_POLICY = {"TIM_UPDATED": "now", "DAT_CREAT": "insert_only"}
 
 
+def staged_tables(run: Refresh, batch: str, source: str = "refresh") -> dict[str, DataFrame]:
+    """Staging rows of all target tables of a run, ready for ``full_load``."""
+    stamped = lambda df: as_staging(df, batch, source)
+    statement = run.statements.drop("v", "qualifiers")
+    qualifier = run.qualifiers.drop("v")
+    names = sorted({*scope.ENTITY_TABLE.values(), "ITEM"})
+    return {
+        "PROPERTY_METADATA": stamped(run.properties),
+        "SUBCLASS": stamped(run.subclass),
+        **{t: stamped(run.entities.filter(F.col("TARGET_TABLE") == t).drop("TARGET_TABLE")) for t in names},
+        "STATEMENT": stamped(statement),
+        **{f"{k.upper()}_VALUE": stamped(v) for k, v in claims.value_tables(run.statements).items()},
+        "STATEMENT_QUALIFIER": stamped(qualifier),
+        **{f"QUALIFIER_{k.upper()}_VALUE": stamped(v) for k, v in claims.value_tables(run.qualifiers, "ID_STATEMENT_QUALIFIER").items()},
+    }
+
+
+def empty_targets(staging: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Targets for a first load: the staged columns without the staging ones, and the audit columns."""
+    stage_only = ("SOURCE_FILE", "ROW_STATUS", "ERROR_MESSAGE", "ID_STG_ROW")
+    return {
+        t: df.drop(*stage_only).withColumns({"TIM_UPDATED": F.lit(None).cast("timestamp"), "DAT_CREAT": F.lit(None).cast("timestamp")}).filter(F.lit(False))
+        for t, df in staging.items()
+    }
+
+
 def load_table(target: DataFrame, staged: DataFrame, batch: str, keys: list[str], policy: Mapping[str, str], now: Column) -> tuple[DataFrame, DataFrame]:
     """(next target, next staging) after loading one table's batch."""
     fresh = merge.loadable(staged, batch)

@@ -61,6 +61,17 @@ def idgate(lines: DataFrame, ids: DataFrame) -> DataFrame:
     return flagged.filter(F.col("_id").isNull() | F.col("_wanted")).select("value")
 
 
+def parse_marked(lines: DataFrame, fields: Sequence[str] = tuple(ENTITY_FIELDS)) -> DataFrame:
+    """Parsed entities with ``BAD_LINE``: the text of a line no JSON parser accepts, else NULL.
+
+    One frame for both, so that writing it once parses every line once.
+    """
+    schema = ", ".join([f"{f} {ENTITY_FIELDS[f]}" for f in fields] + ["_text STRING"])
+    parsed = once(lines.select("value"), e=F.from_json("value", schema, {"columnNameOfCorruptRecord": "_text"}))
+    bad = F.coalesce(F.col("e._text").isNotNull() & F.try_parse_json("e._text").isNull(), F.lit(False))
+    return parsed.select("e.*", F.when(bad, F.col("value")).alias("BAD_LINE")).drop("_text")
+
+
 def parse_entities(lines: DataFrame, fields: Sequence[str] = tuple(ENTITY_FIELDS)) -> tuple[DataFrame, DataFrame]:
     """(good, bad): parsed entities, and the lines no JSON parser accepts.
 
@@ -68,11 +79,14 @@ def parse_entities(lines: DataFrame, fields: Sequence[str] = tuple(ENTITY_FIELDS
     only those are looked at again, since a field of an unexpected shape makes that
     field NULL but not the line bad. ``fields`` narrows what is parsed.
     """
-    schema = ", ".join([f"{f} {ENTITY_FIELDS[f]}" for f in fields] + ["_text STRING"])
-    parsed = once(lines.select("value"), e=F.from_json("value", schema, {"columnNameOfCorruptRecord": "_text"}))
-    bad = F.coalesce(F.col("e._text").isNotNull() & F.try_parse_json("e._text").isNull(), F.lit(False))
-    good = parsed.filter(~bad).select("e.*").drop("_text")
-    return good, parsed.filter(bad).select("value")
+    marked = parse_marked(lines, fields)
+    return split_marked(marked)
+
+
+def split_marked(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) of ``parse_marked``."""
+    good = marked.filter(F.col("BAD_LINE").isNull()).drop("BAD_LINE")
+    return good, marked.filter(F.col("BAD_LINE").isNotNull()).select(F.col("BAD_LINE").alias("value"))
 
 
 def text_of(payload: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -50,8 +50,11 @@ def select_specs(only: Sequence[str] | None = None) -> tuple[StagingSpec, ...]:
     return tuple(s for s in STAGING_SPECS if s.table in wanted)
 
 
-def as_staging(rows: DataFrame, batch: str, source: object) -> DataFrame:
-    """Rows with the staging columns; nested values become compact JSON text."""
+def as_staging(rows: DataFrame, batch: str, source: object, row: Column | None = None) -> DataFrame:
+    """Rows with the staging columns; nested values become compact JSON text.
+
+    ``ID_STG_ROW`` orders the rows: ``row`` if given, else the place in the frame's partitions.
+    """
     nested = (T.StructType, T.ArrayType, T.MapType)
     flat = [
         F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name)
@@ -63,6 +66,7 @@ def as_staging(rows: DataFrame, batch: str, source: object) -> DataFrame:
         (source if not isinstance(source, str) else F.lit(source)).alias("SOURCE_FILE"),
         F.lit("NEW").alias("ROW_STATUS"),
         F.lit(None).cast("string").alias("ERROR_MESSAGE"),
+        (F.monotonically_increasing_id() if row is None else row).alias("ID_STG_ROW"),
     )
 
 
@@ -78,8 +82,10 @@ def read_staging_jsonl(spark: SparkSession, root: str, spec: StagingSpec, schema
         if skip_missing:
             return None
         raise
-    located = rows.select("*", F.col("_metadata.file_path").alias("_file"))
-    return as_staging(located, batch, F.col("_file")).drop("_file")
+    located = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    # File, split and place in the split: the same order in every read.
+    place = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"), F.monotonically_increasing_id().alias("n"))
+    return as_staging(located, batch, F.col("_file"), place).drop("_file", "_block")
 
 
 def read_staging_table(spark: SparkSession, root: str, table: str, schema: T.StructType, batch: str) -> DataFrame:
