@@ -33,8 +33,8 @@ class Settings:
     pivots: int = 48
     sample: int = 4096
     slice_rows: int = 8192
-    page: int = 48
-    fan_out: int = 16
+    page: int = 256
+    fan_out: int = 24
     block: int = 2048
 
 
@@ -59,51 +59,60 @@ def far_apart(points: np.ndarray, k: int) -> np.ndarray:
 
 @dataclass
 class Page:
-    """A node: its routing vector, what it covers, and children or entries (places in the tree's arrays)."""
+    """A node: what it covers, and either children (their routing vectors, radii and distances to this one's) or entries.
+
+    Entries are the tree's rows from ``first`` to ``last``, by their distance to this page's routing vector.
+    """
 
     route: np.ndarray
     radius: float
-    to_parent: float
     children: list[int]
-    entries: np.ndarray
-    distances: np.ndarray
+    first: int
+    last: int
+    distances: np.ndarray | None = None
+    routes: np.ndarray | None = None
+    radii: np.ndarray | None = None
+    to_parent: np.ndarray | None = None
 
 
 class Tree:
-    """A bulk-loaded M-tree over ids and whole-number vectors."""
+    """A bulk-loaded M-tree over ids and whole-number vectors; a leaf's entries lie together."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, m2: float, page: int = 48, fan_out: int = 16):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, m2: float, page: int = 256, fan_out: int = 24):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
-        self.points = lifted(self.vectors, m2)
-        self.m2 = m2
-        self.pages: list[Page] = []
-        self.computed = 0  # distances of entries computed so far
+        ids, vectors = ids[order], vectors[order]
+        self.m2, self.pages = m2, []
+        self.computed = 0  # scores of entries computed so far
+        self._points, self._order = lifted(vectors, m2), []
         if len(ids):
-            self._build(np.arange(len(ids)), None, page, fan_out)
-
-    def _build(self, own: np.ndarray, parent: np.ndarray | None, page: int, fan_out: int) -> int:
-        points = self.points[own]
-        middle = points.mean(axis=0)
-        route = points[int(np.linalg.norm(points - middle, axis=1).argmin())]
+            self._build(np.arange(len(ids)), page, fan_out)
+        laid = np.concatenate(self._order) if self._order else np.arange(0)
+        self.ids, self.vectors = ids[laid], vectors[laid].astype(np.float64)  # whole numbers below 2^53: products stay exact
+        del self._points, self._order
+
+    def _build(self, own: np.ndarray, page: int, fan_out: int) -> int:
+        points = self._points[own]
+        route = points[int(np.linalg.norm(points - points.mean(axis=0), axis=1).argmin())]
         distances = np.linalg.norm(points - route, axis=1)
-        here = len(self.pages)
-        self.pages.append(Page(route, float(distances.max()), 0.0 if parent is None else float(np.linalg.norm(route - parent)), [], own[:0], distances[:0]))
+        here, first = len(self.pages), sum(map(len, self._order))
+        node = Page(route, float(distances.max()), [], first, first + len(own))
+        self.pages.append(node)
         if len(own) <= page:
             order = np.argsort(distances, kind="stable")
-            self.pages[here].entries, self.pages[here].distances = own[order], distances[order]
+            self._order.append(own[order])
+            node.distances = distances[order]
             return here
-        seeds = far_apart(points[:: max(1, len(points) // 1024)], min(fan_out, -(-len(own) // page)))
-        seeds = points[:: max(1, len(points) // 1024)][seeds]
-        nearest = ((points[:, None, :] - seeds[None]) ** 2).sum(axis=2).argmin(axis=1) if len(points) * len(seeds) <= 1 << 14 else np.concatenate(
-            [((part[:, None, :] - seeds[None]) ** 2).sum(axis=2).argmin(axis=1) for part in np.array_split(points, -(-len(points) // 1024))]
-        )
+        some = points[:: max(1, len(points) // 1024)]
+        seeds = some[far_apart(some, min(fan_out, -(-len(own) // page)))]
+        nearest = (np.square(seeds).sum(axis=1)[None] - 2.0 * points @ seeds.T).argmin(axis=1)
         groups = [own[nearest == k] for k in range(len(seeds)) if (nearest == k).any()]
         if len(groups) == 1:  # too alike to tell apart: pages by order
             groups = np.array_split(own, min(fan_out, -(-len(own) // page)))
-        for group in groups:
-            child = self._build(group, route, page, fan_out)
-            self.pages[here].children.append(child)
+        node.children = [self._build(group, page, fan_out) for group in groups]
+        below = [self.pages[c] for c in node.children]
+        node.routes = np.stack([c.route for c in below])
+        node.radii = np.array([c.radius for c in below])
+        node.to_parent = np.linalg.norm(node.routes - route, axis=1)
         return here
 
     def search(self, query_id: int, query: np.ndarray, k: int, best: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -113,39 +122,43 @@ class Tree:
         """
         if not self.pages:
             return best
-        q = np.append(query.astype(np.float64), 0.0)
-        long = float(query.astype(np.float64) @ query) + self.m2
+        query = query.astype(np.float64)
+        q = np.append(query, 0.0)
+        long, slack = float(query @ query) + self.m2, SLACK * (1 + self.m2**0.5)
         found = sorted(best)[:k]
 
         def reach() -> float:
             """How far the k-th best is; nothing further is wanted, what is as far may win by its id."""
-            return np.inf if len(found) < k else float(np.sqrt(max(long + 2.0 * found[-1][0], 0.0))) + SLACK * (1 + self.m2**0.5)
+            return np.inf if len(found) < k else max(long + 2.0 * found[-1][0], 0.0) ** 0.5 + slack
 
-        root = self.pages[0]
+        root, limit = self.pages[0], reach()
         to_root = float(np.linalg.norm(q - root.route))
         queue = [(max(0.0, to_root - root.radius), 0, to_root)]
         while queue:
             bound, at, to_route = heapq.heappop(queue)
-            limit = reach()
             if bound > limit:
                 break
             node = self.pages[at]
             if node.children:
-                for child in node.children:
-                    page = self.pages[child]
-                    if abs(to_route - page.to_parent) - page.radius > limit:
-                        continue  # ruled out by the stored distance to its parent
-                    to_child = float(np.linalg.norm(q - page.route))
-                    if (low := max(0.0, to_child - page.radius)) <= limit:
-                        heapq.heappush(queue, (low, child, to_child))
+                # Stored distances to the parent rule children out before their own distance is computed.
+                for c in np.flatnonzero(np.abs(to_route - node.to_parent) - node.radii <= limit) if limit < np.inf else range(len(node.children)):
+                    away = q - node.routes[c]
+                    to_child = float(away @ away) ** 0.5
+                    low = max(0.0, to_child - node.radii[c])
+                    if low <= limit:
+                        heapq.heappush(queue, (low, node.children[c], to_child))
                 continue
-            near = node.entries[np.abs(to_route - node.distances) <= limit]
-            self.computed += len(near)
-            if len(near):
-                scores = self.vectors[near] @ query
-                keep = scores >= -found[-1][0] if len(found) >= k else np.ones(len(near), dtype=bool)
-                more = [(-int(s), int(i)) for s, i in zip(scores[keep], self.ids[near[keep]], strict=True) if i != query_id]
-                found = sorted({*found, *more})[:k]
+            # Entries lie by distance: those that the triangle inequality leaves are one stretch.
+            a, b = np.searchsorted(node.distances, (to_route - limit, to_route + limit)) if limit < np.inf else (0, len(node.distances))
+            b = min(b + 1, len(node.distances))
+            if a < b:
+                self.computed += b - a
+                scores = self.vectors[node.first + a : node.first + b] @ query
+                keep = np.flatnonzero(scores >= -found[-1][0]) if len(found) >= k else range(b - a)
+                if len(keep):
+                    more = [(-int(scores[i]), int(self.ids[node.first + a + i])) for i in keep]
+                    found = sorted({*found, *(x for x in more if x[1] != query_id)})[:k]
+                    limit = reach()
         return found
 
 

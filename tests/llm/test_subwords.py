@@ -29,11 +29,14 @@ def unigram():
 def test_every_prefix_has_its_own_count():
     model = load(PATH)
     counter = tokens.PrefixCounter(model, memo=50, words=50)
-    for text in some_texts(3, 300, PARTS):
+    plain = [" ".join(x.split()) for x in some_texts(4, 300, PARTS)]
+    for text in some_texts(3, 300, PARTS) + plain:
         want = [len(model.library.encode(text[:k])) for k in range(len(text) + 1)]
         assert counter.prefixes(text).tolist() == want
         assert counter.count(text) == want[-1]
-        assert tokens.cheapest_cuts(counter.prefixes(text), [0, 1, 5, 99]) == [max(k for k in range(len(want)) if want[k] <= x) for x in (0, 1, 5, 99)]
+        reach = [max(k for k in range(len(want)) if want[k] <= x) for x in (0, 1, 5, 7, 99)]
+        assert tokens.cheapest_cuts(counter.prefixes(text), [0, 1, 5, 7, 99]) == reach
+        assert counter.cuts(text, [0, 1, 5, 7, 99]) == (want[-1], reach)
 
 
 def test_long_words_have_no_quadratic_cost():
