@@ -49,6 +49,32 @@ def check_foreign_keys(d):
     return count(a, "line to part").union(count(b, "order to customer"))
 
 
+@query(
+    "check_named_foreign_keys",
+    """WITH st AS (SELECT ID_STATEMENT, ID_PROPERTY FROM kg_claim WHERE DELETED=0), p AS (SELECT unnest(['P166','P585','P805']) AS ID_PROPERTY), q AS (SELECT * FROM kg_qualifier),
+       m AS (SELECT ID_STATEMENT, ID_STATEMENT + 1 AS r FROM kg_claim WHERE VALUE_TYPE='item' AND l_quantity::INT % 2 = 0)
+       SELECT 'statement to property' AS FK, count(*) AS N FROM st WHERE ID_PROPERTY NOT IN (SELECT ID_PROPERTY FROM p)
+       UNION ALL SELECT 'value to statement', count(*) FROM kg_claim WHERE ID_STATEMENT NOT IN (SELECT ID_STATEMENT FROM st)
+       UNION ALL SELECT 'qualifier to statement', count(*) FROM q WHERE ID_STATEMENT NOT IN (SELECT ID_STATEMENT FROM st)
+       UNION ALL SELECT 'qualifier to property', count(*) FROM q WHERE ID_QUALIFIER_PROPERTY NOT IN (SELECT ID_PROPERTY FROM p)
+       UNION ALL SELECT 'media to statement', count(*) FROM m WHERE ID_STATEMENT NOT IN (SELECT ID_STATEMENT FROM st)
+       UNION ALL SELECT 'url to resource', count(*) FROM kg_claim WHERE VALUE_TYPE='item' AND ID_STATEMENT + 1 NOT IN (SELECT r FROM m)""",
+)
+def check_named_foreign_keys(d):
+    """Live claims are the statements; items of even quantity have a resource, all items an address."""
+    item = d.kg_claim.filter(c("VALUE_TYPE") == "item").withColumn("ID_MEDIA_RESOURCE", c("ID_STATEMENT") + 1)
+    return checks.check_foreign_keys(
+        {
+            "STATEMENT": d.kg_claim.filter(c("DELETED") == 0).select("ID_STATEMENT", "ID_PROPERTY"),
+            "PROPERTY_METADATA": d.spark.createDataFrame([("P166",), ("P585",), ("P805",)], "ID_PROPERTY string"),
+            "VALUE": d.kg_claim.select("ID_STATEMENT"),
+            "STATEMENT_QUALIFIER": d.kg_qualifier.select("ID_STATEMENT", "ID_QUALIFIER_PROPERTY"),
+            "MEDIA_RESOURCE": item.filter(c("l_quantity").cast("int") % 2 == 0).select("ID_STATEMENT", "ID_MEDIA_RESOURCE"),
+            "MEDIA_RESOURCE_URL": item.select("ID_MEDIA_RESOURCE"),
+        }
+    )
+
+
 @query("check_unique", "SELECT l_orderkey, l_linenumber, count(*) AS N FROM lineitem GROUP BY 1,2 HAVING count(*)>1")
 def check_unique(d):
     return checks.check_unique(d.lineitem, ["l_orderkey", "l_linenumber"])

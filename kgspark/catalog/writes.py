@@ -109,11 +109,13 @@ def prune_older(d):
 
 @query(
     "prune_cascade",
-    """WITH s AS (SELECT ID_STATEMENT, VALUE_TYPE, CASE WHEN DELETED=0 THEN IMPORT_BATCH_ID END AS b FROM kg_statement), gone AS (SELECT ID_STATEMENT FROM s WHERE b < 'batch_1998')
+    """WITH s AS (SELECT ID_STATEMENT, VALUE_TYPE, CASE WHEN DELETED=0 THEN IMPORT_BATCH_ID END AS b FROM kg_statement), gone AS (SELECT ID_STATEMENT FROM s WHERE b < 'batch_1998'),
+       m AS (SELECT ID_STATEMENT, l_quantity::INT % 3 = 1 AS odd FROM kg_statement WHERE VALUE_TYPE='item' AND l_quantity::INT % 2 = 0 AND ID_STATEMENT NOT IN (SELECT ID_STATEMENT FROM gone))
        SELECT 'statements' AS TABLE_NAME, count(*) AS N FROM s WHERE ID_STATEMENT NOT IN (SELECT ID_STATEMENT FROM gone)
        UNION ALL SELECT 'item values', count(*) FROM s WHERE VALUE_TYPE='item' AND ID_STATEMENT NOT IN (SELECT ID_STATEMENT FROM gone)
        UNION ALL SELECT 'qualifiers', count(*) FROM kg_qualifier WHERE ID_STATEMENT NOT IN (SELECT ID_STATEMENT FROM gone)
        UNION ALL SELECT 'qualifier items', count(*) FROM kg_qualifier WHERE VALUE_TYPE='item' AND ID_STATEMENT NOT IN (SELECT ID_STATEMENT FROM gone)
+       UNION ALL SELECT 'media', count(*) FROM m UNION ALL SELECT 'media urls', 2*count(*) FROM m UNION ALL SELECT 'media checks', count(*) FROM m WHERE NOT odd
        UNION ALL SELECT 'subclass', count(*) FROM orders WHERE year(o_orderdate) >= 1998""",
 )
 def prune_cascade(d):
@@ -122,9 +124,15 @@ def prune_cascade(d):
     stmts = maybe_batch(d)
     quals = d.kg_qualifier.withColumn("IMPORT_BATCH_ID", F.lit(None).cast("string"))
     edges = d.orders.select(F.concat(F.lit("batch_"), F.year("o_orderdate").cast("string")).alias("IMPORT_BATCH_ID"))
+    # A resource per item statement, of an old batch of its own for odd quantities; two addresses and a check below each.
+    whole = c("l_quantity").cast("int")
+    resource = d.kg_statement.filter(c("VALUE_TYPE") == "item").withColumn("ID_MEDIA_RESOURCE", c("ID_STATEMENT") + 1)
+    media = resource.select("ID_STATEMENT", "ID_MEDIA_RESOURCE", F.when(whole % 2 == 1, "batch_1990").alias("IMPORT_BATCH_ID"))
+    urls = resource.select("ID_MEDIA_RESOURCE", F.explode(F.array(F.lit("page"), F.lit("file"))).alias("URL_KIND"))
+    verdicts = resource.select("ID_MEDIA_RESOURCE", F.when(whole % 3 == 1, "batch_1991").alias("IMPORT_BATCH_ID"))
     out = merge.prune_cascade(
         stmts, {"item": stmts.filter(c("VALUE_TYPE") == "item")}, quals, {"item": quals.filter(c("VALUE_TYPE") == "item")},
-        stmts.select("ID_STATEMENT"), edges, "batch_1998",
+        media, edges, "batch_1998", urls, verdicts,
     )
     return table_counts(
         {
@@ -132,6 +140,9 @@ def prune_cascade(d):
             "item values": out["values"]["item"],
             "qualifiers": out["qualifiers"],
             "qualifier items": out["qualifier_values"]["item"],
+            "media": out["media"],
+            "media urls": out["media_urls"],
+            "media checks": out["media_checks"],
             "subclass": out["subclass"],
         }
     )

@@ -28,7 +28,8 @@ def qualifier_pivot(stmts: DataFrame, quals: DataFrame, columns: dict[str, tuple
     """Left join one qualifier property per new column: {name: (property, value column)}.
 
     The property filter is part of each right side, so statements without the
-    qualifier stay; several values of one property fan out, as they must.
+    qualifier stay; several values of one property fan out, as they must. For a few
+    chosen statements pass ``quals`` through ``qualifiers_of`` first.
     """
     out = stmts
     for name, (prop, value) in columns.items():
@@ -37,6 +38,16 @@ def qualifier_pivot(stmts: DataFrame, quals: DataFrame, columns: dict[str, tuple
     return out
 
 
+def qualifiers_of(quals: DataFrame, stmts: DataFrame, properties: Sequence[str] | None = None) -> DataFrame:
+    """The qualifiers of the given statements: the large table is filtered where it lies.
+
+    The statements of one subject or award are few, so their ids travel to the
+    qualifiers (by broadcast, if Spark finds them small) and not the other way round.
+    """
+    wanted = quals if properties is None else quals.filter(F.col("ID_QUALIFIER_PROPERTY").isin(*properties))
+    return wanted.join(stmts.select("ID_STATEMENT").distinct(), "ID_STATEMENT", "left_semi")
+
+
 def members_of(facts: DataFrame, family: str, prop: str = INSTANCE_OF) -> DataFrame:
     """Distinct subjects of item statements (prop -> family)."""
     return facts.filter((F.col("ID_PROPERTY") == prop) & (F.col("ID_ITEM") == family)).select("ID_WIKIDATA").distinct()
@@ -52,9 +63,10 @@ def _of(stmts: DataFrame, subjects: Sequence[str] | None) -> DataFrame:
 
 def awards_all(stmts: DataFrame, quals: DataFrame, labels: DataFrame, subjects: Sequence[str] | None = None, prop: str = AWARD, work: str = "MOVIE", ceremony: Sequence[str] = ("ITEM", "SERIE")) -> DataFrame:
     """Awards with year, work and ceremony, for all subjects or the given ones."""
+    chosen = _of(_won(stmts, prop), subjects).select("ID_STATEMENT", "ID_WIKIDATA", "ID_ITEM")
     wide = qualifier_pivot(
-        _of(_won(stmts, prop), subjects).select("ID_STATEMENT", "ID_WIKIDATA", "ID_ITEM"),
-        quals,
+        chosen,
+        quals if subjects is None else qualifiers_of(quals, chosen, [POINT_IN_TIME, FOR_WORK, CEREMONY]),
         {"YEAR": (POINT_IN_TIME, "YEAR_VALUE"), "_work": (FOR_WORK, "ID_ITEM"), "_ceremony": (CEREMONY, "ID_ITEM")},
     )
     return (
@@ -133,7 +145,7 @@ def multi_winners(stmts: DataFrame, facts: DataFrame, labels: DataFrame, family:
 def laureates(stmts: DataFrame, quals: DataFrame, labels: DataFrame, award: str, top: int = 40) -> DataFrame:
     """Who received an award, latest first; films, persons and items may."""
     won = _won(stmts).filter(F.col("ID_ITEM") == award).select("ID_STATEMENT", "ID_WIKIDATA")
-    dated = qualifier_pivot(won, quals, {"YEAR": (POINT_IN_TIME, "YEAR_VALUE")})
+    dated = qualifier_pivot(won, qualifiers_of(quals, won, [POINT_IN_TIME]), {"YEAR": (POINT_IN_TIME, "YEAR_VALUE")})
     named = dated.join(labels_of(labels, ["MOVIE", "PERSON", "ITEM"], "ID_WIKIDATA", "_label"), "ID_WIKIDATA", "left")
     return (
         named.select("ID_STATEMENT", "YEAR", F.coalesce("_label", "ID_WIKIDATA").alias("LAUREATE"))
@@ -149,7 +161,8 @@ def awards_around_work(stmts: DataFrame, quals: DataFrame, labels: DataFrame, wo
     credited = quals.filter((F.col("ID_QUALIFIER_PROPERTY") == FOR_WORK) & (F.col("ID_ITEM") == work)).select("ID_STATEMENT")
     others = _won(stmts, received).select("ID_STATEMENT", "ID_ITEM", "ID_WIKIDATA").join(credited, "ID_STATEMENT")
     others = others.withColumn("SENSE", F.lit("received for the work")).withColumn("_who", F.col("ID_WIKIDATA"))
-    both = qualifier_pivot(own.unionByName(others), quals, {"YEAR": (POINT_IN_TIME, "YEAR_VALUE")})
+    both = own.unionByName(others)
+    both = qualifier_pivot(both, qualifiers_of(quals, both, [POINT_IN_TIME]), {"YEAR": (POINT_IN_TIME, "YEAR_VALUE")})
     return (
         both.join(labels_of(labels, ["ITEM"], "ID_ITEM", "_award"), "ID_ITEM", "left")
         .join(labels_of(labels, ["PERSON"], "_who", "_name"), "_who", "left")

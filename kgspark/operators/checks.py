@@ -49,6 +49,30 @@ def check_foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_c
     return child.filter(F.col(column).isNotNull()).join(known, column, "left_anti")
 
 
+#: The relations of the data model, as child column and parent column by tables.
+FOREIGN_KEYS = {
+    "statement to property": ("STATEMENT", "ID_PROPERTY", "PROPERTY_METADATA", "ID_PROPERTY"),
+    "value to statement": ("VALUE", "ID_STATEMENT", "STATEMENT", "ID_STATEMENT"),
+    "qualifier to statement": ("STATEMENT_QUALIFIER", "ID_STATEMENT", "STATEMENT", "ID_STATEMENT"),
+    "qualifier to property": ("STATEMENT_QUALIFIER", "ID_QUALIFIER_PROPERTY", "PROPERTY_METADATA", "ID_PROPERTY"),
+    "media to statement": ("MEDIA_RESOURCE", "ID_STATEMENT", "STATEMENT", "ID_STATEMENT"),
+    "url to resource": ("MEDIA_RESOURCE_URL", "ID_MEDIA_RESOURCE", "MEDIA_RESOURCE", "ID_MEDIA_RESOURCE"),
+}
+
+
+def check_foreign_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(FK, N): rows without their parent, by relation, for the relations whose tables are given."""
+    out = None
+    for name, (child, column, parent, parent_column) in FOREIGN_KEYS.items():
+        if child in tables and parent in tables:
+            lost = check_foreign_key(tables[child], column, tables[parent], parent_column)
+            part = lost.agg(F.count(F.lit(1)).alias("N")).select(F.lit(name).alias("FK"), "N")
+            out = part if out is None else out.union(part)
+    if out is None:
+        raise ValueError("no relation has both its tables")
+    return out
+
+
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values used more than once; keys with a NULL part never clash."""
     complete = df.dropna(subset=list(keys))

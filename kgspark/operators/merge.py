@@ -134,24 +134,35 @@ def prune_cascade(
     media: DataFrame,
     subclass: DataFrame,
     batch: str,
+    media_urls: DataFrame | None = None,
+    media_checks: DataFrame | None = None,
 ) -> dict[str, object]:
     """Prune every batch-bound table and what hangs below it; entities stay.
 
-    The ids that go are written once: every table below is filtered by them.
+    The ids that go are written once: every table below is filtered by them. A media
+    resource goes with its own old batch or with its statement; its URL and CHECK rows
+    go with it, a CHECK row with its own old batch too.
     """
     gone = cut(statements.filter(F.col("IMPORT_BATCH_ID") < batch).select("ID_STATEMENT"), "gone")
     # A qualifier goes with its own old batch or with its old statement.
     old_q = qualifiers.filter(F.col("IMPORT_BATCH_ID") < batch).select("ID_STATEMENT_QUALIFIER")
     below = qualifiers.join(gone, "ID_STATEMENT", "left_semi").select("ID_STATEMENT_QUALIFIER")
     gone_q = cut(old_q.union(below).distinct(), "gone-qualifiers")
-    return {
+    old_m = media.filter(F.col("IMPORT_BATCH_ID") < batch).select("ID_MEDIA_RESOURCE")
+    gone_m = cut(old_m.union(media.join(gone, "ID_STATEMENT", "left_semi").select("ID_MEDIA_RESOURCE")).distinct(), "gone-media")
+    below_media = {}
+    if media_urls is not None:
+        below_media["media_urls"] = media_urls.join(gone_m, "ID_MEDIA_RESOURCE", "left_anti")
+    if media_checks is not None:
+        below_media["media_checks"] = prune_older(media_checks, batch).join(gone_m, "ID_MEDIA_RESOURCE", "left_anti")
+    return below_media | {
         "statements": prune_older(statements, batch),
         "values": {k: v.join(gone, "ID_STATEMENT", "left_anti") for k, v in values.items()},
         "qualifiers": qualifiers.join(gone_q, "ID_STATEMENT_QUALIFIER", "left_anti"),
         "qualifier_values": {
             k: v.join(gone_q, "ID_STATEMENT_QUALIFIER", "left_anti") for k, v in qualifier_values.items()
         },
-        "media": media.join(gone, "ID_STATEMENT", "left_anti"),
+        "media": media.join(gone_m, "ID_MEDIA_RESOURCE", "left_anti"),
         "subclass": prune_older(subclass, batch),
     }
 

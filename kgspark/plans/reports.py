@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from kgspark.functions import n
 from kgspark.functions.text import active, external_id_shape, filled, id_bucket, not_deprecated, safe_pct
+from kgspark.operators.awards import qualifiers_of
 from kgspark.operators.joins import existence_flags
 
 ID = "ID_WIKIDATA"
@@ -261,7 +262,7 @@ def qualifier_carriers(stmts: DataFrame, quals: DataFrame, qualifier: str, top:
 def witness(stmts: DataFrame, quals: DataFrame, subject: str) -> DataFrame:
     """All statements of an entity, one row per qualifier (or one without)."""
     mine = stmts.filter(F.col(ID) == subject).select("ID_STATEMENT", "ID_PROPERTY", "VALUE_TEXT")
-    q = quals.select("ID_STATEMENT", "ID_QUALIFIER_PROPERTY", F.col("VALUE_TEXT").alias("QUALIFIER_VALUE"))
+    q = qualifiers_of(quals, mine).select("ID_STATEMENT", "ID_QUALIFIER_PROPERTY", F.col("VALUE_TEXT").alias("QUALIFIER_VALUE"))
     return mine.join(q, "ID_STATEMENT", "left").select("ID_PROPERTY", "VALUE_TEXT", "ID_QUALIFIER_PROPERTY", "QUALIFIER_VALUE")
 
 
