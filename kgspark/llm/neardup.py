@@ -4,20 +4,23 @@ One hash pass fills ``bins`` minima; an empty bin copies the bin that its own fi
 sets get as many independent bins as large ones. ``rows`` neighbouring bins make a band; equal bands make a bucket.
 
 A bucket of n texts proposes n - 1 edges, from a centre to the others. Edges are confirmed on full shingle sets. A second
-star takes as centre the text with most links so far, and for buckets that then still hold texts of different
-components, the edges between those are proposed too: no link that any bucket shows is lost.
+star takes as centre the text with most links so far. Buckets that then still hold texts of different components are
+searched whole, in tiles of bounded size: a small set is compared as it is, a large one by its sketch, and only what may be
+similar enough is proposed. So no link that any bucket shows is lost, and no bucket's pairs are written out.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kgspark.llm.common import cut, keyed_text, map_rows
+from kgspark.llm.common import cut, keyed_text, map_rows, ship
 from kgspark.llm.components import components
 from kgspark.llm.piece_model import Memo
 
@@ -206,28 +209,120 @@ def _links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, s: S
     links = cut(confirmed(tried, docs, id_col, text_col, s), "links")
 
     # Second star: the text with most links is the centre for what its bucket has of other components.
-    live, tried, more = _next(live, links, tried, s, hubs=True)
-    links = cut(links.union(confirmed(more, docs, id_col, text_col, s)), "links")
-    # The rest: edges between different components of a bucket, so that nothing is left untried.
-    live, tried, more = _next(live, links, tried, s, hubs=False)
-    return cut(links.union(confirmed(more, docs, id_col, text_col, s)), "links")
+    rest = _mixed_buckets(live, links, hubs=True)
+    pairs = rest.filter((F.col("component") != F.col("hub.component")) & _close(F.col("n"), F.col("hub.n"), s)).select(
+        F.least("hub.id", "id").alias("u"), F.greatest("hub.id", "id").alias("v")
+    )
+    more = cut(pairs.distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
+    links = _added(links, more, docs, id_col, text_col, s)
+    # The rest: what different components of a bucket may have in common, so that nothing is left untried.
+    rest = _mixed_buckets(rest.select("key", "id", "n"), links, hubs=False)
+    more = cut(_likely(rest, docs, id_col, text_col, s).distinct().join(tried.union(more), ["u", "v"], "left_anti"), "pairs")
+    return _added(links, more, docs, id_col, text_col, s)
+
+
+def _added(links: DataFrame, pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
+    """The links, with those of the pairs that are confirmed."""
+    return links if pairs.isEmpty() else cut(links.union(confirmed(pairs, docs, id_col, text_col, s)), "links")
 
 
-def _next(live: DataFrame, links: DataFrame, tried: DataFrame, s: Settings, hubs: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Buckets that hold several components yet, with them; pairs tried so far; pairs to try."""
-    found = components(links)
-    now = live.select("key", "id", "n").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+def _mixed_buckets(live: DataFrame, links: DataFrame, hubs: bool) -> DataFrame:
+    """The entries of buckets that hold several components yet, with ``component`` and, if asked for, the bucket's ``hub``."""
+    now = live.select("key", "id", "n").join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    best = []
     if hubs:
         degree = links.select(F.col("u").alias("id")).union(links.select("v")).groupBy("id").agg(F.count("*").alias("degree"))
         now = now.join(degree, "id", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+        best = [F.max(F.struct("degree", (-F.col("id")).alias("low"), "id", "n", "component")).alias("hub")]
     now = cut(now, "members")
-    mixed = now.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), *([F.max(F.struct("degree", (-F.col("id")).alias("low"), "id", "n", "component")).alias("hub")] if hubs else [])).filter("a <> b").drop("a", "b")
-    rest = cut(now.join(mixed, "key"), "mixed")
-    if hubs:
-        pairs = rest.filter((F.col("component") != F.col("hub.component")) & _close(F.col("n"), F.col("hub.n"), s)).select(F.col("hub.id").alias("x"), F.col("id").alias("y"))
-    else:
-        other = rest.select("key", F.col("id").alias("y"), F.col("n").alias("m"), F.col("component").alias("of"))
-        pairs = rest.join(other, "key").filter((F.col("component") < F.col("of")) & _close(F.col("n"), F.col("m"), s)).select(F.col("id").alias("x"), "y")
-    pairs = pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
-    pairs = cut(pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
-    return rest.select("key", "id", "n"), tried.union(pairs), pairs
+    mixed = now.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("k"), *best).filter("a <> b")
+    return cut(now.join(mixed.drop("a", "b"), "key"), "mixed")
+
+
+#: Sets up to the first size are compared whole, as 32-bit hashes; those beyond the second have a sketch for it. Bins of a tile's
+#: sketches are 16 bits. A sketch of a similarity of 0.75 shows less than the last number with a probability of 3e-6.
+SMALL, LARGE, TILE, SEEN = 400, 300, 512, 0.64
+
+
+def prints(shingles: np.ndarray, bins: int) -> tuple[bytes | None, bytes | None]:
+    """What stands for a set in a tile: its members, its sketch, or both for sizes that meet either kind."""
+    small = np.unique((shingles >> np.uint64(32)).astype(np.uint32)).tobytes() if len(shingles) <= SMALL else None
+    large = (sketch(shingles, bins) & 0xFFFF).astype(np.uint16).tobytes() if len(shingles) > LARGE else None
+    return small, large
+
+
+def tile_pairs(rows: list[dict], s: Settings) -> list[tuple[int, int]]:
+    """Pairs of a tile's rows, of different components and parts, that may be similar enough."""
+    ids, n, component, part = (np.array([r[k] for r in rows]) for k in ("id", "n", "component", "part"))
+    across = rows[0]["i"] != rows[0]["j"]
+    least = s.similar[0] / s.similar[1]
+    small = n <= SMALL
+    sets = [np.frombuffer(r["small"], dtype=np.uint32) if r["small"] is not None else np.empty(0, np.uint32) for r in rows]
+    names, at = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(rows)), [len(x) for x in sets])
+    bins = np.zeros((len(rows), s.bands * s.rows), dtype=np.uint16)
+    for k, r in enumerate(rows):
+        if r["large"] is not None:
+            bins[k] = np.frombuffer(r["large"], dtype=np.uint16)
+    out = []
+    for a in range(len(rows) - 1):
+        fit = (component != component[a]) & (np.minimum(n, n[a]) >= least * np.maximum(n, n[a]))
+        fit[: a + 1] = False
+        if across:
+            fit &= part != part[a]
+        if not fit.any():
+            continue
+        if small[a] and (one := np.flatnonzero(fit & small)).size:
+            mark = np.zeros(len(names), dtype=bool)
+            mark[at[ends[a] - len(sets[a]) : ends[a]]] = True
+            both = np.bincount(owner[mark[at]], minlength=len(rows))[one]
+            likely = both >= (least - 0.01) * (len(sets[a]) + np.array([len(sets[k]) for k in one]) - both)
+            out += [(a, b) for b in one[likely]]
+        two = np.flatnonzero(fit & ~(small & small[a]))
+        if two.size:
+            out += [(a, b) for b in two[(bins[two] == bins[a]).mean(axis=1) >= SEEN]]
+    return [(int(min(ids[a], ids[b])), int(max(ids[a], ids[b]))) for a, b in out]
+
+
+def _likely(rest: DataFrame, docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
+    """Pairs (u, v) of different components of a bucket that may be similar enough: compared in tiles, not written out."""
+
+    def shown():
+        of_word = word_hashes()
+
+        def apply(batch):
+            both = [prints(shingle_set(x, of_word, s.words), s.bands * s.rows) for x in batch["text"]]
+            return {"id": batch["id"], "small": [x for x, _ in both], "large": [y for _, y in both]}
+
+        return apply
+
+    texts = keyed_text(docs, id_col, text_col).join(rest.select("id").distinct(), "id", "left_semi")
+    shown_sets = cut(map_rows(texts, shown, "id long, small binary, large binary").dropDuplicates(["id"]), "prints")
+    parts = F.ceil(F.col("k") / TILE).cast("int")
+    mine = F.pmod(F.xxhash64("id"), parts).cast("int")
+    other = F.explode(F.sequence(F.lit(0), parts - 1))
+    tiles = rest.select("key", "id", "n", "component", mine.alias("part"), other.alias("other")).select(
+        "key", "id", "n", "component", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")
+    )
+    tiles = tiles.join(shown_sets, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []  # a tile's rows: two parts of a bucket at most
+
+        def found(rows):
+            return tile_pairs(rows, s) if len(rows) > 1 else []
+
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                if held and (held[0]["key"], held[0]["i"], held[0]["j"]) != (row["key"], row["i"], row["j"]):
+                    out += found(held)
+                    held = []
+                held.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["u", "v"])
+        out = found(held)
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+    ship(rest.sparkSession)
+    return tiles.mapInArrow(pairs, "u long, v long")
