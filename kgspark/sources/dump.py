@@ -50,15 +50,16 @@ def top_level_id(line: Column) -> Column:
 def idgate(lines: DataFrame, ids: DataFrame) -> DataFrame:
     """Keep lines worth parsing: wanted items, all properties, unreadable starts.
 
-    ``ids`` has one column of wanted ids. One pass over the dump: the key is cut out of
-    the raw text once, and a left join on it flags the wanted lines. Lines that are not
-    gated have no key, so they pass without meeting the id side.
+    ``ids`` has one column of wanted ids. The key is cut out of the raw text. Lines that
+    are not gated have no key and go round the join; the others meet the ids in a semi
+    join, for which Spark can push a Bloom filter of the ids below the exchange, so that
+    with a large id set unwanted text is dropped before it is shuffled.
     """
-    wanted = ids.select(F.col(ids.columns[0]).alias("_id"), F.lit(True).alias("_wanted")).distinct()
+    wanted = ids.select(F.col(ids.columns[0]).alias("_id")).distinct()
     item_id = F.when(F.col("_top").startswith("Q"), F.col("_top"))
     keyed = once(lines.select("value"), _top=top_level_id(F.col("value"))).withColumn("_id", item_id)
-    flagged = keyed.join(wanted, "_id", "left")
-    return flagged.filter(F.col("_id").isNull() | F.col("_wanted")).select("value")
+    gated = keyed.filter(F.col("_id").isNotNull()).join(wanted, "_id", "left_semi")
+    return gated.select("value").union(keyed.filter(F.col("_id").isNull()).select("value"))
 
 
 def parse_marked(lines: DataFrame, fields: Sequence[str] = tuple(ENTITY_FIELDS)) -> DataFrame:
