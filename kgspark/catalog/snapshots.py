@@ -324,3 +324,21 @@ def snapshot_skips_dead_ids(d):
     )
     tables = sn.snapshot_entity(d.movie_payload, "movie", merge.not_found_ledger(gone), F.lit("2024-01-02 00:00:00").cast("timestamp"))
     return tables["MOVIE"].select("ID_MOVIE")
+
+
+@query(
+    "snapshot_newest_payload",
+    """SELECT doc_id AS ID_MOVIE, left('again '||source,250) AS TITLE FROM documents WHERE lang<>'de' AND lang<>'es'
+       UNION ALL SELECT doc_id, left(text,250) FROM documents WHERE lang='es'""",
+)
+def snapshot_newest_payload(d):
+    """A second, later fetch of each film but the Spanish ones: a new title, or for German ones the answer that it is gone."""
+    body = F.when(c("lang") == "de", F.lit('{"status_code":34}')).otherwise(F.to_json(F.struct(c("doc_id").alias("id"), F.concat(F.lit("again "), c("source")).alias("title"))))
+    later = d.documents.filter(c("lang") != "es").select(
+        F.lit("movie").alias("entity"), c("doc_id").alias("id"), F.lit("details").alias("endpoint"), F.lit("en").alias("lang"), F.lit("2024-02-02 00:00:00").alias("fetched_at"), body.alias("payload")
+    )
+    no_ledger = merge.not_found_ledger(
+        d.events.filter(F.lit(False)).select(F.lit("movie").alias("ENTITY_TYPE"), c("user_id").alias("ID_ENTITY"), c("ts").alias("TS"), c("event_id").alias("SEQ"), F.lit("gone").alias("OUTCOME"))
+    )
+    tables = sn.snapshot_entity(d.movie_payload.unionByName(later), "movie", no_ledger, F.lit("2024-03-01 00:00:00").cast("timestamp"))
+    return tables["MOVIE"].select("ID_MOVIE", "TITLE")

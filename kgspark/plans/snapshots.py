@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from kgspark.functions import once
 from kgspark.functions.text import valid_iso_date
 from kgspark.operators import merge
-from kgspark.operators.ranking import pinned_order
+from kgspark.operators.ranking import latest_wins, pinned_order
+from kgspark.session import cut
 
 # Monetization modes, in storage order.
 MODES = ("flatrate", "free", "ads", "rent", "buy")
@@ -77,10 +78,27 @@ def listed(items: Column) -> Column:
     )
 
 
+def with_fields(payloads: DataFrame) -> DataFrame:
+    """Payloads with their top-level fields as raw texts in ``m``: the one parse of each."""
+    return once(payloads, m=F.from_json("payload", "MAP<STRING, STRING>"))
+
+
+# Kinds whose payload rows share the id of their series or list, and the fields that tell them apart.
+NUMBERED = {"season": ("season_number",), "episode": ("season_number", "episode_number"), "list": ("page",)}
+
+
+def newest(payloads: DataFrame, kind: str) -> DataFrame:
+    """The latest fetch of each (entity, id, endpoint, language), of seasons, episodes and list pages by their
+    numbers too; equal times are settled by the text."""
+    numbers = {f"_{k}": F.get_json_object("payload", f"$.{k}") for k in NUMBERED.get(kind, ())}
+    keyed = payloads.withColumns(numbers) if numbers else payloads
+    return latest_wins(keyed, ["entity", "id", "endpoint", "lang", *numbers], ["fetched_at", "payload"]).drop(*numbers)
+
+
 def documents(payloads: DataFrame, entity: str, endpoint: str) -> DataFrame:
     """Usable payloads of one endpoint with their top-level fields in ``m``."""
     mine = payloads.filter((F.col("entity") == entity) & (F.col("endpoint") == endpoint))
-    parsed = once(mine, m=F.from_json("payload", "MAP<STRING, STRING>"))
+    parsed = mine if "m" in payloads.columns else with_fields(mine)
     status = F.coalesce(F.try_element_at("m", F.lit("status_code")).try_cast("int"), F.lit(0))
     return parsed.filter(F.col("m").isNotNull() & (status <= 1))
 
@@ -762,12 +780,18 @@ def episode_refresh_selection(refreshed: DataFrame, local: DataFrame, latest: Da
 def snapshot_entity(payloads: DataFrame, kind: str, ledger: DataFrame, now: Column) -> dict[str, DataFrame]:
     """Every table of one entity kind from its payloads.
 
-    Ids inside a retry window are skipped, and nothing is flattened for an id whose
-    details payload is not usable: the rest of the chain depends on it.
+    Of several fetches the newest counts. Ids inside a retry window are skipped, and
+    nothing is flattened for an id whose newest details answer is not usable ("gone"
+    or an error): the rest of the chain depends on it. The payloads that remain are
+    parsed once and written; all tables read that.
     """
     waiting = merge.in_retry_window(ledger.filter(F.col("ENTITY_TYPE") == kind), now).select(F.col("ID_ENTITY").alias("id"))
-    ok = documents(payloads, kind, "details").select("id").distinct().join(waiting, "id", "left_anti")
-    mine = payloads.filter(F.col("entity") == kind).join(ok, "id", "left_semi")
+    latest = newest(payloads.filter(F.col("entity") == kind), kind)
+    answers = latest.filter(F.col("endpoint") == ("page" if kind == "list" else "details")).select("id", "fetched_at", "payload")
+    if kind not in NUMBERED:  # an answer without numbers says nothing about the other seasons, episodes or pages of its id
+        answers = latest_wins(answers, ["id"], ["fetched_at", "payload"])
+    ok = answers.filter(merge.fetch_outcome(F.col("payload")) == "ok").select("id").distinct().join(waiting, "id", "left_anti")
+    mine = cut(with_fields(latest.join(ok, "id", "left_semi")), "payloads")
     if kind == "movie":
         dated, _ = validated(mine, kind, "release_dates", valid_release_dates)
         watch, _ = validated(mine, kind, "watch_providers", valid_watch_providers)
@@ -811,7 +835,22 @@ def snapshot_entity(payloads: DataFrame, kind: str, ledger: DataFrame, now: Colu
             "EPISODE": episode_rows(mine),
             "PERSON_SEASON": season_credits(mine),
             "PERSON_EPISODE": episode_credits(mine, "season"),
+            "SEASON_LANG": localized(mine.filter(F.col("lang") == "fr"), kind),
+            "SEASON_IMAGE": images(mine, kind),
+            "SEASON_VIDEO": videos(mine, kind),
         }
     if kind == "episode":
-        return {"PERSON_EPISODE": episode_credits(mine), "EPISODE_IMAGE": images(mine, kind), "EPISODE_VIDEO": videos(mine, kind)}
-    return {kind.upper(): simple_details(mine, kind), f"{kind.upper()}_IMAGE": images(mine, kind)}
+        return {
+            "PERSON_EPISODE": episode_credits(mine),
+            "EPISODE_LANG": localized(mine.filter(F.col("lang") == "fr"), kind),
+            "EPISODE_IMAGE": images(mine, kind, main_type="still"),
+            "EPISODE_VIDEO": videos(mine, kind),
+        }
+    if kind == "list":
+        return {"LIST_MEMBER": list_members(mine)}
+    tables = {kind.upper(): simple_details(mine.filter(F.col("lang") == "en") if kind == "collection" else mine, kind)}
+    if kind == "collection":
+        tables["COLLECTION_LANG"] = localized(mine.filter(F.col("lang") == "fr"), kind)
+    if kind != "keyword":
+        tables[f"{kind.upper()}_IMAGE"] = images(mine, kind)
+    return tables
