@@ -8,6 +8,8 @@ partitions and joined by one total a partition. The stream's end is cut at power
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -19,69 +21,63 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.llm.common import cut, map_rows, ship, text_or_empty
+from kgspark.llm.piece_model import Memo
 
 #: The id that ends each document, and a sequence's size (fixed values of the contract).
 END_ID, SIZE = 1, 2048
 HASHED, DIMENSIONS, BITS = 256, 4, 15
 
 
+@lru_cache(maxsize=1)
+def _byte_alphabet() -> dict[int, str]:
+    """How byte-level vocabularies write bytes: printable ones as themselves, the others as the code points from 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class WordIds:
     """Ids of whole texts from the ids of their words: for this kind of vocabulary no token reaches across a blank.
 
-    Words not seen before are encoded by the tokenizer in one go, with its start sign between them.
+    A word of plain Latin letters, with or without marks behind it, goes straight to the tokenizer's merges, in lower case
+    and in its byte alphabet; any other word goes through the whole tokenizer.
     """
 
+    #: Letters that normalising only lower-cases, and marks that are a token run of their own.
+    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿŒœ]+)([.,;:!?|]*)")
+
     def __init__(self, path: str, memo: int = 500_000):
         from tokenizers import Tokenizer
 
         self.coder = Tokenizer.from_file(path)
-        kinds = self.coder.get_added_tokens_decoder()
-        self.sign_id, self.sign = next((i, t.content) for i, t in sorted(kinds.items()) if not any(c.isspace() for c in t.content))
-        # A blank is a hard end if the tokenizer drops it and puts words on either side together unchanged.
+        self.letters = _byte_alphabet()
+        self.of_word, self.of_stem, self.of_marks = Memo(self._word, memo), Memo(self._stem, memo // 2), Memo(self._whole, 10_000)
+        # Blanks must be hard ends, and the short way must give what the long one gives.
         probe = ["Word", "it's", "x.y", "1st"]
-        if self._one(" ".join(probe)) != b"".join(map(self._one, probe)):
+        if self._whole(" ".join(probe)) != b"".join(map(self._whole, probe)):
             raise ValueError("needs a vocabulary whose tokens end at blanks")
-        self.known: dict[str, bytes] = {"": b""}
-        self.memo = memo
-
-    def _one(self, word: str) -> bytes:
-        return np.array(self.coder.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self.sign not in w]
-        for at in range(0, len(plain), 2000):
-            some = plain[at : at + 2000]
-            ids = np.array(self.coder.encode(f" {self.sign} ".join(some), add_special_tokens=False).ids, dtype="<u4")
-            ends = np.flatnonzero(ids == self.sign_id)
-            if len(ends) != len(some) - 1:
-                raise ValueError("the sign between words was lost")
-            raw, a = ids.tobytes(), 0
-            for word, b in zip(some, [*(4 * ends).tolist(), len(raw)], strict=True):
-                self.known[word] = raw[a:b]
-                a = b + 4
-        for word in words:
-            if self.sign in word:
-                self.known[word] = self._one(word)
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids, texts of about a megabyte at a time."""
-        out: list[bytes] = []
-        at = 0
-        while at < len(texts):
-            to, size = at, 0
-            while to < len(texts) and (to == at or size + len(texts[to]) < 1 << 20):
-                size += len(texts[to])
-                to += 1
-            split = [t.replace("\n", " ").split(" ") for t in texts[at:to]]
-            new = {w for words in split for w in words}.difference(self.known)
-            if len(self.known) + len(new) > self.memo:
-                self.known = {"": b""}
-                new = {w for words in split for w in words} - {""}
-            self._learn(list(new))
-            of = self.known.__getitem__
-            out.extend(b"".join(map(of, words)) for words in split)
-            at = to
-        return out
+        some = ("Word", "été", "STRASSE", "größe", "Œuvre", "x" * 40)
+        self.short = all(self._stem(w.lower()) == self._whole(w) for w in some) and self._whole("Größe,.") == self._stem("größe") + self._whole(",.")
+
+    def _whole(self, text: str) -> bytes:
+        return _packed(self.coder.encode(text, add_special_tokens=False).ids)
+
+    def _stem(self, word: str) -> bytes:
+        shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return _packed([t.id for t in self.coder.model.tokenize(shown)])
+
+    def _word(self, word: str) -> bytes:
+        if self.short and (m := self.PLAIN.fullmatch(word)):
+            return self.of_stem[m[1].lower()] + (self.of_marks[m[2]] if m[2] else b"")
+        return self._whole(word)
+
+    def ids(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids."""
+        return b"".join(map(self.of_word.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
@@ -150,8 +146,7 @@ def packed(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int =
         words = WordIds(tokenizer_path)
 
         def apply(batch):
-            ids = words.ids(batch["text"])
-            arrays = [np.frombuffer(x, dtype="<u4") for x in ids]
+            arrays = [np.frombuffer(words.ids(x), dtype="<u4") for x in batch["text"]]
             places = np.stack([project(x) for x in arrays])
             grid = np.clip((places / 12.0 + 0.5) * (1 << BITS), 0, (1 << BITS) - 1)
             return {
