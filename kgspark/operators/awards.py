@@ -48,6 +48,15 @@ def qualifiers_of(quals: DataFrame, stmts: DataFrame, properties: Sequence[str]
     return wanted.join(stmts.select("ID_STATEMENT").distinct(), "ID_STATEMENT", "left_semi")
 
 
+def left_lookup(rows: DataFrame, side: DataFrame, key: str, salt: str = "ID_STATEMENT") -> DataFrame:
+    """Left join on a key that is often NULL: each NULL gets a key of its own that matches nothing.
+
+    So rows without a key are dealt out evenly instead of meeting in one partition.
+    """
+    dealt = F.coalesce(F.col(key), F.concat(F.lit("#"), F.col(salt).cast("string")))
+    return rows.withColumn("_key", dealt).join(side.withColumnRenamed(key, "_key"), "_key", "left").drop("_key")
+
+
 def members_of(facts: DataFrame, family: str, prop: str = INSTANCE_OF) -> DataFrame:
     """Distinct subjects of item statements (prop -> family)."""
     return facts.filter((F.col("ID_PROPERTY") == prop) & (F.col("ID_ITEM") == family)).select("ID_WIKIDATA").distinct()
@@ -69,17 +78,15 @@ def awards_all(stmts: DataFrame, quals: DataFrame, labels: DataFrame, subjects:
         quals if subjects is None else qualifiers_of(quals, chosen, [POINT_IN_TIME, FOR_WORK, CEREMONY]),
         {"YEAR": (POINT_IN_TIME, "YEAR_VALUE"), "_work": (FOR_WORK, "ID_ITEM"), "_ceremony": (CEREMONY, "ID_ITEM")},
     )
-    return (
-        wide.join(labels_of(labels, ["ITEM"], "ID_ITEM", "_award_label"), "ID_ITEM", "left")
-        .join(labels_of(labels, [work], "_work", "_work_label"), "_work", "left")
-        .join(labels_of(labels, ceremony, "_ceremony", "_ceremony_label"), "_ceremony", "left")
-        .select(
-            "ID_WIKIDATA",
-            F.coalesce("_award_label", "ID_ITEM").alias("AWARD"),
-            "YEAR",
-            F.coalesce("_work_label", "_work").alias("FOR_WORK"),
-            F.coalesce("_ceremony_label", "_ceremony").alias("CEREMONY"),
-        )
+    named = wide.join(labels_of(labels, ["ITEM"], "ID_ITEM", "_award_label"), "ID_ITEM", "left")
+    named = left_lookup(named, labels_of(labels, [work], "_work", "_work_label"), "_work")
+    named = left_lookup(named, labels_of(labels, ceremony, "_ceremony", "_ceremony_label"), "_ceremony")
+    return named.select(
+        "ID_WIKIDATA",
+        F.coalesce("_award_label", "ID_ITEM").alias("AWARD"),
+        "YEAR",
+        F.coalesce("_work_label", "_work").alias("FOR_WORK"),
+        F.coalesce("_ceremony_label", "_ceremony").alias("CEREMONY"),
     )
 
 
@@ -163,11 +170,9 @@ def awards_around_work(stmts: DataFrame, quals: DataFrame, labels: DataFrame, wo
     others = others.withColumn("SENSE", F.lit("received for the work")).withColumn("_who", F.col("ID_WIKIDATA"))
     both = own.unionByName(others)
     both = qualifier_pivot(both, qualifiers_of(quals, both, [POINT_IN_TIME]), {"YEAR": (POINT_IN_TIME, "YEAR_VALUE")})
-    return (
-        both.join(labels_of(labels, ["ITEM"], "ID_ITEM", "_award"), "ID_ITEM", "left")
-        .join(labels_of(labels, ["PERSON"], "_who", "_name"), "_who", "left")
-        .select("SENSE", F.coalesce("_award", "ID_ITEM").alias("AWARD"), "YEAR", F.coalesce("_name", "_who").alias("LAUREATE"))
-    )
+    named = both.join(labels_of(labels, ["ITEM"], "ID_ITEM", "_award"), "ID_ITEM", "left")
+    named = left_lookup(named, labels_of(labels, ["PERSON"], "_who", "_name"), "_who")
+    return named.select("SENSE", F.coalesce("_award", "ID_ITEM").alias("AWARD"), "YEAR", F.coalesce("_name", "_who").alias("LAUREATE"))
 
 
 def nominated_not_won(stmts: DataFrame, quals: DataFrame, labels: DataFrame, subjects: Sequence[str] | None = None, work: str = "MOVIE") -> DataFrame:
@@ -176,11 +181,9 @@ def nominated_not_won(stmts: DataFrame, quals: DataFrame, labels: DataFrame, sub
     lost = _of(_won(stmts, NOMINATION), subjects).select("ID_STATEMENT", "ID_WIKIDATA", "ID_ITEM")
     lost = lost.join(won, ["ID_WIKIDATA", "ID_ITEM"], "left_anti")
     wide = qualifier_pivot(lost, quals, {"YEAR": (POINT_IN_TIME, "YEAR_VALUE"), "_work": (FOR_WORK, "ID_ITEM")})
-    return (
-        wide.join(labels_of(labels, ["ITEM"], "ID_ITEM", "_award"), "ID_ITEM", "left")
-        .join(labels_of(labels, [work], "_work", "_work_label"), "_work", "left")
-        .select("ID_WIKIDATA", F.coalesce("_award", "ID_ITEM").alias("NOMINATED_FOR"), "YEAR", F.coalesce("_work_label", "_work").alias("FOR_WORK"))
-    )
+    named = wide.join(labels_of(labels, ["ITEM"], "ID_ITEM", "_award"), "ID_ITEM", "left")
+    named = left_lookup(named, labels_of(labels, [work], "_work", "_work_label"), "_work")
+    return named.select("ID_WIKIDATA", F.coalesce("_award", "ID_ITEM").alias("NOMINATED_FOR"), "YEAR", F.coalesce("_work_label", "_work").alias("FOR_WORK"))
 
 
 def recent_awards(stmts: DataFrame, quals: DataFrame, labels: DataFrame, first: int, last: int, top: int, work: str = "MOVIE", person: str = "PERSON") -> DataFrame:
@@ -207,6 +210,6 @@ def entity_facts(stmts: DataFrame, labels: DataFrame, subjects: Sequence[str] |
     ``stmts`` carries the wide value columns ID_ITEM and VALUE_TEXT.
     """
     live = _of(stmts, subjects).filter((F.coalesce("DELETED", F.lit(0)) == 0) & (F.col("RANK").isNull() | (F.col("RANK") != "deprecated")))
-    return live.join(labels_of(labels, ["ITEM", "MOVIE", "PERSON", "SERIE"], "ID_ITEM", "TARGET_LABEL"), "ID_ITEM", "left").select(
+    return left_lookup(live, labels_of(labels, ["ITEM", "MOVIE", "PERSON", "SERIE"], "ID_ITEM", "TARGET_LABEL"), "ID_ITEM").select(
         "ID_WIKIDATA", "ID_PROPERTY", "VALUE_TYPE", "VALUE_TEXT", "TARGET_LABEL", "RANK"
     )
