@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from kgspark.session import cut
 
+STRETCH = 4 << 20
+
 __all__ = ["cut", "table", "text_or_empty", "keyed_text", "map_rows", "ship"]
 
 
@@ -37,11 +39,19 @@ def ship(spark: SparkSession) -> None:
         known["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+def stretches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``STRETCH`` bytes and one row at least."""
+    n = batch.num_rows
+    step = max(1, min(n, STRETCH * n // max(1, batch.nbytes)))
+    for at in range(0, n, step):
+        yield batch.slice(at, step)
+
+
 def map_rows(df: DataFrame, rows: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str) -> DataFrame:
     """Apply ``rows()`` to Arrow batches as lists of Python values by column.
 
-    ``rows`` is called once a task, so that a model is loaded once; a batch is bounded
-    by Spark's own limits on rows and bytes.
+    ``rows`` is called once a task, so that a model is loaded once. Batches are taken in
+    stretches of about ``STRETCH`` bytes, so that what a task holds as Python values is bounded.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -50,7 +60,7 @@ def map_rows(df: DataFrame, rows: Callable[[], Callable[[dict[str, list]], dict[
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = None
-        for batch in batches:
+        for batch in (part for whole in batches for part in stretches(whole)):
             if batch.num_rows:
                 apply = apply or rows()
                 out = apply({name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)})

@@ -46,7 +46,7 @@ class WordIds:
     #: Letters that normalising only lower-cases, and marks that are a token run of their own.
     PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿŒœ]+)([.,;:!?|]*)")
 
-    def __init__(self, path: str, memo: int = 500_000):
+    def __init__(self, path: str, memo: int = 250_000):
         from tokenizers import Tokenizer
 
         self.coder = Tokenizer.from_file(path)
@@ -146,13 +146,14 @@ def packed(docs: DataFrame, tokenizer_path: str, size: int = SIZE, end_id: int =
         words = WordIds(tokenizer_path)
 
         def apply(batch):
-            arrays = [np.frombuffer(words.ids(x), dtype="<u4") for x in batch["text"]]
-            places = np.stack([project(x) for x in arrays])
-            grid = np.clip((places / 12.0 + 0.5) * (1 << BITS), 0, (1 << BITS) - 1)
-            return {
-                "row": batch["row"], "id": batch["id"], "key": hilbert_keys(grid).tolist(), "n": [len(x) + 1 for x in arrays],
-                "ids": [x.astype("<u2").tobytes() if not len(x) or x.max() < 1 << 16 else b"\x00" + x.tobytes() for x in arrays],
-            }
+            places, sizes, kept = [], [], []
+            for text in batch["text"]:
+                ids = np.frombuffer(words.ids(text), dtype="<u4")
+                places.append(project(ids))
+                sizes.append(len(ids) + 1)
+                kept.append(ids.astype("<u2").tobytes() if not len(ids) or ids.max() < 1 << 16 else b"\x00" + ids.tobytes())
+            grid = np.clip((np.stack(places) / 12.0 + 0.5) * (1 << BITS), 0, (1 << BITS) - 1)
+            return {"row": batch["row"], "id": batch["id"], "key": hilbert_keys(grid).tolist(), "n": sizes, "ids": kept}
 
         return apply
 
