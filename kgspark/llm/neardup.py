@@ -134,14 +134,24 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFr
     return map_rows(keyed_text(docs, id_col, text_col), rows, "id long, n long, class binary, keys array<long>")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
-    """Those of the pairs (u, v) that the full sets confirm. Only texts that occur in pairs are turned into sets again."""
-    least, of = s.similar
+def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
+    """The full sets (``id``, ``set``) of the texts with these ids: the one time that texts are read again.
+
+    Both sides grow with the input, so they meet in a sort-merge join at any size.
+    """
 
-    def sets():
+    def rows():
         of_word = word_hashes()
         return lambda batch: {"id": batch["id"], "set": [shingle_set(x, of_word, s.words).tobytes() for x in batch["text"]]}
 
+    texts = keyed_text(docs, id_col, text_col).join(ids.select("id").distinct().hint("merge"), "id", "left_semi")
+    return cut(map_rows(texts.dropDuplicates(["id"]), rows, "id long, set binary"), "sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Those of the pairs (u, v) that the full sets confirm."""
+    least, of = s.similar
+
     def compare():
         def apply(batch):
             out = {"u": [], "v": []}
@@ -158,10 +168,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, s:
 
         return apply
 
-    wanted = pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v"))).distinct()
-    texts = keyed_text(docs, id_col, text_col).join(wanted, "id", "left_semi")
-    found = cut(map_rows(texts, sets, "id long, set binary").dropDuplicates(["id"]), "sets")
-    joined = pairs.join(found.select(F.col("id").alias("v"), F.col("set").alias("set_v")), "v").join(found.select(F.col("id").alias("u"), F.col("set").alias("set_u")), "u")
+    joined = pairs.join(sets.select(F.col("id").alias("v"), F.col("set").alias("set_v")), "v").join(sets.select(F.col("id").alias("u"), F.col("set").alias("set_u")), "u")
     return map_rows(joined.select("u", "v", "set_u", "set_v"), compare, "u long, v long")
 
 
@@ -206,7 +213,9 @@ def _links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, s: S
     live = cut(entries.join(stars, "key"), "buckets")
     first = live.filter((F.col("id") != F.col("centre.id")) & _close(F.col("n"), F.col("centre.n"), s)).select(F.col("centre.id").alias("u"), F.col("id").alias("v")).distinct()
     tried = cut(first, "pairs")
-    links = cut(confirmed(tried, docs, id_col, text_col, s), "links")
+    # Whatever is compared from here on lies in a bucket of two texts at least.
+    sets = full_sets(docs, live, id_col, text_col, s)
+    links = cut(confirmed(tried, sets, s), "links")
 
     # Second star: the text with most links is the centre for what its bucket has of other components.
     rest = _mixed_buckets(live, links, hubs=True)
@@ -214,16 +223,16 @@ def _links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, s: S
         F.least("hub.id", "id").alias("u"), F.greatest("hub.id", "id").alias("v")
     )
     more = cut(pairs.distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
-    links = _added(links, more, docs, id_col, text_col, s)
+    links = _added(links, more, sets, s)
     # The rest: what different components of a bucket may have in common, so that nothing is left untried.
     rest = _mixed_buckets(rest.select("key", "id", "n"), links, hubs=False)
-    more = cut(_likely(rest, docs, id_col, text_col, s).distinct().join(tried.union(more), ["u", "v"], "left_anti"), "pairs")
-    return _added(links, more, docs, id_col, text_col, s)
+    more = cut(_likely(rest, sets, s).distinct().join(tried.union(more), ["u", "v"], "left_anti"), "pairs")
+    return _added(links, more, sets, s)
 
 
-def _added(links: DataFrame, pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
+def _added(links: DataFrame, pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """The links, with those of the pairs that are confirmed."""
-    return links if pairs.isEmpty() else cut(links.union(confirmed(pairs, docs, id_col, text_col, s)), "links")
+    return links if pairs.isEmpty() else cut(links.union(confirmed(pairs, sets, s)), "links")
 
 
 def _mixed_buckets(live: DataFrame, links: DataFrame, hubs: bool) -> DataFrame:
@@ -285,20 +294,17 @@ def tile_pairs(rows: list[dict], s: Settings) -> list[tuple[int, int]]:
     return [(int(min(ids[a], ids[b])), int(max(ids[a], ids[b]))) for a, b in out]
 
 
-def _likely(rest: DataFrame, docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
+def _likely(rest: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """Pairs (u, v) of different components of a bucket that may be similar enough: compared in tiles, not written out."""
 
     def shown():
-        of_word = word_hashes()
-
         def apply(batch):
-            both = [prints(shingle_set(x, of_word, s.words), s.bands * s.rows) for x in batch["text"]]
+            both = [prints(np.frombuffer(x, dtype=np.uint64), s.bands * s.rows) for x in batch["set"]]
             return {"id": batch["id"], "small": [x for x, _ in both], "large": [y for _, y in both]}
 
         return apply
 
-    texts = keyed_text(docs, id_col, text_col).join(rest.select("id").distinct(), "id", "left_semi")
-    shown_sets = cut(map_rows(texts, shown, "id long, small binary, large binary").dropDuplicates(["id"]), "prints")
+    shown_sets = map_rows(sets.join(rest.select("id").distinct(), "id", "left_semi"), shown, "id long, small binary, large binary")
     parts = F.ceil(F.col("k") / TILE).cast("int")
     mine = F.pmod(F.xxhash64("id"), parts).cast("int")
     other = F.explode(F.sequence(F.lit(0), parts - 1))
