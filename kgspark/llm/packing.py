@@ -46,7 +46,7 @@ class WordIds:
     #: Letters that normalising only lower-cases, and marks that are a token run of their own.
     PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿŒœ]+)([.,;:!?|]*)")
 
-    def __init__(self, path: str, memo: int = 250_000):
+    def __init__(self, path: str, memo: int = 350_000):
         from tokenizers import Tokenizer
 
         self.coder = Tokenizer.from_file(path)
