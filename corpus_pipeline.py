@@ -27,10 +27,15 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays; documents without shingles have no group."""
-    found = neardup.near_classes(docs.select("doc_id", "text"))
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti").select(*COLUMNS)
+    """One document of each group of near duplicates stays: that of the smallest id, one without an id only if no other has one.
+
+    Rows are told apart by keys of their own, not by ids. Documents without shingles have no group.
+    """
+    rows = cut(docs.select(F.monotonically_increasing_id().alias("__row"), *COLUMNS), "rows")
+    found = neardup.near_classes(rows.select("__row", "text"), "__row").select("__row", "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "__row")
+    first = rows.select("__row", order.alias("order")).join(found, "__row").groupBy("component_id").agg(F.min("order").alias("first"))
+    return rows.join(first.select("first.__row"), "__row", "left_semi").select(*COLUMNS)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

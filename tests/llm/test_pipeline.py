@@ -30,3 +30,13 @@ def test_odd_rows_pass_all_stages(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.cut(stage(spark, docs, SF), "t")
     assert docs.count() > 0
+
+
+def test_near_copies_are_dropped_row_by_row(spark):
+    copied, other = "a b c d e f g h", "lone words of a text that nothing else is like"
+    rows = [(1, copied), (None, copied.upper()), (None, other), (2, "p q r s t u v w"), (2, f"{copied} a b c d e f g h"), (2, "k l m n o p q"), (3, "P q r s t u v w"), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, None, "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.without_near_copies(spark, docs, SF).collect()]
+    # The second text of id 2 has four more shingles than the first row: 4 of 8 are not similar enough.
+    want = [(1, copied), (None, other), (2, "p q r s t u v w"), (2, f"{copied} a b c d e f g h"), (2, "k l m n o p q"), (None, None), (None, "")]
+    assert sorted(left, key=str) == sorted(want, key=str)
