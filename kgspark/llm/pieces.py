@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,79 +24,76 @@ class StreamingViterbi:
 
     def __init__(self, model: PieceModel):
         self.model = model
-        self.window = ""
-        # Of each boundary since the last settled one: where its best path's last piece starts, that piece's id (-1: bytes), its score.
-        self.back: deque[tuple[int, int, float]] = deque([(0, -1, 0.0)])
-        self.chars: deque[str] = deque()
-        self.base = 0  # the settled boundary
+        self.held = ""  # what stands behind the settled boundary
+        # Of each boundary from the settled one on: where its best path's last piece starts, that piece's id (-1: bytes), its score.
+        self.start, self.piece, self.score = [0], [-1], [0.0]
         self.largest = 0  # boundaries held at most so far
 
     def feed(self, text: str) -> Iterator[int]:
-        step = self._merge_step if self.model.merges else self._score_step
-        for n, char in enumerate(text, 1):
-            self.window = (self.window + char)[-self.model.longest :]
-            self.chars.append(char)
-            self.back.append(step())
-            self.largest = max(self.largest, len(self.back))
-            if n % self.model.longest == 0:
+        step, longest = self._merge_steps if self.model.merges else self._score_steps, self.model.longest
+        for at in range(0, len(text), longest):
+            if len(self.start) > longest:
                 yield from self._settle()
-        yield from self._settle()
-
-    def _merge_step(self) -> tuple[int, int, float]:
-        model, text, end = self.model, self.window, len(self.back)
-        n, size = len(text), len(model.names)
-        for j in range(n - 1, max(-1, n - 1 - end), -1):
-            piece = model.tails.get(text[j:])
-            if piece is None:
-                break
-            start = end - (n - j)
-            if piece >= 0 and model.follows[(self.back[start][1] + 1) * size + piece]:
-                return self.base + start, piece, 0.0
-        return self.base + end - 1, -1, 0.0
-
-    def _score_step(self) -> tuple[int, int, float]:
-        model, text, end = self.model, self.window, len(self.back)
-        n, best = len(text), None
-        for j in range(n):
-            start = end - (n - j)
-            if start < 0:
-                continue
-            piece = model.ids.get(text[j:])
-            if piece is None and j < n - 1:
-                continue
-            score = self.back[start][2] + (model.unknown_score if piece is None else model.scores[text[j:]])
-            if best is None or score > best[2]:
-                best = (self.base + start, -1 if piece is None else piece, score)
-        return best
-
-    def _settle(self) -> Iterator[int]:
+            self.held += text[at : at + longest]
+            step()
+            self.largest = max(self.largest, len(self.start))
+
+    def _merge_steps(self) -> None:
+        text, start, piece = self.held, self.start, self.piece
+        tails, follows, size = self.model.tails.get, self.model.follows, len(self.model.names)
+        for end in range(len(start), len(text) + 1):
+            best, found = end - 1, -1
+            for j in range(end - 1, -1, -1):
+                p = tails(text[j:end])
+                if p is None:
+                    break
+                if p >= 0 and follows[(piece[j] + 1) * size + p]:
+                    best, found = j, p
+                    break
+            start.append(best)
+            piece.append(found)
+
+    def _score_steps(self) -> None:
+        model, text = self.model, self.held
+        for end in range(len(self.start), len(text) + 1):
+            best = None
+            for j in range(max(0, end - model.longest), end):
+                piece = model.ids.get(text[j:end])
+                if piece is None and j < end - 1:
+                    continue
+                score = self.score[j] + (model.unknown_score if piece is None else model.scores[text[j:end]])
+                if best is None or score > best[2]:
+                    best = (j, -1 if piece is None else piece, score)
+            for of, x in zip((self.start, self.piece, self.score), best, strict=True):
+                of.append(x)
+
+    def _settle(self) -> list[int]:
         """Hand out what all surviving paths share."""
-        alive = {self.base + i for i in range(max(0, len(self.back) - self.model.longest), len(self.back))}
-        while len(alive) > 1:  # step the furthest boundary back until the paths meet
-            far = max(alive)
-            alive.remove(far)
-            alive.add(self.back[far - self.base][0])
-        yield from self._hand_out(alive.pop())
-
-    def _hand_out(self, to: int) -> Iterator[int]:
-        path, at = [], to
-        while at > self.base:
-            path.append(at)
-            at = self.back[at - self.base][0]
-        for end in reversed(path):
-            piece = self.back[end - self.base][1]
-            yield from self.model.bytes_of(self.chars[end - self.base - 1]) if piece < 0 else (piece,)
-        score = self.back[to - self.base][2]
-        for _ in range(to - self.base):
-            self.back.popleft()
-            self.chars.popleft()
-        if to > self.base:
-            start, piece, _ = self.back[0]
-            self.back = deque((s, p, x - score) for s, p, x in self.back)
-            self.base = to
-
-    def finish(self) -> Iterator[int]:
-        yield from self._hand_out(self.base + len(self.back) - 1)
+        n = len(self.start)
+        alive = set(range(max(0, n - self.model.longest), n))
+        for far in range(n - 1, -1, -1):  # step the furthest boundary back until the paths meet
+            if len(alive) == 1:
+                break
+            if far in alive:
+                alive.remove(far)
+                alive.add(self.start[far])
+        return self._hand_out(alive.pop())
+
+    def _hand_out(self, to: int) -> list[int]:
+        start, piece, out, at = self.start, self.piece, [], to
+        while at:
+            out.extend((piece[at],) if piece[at] >= 0 else reversed(self.model.bytes_of(self.held[at - 1])))
+            at = start[at]
+        if to:
+            self.held = self.held[to:]
+            self.start, self.piece = [0, *[x - to for x in start[to + 1 :]]], piece[to:]
+            if not self.model.merges:
+                self.score = [x - self.score[to] for x in self.score[to:]]
+        out.reverse()
+        return out
+
+    def finish(self) -> list[int]:
+        return self._hand_out(len(self.start) - 1)
 
 
 def packed(ids: list[int]) -> bytes:
@@ -121,13 +117,6 @@ class Coder:
         return b"".join(map(self.of_chunk.__getitem__, chunks))
 
     def _chunk(self, chunk: str) -> bytes:
-        model = self.model
-        if model.merges and len(chunk) <= 4 * model.longest:  # nothing to settle before its end: one trace back
-            last, at, path = model.last_pieces(chunk)[1], len(chunk), []
-            while at:
-                path.append((at, last[at]))
-                at -= max(1, len(model.names[last[at]])) if last[at] >= 0 else 1
-            return packed([i for end, p in reversed(path) for i in ((p,) if p >= 0 else model.bytes_of(chunk[end - 1]))])
         search = StreamingViterbi(self.model)
         return packed([*search.feed(chunk), *search.finish()])
 

@@ -60,6 +60,13 @@ def test_streaming_search_equals_the_library(unigram):
             assert decoder.decode(got) == text.replace(BLANK, " ")
 
 
+def test_every_chunk_is_searched_in_the_window(monkeypatch):
+    model, texts = load(PATH), some_texts(6, 100, PARTS, 60)
+    monkeypatch.setattr(PieceModel, "last_pieces", lambda *_: pytest.fail("the search over whole prefixes"))
+    coder = pieces.Coder(model, 20, 20)
+    assert [np.frombuffer(coder.encode(x), dtype="<u4").tolist() for x in texts] == [model.library.encode(x) for x in texts]
+
+
 def test_search_holds_a_bounded_window():
     model = load(PATH)
     search = pieces.StreamingViterbi(model)
