@@ -2,7 +2,8 @@
 
 The sink puts an empty gzip member between records, as its line separator, so every file is a plain sequence of members.
 The reader checks each record (length, end mark, block digest, payload digest). Where a check fails it looks for the next
-member or version line that holds a valid record, goes on from there, and reports the bytes between as a gap.
+member or version line that holds a valid record, goes on from there, and reports the bytes between as a gap. It does so
+inside a member too, and of a damaged member it keeps the records that come out before the damage.
 """
 
 from __future__ import annotations
@@ -84,18 +85,28 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     text.write.option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("maxRecordsPerFile", records_per_file).text(folder)
 
 
-def _unpacked(data: memoryview, at: int) -> tuple[bytes, int] | None:
-    """The content of the gzip member at ``at`` and where it ends; None if it is damaged."""
-    reader, out, end = zlib.decompressobj(31), [], at
-    try:
-        while not reader.eof:
-            if end >= len(data):
-                return None
-            out.append(reader.decompress(data[end : end + CHUNK]))
-            end = min(end + CHUNK, len(data))
-    except zlib.error:
-        return None
-    return b"".join(out), end - len(reader.unused_data)
+def _unpacked(data: memoryview, at: int, most: int | None = None) -> tuple[bytes, int, bool]:
+    """The content of the gzip member at ``at``, where it ends, and whether it is whole.
+
+    Of a damaged member it is what comes out before the damage. With ``most``, reading ends at the first byte of the file
+    by which so many bytes have come out. Only the stretch where reading ends early is read byte by byte.
+    """
+    reader, out, n, end, step = zlib.decompressobj(31), [], 0, at, CHUNK
+    while not reader.eof and end < len(data) and (most is None or n < most):
+        kept = reader.copy() if step > 1 and (most is not None or end > at) else None
+        try:
+            got = reader.decompress(data[end : end + step])
+        except zlib.error:
+            got = None
+        if step > 1 and (got is None or (most is not None and n + len(got) >= most)):
+            reader, step = kept or zlib.decompressobj(31), 1
+            continue
+        if got is None:
+            return b"".join(out), end, False
+        out.append(got)
+        n += len(got)
+        end = min(end + step, len(data))
+    return b"".join(out), end - len(reader.unused_data), reader.eof
 
 
 def parse_record(raw: bytes | memoryview, at: int = 0) -> tuple[dict, bytes, int] | str:
@@ -128,43 +139,63 @@ def parse_record(raw: bytes | memoryview, at: int = 0) -> tuple[dict, bytes, int
     return fields, block, end + len(END)
 
 
+def _records(raw: bytes) -> Iterator[tuple[int, str | None, dict, bytes]]:
+    """The records of a member's content and the gaps between them: where each ends, reason, header fields, block."""
+    at, why = 0, None
+    while 0 <= at < len(raw):
+        one = parse_record(raw, at)
+        if isinstance(one, str):
+            why = why or one
+            at = raw.find(VERSION, at + 1)
+            continue
+        if why is not None:
+            yield at, why, {}, b""
+            why = None
+        at = one[2]
+        yield at, None, *one[:2]
+    if why is not None:
+        yield len(raw), why, {}, b""
+
+
 def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict, bytes]]:
-    """All of a file, in order: offset, length, reason (None for a good record), header fields, block."""
+    """All of a file, in order: offset, length, reason (None for a good record), header fields, block.
+
+    What lies in a member, a record or a gap between records, has the place of the member; of a damaged member that is the
+    part up to its last good record, and what follows is searched for the next member or version line. The record that reaches
+    up to the damage, if only the check sum is hurt, is lost with it.
+    """
     view, at, size = memoryview(data), 0, len(data)
     gap, why = None, ""
 
     def read(p: int):
-        """Records at ``p``, as (fields, block), and where they end; or what is wrong."""
-        if bytes(view[p : p + 3]) == MEMBER:
-            if (got := _unpacked(view, p)) is None:
-                return "damaged member"
-            raw, end = got
-            found, q = [], 0
-            while q < len(raw):
-                one = parse_record(raw, q)
-                if isinstance(one, str):
-                    return one
-                found.append(one[:2])
-                q = one[2]
-            return found, end
-        one = parse_record(view, p)
-        return one if isinstance(one, str) else ([one[:2]], one[2])
+        """What lies at ``p`` (reason, fields, block), where it ends, and what is wrong from there on (None: nothing)."""
+        if bytes(view[p : p + 3]) != MEMBER:
+            one = parse_record(view, p)
+            return ([], p, one) if isinstance(one, str) else ([(None, *one[:2])], one[2], None)
+        raw, end, whole = _unpacked(view, p)
+        found = list(_records(raw))
+        if whole:
+            return [x[1:] for x in found], end, None
+        while found and (found[-1][1] is not None or found[-1][0] == len(raw)):
+            found.pop()
+        return [x[1:] for x in found], _unpacked(view, p, found[-1][0])[1] if found else p, "damaged member"
 
     while at < size:
-        got = read(at)
-        if not isinstance(got, str):
-            if gap is not None:
+        found, end, wrong = read(at)
+        if gap is not None and end > at:
+            if at > gap:
                 yield gap, at - gap, why, {}, b""
-                gap = None
-            for fields, block in got[0]:
-                yield at, got[1] - at, None, fields, block
-            at = got[1]
+            gap = None
+        for reason, fields, block in found:
+            yield at, end - at, reason, fields, block
+        if wrong is None:
+            at = end
             continue
         if gap is None:
-            gap, why = at, got
-        found = NEXT.search(data, at + 1)
-        at = found.start() if found else size
-    if gap is not None:
+            gap, why = end, wrong
+        after = NEXT.search(data, max(end, at + 1))
+        at = after.start() if after else size
+    if gap is not None and gap < size:
         yield gap, size - gap, why, {}, b""
 
 

@@ -35,6 +35,36 @@ def test_salvage():
     assert list(warc.salvage(b"")) == []
 
 
+def test_salvage_inside_members():
+    name = lambda found: [x[3]["warc-record-id"] for x in found if x[2] is None]
+    want = lambda ids: [f"<urn:page:{i}>" for i in ids]
+    parts = records()
+    bad = [p if i != 7 else p[:-40] + b"?" + p[-39:] for i, p in enumerate(parts)]  # a digest or header that differs
+    for level in (0, 5):
+        whole = warc.member(b"".join(parts), level)
+        assert name(warc.salvage(whole)) == want(range(50))
+        # One bad record in a sound member, alone and between others.
+        for data in (warc.member(b"".join(bad), level), b"".join(warc.member(b"".join(bad[k : k + 5]), level) for k in range(0, 50, 5))):
+            found = list(warc.salvage(data))
+            assert name(found) == want(i for i in range(50) if i != 7) and [x[2] for x in found if x[2]] and all(x[1] > 0 for x in found)
+        # A cut tail, and another member behind it.
+        for tail, more in ((b"", []), (warc.member(parts[49], level), [49])):
+            cut = warc.member(b"".join(parts[:40]), level)[:-4000]
+            found = list(warc.salvage(cut + tail))
+            got = name(found)
+            assert got == want([*range(len(got) - len(more)), *more]) and 30 < len(got) <= 40 and any(x[2] for x in found)
+            if level:  # uncompressed, the member behind it is read as the cut one's content
+                (gap,) = (x for x in found if x[2])
+                assert gap[2] == "damaged member" and gap[0] + gap[1] == len(cut) and found[0][1] == gap[0]
+        # A wrong check sum at the member's end: the record before it counts as hurt, unless it stands in the file uncompressed.
+        found = list(warc.salvage(whole[:-8] + bytes(8) + parts[0]))
+        assert name(found) == want([*range(49 if level else 50), 0]) and any(x[2] for x in found)
+        hurt = bytearray(whole)
+        hurt[len(whole) // 2] ^= 0x5A
+        got = name(warc.salvage(bytes(hurt)))
+        assert len(got) == len(set(got)) >= 20 and got[:20] == want(range(20))
+
+
 def test_round_trip(spark, tmp_path):
     same = "<p>same</p>"
     rows = [(1, "http://a", same), (2, None, same), (3, "http://b\r\n", None), (4, "http://c", ""), (5, "http://d", "é\r\n\r\nWARC/1.1 😀"), (5, "http://d", "é\r\n\r\nWARC/1.1 😀"), (None, "http://e", same), (6, "http://f", "x" * 300_000), (0, "http://g", same)]
