@@ -45,6 +45,32 @@ def test_contexts_find_identifiers_of_unseen_form(spark):
     assert not found[201] and not any(found[i] for i, _ in seeds)
 
 
+def found_in(spark, texts: list[str]) -> list[list[tuple[str, str]]]:
+    rows = pii.with_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()
+    return [[(s.kind, texts[r.doc_id][s.start : s.end]) for s in r.found] for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_slots_hold_the_forms_of_their_kind(spark):
+    mails = ["anna(at)mail.example", "anna.k@localhost", "hein.19@mail5", "otto [at] mail [dot] example", "jo at mail dot example"]
+    numbers = ["(030) 555 1234", "0201 555 778", "0201-555-7788", "0201.555.778"]
+    texts = [f"please write to: user{i}@mail.example today" for i in range(20)] + [f"my mobile number: +1 (201) 555-{1000 + i} thanks" for i in range(20)]
+    n = len(texts)
+    texts += [f"please write to: {x}, thanks" for x in mails] + [f"my mobile number: {x}, thanks" for x in numbers] + [f"nothing before {x}" for x in mails + numbers]
+    found = found_in(spark, texts)
+    assert found[n : n + len(mails)] == [[("like_email", x)] for x in mails]
+    assert found[n + len(mails) : n + len(mails + numbers)] == [[("like_phone", x)] for x in numbers]
+    assert not any(found[:n] + found[n + len(mails + numbers) :])
+
+
+def test_found_identifiers_bring_in_patterns(spark):
+    local = [f"0201-555-77{k}" for k in (88, 99, 10, 11, 12)]
+    texts = [f"my mobile number: +1 (201) 555-{1000 + i} thanks" for i in range(20)] + [f"my mobile number: {x} thanks" for x in local]
+    texts += [f"please reach me under {x} soon" for x in (*local, "0301-555-1111")] * 2 + [f"or text {x} soon" for x in ("0201-555-7788", "0201-555-7799", "9201-555-7700", "7301-555-1111", "6301-555-1111")]
+    found = found_in(spark, texts)
+    assert found[20:37] == [[("like_phone", x)] for x in (*local, *(*local, "0301-555-1111") * 2)]
+    assert not any(found[:20] + found[37:])  # two believed instances of five bring in nothing
+
+
 def evaluate(query, text: str) -> bool:
     if query is None or isinstance(query, str):
         return query is None or query in text.lower()
