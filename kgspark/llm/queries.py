@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kgspark.llm import exact, mtree, neardup, packing, pieces, pii, quality, secrets, tokens, warc
+from kgspark.llm import exact, mtree, neardup, packing, pieces, pii, quality, secrets, simhash, tokens, warc
 from kgspark.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -64,10 +64,15 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_columns(secrets.with_spans(table(spark, sf_dir, "documents")))
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_near_duplicates, op3_top_k, op4_quality, op5_pii, op6_warc, op7_packing, op8_exact_dedup, op9_pieces, op10_secrets,
+        op13_simhash,
     )
 }
 
