@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kgspark.llm import exact, mtree, neardup, packing, pieces, pii, quality, secrets, simhash, tokens, warc
+from kgspark.llm import exact, mtree, neardup, packing, pieces, pii, quality, ranked, secrets, simhash, tokens, warc
 from kgspark.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -64,6 +64,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_columns(secrets.with_spans(table(spark, sf_dir, "documents")))
 
 
+def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best of all documents for every benchmark item."""
+    return ranked.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_classes(table(spark, sf_dir, "documents"))
 
@@ -72,7 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_near_duplicates, op3_top_k, op4_quality, op5_pii, op6_warc, op7_packing, op8_exact_dedup, op9_pieces, op10_secrets,
-        op13_simhash,
+        op11_ranked, op13_simhash,
     )
 }
 
@@ -98,4 +103,15 @@ SQL: dict[str, str] = {
         WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h FROM documents),
         w AS (SELECT *, first_value(doc_id) OVER (PARTITION BY h ORDER BY n DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size FROM t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM w""",
+    "op11_ranked": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+        n AS (SELECT doc_id, len(t) AS n FROM d WHERE len(t) > 0), c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM d) GROUP BY ALL),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, c),
+        q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms)))) AS BIGINT) AS score
+          FROM q JOIN w USING (term) JOIN tf USING (term) JOIN n USING (doc_id), c GROUP BY ALL),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50""",
 }
