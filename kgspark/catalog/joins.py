@@ -269,7 +269,7 @@ def dedupe_keep_first(d):
 )
 def display_order(d):
     rows = d.conversations.select("conv_id", "turn")
-    return ranking.display_order(rows, ["conv_id"], ["turn"], F.floor(F.col("turn") / 256))
+    return ranking.display_order(rows, ["conv_id"], ["turn"])
 
 
 @query(
@@ -278,7 +278,7 @@ def display_order(d):
 )
 def display_order_of_events(d):
     rows = d.events.select("event_id", "user_id", "ts")
-    return ranking.display_order(rows, ["user_id"], ["ts", "event_id"], F.date_trunc("HOUR", "ts")).select("event_id", "DISPLAY_ORDER")
+    return ranking.display_order(rows, ["user_id"], ["ts", "event_id"]).select("event_id", "DISPLAY_ORDER")
 
 
 @query(

@@ -334,7 +334,7 @@ def run_ledger(d):
 
     text = F.repeat("props", (1 + c("event_id") % 40).cast("int"))
     rows = d.events.select(c("event_type").alias("NAME"), text.alias("VALUE"), "ts", "event_id")
-    runs = display_order(rows, ["NAME"], ["ts", "event_id"], F.date_trunc("HOUR", "ts"), "RUN_NO")
+    runs = display_order(rows, ["NAME"], ["ts", "event_id"], "RUN_NO")
     return merge.run_ledger(runs.select("NAME", "RUN_NO", "VALUE"))
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kgspark.session import cut
+
 
 def keep_extreme(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
     """One row per key: the first or last by ``order`` (a total order within the key).
@@ -31,24 +33,39 @@ def latest_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return keep_extreme(df, keys, order, last=True)
 
 
-def display_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], block: Column, name: str = "DISPLAY_ORDER") -> DataFrame:
-    """1-based position within ``keys`` by ``order``, computed block by block.
+def _in_order(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """The rows range-partitioned and sorted by ``order``, written once; ``_row`` rises along the order, ``_part`` tells the range."""
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = cut(ranges.withColumn("_row", F.monotonically_increasing_id()), "in-order")
+    return rows.withColumn("_part", F.shiftright("_row", 33))
+
 
-    ``block`` must be non-decreasing along the order. Rows are ranked inside
-    (key, block); the sizes of the earlier blocks, a table of counts, are added. A hot
-    key is thus ranked by as many tasks as it has blocks.
+def positions(df: DataFrame, order: Sequence[Column | str], name: str = "POSITION") -> DataFrame:
+    """0-based position of every row by ``order``, a total order.
+
+    A row's position is its place in its range plus the sizes of the ranges before, of which there are as many as tasks.
     """
-    tagged = df.withColumn("_block", block)
-    sizes = tagged.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
-    ranked = tagged.withColumn("_rn", F.row_number().over(inside))
-    return (
-        ranked.join(offsets, [*keys, "_block"])
-        .withColumn(name, (F.col("_off") + F.col("_rn")).cast("int"))
-        .drop("_block", "_off", "_rn")
-    )
+    rows = _in_order(df, order)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    starts = sizes.select("_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return rows.join(starts, "_part").withColumn(name, F.col("_row") + F.col("_shift")).drop("_part", "_row", "_shift")
+
+
+def display_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str = "DISPLAY_ORDER") -> DataFrame:
+    """1-based position within ``keys`` by ``order``, a total order within the key; NULL keys are keys like others.
+
+    Rows are range-partitioned by key and order, so a hot key is spread over as many tasks as its share of the rows. A
+    position is the row's place in its range plus what earlier ranges hold of the key: prefix sums over a table of
+    counts, one row per key and range.
+    """
+    rows = _in_order(df, [*keys, *order])
+    runs = rows.groupBy(*keys, "_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1
+    shifts = runs.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("_part").alias("_run"), shift.alias("_shift"))
+    same = [rows[k].eqNullSafe(shifts[f"_key{i}"]) for i, k in enumerate(keys)] + [rows["_part"] == shifts["_run"]]
+    return rows.join(shifts, same).withColumn(name, (F.col("_row") + F.col("_shift")).cast("int")).select(*df.columns, name)
 
 
 def first_position(df: DataFrame, keys: Sequence[str], order: str, name: str) -> DataFrame:

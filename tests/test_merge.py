@@ -114,7 +114,7 @@ def test_hot_key_ranking_matches_brute_force(spark):
     # One key holds more than a third of the rows.
     data = [("hot" if i % 2 else f"k{i % 50}", i * 7 % 1000, i) for i in range(1000)]
     df = spark.createDataFrame(data, "k string, o int, id int")
-    got = {(r.k, r.id): r.DISPLAY_ORDER for r in ranking.display_order(df, ["k"], ["o", "id"], F.floor(F.col("o") / 100)).collect()}
+    got = {(r.k, r.id): r.DISPLAY_ORDER for r in ranking.display_order(df, ["k"], ["o", "id"]).collect()}
     want, seen = {}, {}
     for k, o, i in sorted(data, key=lambda x: (x[0], x[1], x[2])):
         seen[k] = seen.get(k, 0) + 1
@@ -122,6 +122,21 @@ def test_hot_key_ranking_matches_brute_force(spark):
     assert got == want
 
 
+def test_hot_key_is_ranked_by_many_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(4000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"), (-F.col("id")).alias("o"))
+        rows = ranking._in_order(df, ["k", "o"])
+        assert rows.filter("k = 'hot'").select("_part").distinct().count() >= 2
+        got = {(r.k, r.o): r.N for r in ranking.display_order(df, ["k"], ["o"], "N").collect()}
+        spots = {r.o: r.AT for r in ranking.positions(df, ["o"], "AT").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == 4000 and spots == {-i: 3999 - i for i in range(4000)}
+    for k in ("hot", None):
+        assert [n for _, n in sorted((o, n) for (x, o), n in got.items() if x == k)] == list(range(1, sum(x == k for x, _ in got) + 1))
+
+
 def test_schema_gap(spark):
     old, new = spark.range(1).withColumn("x", F.lit("a")), spark.range(1)
     assert rows(reports.schema_gap({"t": old}, {"t": new})) == [("t", "x", "string")]
