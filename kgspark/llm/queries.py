@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kgspark.llm import exact, mtree, neardup, packing, pieces, pii, quality, ranked, secrets, simhash, tokens, warc
+from kgspark.llm import collocations, exact, mtree, neardup, packing, pieces, pii, quality, ranked, secrets, simhash, tokens, warc
 from kgspark.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -69,6 +69,10 @@ def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_classes(table(spark, sf_dir, "documents"))
 
@@ -77,7 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_near_duplicates, op3_top_k, op4_quality, op5_pii, op6_warc, op7_packing, op8_exact_dedup, op9_pieces, op10_secrets,
-        op11_ranked, op13_simhash,
+        op11_ranked, op12_collocations, op13_simhash,
     )
 }
 
@@ -114,4 +118,20 @@ SQL: dict[str, str] = {
           FROM q JOIN w USING (term) JOIN tf USING (term) JOIN n USING (doc_id), c GROUP BY ALL),
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
         SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50""",
+    "op12_collocations": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        q AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        t AS (SELECT lang, id, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM q),
+        o AS (SELECT lang, w1, lead(w1) OVER x AS w2, lead(w1, 2) OVER x AS w3 FROM t WINDOW x AS (PARTITION BY id ORDER BY i)),
+        g AS (SELECT lang, 1 AS k, w1 AS phrase, count(*) AS a FROM o GROUP BY ALL UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM o WHERE w2 IS NOT NULL GROUP BY ALL
+          UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM o WHERE w3 IS NOT NULL GROUP BY ALL),
+        n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM g WHERE k > 1 AND a >= 10),
+        h AS (SELECT c.*, j, array_to_string(w[1 : j], ' ') AS p1, array_to_string(w[j + 1 :], ' ') AS p2 FROM c, (VALUES (1), (2)) t(j) WHERE j < k),
+        s AS (SELECT h.lang, h.phrase, h.a, j, x.a AS l, y.a AS r, CAST((CAST(1000000 AS HUGEINT) * h.a * h.a) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+          FROM h JOIN g x ON x.lang = h.lang AND x.phrase = p1 JOIN g y ON y.lang = h.lang AND y.phrase = p2),
+        b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        u AS (SELECT lang, phrase, max(longer) AS longer FROM (SELECT lang, array_to_string(w[1 : 2], ' ') AS phrase, a AS longer FROM c WHERE k = 3 UNION ALL SELECT lang, array_to_string(w[2 : 3], ' '), a FROM c WHERE k = 3) GROUP BY ALL),
+        r AS (SELECT b.*, n, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank FROM b JOIN n ON n.lang = b.lang LEFT JOIN u ON u.lang = b.lang AND u.phrase = b.phrase WHERE coalesce(100 * longer < 50 * a, true))
+        SELECT lang, rank, phrase, a, l, r, n, score FROM r WHERE rank <= 2000""",
 }
