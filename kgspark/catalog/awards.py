@@ -15,13 +15,24 @@ WORK = """
   LEFT JOIN kg_qualifier w ON w.ID_STATEMENT=s.ID_STATEMENT AND w.ID_QUALIFIER_PROPERTY='P1686' LEFT JOIN kg_entity we ON we.ID_WIKIDATA=w.ID_ITEM AND we.ENTITY_CLASS='SERIE'"""
 WON = "s.ID_PROPERTY='P166' AND s.ID_ITEM IS NOT NULL"
 IN_FAMILY = f"EXISTS (SELECT 1 FROM kg_fact f WHERE f.ID_WIKIDATA=s.ID_ITEM AND f.ID_PROPERTY='P31' AND f.ID_ITEM='{FAMILY}')"
-SUBJECT = "Q6000000008"
+SUBJECT = "Q6000004224"
+
+# A table for each qualifier property and each kind of label; statements meet them by their GUID.
+SIDES = """
+  won AS MATERIALIZED (SELECT STATEMENT_GUID, l_linestatus, 'Q'||(6000000000+l_orderkey) AS ID_WIKIDATA, 'Q'||(5000000000+l_partkey) AS ID_ITEM FROM kg_line WHERE l_returnflag='A'),
+  years AS MATERIALIZED (SELECT STATEMENT_GUID, YEAR_VALUE AS "YEAR" FROM kg_qual0 WHERE ID_QUALIFIER_PROPERTY='P585'),
+  works AS MATERIALIZED (SELECT STATEMENT_GUID, ID_ITEM AS WORK_ID FROM kg_qual0 WHERE ID_QUALIFIER_PROPERTY='P1686'),
+  shows AS MATERIALIZED (SELECT STATEMENT_GUID, ID_ITEM AS SHOW_ID FROM kg_qual0 WHERE ID_QUALIFIER_PROPERTY='P805'),
+  item_names AS MATERIALIZED (SELECT 'Q'||(5000000000+p_partkey) AS ID_ITEM, p_name AS ITEM_NAME FROM part),
+  show_names AS MATERIALIZED (SELECT 'Q'||(5000000000+p_partkey) AS SHOW_ID, p_name AS SHOW_NAME FROM part),
+  work_names AS MATERIALIZED (SELECT 'Q'||(4000000000+s_suppkey) AS WORK_ID, s_name AS WORK_NAME FROM supplier)"""
+ALL_SIDES = "LEFT JOIN years USING (STATEMENT_GUID) LEFT JOIN works USING (STATEMENT_GUID) LEFT JOIN item_names USING (ID_ITEM) LEFT JOIN work_names USING (WORK_ID)"
+AWARDS = f"FROM (SELECT * FROM won WHERE l_linestatus='O') {ALL_SIDES} LEFT JOIN shows USING (STATEMENT_GUID) LEFT JOIN show_names USING (SHOW_ID)"
 
 
 @query(
     "awards_all",
-    f"""SELECT s.ID_WIKIDATA, coalesce(i.LABEL_EN, s.ID_ITEM) AS AWARD, d.YEAR_VALUE AS YEAR, coalesce(we.LABEL_EN, w.ID_ITEM) AS FOR_WORK, coalesce(ce.LABEL_EN, q.ID_ITEM) AS CEREMONY
-        FROM kg_claim s {LABELS} {WORK} LEFT JOIN kg_qualifier q ON q.ID_STATEMENT=s.ID_STATEMENT AND q.ID_QUALIFIER_PROPERTY='P805' LEFT JOIN kg_entity ce ON ce.ID_WIKIDATA=q.ID_ITEM AND ce.ENTITY_CLASS='ITEM' WHERE {WON}""",
+    f"""WITH {SIDES} SELECT ID_WIKIDATA, coalesce(ITEM_NAME, ID_ITEM) AS AWARD, "YEAR", coalesce(WORK_NAME, WORK_ID) AS FOR_WORK, coalesce(SHOW_NAME, SHOW_ID) AS CEREMONY {AWARDS}""",
 )
 def awards_all(d):
     return awards.awards_all(d.kg_claim, d.kg_qualifier, d.kg_entity, work="SERIE")
@@ -29,8 +40,7 @@ def awards_all(d):
 
 @query(
     "awards_of_subject",
-    f"""SELECT coalesce(i.LABEL_EN, s.ID_ITEM) AS AWARD, d.YEAR_VALUE AS YEAR, coalesce(we.LABEL_EN, w.ID_ITEM) AS FOR_WORK, coalesce(ce.LABEL_EN, q.ID_ITEM) AS CEREMONY
-        FROM kg_claim s {LABELS} {WORK} LEFT JOIN kg_qualifier q ON q.ID_STATEMENT=s.ID_STATEMENT AND q.ID_QUALIFIER_PROPERTY='P805' LEFT JOIN kg_entity ce ON ce.ID_WIKIDATA=q.ID_ITEM AND ce.ENTITY_CLASS='ITEM' WHERE {WON} AND s.ID_WIKIDATA='{SUBJECT}'""",
+    f"""WITH {SIDES} SELECT coalesce(ITEM_NAME, ID_ITEM) AS AWARD, "YEAR", coalesce(WORK_NAME, WORK_ID) AS FOR_WORK, coalesce(SHOW_NAME, SHOW_ID) AS CEREMONY {AWARDS} WHERE ID_WIKIDATA='{SUBJECT}'""",
 )
 def awards_of_subject(d):
     return awards.awards_of(d.kg_claim, d.kg_qualifier, d.kg_entity, SUBJECT, work="SERIE")
@@ -93,10 +103,10 @@ def laureates(d):
 
 @query(
     "awards_around_work",
-    """SELECT SENSE, coalesce(i.LABEL_EN, s.ID_ITEM) AS AWARD, d.YEAR_VALUE AS YEAR, w AS LAUREATE FROM (
-         SELECT 'received by the work' AS SENSE, ID_STATEMENT, ID_ITEM, NULL AS w FROM kg_claim WHERE ID_PROPERTY='P166' AND ID_ITEM IS NOT NULL AND ID_WIKIDATA='Q4000000003'
-         UNION ALL SELECT 'received for the work', k.ID_STATEMENT, k.ID_ITEM, k.ID_WIKIDATA FROM kg_claim k JOIN kg_qualifier q ON q.ID_STATEMENT=k.ID_STATEMENT AND q.ID_QUALIFIER_PROPERTY='P1686' AND q.ID_ITEM='Q4000000003' WHERE k.ID_PROPERTY='P166' AND k.ID_ITEM IS NOT NULL) s
-       LEFT JOIN kg_entity i ON i.ID_WIKIDATA=s.ID_ITEM LEFT JOIN kg_qualifier d ON d.ID_STATEMENT=s.ID_STATEMENT AND d.ID_QUALIFIER_PROPERTY='P585'""",
+    f"""WITH {SIDES}, around AS MATERIALIZED (
+          SELECT 'received by the work' AS SENSE, STATEMENT_GUID, ID_ITEM, NULL AS LAUREATE FROM won WHERE l_linestatus='O' AND ID_WIKIDATA='Q4000000003'
+          UNION ALL SELECT 'received for the work', STATEMENT_GUID, ID_ITEM, ID_WIKIDATA FROM (SELECT * FROM works WHERE WORK_ID='Q4000000003') JOIN (SELECT * FROM won WHERE l_linestatus='O') USING (STATEMENT_GUID))
+        SELECT SENSE, coalesce(ITEM_NAME, ID_ITEM) AS AWARD, "YEAR", LAUREATE FROM around LEFT JOIN years USING (STATEMENT_GUID) LEFT JOIN item_names USING (ID_ITEM)""",
 )
 def awards_around_work(d):
     return awards.awards_around_work(d.kg_claim, d.kg_qualifier, d.kg_entity, "Q4000000003")
@@ -104,8 +114,9 @@ def awards_around_work(d):
 
 @query(
     "nominated_not_won",
-    f"""SELECT s.ID_WIKIDATA, coalesce(i.LABEL_EN, s.ID_ITEM) AS NOMINATED_FOR, d.YEAR_VALUE AS YEAR, coalesce(we.LABEL_EN, w.ID_ITEM) AS FOR_WORK FROM kg_claim s {LABELS} {WORK} WHERE s.ID_PROPERTY='P1411' AND s.ID_ITEM IS NOT NULL
-        AND NOT EXISTS (SELECT 1 FROM kg_claim v WHERE v.ID_WIKIDATA=s.ID_WIKIDATA AND v.ID_PROPERTY='P166' AND v.ID_ITEM=s.ID_ITEM)""",
+    f"""WITH {SIDES}, lost AS MATERIALIZED (
+          SELECT n.* FROM won n LEFT JOIN (SELECT DISTINCT ID_WIKIDATA, ID_ITEM, 1 AS got FROM won WHERE l_linestatus='O') g USING (ID_WIKIDATA, ID_ITEM) WHERE l_linestatus<>'O' AND got IS NULL)
+        SELECT ID_WIKIDATA, coalesce(ITEM_NAME, ID_ITEM) AS NOMINATED_FOR, "YEAR", coalesce(WORK_NAME, WORK_ID) AS FOR_WORK FROM lost {ALL_SIDES}""",
 )
 def nominated_not_won(d):
     return awards.nominated_not_won(d.kg_claim, d.kg_qualifier, d.kg_entity, work="SERIE")

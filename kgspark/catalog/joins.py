@@ -32,10 +32,11 @@ def label_lookup(d):
 
 @query(
     "qualifier_pivot",
-    """SELECT s.ID_STATEMENT, d.YEAR_VALUE AS YEAR, w.ID_ITEM AS WORK, o.VALUE_TEXT AS ORDINAL FROM kg_claim s
-       LEFT JOIN kg_qualifier d ON d.ID_STATEMENT=s.ID_STATEMENT AND d.ID_QUALIFIER_PROPERTY='P585'
-       LEFT JOIN kg_qualifier w ON w.ID_STATEMENT=s.ID_STATEMENT AND w.ID_QUALIFIER_PROPERTY='P1686'
-       LEFT JOIN kg_qualifier o ON o.ID_STATEMENT=s.ID_STATEMENT AND o.ID_QUALIFIER_PROPERTY='P1545' WHERE s.ID_PROPERTY='P166'""",
+    """WITH s AS MATERIALIZED (SELECT ID_STATEMENT, STATEMENT_GUID FROM kg_claim WHERE ID_PROPERTY='P166'),
+       d AS MATERIALIZED (SELECT STATEMENT_GUID, YEAR_VALUE AS "YEAR" FROM kg_qual0 WHERE ID_QUALIFIER_PROPERTY='P585'),
+       w AS MATERIALIZED (SELECT STATEMENT_GUID, ID_ITEM AS WORK FROM kg_qual0 WHERE ID_QUALIFIER_PROPERTY='P1686'),
+       o AS MATERIALIZED (SELECT STATEMENT_GUID, VALUE_TEXT AS ORDINAL FROM kg_qual0 WHERE ID_QUALIFIER_PROPERTY='P1545')
+       SELECT ID_STATEMENT, "YEAR", WORK, ORDINAL FROM s LEFT JOIN d USING (STATEMENT_GUID) LEFT JOIN w USING (STATEMENT_GUID) LEFT JOIN o USING (STATEMENT_GUID)""",
 )
 def qualifier_pivot(d):
     from kgspark.operators.awards import qualifier_pivot as pivot
