@@ -91,19 +91,24 @@ def _without(value: Column, low: int, width: int) -> Column:
 
 
 def shards(prints: DataFrame, settings: Settings) -> DataFrame:
-    """``shard``, ``slice``, ``slices`` and ``print``: two prints within the radius share a shard at least once."""
+    """``shard``, ``slice``, ``slices`` and ``print``: two prints within the radius share a shard at least once.
+
+    A shard's number holds the block and its value, and where it was dealt again the inner block (from 1) and that one's value.
+    """
     blocks = cuts(64, settings.radius + 1)
-    dealt = prints.select("print", F.explode(F.array(*[F.struct(F.lit(i).alias("block"), _field(F.col("print"), *b).alias("value")) for i, b in enumerate(blocks)])).alias("k")).select("print", "k.*")
-    sizes = cut(dealt.groupBy("block", "value").agg(F.count("*").alias("size")).filter("size > 1"), "shard-sizes")
-    dealt = dealt.join(sizes, ["block", "value"])
-    calm = dealt.filter(F.col("size") <= settings.tree).select(F.struct("block", "value", F.lit(-1).alias("next"), F.lit(0).cast("long").alias("further")).alias("shard"), "print", "size")
-    rest = F.coalesce(*[F.when(F.col("block") == i, _without(F.col("print"), *b)) for i, b in enumerate(blocks)])
+    number = lambda field, i: F.shiftleft(field, 4).bitwiseOR(F.lit(i))
+    dealt = prints.select("print", F.explode(F.array(*[number(_field(F.col("print"), *b), i) for i, b in enumerate(blocks)])).alias("shard"))
+    sizes = cut(dealt.groupBy("shard").agg(F.count("*").alias("size")).filter("size > 1"), "shard-sizes")
+    dealt = dealt.join(sizes, "shard")
+    calm = dealt.filter(F.col("size") <= settings.tree).select("shard", "print", "size")
+    block = F.col("shard").bitwiseAND(F.lit(15))
+    rest = F.coalesce(*[F.when(block == i, _without(F.col("print"), *b)) for i, b in enumerate(blocks)])
     inner = cuts(64 - max(w for _, w in blocks), settings.radius + 1)
     inner[-1] = (inner[-1][0], 64 - min(w for _, w in blocks) - inner[-1][0])
-    crowded = dealt.filter(F.col("size") > settings.tree).select("block", "value", "print", rest.alias("rest"))
-    again = F.explode(F.array(*[F.struct(F.lit(i).alias("next"), _field(F.col("rest"), *b).alias("further")) for i, b in enumerate(inner)]))
-    finer = cut(crowded.select("block", "value", "print", again.alias("k")).select(F.struct("block", "value", "k.next", "k.further").alias("shard"), "print"), "finer-shards")
-    finer = finer.join(finer.groupBy("shard").agg(F.count("*").alias("size")).filter("size > 1"), "shard")
+    crowded = dealt.filter(F.col("size") > settings.tree).select("shard", "print", rest.alias("rest"))
+    again = F.explode(F.array(*[F.shiftleft(number(_field(F.col("rest"), *b), i + 1), 32).bitwiseOR(F.col("shard")) for i, b in enumerate(inner)]))
+    finer = crowded.select(again.alias("shard"), "print")
+    finer = finer.join(cut(finer.groupBy("shard").agg(F.count("*").alias("size")).filter("size > 1"), "finer-sizes"), "shard")
     slices = F.ceil(F.col("size") / settings.tree).cast("int")
     return calm.unionByName(finer).select("shard", F.pmod(F.xxhash64("print"), slices).cast("int").alias("slice"), slices.alias("slices"), "print")
 
@@ -196,8 +201,8 @@ def trees(dealt: DataFrame) -> DataFrame:
 
         return apply
 
-    packed = dealt.groupBy("shard", "slice", "slices").agg(F.collect_list("print").alias("prints")).select(F.to_json("shard").alias("shard"), "slice", "slices", "prints")
-    return map_rows(packed, rows, "shard string, slice int, slices int, prints array<long>, parents array<int>, keys array<int>")
+    packed = dealt.groupBy("shard", "slice", "slices").agg(F.collect_list("print").alias("prints"))
+    return map_rows(packed, rows, "shard long, slice int, slices int, prints array<long>, parents array<int>, keys array<int>")
 
 
 def links(stored: DataFrame, settings: Settings) -> DataFrame:
