@@ -162,8 +162,12 @@ def scratch(d, name):
     return f"{scratch_root(d.spark)}/kgspark/{name}-{uuid.uuid4().hex}"
 
 
-def stream_of(d, table):
-    return d.spark.readStream.schema(d.table(table).schema).parquet(f"{d.dir}/{table}*.parquet")
+def in_two_epochs(d, rows, first, run):
+    """Run a stream twice: over the rows for which ``first`` holds, then, from its checkpoint, over the others."""
+    folder = scratch(d, "source")
+    for part in (first, ~first):
+        rows.filter(part).write.mode("append").parquet(folder)
+        run(d.spark.readStream.schema(rows.schema).parquet(folder)).awaitTermination()
 
 
 @query(
@@ -171,34 +175,45 @@ def stream_of(d, table):
     """SELECT user_id, event_type, event_id, "value" FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS rn FROM events) WHERE rn=1""",
 )
 def stream_ingest(d):
-    folder = scratch(d, "ingest")
-    rows = stream_of(d, "events").select("user_id", "event_type", "event_id", "value")
-    feeds.ingest_batches(rows, f"{folder}/rows", f"{folder}/state").awaitTermination()
-    return feeds.ingested(d.spark, f"{folder}/rows", ["user_id", "event_type"], ["event_id"])
+    """Newer rows come in both epochs, for a third of the later ones is in the first."""
+    folder, keys = scratch(d, "ingest"), ["user_id", "event_type"]
+    rows = d.events.select("user_id", "event_type", "event_id", "value")
+    in_two_epochs(d, rows, c("event_id") % 3 == 0, lambda s: feeds.ingest_batches(s, f"{folder}/rows", f"{folder}/state", keys, ["event_id"]))
+    return feeds.ingest_table(d.spark, f"{folder}/rows", feeds._ddl(rows), keys).read()
 
 
 @query("stream_retry_ledger", LEDGER_SQL)
 def stream_retry_ledger(d):
-    from types import SimpleNamespace
-
+    """The second epoch brings some outcomes of the days before its start, too."""
     folder = scratch(d, "ledger")
-    outcomes = api_events(SimpleNamespace(events=stream_of(d, "events")))
-    feeds.retry_ledger(outcomes, f"{folder}/rows", f"{folder}/state").awaitTermination()
-    return ledger_text(feeds.ledger_state(d.spark, f"{folder}/rows", 0))
+    start = F.lit("2024-01-20").cast("timestamp")
+    late = (c("TS") >= F.date_sub(start, 3)) & (c("SEQ") % 7 == 0)
+    in_two_epochs(d, api_events(d), (c("TS") < start) & ~late, lambda s: feeds.retry_ledger(s, f"{folder}/rows", f"{folder}/state"))
+    return ledger_text(feeds.ledger_state(d.spark, f"{folder}/rows"))
+
+
+FEED_CTE = f"""{REFRESH_CTE}, te AS (SELECT event_id%3000 AS s, CASE WHEN event_id < (SELECT (max(event_id)+1)//2 FROM events) THEN 0 ELSE 1 END AS e, max(CASE WHEN event_type='view' THEN 1 ELSE 0 END) AS v FROM events WHERE event_type IN ('view','click') GROUP BY 1,2),
+    x AS (SELECT te.s, te.e, te.v, n, m, dt, CASE WHEN n=5 THEN 'missing locally' WHEN n=4 THEN 'episode count drift' WHEN n=3 THEN 'completion incomplete' {REASON_TAIL.format(days=120, what="season")}
+        WHEN n=m THEN 'active series, latest season' WHEN n=1 AND v=1 THEN 'episode hint' END AS sr FROM r JOIN o ON o.s=r.s LEFT JOIN mx ON mx.s=r.s JOIN te ON te.s=r.s),
+    y AS (SELECT *, CASE WHEN n=1 AND v=1 THEN 'episode hint' WHEN n=3 THEN 'completion incomplete' {REASON_TAIL.format(days=45, what="episode")} WHEN n=m THEN 'active season' END AS er FROM x WHERE sr IS NOT NULL)"""
 
 
 @query(
     "stream_changes_feed",
-    f"""WITH {REFRESH_CTE}, t AS (SELECT DISTINCT event_id AS s FROM events WHERE event_type IN ('view','click')), h AS (SELECT DISTINCT event_id AS s FROM events WHERE event_type='view')
-        SELECT * FROM (SELECT r.s AS ID_SERIE, r.n AS SEASON_NUMBER, CASE WHEN n=5 THEN 'missing locally' WHEN n=4 THEN 'episode count drift' WHEN n=3 THEN 'completion incomplete' {REASON_TAIL.format(days=120, what="season")}
-        WHEN n=m THEN 'active series, latest season' WHEN n=1 AND r.s IN (SELECT s FROM h) THEN 'episode hint' END AS REASON FROM r JOIN o ON o.s=r.s LEFT JOIN mx ON mx.s=r.s WHERE r.s IN (SELECT s FROM t)) WHERE REASON IS NOT NULL""",
+    f"""WITH {FEED_CTE} SELECT 'season' AS KIND, s AS ID_SERIE, n AS SEASON_NUMBER, NULL::INT AS EPISODE_NUMBER, sr AS REASON, e::BIGINT AS EPOCH FROM y QUALIFY row_number() OVER (PARTITION BY s, n ORDER BY e)=1
+        UNION ALL SELECT 'episode', s, n, 1, er, e FROM (SELECT * FROM y WHERE er IS NOT NULL AND n<>5 QUALIFY row_number() OVER (PARTITION BY s, n ORDER BY e)=1)""",
 )
 def stream_changes_feed(d):
+    """Many series change in both epochs; what the first selected is not selected again."""
     remote, local, series, _, today = refresh_inputs(d)
     folder = scratch(d, "changes")
     key = F.when(c("event_type") == "view", "episodes").when(c("event_type") == "click", "seasons").otherwise("images")
     value = F.struct(F.lit(1).alias("season_number"), F.lit(1).alias("episode_number"))
     body = F.struct(F.array(F.struct(key.alias("key"), F.array(F.struct(value.alias("value"))).alias("items"))).alias("changes"))
-    changes = stream_of(d, "events").select(c("event_id").alias("id"), F.to_json(body).alias("payload"))
-    feeds.changes_feed(changes, remote, local, series, today, f"{folder}/rows", f"{folder}/state").awaitTermination()
-    return d.spark.read.parquet(f"{folder}/rows").select("ID_SERIE", "SEASON_NUMBER", "REASON")
+    changes = d.events.select((c("event_id") % 3000).alias("id"), F.to_json(body).alias("payload"), "event_id")
+    half = (d.events.agg(F.max("event_id")).first()[0] + 1) // 2
+    episodes = local.withColumn("EPISODE_NUMBER", F.lit(1))
+    in_two_epochs(d, changes, c("event_id") < half, lambda s: feeds.changes_feed(s, remote, local, series, episodes, today, f"{folder}/rows", f"{folder}/state"))
+    tables = feeds.feed_tables(d.spark, f"{folder}/rows")
+    seasons = tables["seasons"].read().select(F.lit("season").alias("KIND"), "ID_SERIE", "SEASON_NUMBER", F.lit(None).cast("int").alias("EPISODE_NUMBER"), "REASON", "EPOCH")
+    return seasons.union(tables["episodes"].read().select(F.lit("episode"), "ID_SERIE", "SEASON_NUMBER", "EPISODE_NUMBER", "REASON", "EPOCH"))

@@ -183,7 +183,7 @@ def test_ledger_stream_equals_batch_over_many_epochs(spark, tmp_path):
         stream = spark.readStream.schema(events.schema).parquet(source)
         feeds.retry_ledger(stream, out, str(tmp_path / "state")).awaitTermination()
     key = ["ENTITY_TYPE", "ID_ENTITY", "ATTEMPT_COUNT", "TIM_FIRST_SEEN", "TIM_LAST_SEEN", "TIM_RETRY_AFTER"]
-    assert rows(feeds.ledger_state(spark, out, 2).select(*key)) == rows(merge.not_found_ledger(events).select(*key))
+    assert rows(feeds.ledger_state(spark, out).select(*key)) == rows(merge.not_found_ledger(events).select(*key))
 
 
 def test_progress_counters(spark, tmp_path):
