@@ -35,7 +35,7 @@ class Settings:
     least: int = 10
     top: int = 2000
     inside: int = 50
-    stretch: int = 16 << 20
+    stretch: int = 8 << 20
     side: int = 1024
     dense: float = 1 / 64
 
