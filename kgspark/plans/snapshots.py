@@ -294,63 +294,63 @@ def _credit(x: Column, kind: str, order: Column, limit: int | None = None) -> Co
     )
 
 
-def _credits_of(docs: DataFrame, owner: str) -> DataFrame:
-    lists = f"STRUCT<`cast`: ARRAY<STRUCT<{_PERSON}>>, crew: ARRAY<STRUCT<{_PERSON}>>>"
-    empty = F.array().cast(f"array<struct<{_PERSON}>>")
-    credits = once(docs, k=_fields().sub("credits", lists))
-    lists_ = once(
-        credits.withColumnRenamed("id", owner),
-        cast_=F.coalesce(F.col("k.cast"), empty),
-        crew_=F.coalesce(F.col("k.crew"), empty),
-    )
-    # The id lists are columns of their own: inside a lambda they would be rebuilt per element.
-    return once(lists_, cast_ids=_ids(F.col("cast_")), crew_ids=_ids(F.col("crew_")))
+def _credit_entries(docs: DataFrame, owner: str, maker: bool) -> DataFrame:
+    """One row per listed credit: ``_doc``, owner, ``_kind`` (cast, crew or maker), ``_at`` (1-based place in its list) and ``x``.
 
+    Lists are unfolded once. ``_last`` is the position that the last crew row, or else the last cast row, will get.
+    """
+    lists = f"STRUCT<`cast`: ARRAY<STRUCT<{_PERSON}>>, crew: ARRAY<STRUCT<{_PERSON}>>>"
+    person = f"array<struct<{_PERSON}>>"
+    empty = F.array().cast(person)
+    base = once(docs.withColumn("_doc", F.monotonically_increasing_id()), k=_fields().sub("credits", lists))
+    sides = {"cast": F.coalesce("k.cast", empty), "crew": F.coalesce("k.crew", empty)}
+    if maker:
+        sides["maker"] = F.coalesce(_fields().rows("created_by", _PERSON), empty)
+    base = once(base.select("_doc", F.col("id").alias(owner), *[x.alias(f"_{n}") for n, x in sides.items()]), **{f"_{n}_ids": F.transform(f"_{n}", lambda x: x["id"]) for n in sides})
+    end = lambda n: F.array_position(f"_{n}_ids", F.try_element_at(f"_{n}_ids", F.lit(-1)))  # noqa: E731  one search a document
+    last = F.when(F.size("_crew") > 0, end("crew") + (F.when(F.array_contains("_maker_ids", F.try_element_at("_crew_ids", F.lit(-1))), 1).otherwise(0) if maker else 0))
+    last = F.coalesce(last, end("cast"), F.lit(0))
 
-def _ids(people: Column) -> Column:
-    return F.transform(people, lambda x: x["id"])
-
+    def tagged(n: str) -> Column:
+        return F.transform(f"_{n}", lambda x, i: F.struct(F.lit(n).alias("_kind"), (i + 1).alias("_at"), x.alias("x")))
 
-def _first_positions(kind: str, shift=lambda x: F.lit(0)) -> Column:
-    """Credits of one list; a person's later credits reuse the first position."""
-    people, ids = F.col(f"{kind}_"), F.col(f"{kind}_ids")
-    return F.transform(people, lambda x: _credit(x, kind, F.array_position(ids, x["id"]) + shift(x)))
+    return base.select("_doc", owner, last.cast("int").alias("_last"), F.explode(F.concat(*map(tagged, sides))).alias("_e")).select("_doc", owner, "_last", "_e.*")
 
 
 def title_credits(payloads: DataFrame, entity: str = "movie") -> DataFrame:
-    """Cast and crew rows; for series also the creators, as crew of their own job."""
-    owner = f"ID_{entity.upper()}"
-    docs = documents(payloads, entity, "details")
-    base = _credits_of(docs, owner)
-    if entity != "serie":
-        base = once(base, all_=F.concat(_first_positions("cast"), _first_positions("crew")))
-        return base.select(owner, F.explode("all_").alias("c")).select(owner, "c.*")
+    """Cast and crew rows; for series also the creators, as crew of their own job.
 
-    people = F.coalesce(_fields().rows("created_by", "id BIGINT, credit_id STRING"), F.array().cast("array<struct<id:bigint,credit_id:string>>"))
-    base = once(once(base, creators=people), maker_ids=_ids(people))
-    makers, maker_ids = F.col("creators"), F.col("maker_ids")
-    is_maker = lambda x: F.array_contains(maker_ids, x["id"])
-
-    def creator(x: Column, order: Column) -> Column:
-        return F.struct(
-            x["id"].alias("ID_PERSON"), x["credit_id"].alias("ID_CREDIT"), F.lit("").alias("CAST_CHARACTER"), F.lit("Creator").alias("CREW_DEPARTMENT"),
-            F.lit("Creator").alias("CREW_JOB"), F.lit("crew").alias("CREDIT_TYPE"), order.cast("int").alias("DISPLAY_ORDER"),
-        )
+    A person's later credits reuse the place of the first one in the same list. Places are minima over the credits of one
+    person in one document, so a list of any length costs no more than sorting it. A creator among the crew gets an extra
+    row at the crew place, and the crew rows move one on; creators credited nowhere follow the last place handed out.
+    """
+    from pyspark.sql.window import Window
 
-    # A creator among the crew gets an extra row at the crew position, the crew row moves one on.
-    first_of = lambda x, i: F.array_position(maker_ids, x["id"]) == i + 1
-    working = F.filter(makers, lambda x, i: first_of(x, i) & F.array_contains("crew_ids", x["id"]))
-    working = F.transform(working, lambda x: creator(x, F.array_position("crew_ids", x["id"])))
-    crew_rows = _first_positions("crew", lambda x: F.when(is_maker(x), 1).otherwise(0))
-    base = once(base, own=F.concat(_first_positions("cast"), working, crew_rows), crew_rows=crew_rows)
-    # Creators credited nowhere follow the last position handed out.
-    last_cast = F.coalesce(F.array_position("cast_ids", F.try_element_at("cast_ids", F.lit(-1))), F.lit(0))
-    last = F.coalesce(F.try_element_at("crew_rows", F.lit(-1))["DISPLAY_ORDER"].cast("bigint"), last_cast)
-    base = once(base, last=last)
-    absent = F.filter(makers, lambda x: ~(F.array_contains("cast_ids", x["id"]) | F.array_contains("crew_ids", x["id"])))
-    absent = F.transform(absent, lambda x, i: creator(x, F.col("last") + i + 1))
-    rows = once(base, all_=F.concat(F.col("own"), absent))
-    return rows.select(owner, F.explode("all_").alias("c")).select(owner, "c.*")
+    owner, serie = f"ID_{entity.upper()}", entity == "serie"
+    entries = _credit_entries(documents(payloads, entity, "details"), owner, serie)
+    person = Window.partitionBy("_doc", F.col("x.id"))
+    first = lambda kind: F.min(F.when(F.col("_kind") == kind, F.col("_at"))).over(person)
+    rows = entries.withColumns({"_cast": first("cast"), "_crew": first("crew"), "_maker": first("maker")})
+    x, kind = F.col("x"), F.col("_kind")
+    none = F.col("x.id").isNull()  # a credit without a person has no place
+    cast = rows.filter(kind == "cast").select(owner, _credit(x, "cast", F.when(~none, F.col("_cast"))).alias("c"))
+    moved = F.col("_crew") + F.when(F.col("_maker").isNotNull(), 1).otherwise(0)
+    crew = rows.filter(kind == "crew").select(owner, _credit(x, "crew", F.when(~none, moved)).alias("c"))
+    out = cast.union(crew)
+    if serie:
+
+        def creator(order: Column) -> Column:
+            return F.struct(
+                x["id"].alias("ID_PERSON"), x["credit_id"].alias("ID_CREDIT"), F.lit("").alias("CAST_CHARACTER"), F.lit("Creator").alias("CREW_DEPARTMENT"),
+                F.lit("Creator").alias("CREW_JOB"), F.lit("crew").alias("CREDIT_TYPE"), order.cast("int").alias("DISPLAY_ORDER"),
+            )
+
+        makers = rows.filter((kind == "maker") & ~none)
+        working = makers.filter(F.col("_crew").isNotNull() & (F.col("_at") == F.col("_maker"))).select(owner, creator(F.col("_crew")).alias("c"))
+        absent = makers.filter(F.col("_crew").isNull() & F.col("_cast").isNull())
+        nth = F.row_number().over(Window.partitionBy("_doc").orderBy("_at"))
+        out = out.union(working).union(absent.select(owner, creator(F.col("_last") + nth).alias("c")))
+    return out.select(owner, "c.*")
 
 
 def person_credits(payloads: DataFrame, media: str) -> DataFrame:
@@ -777,21 +777,29 @@ def episode_refresh_selection(refreshed: DataFrame, local: DataFrame, latest: Da
     return rows.withColumn("REASON", reason).filter(F.col("REASON").isNotNull()).select(*keys, "REASON")
 
 
-def snapshot_entity(payloads: DataFrame, kind: str, ledger: DataFrame, now: Column) -> dict[str, DataFrame]:
-    """Every table of one entity kind from its payloads.
+def usable(payloads: DataFrame, kind: str, ledger: DataFrame, now: Column) -> DataFrame:
+    """The newest answers of one kind, parsed once and written.
 
-    Of several fetches the newest counts. Ids inside a retry window are skipped, and
-    nothing is flattened for an id whose newest details answer is not usable ("gone"
-    or an error): the rest of the chain depends on it. The payloads that remain are
-    parsed once and written; all tables read that.
+    Ids inside a retry window are left out, and so is an id whose newest details answer is not usable ("gone" or an error):
+    the rest of the chain depends on it.
     """
     waiting = merge.in_retry_window(ledger.filter(F.col("ENTITY_TYPE") == kind), now).select(F.col("ID_ENTITY").alias("id"))
     latest = newest(payloads.filter(F.col("entity") == kind), kind)
-    answers = latest.filter(F.col("endpoint") == ("page" if kind == "list" else "details")).select("id", "fetched_at", "payload")
+    first = {"list": "page", "episode": "credits"}.get(kind, "details")
+    answers = latest.filter(F.col("endpoint") == first).select("id", "fetched_at", "payload")
     if kind not in NUMBERED:  # an answer without numbers says nothing about the other seasons, episodes or pages of its id
         answers = latest_wins(answers, ["id"], ["fetched_at", "payload"])
     ok = answers.filter(merge.fetch_outcome(F.col("payload")) == "ok").select("id").distinct().join(waiting, "id", "left_anti")
-    mine = cut(with_fields(latest.join(ok, "id", "left_semi")), "payloads")
+    return cut(with_fields(latest.join(ok, "id", "left_semi")), "payloads")
+
+
+def snapshot_entity(payloads: DataFrame, kind: str, ledger: DataFrame, now: Column) -> dict[str, DataFrame]:
+    """Every table of one entity kind from its payloads alone; ``settled.settle_entity`` brings them into what is stored."""
+    return tables_of(usable(payloads, kind, ledger, now), kind)
+
+
+def tables_of(mine: DataFrame, kind: str, main: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The rows of every table of one kind; ``mine`` are usable answers, ``main`` the main images."""
     if kind == "movie":
         dated, _ = validated(mine, kind, "release_dates", valid_release_dates)
         watch, _ = validated(mine, kind, "watch_providers", valid_watch_providers)
@@ -805,7 +813,7 @@ def snapshot_entity(payloads: DataFrame, kind: str, ledger: DataFrame, now: Colu
             "MOVIE_RECOMMENDATION": neighbours(mine, kind, "recommendations"),
             "MOVIE_RELEASE_DATE": release_dates(dated),
             "MOVIE_WATCH_PROVIDER": watch_providers(watch, "ID_MOVIE"),
-            "MOVIE_IMAGE": images(mine, kind),
+            "MOVIE_IMAGE": images(mine, kind, main),
             "MOVIE_VIDEO": videos(mine.filter(F.col("lang").isin("en", "fr")), kind),
         }
     if kind == "serie":
@@ -819,7 +827,7 @@ def snapshot_entity(payloads: DataFrame, kind: str, ledger: DataFrame, now: Colu
             "SERIE_SIMILAR": neighbours(mine, kind, "similar"),
             "SERIE_RECOMMENDATION": neighbours(mine, kind, "recommendations"),
             "SERIE_WATCH_PROVIDER": watch_providers(watch, "ID_SERIE"),
-            "SERIE_IMAGE": images(mine, kind),
+            "SERIE_IMAGE": images(mine, kind, main),
             "SERIE_VIDEO": videos(mine.filter(F.col("lang").isin("en", "fr")), kind),
         }
     if kind == "person":
@@ -827,7 +835,7 @@ def snapshot_entity(payloads: DataFrame, kind: str, ledger: DataFrame, now: Colu
             "PERSON": person_details(mine),
             "PERSON_MOVIE": person_credits(mine, "movie"),
             "PERSON_SERIE": person_credits(mine, "tv"),
-            "PERSON_IMAGE": images(mine, kind, main_type="profile"),
+            "PERSON_IMAGE": images(mine, kind, main, main_type="profile"),
         }
     if kind == "season":
         return {
@@ -836,14 +844,14 @@ def snapshot_entity(payloads: DataFrame, kind: str, ledger: DataFrame, now: Colu
             "PERSON_SEASON": season_credits(mine),
             "PERSON_EPISODE": episode_credits(mine, "season"),
             "SEASON_LANG": localized(mine.filter(F.col("lang") == "fr"), kind),
-            "SEASON_IMAGE": images(mine, kind),
+            "SEASON_IMAGE": images(mine, kind, main),
             "SEASON_VIDEO": videos(mine, kind),
         }
     if kind == "episode":
         return {
             "PERSON_EPISODE": episode_credits(mine),
             "EPISODE_LANG": localized(mine.filter(F.col("lang") == "fr"), kind),
-            "EPISODE_IMAGE": images(mine, kind, main_type="still"),
+            "EPISODE_IMAGE": images(mine, kind, main, main_type="still"),
             "EPISODE_VIDEO": videos(mine, kind),
         }
     if kind == "list":
@@ -852,5 +860,5 @@ def snapshot_entity(payloads: DataFrame, kind: str, ledger: DataFrame, now: Colu
     if kind == "collection":
         tables["COLLECTION_LANG"] = localized(mine.filter(F.col("lang") == "fr"), kind)
     if kind != "keyword":
-        tables[f"{kind.upper()}_IMAGE"] = images(mine, kind)
+        tables[f"{kind.upper()}_IMAGE"] = images(mine, kind, main)
     return tables
