@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from kgspark.catalog.registry import query
 from kgspark.catalog.twins import stable_bigint
-from kgspark.operators import checks, claims, scope
+from kgspark.operators import checks, claims, merge, scope
+from kgspark.plans.job import run_batch
 from kgspark.plans.refresh import empty_targets, full_load, refresh, staged_tables
 from kgspark.sources import dump
 from kgspark.sources.driver import CUSTOMER, qid
@@ -25,21 +26,21 @@ def claim(datatype, value, guid=None, given=None):
     return text(snak, ',"rank":"normal"', *([',"id":"', guid, '"'] if guid is not None else []), "}")
 
 
-def lines(d):
+def lines(d, customers=None, named="string"):
     """People: class, database id (none for customers in debt), name as text, picture without a GUID. Properties: two formatters, the first empty."""
     key = c("c_custkey").cast("string")
     name, segment = text('"', c("c_name"), '"'), text('"', c("c_mktsegment"), '"')
     person = text(
         '{"type":"item","id":"', qid(CUSTOMER, "c_custkey"), '","labels":{"en":{"language":"en","value":', name, '}},"descriptions":{},"claims":{"P31":[',
         claim("wikibase-item", F.lit('{"id":"Q5"}'), text(key, "$a")), '],"P345":[', claim("external-id", text('"nm', key, '"'), text(key, "$b"), c("c_acctbal") > 0),
-        '],"P1448":[', claim("string", segment, text(key, "$c")), '],"P18":[', claim("commonsMedia", text('"', c("c_name"), '.jpg"')), "]}}",
+        '],"P1448":[', claim(named, segment, text(key, "$c")), '],"P18":[', claim("commonsMedia", text('"', c("c_name"), '.jpg"')), "]}}",
     )
     formatter = text('"https://x.example/', c("n_name"), '/$1"')
     prop = text(
         '{"type":"property","id":"P9', c("n_nationkey").cast("string"), '","datatype":"', F.when(c("n_regionkey") == 0, "external-id").otherwise("string"),
         '","labels":{"en":{"language":"en","value":"', c("n_name"), '"}},"descriptions":{},"claims":{"P1630":[', claim("string", F.lit('""')), ",", claim("string", formatter), "]}}",
     )
-    return d.customer.select(person.alias("value")).union(d.nation.select(prop.alias("value")))
+    return (d.customer if customers is None else customers).select(person.alias("value")).union(d.nation.select(prop.alias("value")))
 
 
 def parsed(d):
@@ -115,3 +116,34 @@ def loaded_tables(d):
         part = table.select(F.lit(name).alias("TABLE_NAME"))
         out = part if out is None else out.union(part)
     return out.groupBy("TABLE_NAME").agg(F.count(F.lit(1)).alias("N"))
+
+
+def counted(tables):
+    """Rows by table, empty ones left out."""
+    return merge.union_rows(*[t.select(F.lit(name).alias("TABLE_NAME")) for name, t in tables.items()]).groupBy("TABLE_NAME").agg(F.count(F.lit(1)).alias("N"))
+
+
+@query(
+    "two_batches",
+    """WITH n AS (SELECT count(*) FILTER (c_acctbal > 0) AS first, count(*) FILTER (c_acctbal > 0 AND c_custkey%3<>0) AS core, count(*) FILTER (c_acctbal > 0 AND c_custkey%3<>0 AND c_custkey%5=0) AS flipped FROM customer),
+         t AS (SELECT unnest([{'t': 'PERSON', 'n': first}, {'t': 'STATEMENT', 'n': 4*core}, {'t': 'ITEM_VALUE', 'n': core}, {'t': 'EXTERNAL_ID_VALUE', 'n': core+flipped}, {'t': 'STRING_VALUE', 'n': core-flipped}, {'t': 'MEDIA_VALUE', 'n': core},
+           {'t': 'MEDIA_RESOURCE', 'n': core}, {'t': 'MEDIA_RESOURCE_URL', 'n': 3*core}, {'t': 'PROPERTY_METADATA', 'n': (SELECT count(*) FROM nation)}]) AS r FROM n)
+       SELECT r.t AS TABLE_NAME, r.n::BIGINT AS N FROM t WHERE r.n > 0""",
+)
+def two_batches(d):
+    """Two dumps through one job: in the second a third of the people is missing, and for some a statement's type changed. Rows by table after the prune."""
+    now = F.lit("2024-05-01").cast("timestamp")
+    first = run_batch(dump.clean_lines(lines(d)), {}, "b1", now, ROOTS)
+    second = d.customer.filter(c("c_custkey") % 3 != 0)
+    flipped = F.when(c("c_custkey") % 5 == 0, "external-id").otherwise("string")
+    return counted(run_batch(dump.clean_lines(lines(d, second, flipped)), first.tables, "b2", now, ROOTS).tables)
+
+
+@query(
+    "job_verdicts",
+    """WITH n AS (SELECT count(*) FILTER (c_acctbal > 0) AS core FROM customer) SELECT STEP, METRIC, VALUE::BIGINT AS "VALUE", RULE, true AS OK FROM n, LATERAL (VALUES ('pass','PARSE_ERRORS',0,'== 0'), ('pass','CORE_ENTITIES',core,'>= 1'), ('pass','STATEMENTS',4*core,'>= 1'),
+         ('staging','STAGED',4*core,'>= 1'), ('staging','NULL_BATCH',0,'== 0'), ('target','STATEMENTS',4*core,'>= 1'), ('target','LOADED_ROWS',4*core,'>= 1'), ('media','URLS of commons',3*core,'> 0')) v(STEP, METRIC, VALUE, RULE)""",
+)
+def job_verdicts(d):
+    """What the gates of one run said."""
+    return run_batch(dump.clean_lines(lines(d)), {}, "b1", F.lit("2024-05-01").cast("timestamp"), ROOTS).verdicts

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kgspark.functions.text import safe_pct
 from kgspark.operators.claims import item_value, snak_value
-from kgspark.session import cut
+from kgspark.session import cut, cut_path
 
 # Root classes of each entity type, in order of precedence.
 ROOTS = {
@@ -44,27 +46,26 @@ def _claim_items(prop: str) -> Column:
     return F.filter(F.transform(raws, item), lambda q: q.isNotNull())
 
 
+def scope_columns(entities: DataFrame, *extra: str) -> DataFrame:
+    """What scope needs of every entity, in one narrow row: ids of P279 and P31 (the latter sorted, distinct) and the IMDb flag."""
+    imdb = F.from_json(F.try_element_at("claims", F.lit("P345")), "ARRAY<STRING>")
+    has_value = F.exists(imdb, lambda r: snak_value(F.from_json(r, _CLAIM_SNAK).getField("mainsnak")).isNotNull())
+    return entities.select("id", "type", _claim_items("P279").alias("P279"), F.array_sort(F.array_distinct(_claim_items("P31"))).alias("P31"), F.coalesce(has_value, F.lit(False)).alias("HAS_IMDB"), *extra)
+
+
 def subclass_edges(entities: DataFrame) -> DataFrame:
     """Distinct (child, parent) pairs of the P279 claims of items."""
-    items = entities.filter((F.col("type") == "item") & (F.coalesce("id", F.lit("")) != ""))
-    pairs = items.select(F.col("id").alias("ID_CHILD"), F.explode(_claim_items("P279")).alias("ID_PARENT"))
+    rows = entities if "P279" in entities.columns else scope_columns(entities)
+    items = rows.filter((F.col("type") == "item") & (F.coalesce("id", F.lit("")) != ""))
+    pairs = items.select(F.col("id").alias("ID_CHILD"), F.explode("P279").alias("ID_PARENT"))
     return pairs.dropDuplicates(["ID_CHILD", "ID_PARENT"])
 
 
 def p31_sidecar(entities: DataFrame) -> DataFrame:
-    """Id, sorted distinct P31 classes and the IMDb flag of every item with a class."""
-    imdb = F.from_json(F.try_element_at("claims", F.lit("P345")), "ARRAY<STRING>")
-    has_value = F.exists(imdb, lambda r: snak_value(F.from_json(r, _CLAIM_SNAK).getField("mainsnak")).isNotNull())
-    return (
-        entities.filter(F.col("type") == "item")
-        .select(F.col("id").alias("ID_WIKIDATA"), F.array_sort(F.array_distinct(_claim_items("P31"))).alias("P31"), "claims")
-        .filter(F.size("P31") > 0)
-        .select(
-            "ID_WIKIDATA",
-            "P31",
-            F.when(F.array_contains("P31", "Q5"), F.coalesce(has_value, F.lit(False))).otherwise(F.lit(False)).alias("HAS_IMDB"),
-        )
-    )
+    """Id, sorted distinct P31 classes and the IMDb flag (of humans) of every item with a class."""
+    rows = entities if "P31" in entities.columns else scope_columns(entities)
+    known = rows.filter((F.col("type") == "item") & (F.size("P31") > 0))
+    return known.select(F.col("id").alias("ID_WIKIDATA"), "P31", (F.array_contains("P31", "Q5") & F.col("HAS_IMDB")).alias("HAS_IMDB"))
 
 
 def root_frame(spark: SparkSession, roots: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -72,26 +73,74 @@ def root_frame(spark: SparkSession, roots: Mapping[str, Sequence[str]]) -> DataF
     return spark.createDataFrame(rows, "ROOT_TYPE string, QID string")
 
 
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _bucketed(df: DataFrame, keys: Sequence[str], name: str) -> tuple[str, str]:
+    """Write ``df`` to the shared folder, dealt by ``keys`` into as many buckets as a shuffle has partitions; (table, path)."""
+    spark, path, table = df.sparkSession, cut_path(df.sparkSession, name), f"kg_{uuid.uuid4().hex}"
+    n = _buckets(spark)
+    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    return table, path
+
+
+def _bucketed_edges(edges: DataFrame) -> tuple[str, DataFrame]:
+    """The edges bucketed by parent once, and the parents that hold so many that they are spread over several buckets.
+
+    A parent of more than a quarter of a bucket's fair share gets ``PARTS`` salts; there are at most four such parents a bucket.
+    """
+    spark = edges.sparkSession
+    edges = cut(edges.select("ID_PARENT", "ID_CHILD").dropna().distinct(), "edges")
+    share = max(1, edges.count() // (4 * _buckets(spark)))
+    sizes = edges.groupBy("ID_PARENT").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > share)
+    crowded = cut(sizes.select("ID_PARENT", F.ceil(F.col("n") / share).cast("int").alias("PARTS")), "crowded")
+    parts = F.coalesce("PARTS", F.lit(1))
+    salted = edges.join(F.broadcast(crowded), "ID_PARENT", "left").withColumn("SALT", F.pmod(F.xxhash64("ID_CHILD"), parts).cast("int"))
+    return _bucketed(salted.select("ID_PARENT", "SALT", "ID_CHILD"), ["ID_PARENT", "SALT"], "subclass-buckets")[0], crowded
+
+
+def _below(frontier: DataFrame, edges: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Children of the frontier: only the frontier moves, the edges are read where they lie."""
+    asked = frontier.select("ROOT_TYPE", F.col("QID").alias("ID_PARENT")).join(F.broadcast(crowded), "ID_PARENT", "left")
+    salts = F.explode(F.sequence(F.lit(0), F.coalesce("PARTS", F.lit(1)) - 1)).alias("SALT")
+    found = asked.select("ROOT_TYPE", "ID_PARENT", salts).join(edges, ["ID_PARENT", "SALT"])
+    return found.select("ROOT_TYPE", F.col("ID_CHILD").alias("QID")).distinct()
+
+
 def closure_multi(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """(ROOT_TYPE, QID): every root and everything below it, for all roots at once.
 
-    Breadth first: each round joins only the newest nodes with the edges and drops
-    what was seen, so a cycle dies out by itself. Every round is written to shared
-    storage; the driver sees one row count per round, never the nodes.
+    Breadth first: each round joins the newest nodes with the edges and drops what was seen, so a cycle dies out by itself.
+    The edges are bucketed by parent once, so a round shuffles its frontier only. What was seen is bucketed too: the rounds
+    since the last folding are few rows, and once they are half of what is folded all is folded anew, so that over the whole
+    run every node is written a few times at most. The driver sees one row count per round, never the nodes.
     """
-    edges = cut(edges.select("ID_PARENT", "ID_CHILD").dropna().distinct(), "edges")
-    frontier = cut(roots.select("ROOT_TYPE", "QID").distinct(), "roots")
-    seen = frontier
-    while True:  # a round only ever adds nodes not seen before, so this ends
-        below = (
-            frontier.join(edges, frontier["QID"] == edges["ID_PARENT"])
-            .select("ROOT_TYPE", F.col("ID_CHILD").alias("QID"))
-            .distinct()
-        )
-        frontier = cut(below.join(seen, ["ROOT_TYPE", "QID"], "left_anti"), "frontier")
-        if frontier.isEmpty():
-            return seen
-        seen = seen.union(frontier)
+    spark, keys = edges.sparkSession, ["ROOT_TYPE", "QID"]
+    edge_table, crowded = _bucketed_edges(edges)
+    frontier = cut(roots.select(*keys).distinct(), "roots")
+    folded, recent, held, waiting = None, [frontier], 0, frontier.count()
+    tables = [edge_table]
+    try:
+        while True:  # a round only ever adds nodes not seen before, so this ends
+            if 2 * waiting > held:
+                rows = recent if folded is None else [spark.read.parquet(folded[1]), *recent]
+                folded = _bucketed(reduce(DataFrame.union, rows), keys, "seen")
+                tables.append(folded[0])
+                recent, held, waiting = [], held + waiting, 0
+            new = _below(frontier, spark.table(edge_table), crowded).join(spark.table(folded[0]), keys, "left_anti")
+            if recent:
+                new = new.join(reduce(DataFrame.union, recent), keys, "left_anti")
+            frontier = cut(new, "frontier")
+            n = frontier.count()
+            if not n:
+                break
+            recent.append(frontier)
+            waiting += n
+    finally:
+        for table in tables:  # the names only: the files stay where they are
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return reduce(DataFrame.union, [spark.read.parquet(folded[1]), *recent])
 
 
 def closure(edges: DataFrame, roots: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Full refresh: dump text to scope, statements, cached labels and loaded tables.
 
 An instance may precede its class in the file, so scope needs the whole class graph
-first. The dump is parsed once into Parquet; scope, claims and the label cache are
-three derivations of that table.
+first. The first pass over the text keeps a narrow row per entity. The second and the
+third parse only what the id gate lets through: the entities in scope, and those that
+their statements mention.
 """
 
 from __future__ import annotations
@@ -43,26 +44,29 @@ class Refresh:
 def refresh(lines: DataFrame, roots: Mapping[str, tuple[str, ...]] = scope.ROOTS, exact_ids: bool = True) -> Refresh:
     """All three passes as one job. ``lines`` is the cleaned dump text."""
     spark = lines.sparkSession
-    # One parse: entities and unreadable lines are written side by side, and everything below reads that.
-    parsed, bad = dump.split_marked(cut(dump.parse_marked(lines), "entities"))
+    # First pass: a narrow row of every line.
+    marked = dump.parse_marked(lines, ("type", "id", "claims"))
+    narrow, bad = dump.split_marked(cut(scope.scope_columns(marked, "BAD_LINE"), "scope"))
 
     # Scope: the closure of the root classes decides which entities are core.
-    edges = cut(scope.subclass_edges(parsed), "subclass")
+    edges = cut(scope.subclass_edges(narrow), "subclass")
     classes = cut(scope.closure_multi(edges, scope.root_frame(spark, roots)), "classes")
-    classified = cut(scope.classify_sidecar(scope.p31_sidecar(parsed), classes), "classified")
+    classified = cut(scope.classify_sidecar(scope.p31_sidecar(narrow), classes), "classified")
     core, candidates = scope.core_and_candidates(classified)
 
-    # Claims: everything a core entity states.
+    # Second pass: everything a core entity states, and the properties.
+    parsed = gated_entities(lines, core)
     items = parsed.filter(F.col("type") == "item")
     in_scope = items.join(core.select(F.col("ID_WIKIDATA").alias("id"), "ENTITY_CLASS"), "id")
     stmts = cut(claims.statements(claims.explode_claims(in_scope, exact_ids=exact_ids)), "statements")
     quals = cut(claims.qualifiers(stmts, exact_ids), "qualifiers")
 
-    # Label cache: what the statements mention but the core does not contain.
+    # Third pass, the label cache: what the statements mention but the core does not contain.
     used = scope.referenced_items(stmts.select("v.ID_ITEM"), quals.select("v.ID_ITEM"))
     persons = scope.referenced_persons(stmts.select("v.ID_ITEM"), candidates)
     used, persons = cut(used, "used"), cut(persons, "persons")
-    cached = scope.item_cache_rows(items.withColumn("ID_WIKIDATA", F.col("id")), core, used, persons)
+    mentioned = gated_entities(lines, used.select("ID_ITEM").union(persons.select("ID_ITEM"))).filter(F.col("type") == "item")
+    cached = scope.item_cache_rows(mentioned.withColumn("ID_WIKIDATA", F.col("id")), core, used, persons)
     cached_stmts = claims.cached_claims(cached, exact_ids)
 
     # Referenced persons that are not core are stored as persons, the rest as items.
@@ -80,11 +84,17 @@ def refresh(lines: DataFrame, roots: Mapping[str, tuple[str, ...]] = scope.ROOTS
         referenced_items=used.withColumnRenamed("ID_ITEM", "ID_WIKIDATA"),
         referenced_persons=persons.withColumnRenamed("ID_ITEM", "ID_WIKIDATA"),
         classes=classes,
-        summary=checks.run_summary(parsed, bad, core, stmts, quals),
+        summary=checks.run_summary(narrow, bad, core, stmts, quals),
         bad_lines=bad,
     )
 
 
+def gated_entities(lines: DataFrame, ids: DataFrame) -> DataFrame:
+    """Parsed entities of the wanted ids and all properties: what is not wanted is dropped as text, before any parse."""
+    good, _ = dump.split_marked(cut(dump.parse_marked(dump.idgate(lines, ids)), "gated"))
+    return good
+
+
 STATEMENT_POLICY = {"TIM_UPDATED": "now"}
 ENTITY_POLICY = {"TIM_UPDATED": "now", "DAT_CREAT": "insert_only"}
 

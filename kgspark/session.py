@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,16 +55,39 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     its true size, so a broadcast is only chosen for what is known to be small.
     """
     spark = df.sparkSession
-    path = f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = cut_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_path(spark: SparkSession, name: str) -> str:
+    """A new folder for an intermediate table, below the innermost ``scratch``."""
+    return "/".join([_application_folder(spark), *_INNER, f"{name}-{uuid.uuid4().hex}"])
+
+
+_INNER: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables cut inside are deleted at the end: whatever is made of them must have been written by then."""
+    _INNER.append(f"scratch-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        _delete(spark, "/".join([_application_folder(spark), *_INNER]))
+        _INNER.pop()
+
+
 def _application_folder(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/kgspark/{spark.sparkContext.applicationId}"
 
 
 def drop_cuts(spark: SparkSession) -> None:
     """Delete this application's intermediate tables once its results are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    _delete(spark, _application_folder(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

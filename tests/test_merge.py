@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kgspark.functions.ident import stable_bigint
-from kgspark.operators import checks, merge, ranking
+from kgspark.operators import checks, merge, ranking, scope
 from kgspark.plans import refresh, reports
 from kgspark.plans import snapshots as sn
 from kgspark.sources import staging, tables
@@ -202,3 +202,42 @@ def test_progress_counters(spark, tmp_path):
         time.sleep(0.1)
     spark.streams.removeListener(listener)
     assert listener.total("ROWS") == 2 and listener.total("PARSE_ERRORS") == 1
+
+
+def closure_of(edges, roots):
+    below, seen, todo = {}, set(), list(roots)
+    for parent, child in edges:
+        below.setdefault(parent, []).append(child)
+    while todo:
+        kind, q = todo.pop()
+        if (kind, q) not in seen:
+            seen.add((kind, q))
+            todo += [(kind, x) for x in below.get(q, [])]
+    return seen
+
+
+def test_closure_folds_and_spreads_a_crowded_parent(spark):
+    # A long chain takes many rounds, a hot parent holds a third of the edges, and there is a cycle.
+    edges = [(f"Q{i}", f"Q{i + 1}") for i in range(12)] + [("Q3", f"H{i}") for i in range(60)] + [(f"H{i}", f"L{i}") for i in range(60)] + [("Q12", "Q0"), ("Q5", "Q5"), (None, "x")]
+    roots = [("a", "Q0"), ("b", "Q7"), ("a", "Z")]
+    e, r = spark.createDataFrame(edges, "ID_PARENT string, ID_CHILD string"), spark.createDataFrame(roots, "ROOT_TYPE string, QID string")
+    got = [tuple(x) for x in scope.closure_multi(e, r).collect()]
+    assert len(got) == len(set(got)) and set(got) == closure_of([x for x in edges if x[0]], roots)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("kg_")]
+
+
+def test_a_round_moves_the_frontier_only(spark):
+    e = spark.range(2000).select((F.col("id") % 50).cast("string").alias("ID_PARENT"), F.col("id").cast("string").alias("ID_CHILD"))
+    table, crowded = scope._bucketed_edges(e)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frontier = spark.createDataFrame([("a", "3"), ("a", "4")], "ROOT_TYPE string, QID string")
+        found = scope._below(frontier, spark.table(table), crowded)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 80
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql(f"DROP TABLE {table}")
+    join = plan[plan.index("SortMergeJoin") :]
+    assert join.count("Exchange hashpartitioning") == 1, plan  # the frontier; the edges' side is the bucketed scan
+    assert "SelectedBucketsCount" in join or "Bucketed: true" in join
