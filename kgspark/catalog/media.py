@@ -144,3 +144,69 @@ def media_staging_upsert(d):
     old = lambda key: [key.alias("ID_MEDIA_RESOURCE"), F.lit("youtube").alias("SOURCE_PLATFORM"), F.lit("image").alias("RESOURCE_KIND"), F.lit(0).alias("IS_PLAYABLE"), F.lit(0).alias("IS_ACTIVE")]
     target = d.customer.select(*old(-1 - c("c_custkey"))).unionByName(d.orders.filter(c("o_totalprice") > 200000).select(*old(c("o_orderkey"))))
     return upsert(target, guarded, ["ID_MEDIA_RESOURCE"])
+
+
+def staged_urls(d):
+    """Orders as URL rows of outside tools: every third type is unknown, flags and counters are missing."""
+    kind = F.element_at(F.array(F.lit("page"), F.lit("file"), F.lit("odd")), (c("o_orderkey") % 3 + 1).cast("int"))
+    none = lambda t: F.lit(None).cast(t)
+    return d.orders.select(
+        c("o_orderkey").alias("ID_MEDIA_RESOURCE_URL"), c("o_custkey").alias("ID_MEDIA_RESOURCE"), kind.alias("URL_TYPE"), c("o_orderpriority").alias("URL"),
+        F.when(c("o_orderstatus") == "P", F.lit(1)).alias("IS_PLAYABLE"), none("int").alias("IS_ACTIVE"), none("int").alias("CHECK_COUNT"), none("string").alias("DISCOVERED_AT"), none("string").alias("TIM_UPDATED"),
+        F.when(c("o_orderstatus") == "O", "b1").otherwise("b2").alias("IMPORT_BATCH_ID"), F.when(c("o_orderkey") % 7 == 0, "LOADED").otherwise("NEW").alias("ROW_STATUS"),
+        none("string").alias("ERROR_MESSAGE"), c("o_orderkey").alias("ID_STG_ROW"),
+    )
+
+
+@query(
+    "media_url_staging",
+    """SELECT o_orderkey AS ID_MEDIA_RESOURCE_URL, CASE o_orderkey%3 WHEN 0 THEN 'page' WHEN 1 THEN 'file' END AS URL_TYPE, CASE WHEN o_orderstatus='P' THEN 1 ELSE 0 END AS IS_PLAYABLE, 1 AS IS_ACTIVE, 0 AS CHECK_COUNT, 'now' AS DISCOVERED_AT, 'now' AS TIM_UPDATED, o_orderkey%2 AS OLD
+       FROM orders WHERE o_orderstatus<>'O' AND o_orderkey%7<>0 UNION ALL SELECT o_orderkey, 'old', 9, 9, 9, 'old', 'old', 1 FROM orders WHERE o_orderkey%2=1 AND (o_orderstatus='O' OR o_orderkey%7=0)""",
+)
+def media_url_staging(d):
+    """Only waiting rows of the batch enter; every second URL is there already and keeps the column that the staging lacks."""
+    staged = staged_urls(d)
+    old = d.orders.filter(c("o_orderkey") % 2 == 1).select(
+        c("o_orderkey").alias("ID_MEDIA_RESOURCE_URL"), F.lit("old").alias("URL_TYPE"), F.lit(9).alias("IS_PLAYABLE"), F.lit(9).alias("IS_ACTIVE"), F.lit(9).alias("CHECK_COUNT"),
+        F.lit("old").alias("DISCOVERED_AT"), F.lit("old").alias("TIM_UPDATED"), F.lit(1).alias("OLD"),
+    )
+    targets, _ = media.load_staged({"MEDIA_RESOURCE_URL": old}, {"MEDIA_RESOURCE_URL": staged}, "b2", F.lit("now"))
+    return targets["MEDIA_RESOURCE_URL"].withColumn("OLD", F.coalesce("OLD", F.lit(0)).cast("bigint"))
+
+
+def staged_checks(d, last):
+    """Events as checks of URLs: the status of some is unknown, the second batch brings every fifth check of the first again."""
+    kind = c("event_type")
+    status = F.when(kind == "error", "failure").when(kind == "purchase", "success").when(kind == "view", "partial").otherwise("odd")
+    return d.events.filter((c("event_id") % 2 == 1) | (c("event_id") % 5 == 0) if last else c("event_id") % 2 == 0).select(
+        c("event_id").alias("ID_MEDIA_RESOURCE_CHECK"), (c("user_id") % 10).alias("ID_MEDIA_RESOURCE"), c("user_id").alias("ID_MEDIA_RESOURCE_URL"), F.lit("url").alias("CHECK_SCOPE"),
+        F.lit("http_head").alias("CHECK_TYPE"), (F.lit("failure") if last else status).alias("CHECK_STATUS"), F.length("props").alias("HTTP_STATUS"),
+        F.when(kind != "click", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("CHECKED_AT"),
+    )
+
+
+@query(
+    "media_check_history",
+    """WITH h AS (SELECT event_id AS i, user_id AS u, length(props) AS s, CASE WHEN event_type<>'click' THEN strftime(date_trunc('second',ts),'%Y-%m-%d %H:%M:%S') ELSE '2024-02-01 00:00:00' END AS t,
+         CASE WHEN event_id%2=1 OR event_id%5=0 THEN 'failure' WHEN event_type='purchase' THEN 'success' WHEN event_type='error' THEN 'failure' WHEN event_type='view' THEN 'partial' END AS x FROM events)
+       SELECT u%10 AS ID_MEDIA_RESOURCE, u AS ID_MEDIA_RESOURCE_URL, arg_max({'x': x}, (t,i)).x AS CHECK_STATUS, arg_max(s, (t,i))::INT AS HTTP_STATUS, count(*) AS CHECK_COUNT, count(*) FILTER (x='failure') AS FAIL_COUNT, max(t) AS LAST_CHECKED_AT, max(t) FILTER (x='success') AS LAST_SUCCESS_AT FROM h GROUP BY 2""",
+)
+def media_check_history(d):
+    """Two batches of checks, the first loaded twice; checks without a time get the load's."""
+    from kgspark.session import cut_path
+
+    folder, now = cut_path(d.spark, "checks"), F.lit("2024-02-01 00:00:00")
+    for batch, last in (("b1", False), ("b2", True), ("b1", False)):
+        media.append_checks(staged_checks(d, last), folder, batch, now)
+    return media.newest_checks(media.check_history(d.spark, folder))
+
+
+@query(
+    "media_url_check_state",
+    """SELECT o_orderkey AS ID_MEDIA_RESOURCE_URL, coalesce(n,7) AS CHECK_COUNT, coalesce(f,7) AS FAIL_COUNT, coalesce(t,'own') AS LAST_CHECKED_AT FROM orders LEFT JOIN
+       (SELECT user_id AS u, count(*) AS n, count(*) FILTER (event_type='error') AS f, max(strftime(date_trunc('second',ts),'%Y-%m-%d %H:%M:%S')) AS t FROM events WHERE event_id%2=0 AND event_type<>'click' GROUP BY 1) ON u=o_orderkey""",
+)
+def media_url_check_state(d):
+    """URL rows take over what the history says of them."""
+    urls = d.orders.select(c("o_orderkey").alias("ID_MEDIA_RESOURCE_URL"), F.lit(7).cast("bigint").alias("CHECK_COUNT"), F.lit(7).cast("bigint").alias("FAIL_COUNT"), F.lit("own").alias("LAST_CHECKED_AT"))
+    return media.with_check_state(urls, media.newest_checks(staged_checks(d, False).filter(c("CHECKED_AT").isNotNull())))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kgspark.functions.ident import stable_bigint
@@ -39,6 +41,9 @@ RESOURCE_FLAGS = {"IS_PREFERRED_RESOURCE": 0, "IS_PRIMARY_FOR_ENTITY": 0, "IS_PL
 URL_FLAGS = {"IS_CANONICAL": 0, "IS_PREFERRED": 0, "IS_DIRECT_FILE": 0, "IS_ACTIVE": 1, "IS_PLAYABLE": 0, "IS_DOWNLOADABLE": 0, "IS_EMBEDDABLE": 0, "DELETED": 0}
 
 
+URL_COUNTERS = {"CHECK_COUNT": 0, "FAIL_COUNT": 0}
+
+
 def guard_rows(staged: DataFrame, enums: dict, flags: dict, now: Column, stamps: tuple[str, ...] = ()) -> DataFrame:
     """Staged rows with enum guards and flag and date defaults applied."""
     out = staged
@@ -237,3 +242,69 @@ def merge_resolved(target: DataFrame, resolved: DataFrame, key: str, updates: tu
 
     frozen = {c: "insert_only" for c in target.columns if c != key and c not in updates}
     return upsert(target, resolved, [key], frozen)
+
+
+# Externally produced rows: staged, guarded, loaded.
+KEYS = {"MEDIA_RESOURCE": "ID_MEDIA_RESOURCE", "MEDIA_RESOURCE_URL": "ID_MEDIA_RESOURCE_URL", "MEDIA_RESOURCE_CHECK": "ID_MEDIA_RESOURCE_CHECK"}
+GUARDS = {
+    "MEDIA_RESOURCE": (RESOURCE_ENUMS, RESOURCE_FLAGS, ("DISCOVERED_AT", "TIM_UPDATED")),
+    "MEDIA_RESOURCE_URL": (URL_ENUMS, URL_FLAGS | URL_COUNTERS, ("DISCOVERED_AT", "TIM_UPDATED")),
+    "MEDIA_RESOURCE_CHECK": (CHECK_ENUMS, {}, ("CHECKED_AT",)),
+}
+
+
+def load_staged(targets: Mapping[str, DataFrame], staging: Mapping[str, DataFrame], batch: str, now: Column) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """(targets, staging) after loading a batch's resources, URLs and checks that outside tools produced.
+
+    Values outside the allowed sets and missing flags, counters and times get their defaults; a row that is there is
+    overwritten and stamped anew. Check rows have no stamp of their own: a check that comes again replaces itself.
+    """
+    from kgspark.operators.merge import loadable, mark_loaded, upsert
+
+    out, left = dict(targets), dict(staging)
+    for name, (enums, flags, stamps) in GUARDS.items():
+        if name not in staging:
+            continue
+        rows = guard_rows(loadable(staging[name], batch), enums, flags, now, stamps)
+        order = [c for c in ("ID_STG_ROW",) if c in rows.columns]
+        out[name] = upsert(targets[name], rows, [KEYS[name]], {"TIM_UPDATED": "now_on_update"}, now, order or None)
+        left[name] = mark_loaded(staging[name], batch)
+    return out, left
+
+
+def append_checks(checks: DataFrame, folder: str, batch: str, now: Column) -> None:
+    """Add a batch's check rows to the history: a partition of their own, which alone is rewritten when the batch comes again."""
+    from kgspark.sources.tables import replace_batch
+
+    enums, flags, stamps = GUARDS["MEDIA_RESOURCE_CHECK"]
+    replace_batch(guard_rows(checks, enums, flags, now, stamps).drop("IMPORT_BATCH_ID"), folder, batch)
+
+
+def check_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Every check once: of one that several batches bring, the last batch's row."""
+    from kgspark.operators.ranking import latest_wins
+
+    rows = spark.read.option("basePath", folder).parquet(folder)
+    return latest_wins(rows.withColumn("IMPORT_BATCH_ID", F.col("IMPORT_BATCH_ID").cast("string")), ["ID_MEDIA_RESOURCE_CHECK"], ["IMPORT_BATCH_ID"])
+
+
+def newest_checks(history: DataFrame) -> DataFrame:
+    """The state of every URL after its last check, with the counters that the history gives.
+
+    CHECK_STATUS and HTTP_STATUS are those of the last check (ties by the check's id), LAST_SUCCESS_AT that of the last
+    success; checks of a resource as a whole have a NULL URL. Aggregates only, so a URL with a long history costs no task.
+    """
+    last = F.max_by(F.struct("CHECK_STATUS", "HTTP_STATUS"), F.struct("CHECKED_AT", "ID_MEDIA_RESOURCE_CHECK"))
+    found = history.groupBy("ID_MEDIA_RESOURCE", "ID_MEDIA_RESOURCE_URL").agg(
+        last.alias("_last"), F.count(F.lit(1)).alias("CHECK_COUNT"), F.count_if(F.col("CHECK_STATUS") == "failure").alias("FAIL_COUNT"), F.max("CHECKED_AT").alias("LAST_CHECKED_AT"),
+        F.max(F.when(F.col("CHECK_STATUS") == "success", F.col("CHECKED_AT"))).alias("LAST_SUCCESS_AT"),
+    )
+    return found.select("ID_MEDIA_RESOURCE", "ID_MEDIA_RESOURCE_URL", "_last.*", "CHECK_COUNT", "FAIL_COUNT", "LAST_CHECKED_AT", "LAST_SUCCESS_AT")
+
+
+def with_check_state(urls: DataFrame, newest: DataFrame) -> DataFrame:
+    """URL rows with the counters and times of their checks; a URL without any check keeps its own."""
+    columns = [c for c in ("HTTP_STATUS", "CHECK_COUNT", "FAIL_COUNT", "LAST_CHECKED_AT", "LAST_SUCCESS_AT") if c in urls.columns]
+    state = newest.filter(F.col("ID_MEDIA_RESOURCE_URL").isNotNull()).select("ID_MEDIA_RESOURCE_URL", F.lit(True).alias("_seen"), *[F.col(c).alias(f"_{c}") for c in columns])
+    joined = urls.join(state, "ID_MEDIA_RESOURCE_URL", "left")
+    return joined.select(*[F.when(F.col("_seen"), F.col(f"_{c}")).otherwise(F.col(c)).cast(urls.schema[c].dataType).alias(c) if c in columns else F.col(c) for c in urls.columns])

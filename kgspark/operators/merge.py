@@ -49,7 +49,7 @@ def upsert(
 
     Per-column policy: ``overwrite`` (default), ``insert_only`` keeps the target's
     value on update, ``skip_null`` keeps it when the incoming one is NULL, ``now``
-    stamps every written row. With ``order``, the last incoming row per key wins.
+    stamps every written row, ``now_on_update`` those that were there. With ``order``, the last incoming row per key wins.
     """
     policy = dict(policy or {})
     if order:
@@ -71,6 +71,8 @@ def upsert(
         new = F.col(f"_i.`{c}`")
         if rule == "insert_only":
             return F.when(written & ~existed, new).otherwise(old)
+        if rule == "now_on_update":
+            return F.when(written & existed, now).when(written, new).otherwise(old)
         if rule == "skip_null":
             return F.when(written, F.coalesce(new, old)).otherwise(old)
         return F.when(written, new).otherwise(old)
