@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-MODULES = ("ingest", "claims", "mixed", "graph", "joins", "aggregates", "writes", "constraints", "media", "awards", "reports", "snapshots", "settled", "feeds")
+MODULES = ("ingest", "claims", "mixed", "graph", "joins", "aggregates", "writes", "constraints", "media", "awards", "reports", "snapshots", "settled", "feeds", "parts")
 
 
 def load() -> ModuleType:

@@ -9,7 +9,7 @@ from kgspark.catalog.snapshots import REFRESH_CTE, REASON_TAIL, refresh_inputs
 from kgspark.catalog.writes import LEDGER_SQL, api_events, ledger_text
 from kgspark.plans import bindings as bd
 from kgspark.session import scratch_root
-from kgspark.sources.driver import CUSTOMER, ORDER, PART, qid
+from kgspark.sources.driver import CUSTOMER, NATION, ORDER, PART, SUPPLIER, qid
 from kgspark.sources.payloads import bindings
 from kgspark.streaming import feeds
 
@@ -89,6 +89,23 @@ def v1_persons(d):
     return bd.v1_persons(rows, ["doc", "pos"])
 
 
+@query(
+    "v1_series",
+    """SELECT 'Q'||(4000000000+s_suppkey) AS ID_WIKIDATA, s_suppkey+1 AS ID_SERIE, left('tt'||s_name,10) AS ID_IMDB, s_name AS TITLE, 'Q'||(2000000000+s_nationkey) AS INSTANCE_OF, CASE WHEN s_acctbal>0 THEN 'k'||s_suppkey END AS PLEX_MEDIA_KEY,
+       CASE WHEN s_nationkey<10 THEN '1990-01-02' END AS DAT_START, NULL::VARCHAR AS DAT_END FROM supplier""",
+)
+def v1_series(d):
+    """Series bindings; the variable of the catalogue's id is a parameter."""
+    start = F.when(c("s_nationkey") < 10, "1990-01-02T00:00:00Z").otherwise("soon")
+    b = F.struct(
+        cell(uri(qid(SUPPLIER, "s_suppkey"))).alias("item"), cell(c("s_name")).alias("itemLabel"), cell(F.concat(F.lit("tt"), "s_name")).alias("imdbID"), cell((c("s_suppkey") + 1).cast("string")).alias("seriesID"),
+        cell(uri(qid(NATION, "s_nationkey"))).alias("type"), cell(F.when(c("s_acctbal") > 0, F.concat(F.lit("k"), "s_suppkey")).otherwise("")).alias("plexMediaKey"), cell(start).alias("startTime"),
+    )
+    docs = d.supplier.select(c("s_suppkey").alias("doc"), F.to_json(F.struct(F.struct(F.array(b).alias("bindings")).alias("results"))).alias("payload"))
+    rows = bindings(docs, ["item", "itemLabel", "imdbID", "seriesID", "type", "plexMediaKey", "startTime", "endTime"], ["doc"])
+    return bd.v1_series(rows, ["doc", "pos"], "seriesID")
+
+
 @query(
     "v1_properties",
     """SELECT DISTINCT 'Q'||(6000000000+l_orderkey) AS ID_WIKIDATA, CASE WHEN l_linestatus='O' THEN 'P166' ELSE 'P1411' END AS ID_PROPERTY, 'Q'||(5000000000+l_partkey) AS ID_ITEM FROM lineitem WHERE l_returnflag<>'N'""",
@@ -117,7 +134,8 @@ def v1_aliases(d):
 @query(
     "v1_items",
     """SELECT 'Q'||conv_id AS ID_WIKIDATA, 'en' AS LANG, coalesce(first(text ORDER BY turn) FILTER (role='assistant' AND text<>''),'') AS LABEL, coalesce(first(text ORDER BY turn) FILTER (role='user' AND text<>''),'') AS DESCRIPTION,
-       'Q'||first(length(text) ORDER BY turn DESC) AS INSTANCE_OF FROM conversations GROUP BY conv_id""",
+       any_value(a) AS ALIASES, 'Q'||first(length(text) ORDER BY turn DESC) AS INSTANCE_OF FROM conversations
+       JOIN (SELECT conv_id AS i, '|'||string_agg(role,'|' ORDER BY t)||'|' AS a FROM (SELECT conv_id, role, min(turn) AS t FROM conversations GROUP BY 1,2) GROUP BY 1) ON i=conv_id GROUP BY conv_id""",
 )
 def v1_items(d):
     return bd.v1_items(turn_rows(d), ["pos"])
@@ -217,3 +235,22 @@ def stream_changes_feed(d):
     tables = feeds.feed_tables(d.spark, f"{folder}/rows")
     seasons = tables["seasons"].read().select(F.lit("season").alias("KIND"), "ID_SERIE", "SEASON_NUMBER", F.lit(None).cast("int").alias("EPISODE_NUMBER"), "REASON", "EPOCH")
     return seasons.union(tables["episodes"].read().select(F.lit("episode"), "ID_SERIE", "SEASON_NUMBER", "EPISODE_NUMBER", "REASON", "EPOCH"))
+
+
+@query("stream_progress", "SELECT count(*) AS ROWS, count(*) FILTER (event_type='error') AS PARSE_ERRORS FROM events")
+def stream_progress(d):
+    """Live counters of a stream of dump lines: error events lose their closing brace."""
+    import time
+
+    body = F.when(c("event_type") == "error", F.regexp_replace("props", r"\}$", "")).otherwise(c("props"))
+    folder, listener = scratch(d, "lines"), feeds.Progress(f"p{uuid.uuid4().hex}")
+    d.events.select(body.alias("value")).write.text(f"{folder}/in")
+    d.spark.streams.addListener(listener)
+    lines = feeds.counted(d.spark.readStream.text(f"{folder}/in"), listener.name)
+    lines.writeStream.format("noop").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    for _ in range(100):  # listeners hear of a micro-batch a little after it
+        if listener.seen:
+            break
+        time.sleep(0.1)
+    d.spark.streams.removeListener(listener)
+    return d.spark.createDataFrame([(listener.total("ROWS"), listener.total("PARSE_ERRORS"))], "ROWS bigint, PARSE_ERRORS bigint")

@@ -6,6 +6,7 @@ from kgspark.catalog.registry import query
 from kgspark.catalog.twins import stable_bigint
 from kgspark.functions import text as tx
 from kgspark.operators import ranking
+from kgspark.session import cut_path
 from kgspark.sources import dump, staging, tables
 
 NOW = "2024-02-01 00:00:00"
@@ -57,7 +58,9 @@ def idgate(d):
 def id_set(d):
     from kgspark.sources.driver import PART, qid
 
-    return d.lineitem.select(qid(PART, "l_partkey").alias("ID")).distinct()
+    path = cut_path(d.spark, "ids")
+    tables.write_id_set(d.lineitem.select(qid(PART, "l_partkey").alias("ID")), path)
+    return tables.read_id_set(d.spark, path)
 
 
 @query(

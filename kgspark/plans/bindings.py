@@ -121,7 +121,7 @@ def v1_aliases(rows: DataFrame) -> DataFrame:
 
 
 def v1_items(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Per item and language: first label and description, last class."""
+    """Per item and language: first label and description, last class, and the aliases as a pipe list ('' without any)."""
     prepared = rows.select(
         entity_of(F.col("item")).alias("ID_WIKIDATA"), F.col("lang").alias("LANG"), *order,
         clean_label(F.col("itemLabel")).alias("LABEL"), F.col("itemDescription").alias("DESCRIPTION"), entity_of(F.col("instanceOf")).alias("INSTANCE_OF"),
@@ -129,8 +129,13 @@ def v1_items(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     texts = first_non_empty(prepared, ["ID_WIKIDATA", "LANG"], order, ["LABEL", "DESCRIPTION"])
     has = F.when(filled(F.col("INSTANCE_OF")), F.struct(*order))
     classes = prepared.groupBy("ID_WIKIDATA", "LANG").agg(F.max_by("INSTANCE_OF", has).alias("INSTANCE_OF"))
-    blank = [F.coalesce(c, F.lit("")).alias(c) for c in ("LABEL", "DESCRIPTION", "INSTANCE_OF")]
-    return texts.join(classes, ["ID_WIKIDATA", "LANG"]).select("ID_WIKIDATA", "LANG", *blank)
+    named = texts.join(classes, ["ID_WIKIDATA", "LANG"])
+    if "itemAlias" in rows.columns:
+        named = named.join(v1_aliases(rows), ["ID_WIKIDATA", "LANG"], "left")
+    else:
+        named = named.withColumn("ALIASES", F.lit(""))
+    blank = [F.coalesce(c, F.lit("")).alias(c) for c in ("LABEL", "DESCRIPTION", "ALIASES", "INSTANCE_OF")]
+    return named.select("ID_WIKIDATA", "LANG", *blank)
 
 
 def v1_unlabelled_items(triples: DataFrame, labelled: Sequence[DataFrame], cursor: str, size: int = 5000) -> DataFrame:

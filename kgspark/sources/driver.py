@@ -37,13 +37,8 @@ class Driver:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     def spread(self, df: DataFrame) -> DataFrame:
-        """``df`` over all cores when its files give fewer partitions than there are cores.
-
-        Building text per row is CPU work; a small one-file table would do it in one
-        task. A table with enough files is left as it is.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+        """``df`` dealt out anew: building text per row is CPU work, and a table of one file would do it in one task."""
+        return df.repartition(F.xxhash64(F.monotonically_increasing_id()))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
