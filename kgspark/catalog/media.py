@@ -1,4 +1,7 @@
-"""Media resolution."""
+"""Media resolution.
+
+Fixed values: the SQL below repeats the extension lists, address forms and flags of ``operators.media``, which results must have.
+"""
 
 from pyspark.sql import functions as F
 

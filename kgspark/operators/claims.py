@@ -26,7 +26,7 @@ CACHED_TYPES = ("item", "external_id", "time")
 _SNAK = "STRUCT<snaktype STRING, datatype STRING, hash STRING, datavalue STRUCT<value VARIANT>>"
 _CLAIM = f"STRUCT<id STRING, rank STRING, mainsnak {_SNAK}, qualifiers MAP<STRING, STRING>>"
 
-# Columns of each typed value table, as SQL over the unified value struct ``v``.
+# Columns of each typed value table, as SQL over the unified value struct ``v``.
 VALUE_COLUMNS = {
     "item": {"ID_ITEM": "v.ID_ITEM"},
     "string": {

@@ -60,9 +60,9 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def cut_path(spark: SparkSession, name: str) -> str:
-    """A new folder for an intermediate table, below the innermost ``scratch``."""
-    return "/".join([_application_folder(spark), *_INNER, f"{name}-{uuid.uuid4().hex}"])
+def cut_path(spark: SparkSession, name: str, inner: bool = True) -> str:
+    """A new folder for an intermediate table, below the innermost ``scratch``, or outside of all."""
+    return "/".join([_application_folder(spark), *(_INNER if inner else []), f"{name}-{uuid.uuid4().hex}"])
 
 
 _INNER: list[str] = []

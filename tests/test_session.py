@@ -29,3 +29,15 @@ def test_cut_survives_and_is_dropped(spark):
     assert df.count() == 3
     session.drop_cuts(spark)
     assert session.cut(spark.range(2), "t").count() == 2
+
+
+def test_scratch_is_deleted_and_what_lies_outside_stays(spark):
+    import os
+
+    with session.scratch(spark):
+        inner = session.cut(spark.range(3), "t")
+        outside = session.cut_path(spark, "kept", inner=False)
+        inner.write.parquet(outside)
+        path = inner.inputFiles()[0].removeprefix("file:").removeprefix("//")
+        assert os.path.exists(path)
+    assert not os.path.exists(path) and spark.read.parquet(outside).count() == 3
