@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from kgspark.session import cut
 
 STRETCH = 4 << 20
 
-__all__ = ["cut", "table", "text_or_empty", "keyed_text", "map_rows", "ship"]
+__all__ = ["cut", "table", "text_or_empty", "keyed_text", "map_rows", "row_key", "ship"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,17 @@ def keyed_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
 
 
+def row_key(docs: DataFrame) -> tuple[DataFrame, Column]:
+    """Rows with keys that reading them again does not change: file and place, or a written number where rows come from no file."""
+    try:
+        place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+        docs.select(place.alias("__row"))
+        return docs, place
+    except AnalysisException:
+        name = "__number" + "_" * max(map(len, docs.columns))  # no column has this name
+        return cut(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), F.col(name)
+
+
 def ship(spark: SparkSession) -> None:
     """Let Python workers on this machine find the library where the driver found it; a cluster gets it by --py-files."""
     root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment

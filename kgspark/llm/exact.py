@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kgspark.llm.common import cut, map_rows, text_or_empty
+from kgspark.llm.common import cut, map_rows, row_key, text_or_empty
 
 #: What normalising deletes: blank, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\x0c\r"
@@ -56,26 +56,19 @@ def frequent(df: DataFrame, column: str, slots: int) -> DataFrame:
     return part.groupBy("value").agg(F.sum("n").alias("n")).filter("n > 0").orderBy(F.desc("n"), "value").limit(slots)
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str, slots: int, carry: bool) -> DataFrame:
-    """``__row``, ``__id``, ``__digest``, ``__carry`` (the whole row, if asked for) and, of its group, ``__first`` and ``__size``."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, slots: int, key: Column) -> DataFrame:
+    """``__row`` (the row's key), ``__id``, ``__digest`` and, of its group, ``__first`` and ``__size``."""
     text = text_or_empty(text_col)
     rows = cut(
-        docs.select(
-            F.monotonically_increasing_id().alias("__row"), F.col(id_col).cast("long").alias("__id"),
-            F.length(text).cast("long").alias("__n"), digest(text).alias("__digest"),
-            (F.struct(*docs.columns) if carry else F.lit(None).cast("boolean")).alias("__carry"),
-        ), "digests",
+        docs.select(key.alias("__row"), F.col(id_col).cast("long").alias("__id"), F.length(text).cast("long").alias("__n"), digest(text).alias("__digest")), "digests"
     )
     first = F.struct((-F.col("__n")).alias("n"), F.col("__id").isNull().alias("no_id"), F.col("__id").alias("id"), F.col("__row").alias("row"))
+    best = F.min(first).alias("__first"), F.count("*").alias("__size")
     named = frequent(rows, "__digest", slots).select(F.col("value").alias("__digest"))  # at most ``slots`` rows
-    winners = cut(
-        rows.join(F.broadcast(named), "__digest", "left_semi").groupBy("__digest").agg(F.min(first).alias("__first"), F.count("*").alias("__size")),
-        "winners",
-    )  # at most ``slots`` rows
+    winners = cut(rows.join(F.broadcast(named), "__digest", "left_semi").groupBy("__digest").agg(*best), "winners")  # at most ``slots`` rows
     settled = rows.join(F.broadcast(winners), "__digest")
-    group = Window.partitionBy("__digest")
-    rest = rows.join(F.broadcast(winners), "__digest", "left_anti").select("*", F.min(first).over(group).alias("__first"), F.count("*").over(group).alias("__size"))
-    return settled.unionByName(rest)
+    rest = rows.join(F.broadcast(winners), "__digest", "left_anti")
+    return settled.unionByName(rest.join(rest.groupBy("__digest").agg(*best), "__digest"))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = 256) -> DataFrame:
@@ -86,12 +79,20 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Returns a row per input row: the id, ``keep_id``, ``group_size`` (rows), ``kept`` (one row a group) and ``text_sha256``.
     Repeated rows count each and one of them stays; an empty table gives none; other columns are ignored.
     """
-    return _grouped(docs, id_col, text_col, slots, carry=False).select(
+    return _grouped(docs, id_col, text_col, slots, F.monotonically_increasing_id()).select(
         F.col("__id").alias(id_col), F.col("__first.id").alias("keep_id"), F.col("__size").alias("group_size"),
         (F.col("__row") == F.col("__first.row")).alias("kept"), F.col("__digest").alias("text_sha256"),
     )
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = 256) -> DataFrame:
-    """The rows that stay, with all their columns, whatever their names; see ``exact_groups``."""
-    return _grouped(docs, id_col, text_col, slots, carry=True).filter(F.col("__row") == F.col("__first.row")).select("__carry.*")
+    """The rows that stay, with all their columns, whatever their names; see ``exact_groups``.
+
+    Digests and row keys are grouped; the texts meet the keys of the rows that stay by one join.
+    """
+    columns = docs.columns
+    keyed, key = row_key(docs)
+    grouped = _grouped(keyed, id_col, text_col, slots, key)
+    stay = grouped.filter(F.col("__row") == F.col("__first.row")).select("__row")
+    whole = keyed.select(key.alias("__row"), F.struct(*columns).alias("__whole"))
+    return whole.join(stay, "__row", "left_semi").select("__whole.*")

@@ -154,7 +154,7 @@ def learnable(found: DataFrame, labels: DataFrame, id_col: str, label_col: str)
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", at_least: float = 0.5) -> DataFrame:
     """The documents that score ``at_least``, with all their columns; see ``with_scores``.
 
-    Only labelled documents are read twice, and only their statistics are shuffled.
+    Texts are read twice: for the statistics that labels are joined to (of all rows that are not held out), and for the scores.
     """
     found = docs.select(F.col(id_col).cast("long").alias("id"), features(text_or_empty(text_col)).alias("features"))
     model = fit(learnable(found, labels, id_col, label_col))
