@@ -1,7 +1,11 @@
 """The pipeline's stages, one after another, against small models."""
 
+import re
+
 import corpus_pipeline
-from helpers import linked, odd_docs, secret
+from helpers import linked, no_docs, odd_docs, secret
+
+from kgspark.llm import quality
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,11 +29,37 @@ def test_stages(spark):
     assert {r.doc_id for r in stages[4](spark, safe, SF).collect()} == {r.doc_id for r in safe.collect()}
 
 
-def test_odd_rows_pass_all_stages(spark, tmp_path):
-    docs = odd_docs(spark)
-    for _, stage in corpus_pipeline.STAGES:
+def stages_of(spark, docs):
+    for name, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.cut(stage(spark, docs, SF), "t")
-    assert docs.count() > 0
+        yield name, docs
+
+
+def test_odd_rows_pass_all_stages(spark):
+    docs = odd_docs(spark)
+    good = {r.doc_id for r in quality.with_scores(docs, spark.read.parquet(f"{SF}/labels.parquet")).filter("predicted = 1").collect()}
+    after = dict(stages_of(spark, docs))
+    assert all(df.columns == docs.columns for name, df in after.items() if name != "packing")
+    kept = sorted(((r.doc_id, r.text) for r in docs.collect() if r.doc_id in good), key=str)
+    got = lambda name: sorted(((r.doc_id, r.text) for r in after[name].collect()), key=str)
+    assert got("quality classifier") == kept
+    bare = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
+    best = {}
+    for i, t in kept:  # of equal texts the longest, then the smallest id
+        key = (-len(t or ""), i is None, i or 0)
+        best[bare(t)] = min(best.get(bare(t), (key, i, t)), (key, i, t), key=lambda x: x[0])
+    assert got("exact dedup") == sorted([x[1:] for x in best.values()], key=str)
+    assert got("near dedup") == got("exact dedup")  # what is left is unlike
+    masked = [(i, "token = [SECRET] [SECRET]" if secret(t or "") else t) for i, t in got("near dedup")]
+    assert got("secret scans") in (sorted(masked, key=str), sorted([(i, "[SECRET] [SECRET]" if "SECRET" in (t or "") else t) for i, t in masked], key=str))
+    assert {r.doc_id for r in after["packing"].collect()} == {i for i, _ in got("secret scans")}
+
+
+def test_no_rows_and_few_columns(spark):
+    for docs in (no_docs(spark), no_docs(spark).select("doc_id", "text"), odd_docs(spark).select("text", "doc_id")):
+        after = dict(stages_of(spark, docs))
+        assert all(df.columns == docs.columns for name, df in after.items() if name != "packing")
+        assert (after["packing"].count() > 0) == (docs.count() > 0)
 
 
 def test_near_copies_are_dropped_row_by_row(spark):
