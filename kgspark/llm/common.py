@@ -33,14 +33,24 @@ def keyed_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def row_key(docs: DataFrame) -> tuple[DataFrame, Column]:
-    """Rows with keys that reading them again does not change: file and place, or a written number where rows come from no file."""
-    try:
-        place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
-        docs.select(place.alias("__row"))
-        return docs, place
-    except AnalysisException:
-        name = "__number" + "_" * max(map(len, docs.columns))  # no column has this name
-        return cut(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), F.col(name)
+    """Rows with keys that reading them again does not change: file and place, or a written number where rows are not those of files."""
+    if _rows_of_files(docs):
+        try:
+            place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+            docs.select(place.alias("__row"))
+            return docs, place
+        except AnalysisException:  # no Parquet file, or a column of that name
+            pass
+    name = "__number" + "_" * max(map(len, docs.columns))  # no column has this name
+    return cut(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), F.col(name)
+
+
+def _rows_of_files(docs: DataFrame) -> bool:
+    """Whether each row is a row of a file: the plan is a scan with projections and filters only."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.children().size() == 1 and plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    return plan.children().isEmpty()
 
 
 def ship(spark: SparkSession) -> None:

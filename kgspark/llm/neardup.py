@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kgspark.llm.common import cut, keyed_text, map_rows, ship
+from kgspark.llm.common import cut, map_rows, row_key, ship, text_or_empty
 from kgspark.llm.components import components
 from kgspark.llm.piece_model import Memo
 
@@ -112,8 +112,8 @@ def band_keys(bins: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
-    """For every row: ``id``, ``n`` (size of its set), ``class`` (a 128-bit hash of the set; null for the empty one) and band ``keys``."""
+def sketches(keyed: DataFrame, s: Settings) -> DataFrame:
+    """For every row (``row``, ``id``, ``text``): ``row``, ``id``, ``n`` (size of its set), ``class`` (a 128-bit hash of the set; null for the empty one), band ``keys``."""
 
     def rows():
         import xxhash
@@ -121,7 +121,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFr
         of_word = word_hashes()
 
         def apply(batch):
-            out = {"id": batch["id"], "n": [], "class": [], "keys": []}
+            out = {"row": batch["row"], "id": batch["id"], "n": [], "class": [], "keys": []}
             for text in batch["text"]:
                 found = shingle_set(text, of_word, s.words)
                 out["n"].append(len(found))
@@ -131,11 +131,11 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFr
 
         return apply
 
-    return map_rows(keyed_text(docs, id_col, text_col), rows, "id long, n long, class binary, keys array<long>")
+    return map_rows(keyed, rows, f"row {keyed.schema['row'].dataType.simpleString()}, id long, n long, class binary, keys array<long>")
 
 
-def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
-    """The full sets (``id``, ``set``) of the texts with these ids: the one time that texts are read again.
+def full_sets(keyed: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
+    """The full sets (``id``, ``set``) of the wanted classes (``id``, ``row``, the one row that stands for it): the one time that texts are read again.
 
     Both sides grow with the input, so they meet in a sort-merge join at any size.
     """
@@ -144,8 +144,8 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, s: Se
         of_word = word_hashes()
         return lambda batch: {"id": batch["id"], "set": [shingle_set(x, of_word, s.words).tobytes() for x in batch["text"]]}
 
-    texts = keyed_text(docs, id_col, text_col).join(ids.select("id").distinct().hint("merge"), "id", "left_semi")
-    return cut(map_rows(texts.dropDuplicates(["id"]), rows, "id long, set binary"), "sets")
+    texts = keyed.select("row", "text").join(wanted.hint("merge"), "row").select("id", "text")
+    return cut(map_rows(texts, rows, "id long, set binary"), "sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
@@ -178,25 +178,28 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Two texts are linked when their sets of word shingles have at least the set similarity; ``component_id`` is the
     smallest id that links reach, and the row with it is ``kept``. Texts with equal sets are one class from the start: one
     of them stands for all. Null, empty and blank texts have no shingles and no links. Rows that repeat an id with equal
-    texts share their result; with different texts they link their classes. A row without an id gets its class's component,
+    texts share their result; with different texts they link their classes, and what is like either is linked. A row without an id gets its class's component,
     or none, and is kept only if it has none. Other columns are ignored.
     """
     s = settings
-    rows = cut(sketches(docs, id_col, text_col, s), "sketches")
+    docs, key = row_key(docs)
+    keyed = docs.select(key.alias("row"), F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
+    rows = cut(sketches(keyed, s), "sketches")
     named = rows.filter("id is not null and class is not null")
-    classes = cut(named.groupBy("class").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")), "classes")
+    merged = named.groupBy("class").agg(F.min("id").alias("least"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    classes = cut(merged.withColumn("number", F.monotonically_increasing_id()), "classes")
     # Ids with several texts link their classes.
-    same = named.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.count_distinct("class").alias("k")).filter("a <> b")
-    rep_of = classes.select("class", "rep")
-    doubled = same.select("id", "a").join(rep_of, F.col("a") == F.col("class")).select("id", F.col("rep").alias("u")).join(
-        named.select("id", "class").distinct().join(rep_of, "class").select("id", F.col("rep").alias("v")), "id"
-    ).select("u", "v")
-    texts = docs.select(F.col(id_col), F.col(text_col))
-    links = _links(classes.select("rep", "n", "keys"), texts, id_col, text_col, s)
+    number_of = classes.select("class", "number")
+    texts_of = named.select("id", "class").distinct()
+    several = texts_of.groupBy("id").agg(F.min("class").alias("class"), F.max("class").alias("b")).filter("class <> b")
+    doubled = several.join(number_of, "class").select("id", F.col("number").alias("u")).join(texts_of.join(number_of, "class").select("id", F.col("number").alias("v")), "id").select("u", "v")
+    links = _links(classes.select(F.col("number").alias("id"), "row", "n", "keys"), keyed, s)
     found = components(links.union(doubled))
-    of_class = classes.select("class", "rep").join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select("class", F.coalesce("component", "rep").alias("component"))
-    out = rows.select("id", "n", "class").join(of_class, "class", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
+    of_class = classes.select("class", "number", "least").join(found.select(F.col("id").alias("number"), "component"), "number", "left").withColumn("component", F.coalesce("component", "number"))
+    of_class = cut(of_class, "class-components")
+    least = of_class.groupBy("component").agg(F.min("least").alias("component_id"))
+    out = rows.select("id", "n", "class").join(of_class.join(least, "component").select("class", "component_id"), "class", "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")
     )
     return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
@@ -206,15 +209,16 @@ def _close(a: Column, b: Column, s: Settings) -> Column:
     return F.least(a, b) * s.similar[1] >= F.greatest(a, b) * s.similar[0]
 
 
-def _links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
-    """Confirmed links between class representatives: enough of them to join what any bucket would join."""
-    entries = classes.select(F.explode("keys").alias("key"), F.col("rep").alias("id"), "n")
+def _links(classes: DataFrame, keyed: DataFrame, s: Settings) -> DataFrame:
+    """Confirmed links between classes (``id``, their number): enough of them to join what any bucket would join."""
+    entries = classes.select(F.explode("keys").alias("key"), "id", "n")
     stars = entries.groupBy("key").agg(F.min(F.struct("id", "n")).alias("centre"), F.count("*").alias("k")).filter("k > 1").select("key", "centre")
     live = cut(entries.join(stars, "key"), "buckets")
     first = live.filter((F.col("id") != F.col("centre.id")) & _close(F.col("n"), F.col("centre.n"), s)).select(F.col("centre.id").alias("u"), F.col("id").alias("v")).distinct()
     tried = cut(first, "pairs")
     # Whatever is compared from here on lies in a bucket of two texts at least.
-    sets = full_sets(docs, live, id_col, text_col, s)
+    wanted = classes.select("id", "row").join(live.select("id").distinct(), "id", "left_semi")
+    sets = full_sets(keyed, wanted, s)
     links = cut(confirmed(tried, sets, s), "links")
 
     # Second star: the text with most links is the centre for what its bucket has of other components.

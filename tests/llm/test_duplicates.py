@@ -5,8 +5,10 @@ from collections import Counter
 
 import pytest
 from helpers import linked, no_docs, odd_docs, shingles
+from pyspark.sql import functions as F
 
 from kgspark.llm import exact, neardup
+from kgspark.llm.common import row_key
 from kgspark.llm.components import components
 
 
@@ -95,6 +97,42 @@ def test_an_id_with_two_texts_links_them(spark):
     assert sorted(found, key=str) == sorted([(1, 1, True), (2, 1, False), (2, 1, False), (3, 1, False), (None, 1, False), (None, None, True)], key=str)
 
 
+def test_near_copies_of_both_texts_of_an_id_are_linked(spark):
+    rng = random.Random(4)
+    a, b = ([f"w{rng.randint(0, 9999)}" for _ in range(60)] for _ in range(2))
+    near = lambda ws: " ".join([*ws[:-1], "other"])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (4, " ".join(f"x{i}" for i in range(60)))]
+    for order in (rows, rows[::-1]):
+        found = {(r.doc_id, r.component_id) for r in neardup.near_classes(spark.createDataFrame(order, "doc_id long, text string").repartition(3)).collect()}
+        assert found == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+def test_long_texts_in_crowded_buckets(spark):
+    """Chains of texts of 900 words, in which far ones are unlike: what two stars leave is searched by sketches in tiles."""
+    rng = random.Random(6)
+    docs = []
+    for c in range(3):
+        ws = [f"c{c}w{rng.randint(0, 10**6)}" for _ in range(900)]
+        for k in range(14):
+            docs.append((100 * c + k, " ".join(ws)))
+            for p in rng.sample(range(900), 18):
+                ws[p] = f"n{c}_{k}_{p}"
+    rng.shuffle(docs)
+    found = {r.doc_id: r.component_id for r in neardup.near_classes(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    assert found == linked(docs) and len(set(found.values())) == 3
+
+
+def test_rows_are_told_apart_however_they_were_made(spark, tmp_path):
+    words = "alpha beta gamma delta epsilon zeta"
+    spark.createDataFrame([(1, [words, words, "x y z"]), (2, [f"{words} eta theta iota kappa"])], "doc_id long, texts array<string>").write.parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    docs = stored.select("doc_id", F.explode("texts").alias("text"))  # three rows of one row of a file
+    assert row_key(stored.filter("doc_id = 1"))[0] is not None and row_key(docs)[0] is not docs
+    assert sorted(r.text for r in exact.drop_exact(docs).collect()) == sorted([words, "x y z", f"{words} eta theta iota kappa"])
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in neardup.near_classes(docs).collect()) == [(1, 1, True)] * 3 + [(2, 2, True)]
+    assert row_key(stored)[0] is stored and row_key(stored.select("doc_id").filter("doc_id > 0"))[1] is not None
+
+
 def test_components(spark):
     path = [(k + 1, k) for k in range(50)] + [(100, 101), (101, 100), (7, 7), (None, 3)]
     got = {r.id: r.component for r in components(spark.createDataFrame(path, "u long, v long")).collect()}
