@@ -9,8 +9,9 @@ partitions and joined by one total a partition. The stream's end is cut at power
 from __future__ import annotations
 
 import re
-import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,7 +22,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.llm.common import cut, map_rows, ship, text_or_empty
-from kgspark.llm.piece_model import Memo
 
 #: The id that ends each document, and a sequence's size (fixed values of the contract).
 END_ID, SIZE = 1, 2048
@@ -36,48 +36,95 @@ def _byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
-class WordIds:
-    """Ids of whole texts from the ids of their words: for this kind of vocabulary no token reaches across a blank.
+class Recent(dict):
+    """A function's results by argument, ``limit`` at most: what was not asked for while half of them came in goes."""
+
+    def __init__(self, function, limit: int):
+        super().__init__()
+        self.function, self.half, self.older = function, max(1, limit // 2), {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.function(key)
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
-    A word of plain Latin letters, with or without marks behind it, goes straight to the tokenizer's merges, in lower case
-    and in its byte alphabet; any other word goes through the whole tokenizer.
+
+class WordCoder:
+    """The ids of one word. A word of plain Latin letters goes straight to the tokenizer's merges, in lower case and in its byte
+    alphabet; any other word goes through the whole tokenizer.
     """
 
     #: Letters that normalising only lower-cases, and marks that are a token run of their own.
     PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿŒœ]+)([.,;:!?|]*)")
 
-    def __init__(self, path: str, memo: int = 350_000):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.coder = Tokenizer.from_file(path)
+        self.tokenize = self.coder.model.tokenize
         self.letters = _byte_alphabet()
-        self.of_word, self.of_stem, self.of_marks = Memo(self._word, memo), Memo(self._stem, memo // 2), Memo(self._whole, 10_000)
-        # Blanks must be hard ends, and the short way must give what the long one gives.
+        # Blanks must be hard ends, and the short ways must give what the long one gives.
         probe = ["Word", "it's", "x.y", "1st"]
-        if self._whole(" ".join(probe)) != b"".join(map(self._whole, probe)):
+        if self.whole(" ".join(probe)) != b"".join(map(self.whole, probe)):
             raise ValueError("needs a vocabulary whose tokens end at blanks")
         some = ("Word", "été", "STRASSE", "größe", "Œuvre", "x" * 40)
-        self.short = all(self._stem(w.lower()) == self._whole(w) for w in some) and self._whole("Größe,.") == self._stem("größe") + self._whole(",.")
+        self.short = all(self.stem(w.lower()) == self.whole(w) for w in some)
+        self.short &= all(self.whole(w + m) == self.whole(w) + self.whole(m) for w in ("Größe", "x.y", "3", "été") for m in (".", ",.", "?!|"))
 
-    def _whole(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
         return _packed(self.coder.encode(text, add_special_tokens=False).ids)
 
-    def _stem(self, word: str) -> bytes:
+    def stem(self, word: str) -> bytes:
         shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-        return _packed([t.id for t in self.coder.model.tokenize(shown)])
+        return _packed([t.id for t in self.tokenize(shown)])
+
+    def word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return _packed([t.id for t in self.tokenize(word.lower())])
+        if m := self.PLAIN.fullmatch(word):
+            return self.stem(m[1].lower()) + (self.whole(m[2]) if m[2] else b"")
+        return self.whole(word)
 
-    def _word(self, word: str) -> bytes:
-        if self.short and (m := self.PLAIN.fullmatch(word)):
-            return self.of_stem[m[1].lower()] + (self.of_marks[m[2]] if m[2] else b"")
-        return self._whole(word)
+
+class WordIds:
+    """Ids of whole texts from the ids of their words: for this kind of vocabulary no token reaches across a blank.
+
+    Marks behind a Latin letter or digit are a token run of their own and become words. The coder doesn't know the memo, so
+    that the memo goes as soon as its task has ended.
+    """
+
+    #: Marks at a word's end, where a Latin letter or digit stands before them.
+    MARKS = re.compile(r"([.,;:!?|](?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ][.,;:!?|])[.,;:!?|]*)(?= )")
+
+    def __init__(self, path: str, memo: int = 500_000):
+        self.words = WordCoder(path)
+        self.of_word = Recent(self.words.word if self.words.short else self.words.whole, memo)
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        return b"".join(map(self.of_word.__getitem__, text.replace("\n", " ").split(" ")))
+        text = text.replace("\n", " ") + " "
+        if self.words.short:
+            text = self.MARKS.sub(r" \1", _lowered(text))
+        return b"".join(map(self.of_word.__getitem__, text.split(" ")))
+
+
+def _lowered(text: str) -> str:
+    """A text of characters below U+0100 in lower case, in which each has one lower-case form of its own; others as they are."""
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+    return text.lower()
 
 
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return np.array(ids, "<u4").tobytes() if sys.byteorder == "big" else array("I", ids).tobytes()
 
 
 @lru_cache(maxsize=2)

@@ -65,7 +65,7 @@ def test_ids_by_words():
 
 def test_the_short_way_is_the_long_way():
     coder, words = Tokenizer.from_file(PATH), packing.WordIds(PATH)
-    assert words.short
+    assert words.words.short
     texts = some_texts(22, 2000, [*"abcdeéèÉßÿŒœÀÑñäÄ.,;:!?|", "the", "tion", "SCH"], 12)
     for text in texts:
         assert np.frombuffer(words.ids(text), dtype="<u4").tolist() == coder.encode(text, add_special_tokens=False).ids
