@@ -312,7 +312,8 @@ def _credit_entries(docs: DataFrame, owner: str, maker: bool) -> DataFrame:
     last = F.coalesce(last, end("cast"), F.lit(0))
 
     def tagged(n: str) -> Column:
-        return F.transform(f"_{n}", lambda x, i: F.struct(F.lit(n).alias("_kind"), (i + 1).alias("_at"), x.alias("x")))
+        used = lambda x: F.struct(*[x[k].alias(k) for k in ("id", "credit_id", "character", "department", "job")])
+        return F.transform(f"_{n}", lambda x, i: F.struct(F.lit(n).alias("_kind"), (i + 1).alias("_at"), used(x).alias("x")))
 
     return base.select("_doc", owner, last.cast("int").alias("_last"), F.explode(F.concat(*map(tagged, sides))).alias("_e")).select("_doc", owner, "_last", "_e.*")
 
@@ -330,14 +331,14 @@ def title_credits(payloads: DataFrame, entity: str = "movie") -> DataFrame:
     entries = _credit_entries(documents(payloads, entity, "details"), owner, serie)
     person = Window.partitionBy("_doc", F.col("x.id"))
     first = lambda kind: F.min(F.when(F.col("_kind") == kind, F.col("_at"))).over(person)
-    rows = entries.withColumns({"_cast": first("cast"), "_crew": first("crew"), "_maker": first("maker")})
+    rows = entries.withColumns({"_cast": first("cast"), "_crew": first("crew")} | ({"_maker": first("maker")} if serie else {}))
     x, kind = F.col("x"), F.col("_kind")
     none = F.col("x.id").isNull()  # a credit without a person has no place
-    cast = rows.filter(kind == "cast").select(owner, _credit(x, "cast", F.when(~none, F.col("_cast"))).alias("c"))
-    moved = F.col("_crew") + F.when(F.col("_maker").isNotNull(), 1).otherwise(0)
-    crew = rows.filter(kind == "crew").select(owner, _credit(x, "crew", F.when(~none, moved)).alias("c"))
-    out = cast.union(crew)
+    moved = F.col("_crew") + (F.when(F.col("_maker").isNotNull(), 1).otherwise(0) if serie else 0)
+    as_cast, as_crew = _credit(x, "cast", F.when(~none, F.col("_cast"))), _credit(x, "crew", F.when(~none, moved))
+    out = rows.filter(kind != "maker").select(owner, F.when(kind == "cast", as_cast).otherwise(as_crew).alias("c"))
     if serie:
+        rows = cut(rows.filter((kind == "maker") & ~none), "makers")
 
         def creator(order: Column) -> Column:
             return F.struct(
@@ -345,9 +346,8 @@ def title_credits(payloads: DataFrame, entity: str = "movie") -> DataFrame:
                 F.lit("Creator").alias("CREW_JOB"), F.lit("crew").alias("CREDIT_TYPE"), order.cast("int").alias("DISPLAY_ORDER"),
             )
 
-        makers = rows.filter((kind == "maker") & ~none)
-        working = makers.filter(F.col("_crew").isNotNull() & (F.col("_at") == F.col("_maker"))).select(owner, creator(F.col("_crew")).alias("c"))
-        absent = makers.filter(F.col("_crew").isNull() & F.col("_cast").isNull())
+        working = rows.filter(F.col("_crew").isNotNull() & (F.col("_at") == F.col("_maker"))).select(owner, creator(F.col("_crew")).alias("c"))
+        absent = rows.filter(F.col("_crew").isNull() & F.col("_cast").isNull())
         nth = F.row_number().over(Window.partitionBy("_doc").orderBy("_at"))
         out = out.union(working).union(absent.select(owner, creator(F.col("_last") + nth).alias("c")))
     return out.select(owner, "c.*")

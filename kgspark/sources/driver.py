@@ -38,7 +38,7 @@ class Driver:
 
     def spread(self, df: DataFrame) -> DataFrame:
         """``df`` dealt out anew: building text per row is CPU work, and a table of one file would do it in one task."""
-        return df.repartition(F.xxhash64(F.monotonically_increasing_id()))
+        return df.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(F.monotonically_increasing_id()))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
