@@ -17,6 +17,16 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(row))
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a join side that grows with the data: merged, never broadcast.
+
+    Before a join's inputs have run, Spark guesses their size from files. Compression, expanded lists and texts built per
+    row make that guess far too small, and adaptive execution does not take a broadcast back: the rows would go through
+    the driver.
+    """
+    return df.hint("merge")
+
+
 def n(name: str = "N") -> Column:
     """Row count of a group. A function, since columns need a running session."""
     return F.count(F.lit(1)).alias(name)

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kgspark.functions import ident
+from kgspark.functions import ident, shuffled
 from kgspark.operators.ranking import dedupe_keep_first, latest_wins
 from kgspark.session import cut
 
@@ -312,11 +312,11 @@ def repair_qualifier_ids(parents: DataFrame, values: Mapping[str, DataFrame], or
         part = table.groupBy("ID_STATEMENT_QUALIFIER").agg(F.lit(position).alias("_pos"), F.lit(name).alias("_table"))
         claims = part if claims is None else claims.union(part)
     owner = claims.groupBy("ID_STATEMENT_QUALIFIER").agg(F.min_by("_table", "_pos").alias("_table"))
-    link = renumbered.select("OLD_ID", F.col("ID_STATEMENT_QUALIFIER").alias("_new"))
+    link = shuffled(renumbered.select("OLD_ID", F.col("ID_STATEMENT_QUALIFIER").alias("_new")))
     out = {}
     for name, table in values.items():
         first = dedupe_keep_first(table, ["ID_STATEMENT_QUALIFIER"], [order])
-        mine = owner.filter(F.col("_table") == name).select("ID_STATEMENT_QUALIFIER")
+        mine = shuffled(owner.filter(F.col("_table") == name).select("ID_STATEMENT_QUALIFIER"))
         fanned = first.join(mine, "ID_STATEMENT_QUALIFIER", "left_semi").join(
             link, F.col("ID_STATEMENT_QUALIFIER") == F.col("OLD_ID")
         )
