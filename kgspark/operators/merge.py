@@ -203,11 +203,11 @@ def prune_absent(target: DataFrame, listed: DataFrame, owners: DataFrame, owner:
     an owner whose list is empty loses nothing; with ``"delete"`` it loses all.
     """
     full = [owner, *keys]
-    seen = owners.select(owner).distinct()
-    if on_empty == "keep":
-        seen = listed.select(owner).distinct().join(seen, owner, "left_semi")
-    flagged = target.join(seen.withColumn("_seen", F.lit(1)), owner, "left").join(
-        listed.select(*full).distinct().withColumn("_listed", F.lit(1)), full, "left"
+    seen, rows = owners.select(owner).distinct(), listed.select(*full).distinct()
+    if on_empty == "keep":  # made of the same distinct rows, so that what lists them runs once
+        seen = rows.select(owner).distinct().join(shuffled(seen), owner, "left_semi")
+    flagged = target.join(shuffled(seen.withColumn("_seen", F.lit(1))), owner, "left").join(
+        shuffled(rows.withColumn("_listed", F.lit(1))), full, "left"
     )
     return flagged.filter(F.col("_seen").isNull() | F.col("_listed").isNotNull()).select(*target.columns)
 

@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kgspark.functions import ident, once
+from kgspark.functions import ident, once, shuffled
 
 REGION, NATION, CUSTOMER, SUPPLIER, PART, ORDER = 1, 2, 3, 4, 5, 6
 FAMILIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -150,7 +150,7 @@ class Driver:
             rank.alias("RANK"),
             F.concat(F.lit("batch_"), F.year("o_orderdate").cast("string")).alias("IMPORT_BATCH_ID"),
         )
-        return self.kg_claim.join(o, "l_orderkey")
+        return self.kg_claim.join(shuffled(o), "l_orderkey")
 
     @cached_property
     def kg_qualifier(self) -> DataFrame:
@@ -284,7 +284,7 @@ class Driver:
         """Flat triples of the old generation: every line of an old order, item valued."""
         old = self.table("orders").filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp")).select(F.col("o_orderkey").alias("l_orderkey"))
         return (
-            self.table("lineitem").join(old, "l_orderkey", "left_semi")
+            self.table("lineitem").join(shuffled(old), "l_orderkey", "left_semi")
             .select(
                 qid(ORDER, "l_orderkey").alias("ID_WIKIDATA"),
                 F.when(F.col("l_linestatus") == "O", "P166").otherwise("P1411").alias("ID_PROPERTY"),
