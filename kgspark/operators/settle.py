@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kgspark.functions import shuffled
 from kgspark.operators.ranking import latest_wins
 
 FILLED, EMPTY, MALFORMED, FAILED = "filled", "empty", "malformed", "failed"
@@ -49,7 +50,7 @@ def one_outcome(outcomes: DataFrame) -> DataFrame:
 def settle_table(target: DataFrame, fresh: DataFrame, outcomes: DataFrame, rule: Rule) -> DataFrame:
     """The next rows of one table; ``outcomes`` are its own, one per scope. Rows whose owner is NULL stay."""
     scope = list(rule.scope)
-    named = outcomes.select(*[F.col(o).alias(c) for o, c in zip(("ID_OWNER", "SCOPE"), scope, strict=False)], "OUTCOME")
+    named = shuffled(outcomes.select(*[F.col(o).alias(c) for o, c in zip(("ID_OWNER", "SCOPE"), scope, strict=False)], "OUTCOME"))
     filled = named.filter(F.col("OUTCOME") == FILLED).drop("OUTCOME")
     fresh = fresh.join(filled, scope, "left_semi")
     if not rule.keys:
@@ -64,15 +65,15 @@ def settle_table(target: DataFrame, fresh: DataFrame, outcomes: DataFrame, rule:
         untouched = untouched | (F.col("OUTCOME") == EMPTY)
     still = known.filter(untouched).drop("OUTCOME")
     met = known.filter(F.col("OUTCOME") == FILLED).drop("OUTCOME")
-    gone = met.join(fresh.select(*full), full, "left_anti")
+    gone = met.join(shuffled(fresh.select(*full)), full, "left_anti")
     if rule.mode == "merge":
         still = still.unionByName(gone)
     elif rule.listed_by:
         by = [*scope, *rule.listed_by]
-        still = still.unionByName(gone.join(fresh.select(*by).distinct(), by, "left_semi"))
+        still = still.unionByName(gone.join(shuffled(fresh.select(*by).distinct()), by, "left_semi"))
     lacking = [c for c in target.columns if c not in fresh.columns]
     if lacking:
-        fresh = fresh.join(met.select(*full, *lacking), full, "left")
+        fresh = fresh.join(shuffled(met.select(*full, *lacking)), full, "left")
     return still.unionByName(fresh.select(*target.columns))
 
 
@@ -97,5 +98,5 @@ def stamped(table: DataFrame, outcomes: DataFrame, owner: str, columns: Mapping[
     answered = outcomes.filter(F.col("OUTCOME").isin(FILLED, EMPTY) & F.col("TABLE_NAME").isin(*known))
     flags = {c: [n for n, column in known.items() if column == c] for c in set(known.values())}
     done = answered.groupBy(F.col("ID_OWNER").alias(owner)).agg(*[F.bool_or(F.col("TABLE_NAME").isin(*names)).alias(f"_{c}") for c, names in sorted(flags.items())])
-    joined = table.join(done, owner, "left")
+    joined = table.join(shuffled(done), owner, "left")
     return joined.select(*[F.when(F.col(f"_{c}"), now).otherwise(F.col(c)).alias(c) if c in flags else F.col(c) for c in table.columns])

@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kgspark.functions import shuffled
 from kgspark.operators import merge
 from kgspark.operators.settle import EMPTY, FAILED, FILLED, MALFORMED, Rule, one_outcome, settle, stamped
 from kgspark.plans import snapshots as sn
@@ -188,7 +189,7 @@ def merged_episode_credits(stored: DataFrame, partial: DataFrame, full: DataFram
     short source (or an earlier answer) gave goes. Elsewhere the short source's rows are merged in and nothing goes.
     """
     answered = told.filter(F.col("OUTCOME").isin(FILLED, EMPTY)).select(F.col("ID_OWNER").alias("ID_EPISODE")).distinct()
-    short = partial.join(answered, "ID_EPISODE", "left_anti")
+    short = partial.join(shuffled(answered), "ID_EPISODE", "left_anti")
     listed = short.select(F.col("ID_EPISODE").alias("ID_OWNER")).distinct().select("ID_OWNER", F.lit(None).cast("string").alias("SCOPE"), F.lit(FILLED).alias("OUTCOME"))
     both = settle({"PERSON_EPISODE": stored}, {"PERSON_EPISODE": short}, listed.withColumn("TABLE_NAME", F.lit("PERSON_EPISODE")), rules("season"))["PERSON_EPISODE"]
     return settle({"PERSON_EPISODE": both}, {"PERSON_EPISODE": full}, told, rules("episode"))["PERSON_EPISODE"]

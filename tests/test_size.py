@@ -11,7 +11,7 @@ def plan(spark, name):
     return entry.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["repair_qualifier_ids", "v1_replace_multi_values"])
+@pytest.mark.parametrize("name", ["repair_qualifier_ids", "v1_replace_multi_values", "merged_episode_credits"])
 def test_growing_join_sides_are_not_broadcast(spark, name):
     text = plan(spark, name)
     assert "Broadcast" not in text
