@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kgspark.functions import once
+from kgspark.functions import once, shuffled
 from kgspark.functions.text import valid_iso_date
 from kgspark.operators import merge
 from kgspark.operators.ranking import latest_wins, pinned_order
@@ -87,12 +87,47 @@ def with_fields(payloads: DataFrame) -> DataFrame:
 NUMBERED = {"season": ("season_number",), "episode": ("season_number", "episode_number"), "list": ("page",)}
 
 
-def newest(payloads: DataFrame, kind: str) -> DataFrame:
-    """The latest fetch of each (entity, id, endpoint, language), of seasons, episodes and list pages by their
-    numbers too; equal times are settled by the text."""
+def _numbered(payloads: DataFrame, kind: str) -> tuple[DataFrame, list[str]]:
+    """The payloads with what tells their fetches apart: (entity, id, endpoint, language), of seasons, episodes and list
+    pages their numbers too."""
     numbers = {f"_{k}": F.get_json_object("payload", f"$.{k}") for k in NUMBERED.get(kind, ())}
-    keyed = payloads.withColumns(numbers) if numbers else payloads
-    return latest_wins(keyed, ["entity", "id", "endpoint", "lang", *numbers], ["fetched_at", "payload"]).drop(*numbers)
+    return payloads.withColumns(numbers) if numbers else payloads, ["entity", "id", "endpoint", "lang", *numbers]
+
+
+def _at(payloads: DataFrame, heads: DataFrame, keys: list[str]) -> DataFrame:
+    """Payloads that meet a narrow head by ``keys`` (NULL equals NULL). Hashed by head: the wide rows move once and are not sorted."""
+    named = heads.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)])
+    same = [payloads[k] == named[f"_h{i}"] if k == "id" else payloads[k].eqNullSafe(named[f"_h{i}"]) for i, k in enumerate(keys)]
+    return payloads.join(named.hint("shuffle_hash"), same, "left_semi")
+
+
+def newest(payloads: DataFrame, heads: DataFrame, keys: list[str]) -> DataFrame:
+    """The latest fetch of every key; equal times are settled by the text.
+
+    ``heads`` are the keys and times of the fetches, written before, so that payloads are looked up by them. Only payloads
+    of one key and time are compared. Fetches without an id are left out.
+    """
+    per_time = heads.groupBy(*keys, "fetched_at").agg(F.count(F.lit(1)).alias("_n"))
+    last = cut(per_time.groupBy(*keys).agg(F.max(F.struct("fetched_at", "_n")).alias("_l")).select(*keys, "_l.*"), "latest")
+    alone = _at(payloads, last.filter(F.col("_n") == 1), [*keys, "fetched_at"])
+    tied = last.filter(F.col("_n") > 1)
+    if tied.isEmpty():
+        return alone
+    return alone.unionByName(latest_wins(_at(payloads, tied, [*keys, "fetched_at"]), keys, ["payload"]))
+
+
+def _usable_ids(payloads: DataFrame, heads: DataFrame, keys: list[str]) -> DataFrame:
+    """Ids whose newest first answer (of any language) is usable; ``heads`` are those of first answers and tell if they are (``_ok``).
+
+    Texts are read only where answers of one time disagree.
+    """
+    per_time = heads.groupBy(*keys, "fetched_at").agg(F.bool_and("_ok").alias("_all"), F.bool_or("_ok").alias("_any"))
+    last = cut(per_time.groupBy(*keys).agg(F.max(F.struct("fetched_at", "_all", "_any")).alias("_l")).select(*keys, "_l.*"), "answers")
+    ok, unclear = last.filter("_all").select("id"), last.filter(F.col("_any") & ~F.col("_all"))
+    if not unclear.isEmpty():
+        texts = latest_wins(_at(payloads, unclear, [*keys, "fetched_at"]).select(*keys, "payload"), keys, ["payload"])
+        ok = ok.union(texts.filter(merge.fetch_outcome(F.col("payload")) == "ok").select("id"))
+    return ok.distinct()
 
 
 def documents(payloads: DataFrame, entity: str, endpoint: str) -> DataFrame:
@@ -784,13 +819,16 @@ def usable(payloads: DataFrame, kind: str, ledger: DataFrame, now: Column) -> Da
     the rest of the chain depends on it.
     """
     waiting = merge.in_retry_window(ledger.filter(F.col("ENTITY_TYPE") == kind), now).select(F.col("ID_ENTITY").alias("id"))
-    latest = newest(payloads.filter(F.col("entity") == kind), kind)
-    first = {"list": "page", "episode": "credits"}.get(kind, "details")
-    answers = latest.filter(F.col("endpoint") == first).select("id", "fetched_at", "payload")
-    if kind not in NUMBERED:  # an answer without numbers says nothing about the other seasons, episodes or pages of its id
-        answers = latest_wins(answers, ["id"], ["fetched_at", "payload"])
-    ok = answers.filter(merge.fetch_outcome(F.col("payload")) == "ok").select("id").distinct().join(waiting, "id", "left_anti")
-    return cut(with_fields(latest.join(ok, "id", "left_semi")), "payloads")
+    mine, keys = _numbered(payloads.filter(F.col("entity") == kind), kind)
+    first = F.col("endpoint") == {"list": "page", "episode": "credits"}.get(kind, "details")
+    heads = mine.select(*keys, "fetched_at", F.when(first, merge.fetch_outcome(F.col("payload")) == "ok").alias("_ok"))
+    heads = cut(heads.filter(F.col("id").isNotNull()), "heads")
+    # An answer without numbers says nothing about the other seasons, episodes or pages of its id.
+    ok = _usable_ids(mine.filter(first), heads.filter(first), keys if kind in NUMBERED else ["id"]).join(shuffled(waiting), "id", "left_anti")
+    latest = newest(mine, heads.join(shuffled(ok), "id", "left_semi"), keys).select(*payloads.columns)
+    # Of a parsed answer the text is kept only for endpoints that are validated as a whole.
+    whole = F.when(F.col("endpoint").isin("release_dates", "watch_providers"), F.col("payload"))
+    return cut(with_fields(latest).withColumn("payload", whole), "payloads", "zstd")
 
 
 def snapshot_entity(payloads: DataFrame, kind: str, ledger: DataFrame, now: Column) -> dict[str, DataFrame]:

@@ -16,3 +16,36 @@ def test_growing_join_sides_are_not_broadcast(spark, name):
     text = plan(spark, name)
     assert "Broadcast" not in text
     assert "SortMergeJoin" in text
+
+
+def payloads(spark, *rows):
+    schema = "entity string, id long, endpoint string, lang string, fetched_at string, payload string"
+    return spark.createDataFrame([("movie", i, e, lang, at, text) for i, e, lang, at, text in rows], schema)
+
+
+def usable(spark, *rows):
+    from pyspark.sql import functions as F
+
+    from kgspark.plans import snapshots
+
+    ledger = spark.createDataFrame([("movie", 9, "2030-01-01")], "ENTITY_TYPE string, ID_ENTITY long, TIM_RETRY_AFTER string")
+    return snapshots.usable(payloads(spark, *rows), "movie", ledger, F.lit("2024-01-01")).collect()
+
+
+def test_newest_answers_are_found_by_narrow_heads(spark):
+    gone = '{"status_code":34}'
+    got = usable(
+        spark,
+        (1, "details", "en", "1", '{"a":1}'), (1, "details", "en", "2", '{"a":2}'), (1, "details", "en", "2", '{"a":3}'), (1, "details", "en", "2", '{"a":3}'),
+        (1, "images", None, "1", '{"a":4}'), (1, "images", None, None, '{"a":5}'), (1, "release_dates", "en", "1", '{"a":6}'),
+        (2, "details", "en", "1", '{"a":1}'), (2, "details", "en", "2", gone),
+        (3, "details", "en", "2", gone), (3, "details", "fr", "2", '{"a":1}'),  # '{"s' is after '{"a': gone
+        (4, "details", "en", "2", gone), (4, "details", "fr", "2", '{"z":1}'),
+        (5, "images", "en", "1", '{"a":1}'), (None, "details", "en", "1", '{"a":1}'), (9, "details", "en", "1", '{"a":1}'),
+    )
+    seen = sorted((r.id, r.endpoint, str(r.lang), str(r.m)) for r in got)
+    assert seen == [
+        (1, "details", "en", "{'a': '3'}"), (1, "images", "None", "{'a': '4'}"), (1, "release_dates", "en", "{'a': '6'}"),
+        (4, "details", "en", "{'status_code': '34'}"), (4, "details", "fr", "{'z': '1'}"),
+    ]
+    assert {r.endpoint for r in got if r.payload is not None} == {"release_dates"}  # the text is not written beside its fields
