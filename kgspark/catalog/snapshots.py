@@ -130,12 +130,12 @@ def localized_titles(d):
 
 @query("keyword_links", f"SELECT doc_id AS ID_MOVIE, length(w) AS ID_KEYWORD, w AS NAME, i::INT AS DISPLAY_ORDER FROM {WORDS}")
 def keyword_links(d):
-    return sn.keywords(d.movie_payload.withColumn("endpoint", F.lit("keywords")), "movie")
+    return sn.keywords(d.movie_answer("keywords"), "movie")
 
 
 @query("neighbour_links", f"SELECT doc_id AS ID_MOVIE, length(w) AS ID_NEIGHBOUR, i::INT AS DISPLAY_ORDER FROM {WORDS}")
 def neighbour_links(d):
-    return sn.neighbours(d.movie_payload.withColumn("endpoint", F.lit("similar")), "movie", "similar")
+    return sn.neighbours(d.movie_answer("similar"), "movie", "similar")
 
 
 @query(
@@ -143,7 +143,7 @@ def neighbour_links(d):
     f"""SELECT doc_id AS ID_MOVIE, n AS ID_NEIGHBOUR FROM documents, range(1,9) r(n) WHERE EXISTS (SELECT 1 FROM {WORDS} w WHERE w.doc_id=documents.doc_id AND length(w.w)=n)""",
 )
 def neighbour_prune(d):
-    links = sn.neighbours(d.movie_payload.withColumn("endpoint", F.lit("similar")), "movie", "similar")
+    links = sn.neighbours(d.movie_answer("similar"), "movie", "similar")
     stored = d.documents.select(c("doc_id").alias("ID_MOVIE"), F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(8).cast("bigint"))).alias("ID_NEIGHBOUR"))
     owners = sn.documents(d.movie_payload, "movie", "details").select(c("id").alias("ID_MOVIE"))
     return merge.prune_absent(stored, links, owners, "ID_MOVIE", ["ID_NEIGHBOUR"], "keep")
@@ -219,7 +219,7 @@ def images(d):
     main = d.documents.select(
         "doc_id", F.lit("/the").alias("base"), F.array(F.struct(F.concat(F.lit("/"), c("source")).alias("path"), F.lit("fr").alias("lang"))).alias("local")
     )
-    rows = sn.images(d.movie_payload.withColumn("endpoint", F.lit("images")), "movie", main)
+    rows = sn.images(d.movie_answer("images"), "movie", main)
     return rows.select("ID_MOVIE", "IMAGE_PATH", "LANG", "DISPLAY_ORDER")
 
 

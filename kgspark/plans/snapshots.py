@@ -627,7 +627,9 @@ def images(payloads: DataFrame, entity: str, main: DataFrame | None = None, main
         docs = docs.withColumn("_base", F.lit(None).cast("string")).withColumn("_local", F.array().cast("array<struct<path:string,lang:string>>"))
     else:
         m = main.select(F.col(main.columns[0]).alias("id"), F.col(main.columns[1]).alias("_base"), F.col(main.columns[2]).alias("_local"))
-        docs = docs.join(m, "id", "left")
+        # Only the lists meet the main images, and they are not sorted for it.
+        lists = F.map_filter("m", lambda k, _: k.isin(*IMAGE_LISTS))
+        docs = docs.select("id", lists.alias("m")).join(m.hint("shuffle_hash"), "id", "left")
     empty = F.array().cast("array<struct<path:string,lang:string,ratio:double,width:int,height:int,average:double,votes:int>>")
     docs = docs.withColumn("_local", F.coalesce("_local", F.array().cast("array<struct<path:string,lang:string>>")))
 

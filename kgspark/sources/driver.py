@@ -36,9 +36,13 @@ class Driver:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
-    def spread(self, df: DataFrame) -> DataFrame:
-        """``df`` dealt out anew: building text per row is CPU work, and a table of one file would do it in one task."""
-        return df.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(F.monotonically_increasing_id()))
+    def spread(self, df: DataFrame, key: str | None = None) -> DataFrame:
+        """``df`` dealt out anew: building text per row is CPU work, and a table of one file would do it in one task.
+
+        Dealt by its unique ``key``, the rows need not move again where they meet others by it.
+        """
+        by = F.col(key) if key else F.xxhash64(F.monotonically_increasing_id())
+        return df.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), by)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -322,8 +326,8 @@ class Driver:
         return docs.unionByName(pages)
 
     # Catalogue payloads: JSON documents built row by row from the tables.
-    def _payload(self, df: DataFrame, entity: str, id_: Column, endpoint: str, lang: Column, body: Column) -> DataFrame:
-        return self.spread(df).select(
+    def _payload(self, df: DataFrame, entity: str, id_: Column, endpoint: str, lang: Column, body: Column, key: str | None = None) -> DataFrame:
+        return self.spread(df, key).select(
             F.lit(entity).alias("entity"), id_.cast("bigint").alias("id"), F.lit(endpoint).alias("endpoint"), lang.alias("lang"),
             F.lit("2024-02-01 00:00:00").alias("fetched_at"), F.to_json(body).alias("payload"),
         )
@@ -331,6 +335,10 @@ class Driver:
     @cached_property
     def movie_payload(self) -> DataFrame:
         """Documents as film payloads: every word of the text is a cast member."""
+        return self.movie_answer("details")
+
+    def movie_answer(self, endpoint: str) -> DataFrame:
+        """Documents as answers of one endpoint: details with credits, or a list of one item a word of the text."""
         c = F.col
         words = F.split("text", r"\s+")
         cast = F.transform(
@@ -341,7 +349,12 @@ class Driver:
             F.struct((c("n_chars") % 7).alias("id"), c("lang").alias("name"), F.concat(F.lit("c"), c("doc_id").cast("string")).alias("credit_id"), c("lang").alias("department"), c("source").alias("job")),
         )
         genre = F.when(c("n_chars") % 5 == 0, "Documentary").otherwise("Drama")
-        body = F.struct(
+        lists = {
+            "keywords": F.transform(words, lambda w: F.struct(F.length(w).alias("id"), w.alias("name"))).alias("keywords"),
+            "similar": F.transform(words, lambda w: F.struct(F.length(w).alias("id"))).alias("results"),
+            "images": F.transform(words, lambda w, i: F.struct(F.concat(F.lit("/"), w).alias("file_path"), F.when(i % 2 == 0, "en").otherwise("fr").alias("iso_639_1"), i.alias("width"))).alias("posters"),
+        }
+        details = F.struct(
             c("doc_id").alias("id"), c("text").alias("title"), c("text").alias("overview"), (c("n_chars") % 150).alias("runtime"),
             F.when(c("doc_id") % 3 == 0, F.lit("1999-02-30")).when(c("doc_id") % 3 == 1, F.lit("2001-07-04")).otherwise("soon").alias("release_date"),
             (c("n_chars") % 2 == 0).alias("adult"), c("n_chars").alias("budget"),
@@ -349,11 +362,9 @@ class Driver:
             F.transform(words, lambda w: F.struct(w.alias("iso_3166_1"))).alias("production_countries"),
             F.transform(words, lambda w: F.struct(w.alias("iso_639_1"))).alias("spoken_languages"),
             F.struct(cast.alias("cast"), crew.alias("crew")).alias("credits"),
-            F.transform(words, lambda w: F.struct(F.length(w).alias("id"), w.alias("name"))).alias("keywords"),
-            F.transform(words, lambda w: F.struct(F.length(w).alias("id"))).alias("results"),
-            F.transform(words, lambda w, i: F.struct(F.concat(F.lit("/"), w).alias("file_path"), F.when(i % 2 == 0, "en").otherwise("fr").alias("iso_639_1"), i.alias("width"))).alias("posters"),
         )
-        return self._payload(self.table("documents"), "movie", c("doc_id"), "details", F.lit("en"), body)
+        body = F.struct(c("doc_id").alias("id"), lists[endpoint]) if endpoint in lists else details
+        return self._payload(self.table("documents"), "movie", c("doc_id"), endpoint, F.lit("en"), body, key="doc_id")
 
     @cached_property
     def person_payload(self) -> DataFrame:

@@ -18,6 +18,19 @@ def test_growing_join_sides_are_not_broadcast(spark, name):
     assert "SortMergeJoin" in text
 
 
+def test_images_meet_their_main_images_unsorted(spark):
+    text = plan(spark, "images")
+    assert "ShuffledHashJoin" in text
+    assert "SortMergeJoin" not in text and "Broadcast" not in text
+
+
+def test_neighbour_answers_hold_their_own_list_only(spark):
+    from kgspark.sources.driver import Driver
+
+    row = Driver(spark, SMALL).movie_answer("similar").selectExpr("endpoint", "json_object_keys(payload) AS k").first()
+    assert row.endpoint == "similar" and row.k == ["id", "results"]
+
+
 def payloads(spark, *rows):
     schema = "entity string, id long, endpoint string, lang string, fetched_at string, payload string"
     return spark.createDataFrame([("movie", i, e, lang, at, text) for i, e, lang, at, text in rows], schema)
