@@ -143,9 +143,10 @@ def neighbour_links(d):
     f"""SELECT doc_id AS ID_MOVIE, n AS ID_NEIGHBOUR FROM documents, range(1,9) r(n) WHERE EXISTS (SELECT 1 FROM {WORDS} w WHERE w.doc_id=documents.doc_id AND length(w.w)=n)""",
 )
 def neighbour_prune(d):
-    links = sn.neighbours(d.movie_answer("similar"), "movie", "similar")
+    answers = d.movie_answer("similar")
+    links = sn.neighbours(answers, "movie", "similar")
     stored = d.documents.select(c("doc_id").alias("ID_MOVIE"), F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(8).cast("bigint"))).alias("ID_NEIGHBOUR"))
-    owners = sn.documents(d.movie_payload, "movie", "details").select(c("id").alias("ID_MOVIE"))
+    owners = sn.documents(answers, "movie", "similar").select(c("id").alias("ID_MOVIE"))
     return merge.prune_absent(stored, links, owners, "ID_MOVIE", ["ID_NEIGHBOUR"], "keep")
 
 
