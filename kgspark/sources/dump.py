@@ -51,17 +51,33 @@ def idgate(lines: DataFrame, ids: DataFrame) -> DataFrame:
     """Keep lines worth parsing: wanted items, all properties, unreadable starts.
 
     ``ids`` has one column of wanted ids. The key is cut out of the raw text. Lines that
-    are not gated have no key and go round the join; the others meet the ids in a semi
-    join, for which Spark can push a Bloom filter of the ids below the exchange, so that
-    with a large id set unwanted text is dropped before it is shuffled.
+    are not gated have no key and go round the join. Of the others, most unwanted ones are
+    dropped by a bitmap of hashed ids before their text moves (16 MB at most, however many
+    ids there are); the rest meet the ids in a semi join, hashed by id, so that text is
+    not sorted.
     """
     wanted = ids.select(F.col(ids.columns[0]).alias("_id")).distinct()
     item_id = F.when(F.col("_top").startswith("Q"), F.col("_top"))
     keyed = once(lines.select("value"), _top=top_level_id(F.col("value"))).withColumn("_id", item_id)
-    gated = keyed.filter(F.col("_id").isNotNull()).join(wanted, "_id", "left_semi")
+    maybe = _maybe_wanted(keyed.filter(F.col("_id").isNotNull()), wanted)
+    gated = maybe.join(wanted.hint("shuffle_hash"), "_id", "left_semi")
     return gated.select("value").union(keyed.filter(F.col("_id").isNull()).select("value"))
 
 
+#: Bits of the id gate's bitmap; a stretch of 32,768 bits is one row of 4 KB.
+GATE_BITS = 1 << 27
+
+
+def _maybe_wanted(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Lines whose ``_id`` hashes to a bit that some wanted id sets: all wanted ones, and few others."""
+    place = F.pmod(F.xxhash64("_id"), F.lit(GATE_BITS)) + 1
+    at, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    bits = wanted.groupBy(at.alias("_at")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    met = lines.withColumns({"_at": at, "_bit": bit}).join(F.broadcast(bits), "_at")
+    byte = F.conv(F.hex(F.substring("_bits", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return met.filter(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1).select(*lines.columns)
+
+
 def parse_marked(lines: DataFrame, fields: Sequence[str] = tuple(ENTITY_FIELDS)) -> DataFrame:
     """Parsed entities with ``BAD_LINE``: the text of a line no JSON parser accepts, else NULL.
 

@@ -62,3 +62,14 @@ def test_newest_answers_are_found_by_narrow_heads(spark):
         (4, "details", "en", "{'status_code': '34'}"), (4, "details", "fr", "{'z': '1'}"),
     ]
     assert {r.endpoint for r in got if r.payload is not None} == {"release_dates"}  # the text is not written beside its fields
+
+
+def test_unwanted_lines_are_dropped_before_they_move(spark):
+    from kgspark.sources import dump
+
+    keyed = spark.range(20000).selectExpr("concat('Q', id) AS _id", "'text' AS value")
+    wanted = keyed.filter("_id LIKE '%7'").select("_id")
+    maybe = {r._id for r in dump._maybe_wanted(keyed, wanted).collect()}
+    assert maybe >= {f"Q{i}" for i in range(7, 20000, 10)} and len(maybe) < 2100
+    assert dump._maybe_wanted(keyed, wanted.limit(0)).count() == 0
+    assert "ShuffledHashJoin" in plan(spark, "idgate")
