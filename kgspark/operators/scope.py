@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kgspark.functions import once
 from kgspark.functions.text import safe_pct
 from kgspark.operators.claims import item_value, snak_value
 from kgspark.session import cut, cut_path
@@ -35,28 +36,34 @@ ENTITY_TABLE = {
 _CLAIM_SNAK = "STRUCT<mainsnak STRUCT<snaktype STRING, datatype STRING, datavalue STRUCT<value VARIANT>>>"
 
 
+def _main_snaks(prop: str) -> Column:
+    """Main snaks of one property's claims: the list is parsed as a whole, and claim by claim only where one has another shape."""
+    text = F.try_element_at("claims", F.lit(prop))
+    each = F.transform(F.from_json(text, "ARRAY<STRING>"), lambda r: F.from_json(r, _CLAIM_SNAK))
+    claims = F.coalesce(F.from_json(text, f"ARRAY<{_CLAIM_SNAK}>"), each)
+    return F.transform(claims, lambda c: c.getField("mainsnak"))
+
+
 def _claim_items(prop: str) -> Column:
     """Item ids of one property's claims, read inside the entity row (no shuffle)."""
-    raws = F.from_json(F.try_element_at("claims", F.lit(prop)), "ARRAY<STRING>")
 
-    def item(raw: Column) -> Column:
-        snak = F.from_json(raw, _CLAIM_SNAK).getField("mainsnak")
+    def item(snak: Column) -> Column:
         return F.when(snak.getField("datatype") == "wikibase-item", item_value(snak_value(snak)))
 
-    return F.filter(F.transform(raws, item), lambda q: q.isNotNull())
+    return F.filter(F.transform(_main_snaks(prop), item), lambda q: q.isNotNull())
 
 
 def scope_columns(entities: DataFrame, *extra: str) -> DataFrame:
     """What scope needs of every entity, in one narrow row: ids of P279 and P31 (the latter sorted, distinct) and the IMDb flag."""
-    imdb = F.from_json(F.try_element_at("claims", F.lit("P345")), "ARRAY<STRING>")
-    has_value = F.exists(imdb, lambda r: snak_value(F.from_json(r, _CLAIM_SNAK).getField("mainsnak")).isNotNull())
+    has_value = F.exists(_main_snaks("P345"), lambda snak: snak_value(snak).isNotNull())
     return entities.select("id", "type", _claim_items("P279").alias("P279"), F.array_sort(F.array_distinct(_claim_items("P31"))).alias("P31"), F.coalesce(has_value, F.lit(False)).alias("HAS_IMDB"), *extra)
 
 
 def subclass_edges(entities: DataFrame) -> DataFrame:
     """Distinct (child, parent) pairs of the P279 claims of items."""
-    rows = entities if "P279" in entities.columns else scope_columns(entities)
-    items = rows.filter((F.col("type") == "item") & (F.coalesce("id", F.lit("")) != ""))
+    items = entities.filter((F.col("type") == "item") & (F.coalesce("id", F.lit("")) != ""))
+    if "P279" not in entities.columns:  # the explode below would parse a list again for its filter
+        items = once(items, P279=_claim_items("P279"))
     pairs = items.select(F.col("id").alias("ID_CHILD"), F.explode("P279").alias("ID_PARENT"))
     return pairs.dropDuplicates(["ID_CHILD", "ID_PARENT"])
 

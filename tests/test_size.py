@@ -73,3 +73,13 @@ def test_unwanted_lines_are_dropped_before_they_move(spark):
     assert maybe >= {f"Q{i}" for i in range(7, 20000, 10)} and len(maybe) < 2100
     assert dump._maybe_wanted(keyed, wanted.limit(0)).count() == 0
     assert "ShuffledHashJoin" in plan(spark, "idgate")
+
+
+def logical(spark, name):
+    spark.conf.set("spark.sql.maxPlanStringLength", "10000000")
+    return entry.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_subclass_edges_parse_a_list_once(spark):
+    text = logical(spark, "subclass_edges")
+    assert text.count("StructField(mainsnak") <= 2 * 2  # as a whole, or claim by claim, of either property of the query
