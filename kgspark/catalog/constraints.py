@@ -152,5 +152,4 @@ def run_summary(d):
     from kgspark.sources import dump
 
     broken = d.events.filter(c("event_type") == "error").select(F.regexp_replace("props", r"\}$", "").alias("value"))
-    good, bad = dump.parse_entities(dump.clean_lines(d.dump_lines.union(broken)), ("id", "type"))
-    return checks.run_summary(good, bad)
+    return checks.lines_summary(dump.parse_marked(dump.clean_lines(d.dump_lines.union(broken)), ("id", "type")))

@@ -170,11 +170,16 @@ def _counted(name: str) -> Column:
 
 
 def _lines_summary(good: DataFrame, bad: DataFrame) -> DataFrame:
-    lines = good.select("type").union(bad.select(F.lit("#bad").alias("type")))
-    is_bad = F.coalesce(F.col("type") == "#bad", F.lit(False))
-    return lines.agg(
+    none = F.lit(None).cast("string")
+    return lines_summary(good.select("type", none.alias("BAD_LINE")).union(bad.select(none.alias("type"), F.col("value").alias("BAD_LINE"))))
+
+
+def lines_summary(marked: DataFrame) -> DataFrame:
+    """Counters of the lines of ``dump.parse_marked``, good and bad in one pass."""
+    is_bad = F.col("BAD_LINE").isNotNull()
+    return marked.agg(
         F.count_if(~is_bad).alias("ENTITIES_SEEN"),
-        F.count_if(F.col("type") == "item").alias("ITEMS_SEEN"),
-        F.count_if(F.col("type") == "property").alias("PROPERTIES_SEEN"),
+        F.count_if(~is_bad & (F.col("type") == "item")).alias("ITEMS_SEEN"),
+        F.count_if(~is_bad & (F.col("type") == "property")).alias("PROPERTIES_SEEN"),
         F.count_if(is_bad).alias("PARSE_ERRORS"),
     )

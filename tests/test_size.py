@@ -83,3 +83,7 @@ def logical(spark, name):
 def test_subclass_edges_parse_a_list_once(spark):
     text = logical(spark, "subclass_edges")
     assert text.count("StructField(mainsnak") <= 2 * 2  # as a whole, or claim by claim, of either property of the query
+
+
+def test_run_summary_parses_a_line_once(spark):
+    assert logical(spark, "run_summary").count("from_json(") == 1
