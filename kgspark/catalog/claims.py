@@ -13,12 +13,12 @@ def parsed(d):
     return good
 
 
-def flat(d):
-    return claims.statements(claims.explode_claims(parsed(d), exact_ids=False))
+def flat(d, qualifiers=False):
+    return claims.statements(claims.explode_claims(parsed(d), exact_ids=False, qualifiers=qualifiers))
 
 
 def wide_qualifiers(d):
-    return claims.qualifiers(flat(d), exact_ids=False)
+    return claims.qualifiers(flat(d, qualifiers=True), exact_ids=False)
 
 
 @query(
@@ -38,7 +38,7 @@ def award_count_by_family_from_dump(d):
     "SELECT ID_PROPERTY, count(*) AS CLAIMS, count(DISTINCT ID_WIKIDATA) AS SUBJECTS FROM kg_claim GROUP BY 1",
 )
 def claims_exploded(d):
-    return claims.explode_claims(parsed(d), exact_ids=False).groupBy("ID_PROPERTY").agg(
+    return claims.explode_claims(parsed(d), exact_ids=False, qualifiers=False).groupBy("ID_PROPERTY").agg(
         F.count(F.lit(1)).alias("CLAIMS"), F.count_distinct("ID_WIKIDATA").alias("SUBJECTS")
     )
 
@@ -48,7 +48,7 @@ def claims_exploded(d):
     "SELECT ID_STATEMENT, ID_WIKIDATA FROM kg_claim WHERE ID_PROPERTY='P166'",
 )
 def claims_of_one_property(d):
-    return claims.explode_claims(parsed(d), ["P166"], exact_ids=False).select("ID_STATEMENT", "ID_WIKIDATA")
+    return claims.explode_claims(parsed(d), ["P166"], exact_ids=False, qualifiers=False).select("ID_STATEMENT", "ID_WIKIDATA")
 
 
 @query(

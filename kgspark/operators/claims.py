@@ -24,6 +24,7 @@ CACHED_PROPERTIES = ("P31", "P279", "P345", "P569", "P570", "P577")
 CACHED_TYPES = ("item", "external_id", "time")
 
 _SNAK = "STRUCT<snaktype STRING, datatype STRING, hash STRING, datavalue STRUCT<value VARIANT>>"
+_BARE_CLAIM = f"STRUCT<id STRING, rank STRING, mainsnak {_SNAK}>"
 _CLAIM = f"STRUCT<id STRING, rank STRING, mainsnak {_SNAK}, qualifiers MAP<STRING, STRING>>"
 
 # Columns of each typed value table, as SQL over the unified value struct ``v``.
@@ -87,9 +88,12 @@ def _exploded(rows: DataFrame, schema: str, key: str, name: str) -> DataFrame:
     return flat.withColumn("raw", F.get("t", F.col("pos"))).drop("t")
 
 
-def explode_claims(entities: DataFrame, properties: Sequence[str] | None = None, exact_ids: bool = True) -> DataFrame:
+def explode_claims(entities: DataFrame, properties: Sequence[str] | None = None, exact_ids: bool = True, qualifiers: bool = True) -> DataFrame:
     """One row per claim: subject, property, parsed claim, statement id.
 
+    ``qualifiers=False`` is for readers of main values only: qualifiers, often most of a claim's text, are skipped by the
+    parser instead of being copied, and the column is left out.
+
     A property filter runs on the map keys, before the property's list is parsed.
     ``exact_ids=False`` is for dumps whose claims carry whole numbers only where the
     GUID is missing; it keeps the whole plan in the JVM.
@@ -99,7 +103,7 @@ def explode_claims(entities: DataFrame, properties: Sequence[str] | None = None,
     )
     if properties is not None:
         per_property = per_property.filter(F.col("ID_PROPERTY").isin(*properties))
-    claim = _exploded(per_property, _CLAIM, "id", "c")
+    claim = _exploded(per_property, _CLAIM if qualifiers else _BARE_CLAIM, "id", "c")
     fallback = ident.canonical_json(F.when(F.coalesce(F.col("c.id"), F.lit("")) == "", F.col("raw")), exact_ids)
     return claim.select(
         "ID_WIKIDATA",
@@ -108,7 +112,7 @@ def explode_claims(entities: DataFrame, properties: Sequence[str] | None = None,
         F.col("c.id").alias("STATEMENT_GUID"),
         F.col("c.rank").alias("RANK"),
         F.col("c.mainsnak").alias("snak"),
-        F.col("c.qualifiers").alias("qualifiers"),
+        *([F.col("c.qualifiers").alias("qualifiers")] if qualifiers else []),
     )
 
 
@@ -135,26 +139,34 @@ def text_value(value: Column) -> Column:
     return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
-def time_value(value: Column) -> Column:
+def time_value(value: Column, raw: Column | None = None, read: Column | None = None) -> Column:
     """Raw text, its declared precision, and signed year, month, day read from it.
 
-    Parts are read left to right; the first unreadable one ends the reading and
-    those before it stay. A year beyond 64 bits becomes NULL, months and days do not.
+    ``raw`` and ``read`` are the text and ``date_read`` of it, where the caller has them already.
     """
-    raw = F.try_variant_get(value, "$.time", "string")
+    raw = F.try_variant_get(value, "$.time", "string") if raw is None else raw
     return F.struct(
         raw.alias("RAW_TIME_VALUE"),
         F.try_variant_get(value, "$.precision", "int").alias("TIME_PRECISION"),
         F.try_variant_get(value, "$.calendarmodel", "string").alias("CALENDAR_MODEL"),
         F.try_variant_get(value, "$.timezone", "int").alias("TIMEZONE_OFFSET"),
-        *date_parts(raw),
+        *date_parts(raw, read),
     )
 
 
-def date_parts(raw: Column) -> list[Column]:
-    day_text = F.substring_index(raw, "T", 1)
-    parts = F.split(F.regexp_replace(day_text, r"^[+-]+", ""), "-")
-    sign = F.when(day_text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+def date_read(raw: Column) -> Column:
+    """Year, month, day and so on as an array of texts, the sign left out."""
+    return F.split(F.regexp_replace(F.substring_index(raw, "T", 1), r"^[+-]+", ""), "-")
+
+
+def date_parts(raw: Column, read: Column | None = None) -> list[Column]:
+    """Signed year, month and day of a time text.
+
+    Parts are read left to right; the first unreadable one ends the reading and
+    those before it stay. A year beyond 64 bits becomes NULL, months and days do not.
+    """
+    parts = date_read(raw) if read is None else read
+    sign = F.when(raw.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     at = lambda i: F.get(parts, F.lit(i))
     readable = lambda i: at(i).isNull() | (at(i) == "") | at(i).rlike(r"^[0-9]+$")
     number = lambda i: F.nullif(at(i), F.lit(""))
@@ -183,19 +195,26 @@ def _with_value(rows: DataFrame) -> DataFrame:
         .withColumn("VALUE_TYPE", local_type(F.col("snak.datatype")))
         .filter(F.col("VALUE_TYPE").isNotNull())
     )
-    typed = once(typed, value=snak_value(F.col("snak")), shape=F.schema_of_variant(snak_value(F.col("snak"))))
-    kind, value, shape = F.col("VALUE_TYPE"), F.col("value"), F.col("shape")
-    textual = kind.isin("string", "external_id", "media")
-    # An empty object counts as no value for times and quantities.
-    present = shape.startswith("OBJECT<") & (shape != "OBJECT<>")
+    kind, value, lead = F.col("VALUE_TYPE"), F.col("value"), F.col("lead")
+    typed = once(typed, value=snak_value(F.col("snak"))).drop("snak")
+    # What a kind is read from. One step a kind: a step of all kinds is too long a method for the JVM to compile.
+    leading = F.when(kind == "item", item_value(value)).when(kind == "time", F.try_variant_get(value, "$.time", "string"))
+    leading = leading.when(kind == "quantity", F.try_variant_get(value, "$.amount", "string")).otherwise(text_value(value))
+    typed = once(typed, lead=leading)
+    # An empty object counts as no value for times and quantities; one with a time or an amount is not empty.
+    shape = F.schema_of_variant(value)
+    present = lead.isNotNull() | (shape.startswith("OBJECT<") & (shape != "OBJECT<>"))
+    timed = once(typed, read=F.when(kind == "time", date_read(lead)))
+    timed = once(timed, TIME=F.when((kind == "time") & present, time_value(value, lead, F.col("read")))).drop("read")
+    measured = once(timed, QUANTITY=F.when((kind == "quantity") & present, quantity_value(value)))
     v = F.struct(
-        F.when(kind == "item", item_value(value)).alias("ID_ITEM"),
-        F.when(textual & (shape == "STRING"), F.try_variant_get(value, "$", "string")).alias("TEXT"),
-        F.when((kind == "time") & present, time_value(value)).alias("TIME"),
-        F.when((kind == "quantity") & present, quantity_value(value)).alias("QUANTITY"),
+        F.when(kind == "item", lead).alias("ID_ITEM"),
+        F.when(kind.isin("string", "external_id", "media"), lead).alias("TEXT"),
+        "TIME",
+        "QUANTITY",
     )
-    kept = F.coalesce(F.col("v.ID_ITEM"), F.col("v.TEXT")).isNotNull() | F.col("v.TIME").isNotNull() | F.col("v.QUANTITY").isNotNull()
-    return once(typed, v=v).drop("snak", "value", "shape").filter(kept)
+    kept = F.col("v.ID_ITEM").isNotNull() | F.col("v.TEXT").isNotNull() | F.col("v.TIME").isNotNull() | F.col("v.QUANTITY").isNotNull()
+    return once(measured, v=v).drop("value", "lead", "TIME", "QUANTITY").filter(kept)
 
 
 def statements(claims: DataFrame) -> DataFrame:
@@ -227,7 +246,7 @@ def qualifiers(stmts: DataFrame, exact_ids: bool = True) -> DataFrame:
 
 def cached_claims(entities: DataFrame, exact_ids: bool = True) -> DataFrame:
     """The few class and date facts kept for label-only entities; no qualifiers."""
-    claims = explode_claims(entities, CACHED_PROPERTIES, exact_ids)
+    claims = explode_claims(entities, CACHED_PROPERTIES, exact_ids, qualifiers=False)
     return statements(claims).filter(F.col("VALUE_TYPE").isin(*CACHED_TYPES))
 
 

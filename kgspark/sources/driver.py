@@ -206,7 +206,7 @@ class Driver:
             return text('{"value":{"entity-type":"item","id":"', q, '"},"type":"wikibase-entityid"}')
 
         time = text(
-            '{"value":{"time":"', day("l_shipdate", "'+'yyyy-MM-dd'T00:00:00Z'"), '","timezone":0,"precision":11,"calendarmodel":"',
+            '{"value":{"time":"', c("_raw_time"), '","timezone":0,"precision":11,"calendarmodel":"',
             f'{entity}Q1985727"', '},"type":"time"}',
         )
         quantity = text(
@@ -215,7 +215,7 @@ class Driver:
         )
         flag = c("l_returnflag")
         datatype = F.when(flag == "A", "wikibase-item").when(flag == "N", "time").otherwise("quantity")
-        datavalue = F.when(flag == "A", item(qid(PART, "l_partkey"))).when(flag == "N", time).otherwise(quantity)
+        datavalue = F.when(flag == "A", item(qid(PART, "l_partkey"))).when(flag == "N", c("_time")).otherwise(quantity)
 
         def snak(prop, kind, key, value):
             digest = F.md5(F.concat_ws("|", lit(prop), key))
@@ -226,10 +226,9 @@ class Driver:
 
         first, second = c("l_linenumber").cast("string"), (c("l_linenumber") + 1).cast("string")
         work, part = qid(SUPPLIER, "l_suppkey"), qid(PART, "l_partkey")
-        raw_time = day("l_shipdate", "'+'yyyy-MM-dd'T00:00:00Z'")
         quals = F.concat_ws(
             ",",
-            F.when(c("l_tax") >= 0.02, text('"P585":[', snak("P585", "time", raw_time, time), "]")),
+            F.when(c("l_tax") >= 0.02, text('"P585":[', snak("P585", "time", c("_raw_time"), c("_time")), "]")),
             F.when(c("l_discount") >= 0.03, text('"P1686":[', snak("P1686", "wikibase-item", work, item(work)), "]")),
             text('"P805":[', snak("P805", "wikibase-item", part, item(part)), "]"),
             text('"P1545":[', F.concat_ws(",", ordinal(first), F.when(c("l_quantity").cast("int") % 2 == 0, ordinal(second))), "]"),
@@ -242,7 +241,8 @@ class Driver:
         )
         opening = F.when(c("l_linenumber") == 1, "[").when(c("l_linenumber") == 2, "  ").otherwise("")
         closing = F.when(c("l_linenumber") == 2, " ]").otherwise(",")
-        return once(self._line, value=F.concat(opening, doc, closing)).select("value")
+        dated = once(self._line, _raw_time=day("l_shipdate", "'+'yyyy-MM-dd'T00:00:00Z'"))
+        return once(once(dated, _time=time), value=F.concat(opening, doc, closing)).select("value")
 
     @cached_property
     def labelled_lines(self) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,18 +31,40 @@ def read_entity_dump(spark: SparkSession, path: str) -> DataFrame:
 
 
 def clean_lines(lines: DataFrame) -> DataFrame:
-    """Drop the array's brackets, separators and blank lines around the objects."""
-    blanks = F.lit(" \t\n\r\x0b\f")
-    trimmed = once(lines.select(F.col("value").alias("_raw")), v=F.btrim("_raw", blanks))
-    v = F.col("v")
-    opened = F.when(v.startswith("["), F.ltrim(F.substr(v, F.lit(2)), blanks)).otherwise(v)
-    shorter = lambda x: F.rtrim(F.left(x, F.length(x) - 1), blanks)
+    """Drop the array's brackets, separators and blank lines around the objects.
+
+    Whether a line has something to drop is read from its first and last byte; only then is text copied. Trimming a set of
+    characters, and counting them, reads a line character by character.
+    """
+    trimmed = once(lines.select(F.col("value").alias("_raw")), v=_without_end(_without_start(F.col("_raw"))))
+    opened = F.when(F.col("v").startswith("["), _without_start(_bytes(F.col("v"), 2))).otherwise(F.col("v"))
+    shorter = lambda x: _without_end(_bytes(x, 1, F.octet_length(x) - 1))
     closed = F.when(F.col("o").endswith("]"), shorter(F.col("o"))).otherwise(F.col("o"))
     alone = F.when(F.col("c").endswith(","), shorter(F.col("c"))).otherwise(F.col("c"))
     kept = once(once(trimmed, o=opened), c=closed)
     return once(kept, value=alone).select("value").filter(F.col("value") != "")
 
 
+_BLANKS = " \t\n\r\x0b\f"
+
+
+def _bytes(text: Column, start: int, length: Column | None = None) -> Column:
+    length = F.octet_length(text) if length is None else length
+    return F.substr(text.cast("binary"), F.lit(start), length).cast("string")
+
+
+def _without_start(text: Column) -> Column:
+    blank = reduce(Column.__or__, [text.startswith(b) for b in _BLANKS])
+    return F.when(blank, F.ltrim(text, F.lit(_BLANKS))).otherwise(text)
+
+
+def _without_end(text: Column) -> Column:
+    """Spaces go from the end backwards; the other blanks need a look at the whole text, so only where one is left."""
+    bare = F.rtrim(text)
+    blank = reduce(Column.__or__, [bare.endswith(b) for b in _BLANKS[1:]])
+    return F.when(blank, F.rtrim(text, F.lit(_BLANKS))).when(text.endswith(" "), bare).otherwise(text)
+
+
 def top_level_id(line: Column) -> Column:
     """Entity id read from the raw text, NULL when the line does not start as expected."""
     return F.nullif(F.regexp_extract(line, _TOP_LEVEL_ID, 1), F.lit(""))

@@ -75,9 +75,24 @@ def test_unwanted_lines_are_dropped_before_they_move(spark):
     assert "ShuffledHashJoin" in plan(spark, "idgate")
 
 
-def logical(spark, name):
-    spark.conf.set("spark.sql.maxPlanStringLength", "10000000")
-    return entry.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+@pytest.mark.parametrize("name", ["statements_flat", "item_values", "time_values", "quantity_values", "qualifiers_flat"])
+def test_value_reading_is_compiled(spark, name):
+    """The JVM interprets methods of 8,000 bytes and more."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        code = entry.queries()[name](spark, SMALL)._jdf.queryExecution().debug().codegenToSeq()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(code.apply(i)._3().maxMethodCodeSize() for i in range(code.size())) < 8000
+
+
+@pytest.mark.parametrize("name", ["claims_exploded", "statements_flat", "quantity_units", "award_count_by_family_from_dump"])
+def test_qualifiers_nobody_reads_are_not_copied(spark, name):
+    assert "qualifiers,MapType" not in logical(spark, name)
+
+
+def test_run_summary_parses_a_line_once(spark):
+    assert logical(spark, "run_summary").count("from_json(") == 1
 
 
 def test_subclass_edges_parse_a_list_once(spark):
@@ -85,5 +100,14 @@ def test_subclass_edges_parse_a_list_once(spark):
     assert text.count("StructField(mainsnak") <= 2 * 2  # as a whole, or claim by claim, of either property of the query
 
 
-def test_run_summary_parses_a_line_once(spark):
-    assert logical(spark, "run_summary").count("from_json(") == 1
+def logical(spark, name):
+    spark.conf.set("spark.sql.maxPlanStringLength", "10000000")
+    return entry.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_lose_every_blank_around_objects(spark):
+    from kgspark.sources import dump
+
+    rows = ["[", " [ {a}", "\t{b} ,\r\n", "{c}  ]\x0b", "  ", "{d\u00e9} \t,  ", "{e}, ]", "]", "[{f},", ",", None, "{g \u00e9 },,", "{h}\u00a0"]
+    out = [r.value for r in dump.clean_lines(spark.createDataFrame([(r,) for r in rows], "value string")).collect()]
+    assert out == ["{a}", "{b}", "{c}", "{d\u00e9}", "{e}", "{f}", "{g \u00e9 },", "{h}\u00a0"]
