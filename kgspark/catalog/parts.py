@@ -11,7 +11,7 @@ from kgspark.operators import claims, merge
 from kgspark.plans import refresh as rf
 from kgspark.plans import reports
 from kgspark.plans import snapshots as sn
-from kgspark.session import cut_path
+from kgspark.session import cut, cut_path
 from kgspark.sources import staging, tables
 from kgspark.sources.driver import CUSTOMER, ORDER, qid
 
@@ -110,7 +110,8 @@ def staged(rows, batch):
 )
 def qualifier_value_tables_load(d):
     """A load of qualifiers alone: their typed values enter, and values of another type leave first (every item was a string before)."""
-    q = d.kg_qualifier.select("ID_STATEMENT_QUALIFIER", "VALUE_TYPE", "ID_ITEM", "VALUE_TEXT", "DISPLAY_ORDER")
+    # Written once: targets and staging are all read from it.
+    q = cut(d.kg_qualifier.select("ID_STATEMENT_QUALIFIER", "VALUE_TYPE", "ID_ITEM", "VALUE_TEXT", "DISPLAY_ORDER"), "qualifiers")
     key, old = "ID_STATEMENT_QUALIFIER", F.lit("2020-01-01").alias("TIM_UPDATED")
     fresh = q.filter((c("VALUE_TYPE") != "string") | (c("DISPLAY_ORDER") == 1))
     targets = {

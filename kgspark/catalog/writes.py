@@ -6,6 +6,7 @@ from kgspark.functions import n
 from kgspark.catalog.registry import query
 from kgspark.catalog.twins import stable_bigint
 from kgspark.operators import merge
+from kgspark.session import cut
 from kgspark.sources.driver import ORDER, PART, qid
 
 c = F.col
@@ -121,12 +122,14 @@ def prune_older(d):
 def prune_cascade(d):
     from kgspark.operators.aggregates import table_counts
 
-    stmts = maybe_batch(d)
-    quals = d.kg_qualifier.withColumn("IMPORT_BATCH_ID", F.lit(None).cast("string"))
+    # Stored tables, as a prune finds them: written once, for each is read by several steps.
+    stored = cut(d.kg_statement.select("ID_STATEMENT", "VALUE_TYPE", "DELETED", "IMPORT_BATCH_ID", "l_quantity"), "statements")
+    stmts = stored.select("ID_STATEMENT", "VALUE_TYPE", F.when(c("DELETED") == 0, c("IMPORT_BATCH_ID")).alias("IMPORT_BATCH_ID"))
+    quals = cut(d.kg_qualifier.select("ID_STATEMENT_QUALIFIER", "ID_STATEMENT", "VALUE_TYPE"), "qualifiers").withColumn("IMPORT_BATCH_ID", F.lit(None).cast("string"))
     edges = d.orders.select(F.concat(F.lit("batch_"), F.year("o_orderdate").cast("string")).alias("IMPORT_BATCH_ID"))
     # A resource per item statement, of an old batch of its own for odd quantities; two addresses and a check below each.
     whole = c("l_quantity").cast("int")
-    resource = d.kg_statement.filter(c("VALUE_TYPE") == "item").withColumn("ID_MEDIA_RESOURCE", c("ID_STATEMENT") + 1)
+    resource = stored.filter(c("VALUE_TYPE") == "item").withColumn("ID_MEDIA_RESOURCE", c("ID_STATEMENT") + 1)
     media = resource.select("ID_STATEMENT", "ID_MEDIA_RESOURCE", F.when(whole % 2 == 1, "batch_1990").alias("IMPORT_BATCH_ID"))
     urls = resource.select("ID_MEDIA_RESOURCE", F.explode(F.array(F.lit("page"), F.lit("file"))).alias("URL_KIND"))
     verdicts = resource.select("ID_MEDIA_RESOURCE", F.when(whole % 3 == 1, "batch_1991").alias("IMPORT_BATCH_ID"))

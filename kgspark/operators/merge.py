@@ -109,7 +109,7 @@ def union_rows(*frames: DataFrame) -> DataFrame:
 def purge_type_flips(values: DataFrame, batch_parents: DataFrame, kind: str, key: str = "ID_STATEMENT") -> DataFrame:
     """Child rows minus those whose parent has another type in this batch."""
     flipped = batch_parents.filter(F.col("VALUE_TYPE") != kind).select(key)
-    return values.join(flipped, key, "left_anti")
+    return values.join(shuffled(flipped), key, "left_anti")
 
 
 def count_type_flips(tables: Mapping[str, DataFrame], batch_parents: DataFrame, key: str = "ID_STATEMENT") -> DataFrame:
@@ -148,23 +148,23 @@ def prune_cascade(
     gone = cut(statements.filter(F.col("IMPORT_BATCH_ID") < batch).select("ID_STATEMENT"), "gone")
     # A qualifier goes with its own old batch or with its old statement.
     old_q = qualifiers.filter(F.col("IMPORT_BATCH_ID") < batch).select("ID_STATEMENT_QUALIFIER")
-    below = qualifiers.join(gone, "ID_STATEMENT", "left_semi").select("ID_STATEMENT_QUALIFIER")
+    below = qualifiers.join(shuffled(gone), "ID_STATEMENT", "left_semi").select("ID_STATEMENT_QUALIFIER")
     gone_q = cut(old_q.union(below).distinct(), "gone-qualifiers")
     old_m = media.filter(F.col("IMPORT_BATCH_ID") < batch).select("ID_MEDIA_RESOURCE")
-    gone_m = cut(old_m.union(media.join(gone, "ID_STATEMENT", "left_semi").select("ID_MEDIA_RESOURCE")).distinct(), "gone-media")
+    gone_m = cut(old_m.union(media.join(shuffled(gone), "ID_STATEMENT", "left_semi").select("ID_MEDIA_RESOURCE")).distinct(), "gone-media")
     below_media = {}
     if media_urls is not None:
-        below_media["media_urls"] = media_urls.join(gone_m, "ID_MEDIA_RESOURCE", "left_anti")
+        below_media["media_urls"] = media_urls.join(shuffled(gone_m), "ID_MEDIA_RESOURCE", "left_anti")
     if media_checks is not None:
-        below_media["media_checks"] = prune_older(media_checks, batch).join(gone_m, "ID_MEDIA_RESOURCE", "left_anti")
+        below_media["media_checks"] = prune_older(media_checks, batch).join(shuffled(gone_m), "ID_MEDIA_RESOURCE", "left_anti")
     return below_media | {
         "statements": prune_older(statements, batch),
-        "values": {k: v.join(gone, "ID_STATEMENT", "left_anti") for k, v in values.items()},
-        "qualifiers": qualifiers.join(gone_q, "ID_STATEMENT_QUALIFIER", "left_anti"),
+        "values": {k: v.join(shuffled(gone), "ID_STATEMENT", "left_anti") for k, v in values.items()},
+        "qualifiers": qualifiers.join(shuffled(gone_q), "ID_STATEMENT_QUALIFIER", "left_anti"),
         "qualifier_values": {
-            k: v.join(gone_q, "ID_STATEMENT_QUALIFIER", "left_anti") for k, v in qualifier_values.items()
+            k: v.join(shuffled(gone_q), "ID_STATEMENT_QUALIFIER", "left_anti") for k, v in qualifier_values.items()
         },
-        "media": media.join(gone_m, "ID_MEDIA_RESOURCE", "left_anti"),
+        "media": media.join(shuffled(gone_m), "ID_MEDIA_RESOURCE", "left_anti"),
         "subclass": prune_older(subclass, batch),
     }
 

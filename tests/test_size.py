@@ -111,3 +111,15 @@ def test_lines_lose_every_blank_around_objects(spark):
     rows = ["[", " [ {a}", "\t{b} ,\r\n", "{c}  ]\x0b", "  ", "{d\u00e9} \t,  ", "{e}, ]", "]", "[{f},", ",", None, "{g \u00e9 },,", "{h}\u00a0"]
     out = [r.value for r in dump.clean_lines(spark.createDataFrame([(r,) for r in rows], "value string")).collect()]
     assert out == ["{a}", "{b}", "{c}", "{d\u00e9}", "{e}", "{f}", "{g \u00e9 },", "{h}\u00a0"]
+
+
+@pytest.mark.parametrize("name", ["prune_cascade", "qualifier_value_tables_load"])
+def test_tables_read_by_several_steps_are_written_once(spark, name):
+    assert "l_shipdate" not in logical(spark, name)
+
+
+def test_type_flips_are_not_broadcast(spark):
+    from kgspark.operators import merge
+
+    rows = spark.range(10).selectExpr("id AS ID_STATEMENT", "'item' AS VALUE_TYPE")
+    assert "Broadcast" not in merge.purge_type_flips(rows, rows, "time")._jdf.queryExecution().executedPlan().toString()
