@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kgspark.functions import once
+from kgspark.functions import once, shuffled
 from kgspark.functions.text import safe_pct
 from kgspark.operators.claims import item_value, snak_value
 from kgspark.session import cut, cut_path
@@ -198,7 +198,7 @@ def classify(memberships: DataFrame, pools: DataFrame, order: Sequence[str] = tu
 def classify_sidecar(sidecar: DataFrame, pools: DataFrame) -> DataFrame:
     """Sidecar rows with their entity type; unclassified rows are left out."""
     pairs = sidecar.select("ID_WIKIDATA", F.explode("P31").alias("CLASS_ID"))
-    return sidecar.join(classify(pairs, pools), "ID_WIKIDATA")
+    return sidecar.join(shuffled(classify(pairs, pools)), "ID_WIKIDATA")
 
 
 def core_and_candidates(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -219,7 +219,7 @@ def referenced_persons(stmts: DataFrame, candidates: DataFrame) -> DataFrame:
     """Candidate persons used as a main value (qualifiers do not count)."""
     used = stmts.select("ID_ITEM").filter(F.col("ID_ITEM").isNotNull())
     wanted = candidates.select(F.col(candidates.columns[0]).alias("ID_ITEM"))
-    return used.join(wanted, "ID_ITEM", "left_semi").distinct()
+    return used.join(shuffled(wanted), "ID_ITEM", "left_semi").distinct()
 
 
 def item_cache_rows(entities: DataFrame, core: DataFrame, items: DataFrame, persons: DataFrame) -> DataFrame:
@@ -227,8 +227,8 @@ def item_cache_rows(entities: DataFrame, core: DataFrame, items: DataFrame, pers
     tag = persons.select(F.col(persons.columns[0]).alias("ID_WIKIDATA"), F.lit(0).alias("_p"))
     tag = tag.union(items.select(F.col(items.columns[0]).alias("ID_WIKIDATA"), F.lit(1).alias("_p")))
     target = tag.groupBy("ID_WIKIDATA").agg(F.min("_p").alias("_p"))
-    target = target.join(core.select("ID_WIKIDATA"), "ID_WIKIDATA", "left_anti")
-    return entities.join(target, "ID_WIKIDATA").withColumn(
+    target = target.join(shuffled(core.select("ID_WIKIDATA")), "ID_WIKIDATA", "left_anti")
+    return entities.join(shuffled(target), "ID_WIKIDATA").withColumn(
         "TARGET_TABLE", F.when(F.col("_p") == 0, "PERSON").otherwise("ITEM")
     ).drop("_p")
 

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kgspark.functions import shuffled
 from kgspark.operators import checks, claims, merge, scope
 from kgspark.session import cut
 from kgspark.sources import dump
@@ -57,7 +58,7 @@ def refresh(lines: DataFrame, roots: Mapping[str, tuple[str, ...]] = scope.ROOTS
     # Second pass: everything a core entity states, and the properties.
     parsed = gated_entities(lines, core)
     items = parsed.filter(F.col("type") == "item")
-    in_scope = items.join(core.select(F.col("ID_WIKIDATA").alias("id"), "ENTITY_CLASS"), "id")
+    in_scope = items.join(shuffled(core.select(F.col("ID_WIKIDATA").alias("id"), "ENTITY_CLASS")), "id")
     stmts = cut(claims.statements(claims.explode_claims(in_scope, exact_ids=exact_ids)), "statements")
     quals = cut(claims.qualifiers(stmts, exact_ids), "qualifiers")
 
