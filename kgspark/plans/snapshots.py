@@ -23,6 +23,7 @@ SHORT_FILM_MINUTES = 58
 RECENT_SEASON_DAYS, RECENT_EPISODE_DAYS, ACTIVE_LOOKBACK_DAYS = 120, 45, 90
 
 _PERSON = "id BIGINT, name STRING, credit_id STRING, `character` STRING, department STRING, job STRING, `order` INT"
+_LISTED = "id: BIGINT, credit_id: STRING, `character`: STRING, department: STRING, job: STRING"  # what a title's credits use of it
 _IMAGE = "file_path STRING, iso_639_1 STRING, aspect_ratio DOUBLE, width INT, height INT, vote_average DOUBLE, vote_count INT"
 
 
@@ -138,6 +139,29 @@ def documents(payloads: DataFrame, entity: str, endpoint: str) -> DataFrame:
     return parsed.filter(F.col("m").isNotNull() & (status <= 1))
 
 
+def listing(payloads: DataFrame, entity: str, endpoint: str, **fields: str) -> DataFrame:
+    """Usable payloads of one endpoint with the named top-level fields in ``k``, read as the given types by one parse.
+
+    Nothing is copied as raw text to be parsed again, and other fields are skipped. What that parse cannot read whole goes by
+    the raw texts of ``documents``, so that a malformed field does not touch its neighbours; so does a payload that has
+    them already.
+    """
+    mine, whole = payloads.filter((F.col("entity") == entity) & (F.col("endpoint") == endpoint)), F.lit(False)
+    if "m" not in payloads.columns:
+        schema = ", ".join(["status_code STRING", *[f"`{n}` {kind}" for n, kind in fields.items()], "_text STRING"])
+        objects = F.when(F.col("payload").startswith("{"), F.col("payload"))
+        mine = once(mine, e=F.from_json(objects, schema, {"columnNameOfCorruptRecord": "_text"}))
+        whole = F.col("e").isNotNull() & F.col("e._text").isNull()
+        mine = once(mine, m=F.when(~whole, F.from_json("payload", "MAP<STRING, STRING>")))
+    raw = _fields()
+    status = F.when(whole, F.col("e.status_code")).otherwise(raw.raw("status_code")) if "e" in mine.columns else raw.raw("status_code")
+    usable_ = mine.filter((whole | F.col("m").isNotNull()) & (F.coalesce(status.try_cast("int"), F.lit(0)) <= 1))
+    parsed = {n: raw.sub(n, kind) for n, kind in fields.items()}
+    if "e" in mine.columns:
+        parsed = {n: F.when(whole, F.col(f"e.{n}")).otherwise(x) for n, x in parsed.items()}
+    return once(usable_, k=F.struct(*[x.alias(n) for n, x in parsed.items()])).drop("e", "m")
+
+
 def _fields() -> Fields:
     return Fields(F.col("m"))
 
@@ -329,51 +353,98 @@ def _credit(x: Column, kind: str, order: Column, limit: int | None = None) -> Co
     )
 
 
-def _credit_entries(docs: DataFrame, owner: str, maker: bool) -> DataFrame:
-    """One row per listed credit: ``_doc``, owner, ``_kind`` (cast, crew or maker), ``_at`` (1-based place in its list) and ``x``.
+#: Persons in a list up to which a credit's place is looked up person by person.
+FEW_PERSONS = 64
 
-    Lists are unfolded once. ``_last`` is the position that the last crew row, or else the last cast row, will get.
-    """
-    lists = f"STRUCT<`cast`: ARRAY<STRUCT<{_PERSON}>>, crew: ARRAY<STRUCT<{_PERSON}>>>"
-    person = f"array<struct<{_PERSON}>>"
-    empty = F.array().cast(person)
-    base = once(docs.withColumn("_doc", F.monotonically_increasing_id()), k=_fields().sub("credits", lists))
-    sides = {"cast": F.coalesce("k.cast", empty), "crew": F.coalesce("k.crew", empty)}
-    if maker:
-        sides["maker"] = F.coalesce(_fields().rows("created_by", _PERSON), empty)
-    base = once(base.select("_doc", F.col("id").alias(owner), *[x.alias(f"_{n}") for n, x in sides.items()]), **{f"_{n}_ids": F.transform(f"_{n}", lambda x: x["id"]) for n in sides})
-    end = lambda n: F.array_position(f"_{n}_ids", F.try_element_at(f"_{n}_ids", F.lit(-1)))  # noqa: E731  one search a document
-    last = F.when(F.size("_crew") > 0, end("crew") + (F.when(F.array_contains("_maker_ids", F.try_element_at("_crew_ids", F.lit(-1))), 1).otherwise(0) if maker else 0))
-    last = F.coalesce(last, end("cast"), F.lit(0))
 
-    def tagged(n: str) -> Column:
-        used = lambda x: F.struct(*[x[k].alias(k) for k in ("id", "credit_id", "character", "department", "job")])
-        return F.transform(f"_{n}", lambda x, i: F.struct(F.lit(n).alias("_kind"), (i + 1).alias("_at"), used(x).alias("x")))
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sorted_places(ids: dict[str, Column]) -> Column:
+    """Of every entry of the lists, one after the other: the first place of its person in each list, by sorting."""
+
+    def numbered(n: int, persons: Column) -> Column:
+        return F.transform(persons, lambda v, i: F.struct(v.alias("v"), F.lit(n).alias("n"), (i + 1).alias("i")))
+
+    pairs = F.array_sort(F.concat(*[numbered(n, persons) for n, persons in enumerate(ids.values())]))
+    start = lambda p, i: (i == 0) | ~F.get(p, i - 1)["v"].eqNullSafe(F.get(p, i)["v"])
 
-    return base.select("_doc", owner, last.cast("int").alias("_last"), F.explode(F.concat(*map(tagged, sides))).alias("_e")).select("_doc", owner, "_last", "_e.*")
+    def run(p: Column, starts: Column, s: Column, j: Column) -> Column:
+        return F.slice(p, s + 1, F.coalesce(F.get(starts, j + 1), F.size(p)) - s)
+
+    def first(entries: Column, n: int) -> Column:
+        return F.array_min(F.transform(F.filter(entries, lambda e: e["n"] == n), lambda e: e["i"]))
+
+    def placed(p: Column, starts: Column) -> Column:
+        def entries(s: Column, j: Column) -> Column:
+            mine = run(p, starts, s, j)
+            return _let(F.struct(*[first(mine, n).alias(name) for n, name in enumerate(ids)]), lambda f: F.transform(mine, lambda e: F.struct(e["n"].alias("n"), e["i"].alias("i"), f.alias("f"))))
+
+        return F.transform(F.array_sort(F.flatten(F.transform(starts, entries))), lambda e: e["f"])
+
+    return _let(pairs, lambda p: _let(F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda i: start(p, i)), lambda starts: placed(p, starts)))
+
+
+def _credit_entries(payloads: DataFrame, entity: str, owner: str) -> DataFrame:
+    """One row per listed credit: owner, ``_kind`` (cast, crew or maker), ``_at`` (1-based place in its list), ``x``, and as
+    ``_in_…`` the first place of its person in each list; for series also ``_doc`` and ``_last``, the position that the
+    last crew row, or else the last cast row, will get.
+
+    Places are found inside the document: nothing is shuffled or sorted as rows. Lists of few persons are looked up, others
+    sorted, so a list of any length costs no more than sorting it.
+    """
+    maker = entity == "serie"
+    people = f"ARRAY<STRUCT<{_LISTED}>>"
+    docs = listing(payloads, entity, "details", credits=f"STRUCT<`cast`: {people}, crew: {people}>", **({"created_by": people} if maker else {}))
+    sides = {"cast": "k.credits.cast", "crew": "k.credits.crew"} | ({"maker": "k.created_by"} if maker else {})
+    lists = [F.coalesce(x, F.array().cast(people)).alias(f"_{n}") for n, x in sides.items()]
+    own = [F.monotonically_increasing_id().alias("_doc")] if maker else []
+    base = once(docs.select(F.col("id").alias(owner), *own, *lists), **{f"_{n}_ids": F.col(f"_{n}.id") for n in sides})
+    base = once(base, **{f"_{n}_of": F.array_distinct(f"_{n}_ids") for n in sides})
+    ids = {n: F.col(f"_{n}_ids") for n in sides}
+    many = F.greatest(*[F.size(f"_{n}_of") for n in sides]) > FEW_PERSONS
+    firsts = lambda n: F.transform(f"_{n}_of", lambda person: F.array_position(ids[n], person).cast("int"))
+    looked_up = {f"_{n}_at": F.when(~many, firsts(n)) for n in sides}
+    if maker:
+        end = lambda n: F.array_position(ids[n], F.try_element_at(ids[n], F.lit(-1)))  # noqa: E731  one search a document
+        moved = F.when(F.array_contains(ids["maker"], F.try_element_at(ids["crew"], F.lit(-1))), 1).otherwise(0)
+        last = F.coalesce(F.when(F.size("_crew") > 0, end("crew") + moved), end("cast"), F.lit(0)).cast("int")
+        looked_up["_last"] = last
+    base = once(base, _places=F.when(many, _sorted_places(ids)), **looked_up)
+    before, parts = F.lit(0), []
+    for n in sides:
+        parts.append(F.struct(F.lit(n).alias("_kind"), before.alias("_before"), F.col(f"_{n}").alias("_list")))
+        before = before + F.size(f"_{n}")
+    kept = [owner, *(["_doc", "_last"] if maker else [])]
+    unfolded = base.select(*kept, "_places", *[f"_{n}_{x}" for n in sides for x in ("of", "at")], F.inline(F.array(*parts)))
+    rows = unfolded.select(*[c for c in unfolded.columns if c != "_list"], F.posexplode("_list").alias("_i", "x"))
+
+    def first(n: str) -> Column:
+        among = F.array_position(f"_{n}_of", F.col("x.id")).cast("int") - 1
+        found = F.when(F.col("_places").isNull(), F.get(f"_{n}_at", among)).otherwise(F.get("_places", F.col("_before") + F.col("_i"))[n])
+        return F.when(F.col("x.id").isNotNull(), found)  # a credit without a person has no place
+
+    return rows.select(*kept, "_kind", (F.col("_i") + 1).alias("_at"), "x", *[first(n).alias(f"_in_{n}") for n in sides])
 
 
 def title_credits(payloads: DataFrame, entity: str = "movie") -> DataFrame:
     """Cast and crew rows; for series also the creators, as crew of their own job.
 
-    A person's later credits reuse the place of the first one in the same list. Places are minima over the credits of one
-    person in one document, so a list of any length costs no more than sorting it. A creator among the crew gets an extra
+    A person's later credits reuse the place of the first one in the same list. A creator among the crew gets an extra
     row at the crew place, and the crew rows move one on; creators credited nowhere follow the last place handed out.
     """
     from pyspark.sql.window import Window
 
     owner, serie = f"ID_{entity.upper()}", entity == "serie"
-    entries = _credit_entries(documents(payloads, entity, "details"), owner, serie)
-    person = Window.partitionBy("_doc", F.col("x.id"))
-    first = lambda kind: F.min(F.when(F.col("_kind") == kind, F.col("_at"))).over(person)
-    rows = entries.withColumns({"_cast": first("cast"), "_crew": first("crew")} | ({"_maker": first("maker")} if serie else {}))
+    rows = _credit_entries(payloads, entity, owner)
     x, kind = F.col("x"), F.col("_kind")
-    none = F.col("x.id").isNull()  # a credit without a person has no place
-    moved = F.col("_crew") + (F.when(F.col("_maker").isNotNull(), 1).otherwise(0) if serie else 0)
-    as_cast, as_crew = _credit(x, "cast", F.when(~none, F.col("_cast"))), _credit(x, "crew", F.when(~none, moved))
+    moved = F.col("_in_crew") + (F.when(F.col("_in_maker").isNotNull(), 1).otherwise(0) if serie else 0)
+    as_cast, as_crew = _credit(x, "cast", F.col("_in_cast")), _credit(x, "crew", moved)
     out = rows.filter(kind != "maker").select(owner, F.when(kind == "cast", as_cast).otherwise(as_crew).alias("c"))
     if serie:
-        rows = cut(rows.filter((kind == "maker") & ~none), "makers")
+        rows = cut(rows.filter((kind == "maker") & F.col("x.id").isNotNull()), "makers")
 
         def creator(order: Column) -> Column:
             return F.struct(
@@ -381,8 +452,8 @@ def title_credits(payloads: DataFrame, entity: str = "movie") -> DataFrame:
                 F.lit("Creator").alias("CREW_JOB"), F.lit("crew").alias("CREDIT_TYPE"), order.cast("int").alias("DISPLAY_ORDER"),
             )
 
-        working = rows.filter(F.col("_crew").isNotNull() & (F.col("_at") == F.col("_maker"))).select(owner, creator(F.col("_crew")).alias("c"))
-        absent = rows.filter(F.col("_crew").isNull() & F.col("_cast").isNull())
+        working = rows.filter(F.col("_in_crew").isNotNull() & (F.col("_at") == F.col("_in_maker"))).select(owner, creator(F.col("_in_crew")).alias("c"))
+        absent = rows.filter(F.col("_in_crew").isNull() & F.col("_in_cast").isNull())
         nth = F.row_number().over(Window.partitionBy("_doc").orderBy("_at"))
         out = out.union(working).union(absent.select(owner, creator(F.col("_last") + nth).alias("c")))
     return out.select(owner, "c.*")

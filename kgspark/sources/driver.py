@@ -326,8 +326,11 @@ class Driver:
         return docs.unionByName(pages)
 
     # Catalogue payloads: JSON documents built row by row from the tables.
-    def _payload(self, df: DataFrame, entity: str, id_: Column, endpoint: str, lang: Column, body: Column, key: str | None = None) -> DataFrame:
-        return self.spread(df, key).select(
+    def _payload(self, df: DataFrame, entity: str, id_: Column, endpoint: str, lang: Column, body: Column) -> DataFrame:
+        return self._answers(self.spread(df), entity, id_, endpoint, lang, body)
+
+    def _answers(self, df: DataFrame, entity: str, id_: Column, endpoint: str, lang: Column, body: Column) -> DataFrame:
+        return df.select(
             F.lit(entity).alias("entity"), id_.cast("bigint").alias("id"), F.lit(endpoint).alias("endpoint"), lang.alias("lang"),
             F.lit("2024-02-01 00:00:00").alias("fetched_at"), F.to_json(body).alias("payload"),
         )
@@ -338,20 +341,24 @@ class Driver:
         return self.movie_answer("details")
 
     def movie_answer(self, endpoint: str) -> DataFrame:
-        """Documents as answers of one endpoint: details with credits, or a list of one item a word of the text."""
+        """Documents as answers of one endpoint: details with credits, or a list of one item a word of the text.
+
+        A text is split once, and items are zipped from lists of their fields where they can be: a lambda is interpreted word by word.
+        """
         c = F.col
-        words = F.split("text", r"\s+")
-        cast = F.transform(
-            words,
-            lambda w, i: F.struct(F.length(w).alias("id"), w.alias("name"), F.concat_ws("-", c("doc_id").cast("string"), i.cast("string")).alias("credit_id"), w.alias("character")),
-        )
+        docs = once(self.spread(self.table("documents"), "doc_id"), _words=F.split("text", r"\s+"))
+        words = c("_words")
+        zipped = lambda **fields: F.arrays_zip(*[x.alias(n) for n, x in fields.items()])
+        lengths = F.transform(words, lambda w: F.length(w))
+        credit_ids = F.transform(words, lambda w, i: F.concat_ws("-", c("doc_id").cast("string"), i.cast("string")))
+        cast = zipped(id=lengths, name=words, credit_id=credit_ids, character=words)
         crew = F.array(
             F.struct((c("n_chars") % 7).alias("id"), c("lang").alias("name"), F.concat(F.lit("c"), c("doc_id").cast("string")).alias("credit_id"), c("lang").alias("department"), c("source").alias("job")),
         )
         genre = F.when(c("n_chars") % 5 == 0, "Documentary").otherwise("Drama")
         lists = {
-            "keywords": F.transform(words, lambda w: F.struct(F.length(w).alias("id"), w.alias("name"))).alias("keywords"),
-            "similar": F.transform(words, lambda w: F.struct(F.length(w).alias("id"))).alias("results"),
+            "keywords": zipped(id=lengths, name=words).alias("keywords"),
+            "similar": zipped(id=lengths).alias("results"),
             "images": F.transform(words, lambda w, i: F.struct(F.concat(F.lit("/"), w).alias("file_path"), F.when(i % 2 == 0, "en").otherwise("fr").alias("iso_639_1"), i.alias("width"))).alias("posters"),
         }
         details = F.struct(
@@ -359,12 +366,12 @@ class Driver:
             F.when(c("doc_id") % 3 == 0, F.lit("1999-02-30")).when(c("doc_id") % 3 == 1, F.lit("2001-07-04")).otherwise("soon").alias("release_date"),
             (c("n_chars") % 2 == 0).alias("adult"), c("n_chars").alias("budget"),
             F.array(F.struct(F.lit(1).alias("id"), genre.alias("name")), F.struct(F.lit(2).alias("id"), c("source").alias("name"))).alias("genres"),
-            F.transform(words, lambda w: F.struct(w.alias("iso_3166_1"))).alias("production_countries"),
-            F.transform(words, lambda w: F.struct(w.alias("iso_639_1"))).alias("spoken_languages"),
+            zipped(iso_3166_1=words).alias("production_countries"),
+            zipped(iso_639_1=words).alias("spoken_languages"),
             F.struct(cast.alias("cast"), crew.alias("crew")).alias("credits"),
         )
         body = F.struct(c("doc_id").alias("id"), lists[endpoint]) if endpoint in lists else details
-        return self._payload(self.table("documents"), "movie", c("doc_id"), endpoint, F.lit("en"), body, key="doc_id")
+        return self._answers(docs, "movie", c("doc_id"), endpoint, F.lit("en"), body)
 
     @cached_property
     def person_payload(self) -> DataFrame:
