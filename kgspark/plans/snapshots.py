@@ -551,14 +551,16 @@ def localized(payloads: DataFrame, entity: str) -> DataFrame:
 def keywords(payloads: DataFrame, entity: str) -> DataFrame:
     """Keyword links in list order; films list them as keywords, series as results."""
     key = "keywords" if entity == "movie" else "results"
-    rows = documents(payloads, entity, "keywords").select(F.col("id").alias(f"ID_{entity.upper()}"), F.posexplode(_fields().rows(key, "id BIGINT, name STRING")).alias("p", "x"))
+    docs = listing(payloads, entity, "keywords", **{key: "ARRAY<STRUCT<id: BIGINT, name: STRING>>"})
+    rows = docs.select(F.col("id").alias(f"ID_{entity.upper()}"), F.posexplode(f"k.{key}").alias("p", "x"))
     return rows.select(f"ID_{entity.upper()}", F.col("x.id").alias("ID_KEYWORD"), F.col("x.name").alias("NAME"), (F.col("p") + 1).alias("DISPLAY_ORDER"))
 
 
 def neighbours(payloads: DataFrame, entity: str, kind: str) -> DataFrame:
     """Similar or recommended titles with their rank; prune with on_empty='keep'."""
     column = "ID_NEIGHBOUR"
-    rows = documents(payloads, entity, kind).select(F.col("id").alias(f"ID_{entity.upper()}"), F.posexplode(_fields().rows("results", "id BIGINT")).alias("p", "x"))
+    docs = listing(payloads, entity, kind, results="ARRAY<STRUCT<id: BIGINT>>")
+    rows = docs.select(F.col("id").alias(f"ID_{entity.upper()}"), F.posexplode("k.results").alias("p", "x"))
     return rows.select(f"ID_{entity.upper()}", F.col("x.id").alias(column), (F.col("p") + 1).alias("DISPLAY_ORDER"))
 
 

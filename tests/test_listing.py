@@ -77,3 +77,15 @@ def test_odd_credits_are_read_as_by_raw_texts(spark):
     texts = [t and t.replace('"L":', '"credits":{"crew":[{"id":99}],"cast":') .replace("]}", "]}}", 1) for t in ODD]
     docs = answers(spark, *texts, *ODD)
     assert listed(sn.title_credits(docs)) == listed(sn.title_credits(sn.with_fields(docs)))
+
+
+def test_odd_keyword_and_neighbour_lists_are_read_as_by_raw_texts(spark):
+    got, want = both(spark, "keywords", "keywords", lambda docs: sn.keywords(docs, "movie"))
+    assert got == want and len(got) >= 8
+    got, want = both(spark, "results", "similar", lambda docs: sn.neighbours(docs, "movie", "similar"))
+    assert got == want and len(got) >= 8
+
+
+@pytest.mark.parametrize("name, key", [("keyword_links", "keywords"), ("neighbour_links", "results")])
+def test_links_are_read_by_one_parse(spark, name, key):
+    assert f"StructField({key},ArrayType" in plan(spark, name, "optimizedPlan")
