@@ -331,10 +331,9 @@ RELATIONS = {
 def title_relations(payloads: DataFrame, entity: str, relation: str) -> DataFrame:
     """(owner, value, DISPLAY_ORDER); a value listed twice keeps its last position."""
     key, field, kind, column = RELATIONS[relation]
-    rows = documents(payloads, entity, "details").select(
-        F.col("id").alias(f"ID_{entity.upper()}"), F.posexplode(_fields().rows(key, f"{field} {kind}")).alias("p", "x")
-    )
     owner = f"ID_{entity.upper()}"
+    docs = listing(payloads, entity, "details", **{key: f"ARRAY<STRUCT<{field}: {kind}>>"})
+    rows = docs.select(F.col("id").alias(owner), F.posexplode(f"k.{key}").alias("p", "x"))
     return rows.groupBy(owner, F.col(f"x.{field}").alias(column)).agg(F.max(F.col("p") + 1).alias("DISPLAY_ORDER"))
 
 

@@ -89,3 +89,12 @@ def test_odd_keyword_and_neighbour_lists_are_read_as_by_raw_texts(spark):
 @pytest.mark.parametrize("name, key", [("keyword_links", "keywords"), ("neighbour_links", "results")])
 def test_links_are_read_by_one_parse(spark, name, key):
     assert f"StructField({key},ArrayType" in plan(spark, name, "optimizedPlan")
+
+
+def test_odd_relations_are_read_as_by_raw_texts(spark):
+    got, want = both(spark, "genres", "details", lambda docs: sn.title_relations(docs, "movie", "GENRE"))
+    assert got == want and len(got) >= 8
+
+
+def test_relations_are_read_by_one_parse(spark):
+    assert "StructField(production_countries,ArrayType" in plan(spark, "title_relations", "optimizedPlan")
