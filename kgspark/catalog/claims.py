@@ -14,7 +14,7 @@ def parsed(d):
 
 
 def flat(d, qualifiers=False):
-    return claims.statements(claims.explode_claims(parsed(d), exact_ids=False, qualifiers=qualifiers))
+    return claims.statements(claims.read_claims(dump.clean_lines(d.dump_lines), exact_ids=False, qualifiers=qualifiers))
 
 
 def wide_qualifiers(d):
@@ -38,7 +38,7 @@ def award_count_by_family_from_dump(d):
     "SELECT ID_PROPERTY, count(*) AS CLAIMS, count(DISTINCT ID_WIKIDATA) AS SUBJECTS FROM kg_claim GROUP BY 1",
 )
 def claims_exploded(d):
-    return claims.explode_claims(parsed(d), exact_ids=False, qualifiers=False).groupBy("ID_PROPERTY").agg(
+    return claims.read_claims(dump.clean_lines(d.dump_lines), exact_ids=False, qualifiers=False).groupBy("ID_PROPERTY").agg(
         F.count(F.lit(1)).alias("CLAIMS"), F.count_distinct("ID_WIKIDATA").alias("SUBJECTS")
     )
 

@@ -103,7 +103,38 @@ def explode_claims(entities: DataFrame, properties: Sequence[str] | None = None,
     )
     if properties is not None:
         per_property = per_property.filter(F.col("ID_PROPERTY").isin(*properties))
-    claim = _exploded(per_property, _CLAIM if qualifiers else _BARE_CLAIM, "id", "c")
+    return _claim_rows(_exploded(per_property, _CLAIM if qualifiers else _BARE_CLAIM, "id", "c"), exact_ids, qualifiers)
+
+
+def read_claims(lines: DataFrame, exact_ids: bool = True, qualifiers: bool = True) -> DataFrame:
+    """``explode_claims`` of all properties, straight from dump lines: one parse a line, no list is copied as text and parsed again.
+
+    Lines that this parse cannot read whole, or with a claim that has no id (its text is its identity), are read by raw
+    texts, so that a malformed property does not touch its neighbours; lines no JSON parser accepts are left out.
+    """
+    claim, marked = _CLAIM if qualifiers else _BARE_CLAIM, {"columnNameOfCorruptRecord": "_text"}
+    objects = F.when(F.col("value").startswith("{"), F.col("value"))
+    read = once(lines.select("value"), e=F.from_json(objects, f"id STRING, claims MAP<STRING, ARRAY<{claim}>>, _text STRING", marked))
+    keyed = F.coalesce(~F.array_contains(F.flatten(F.map_values("e.claims")).getField("id"), ""), F.lit(False))
+    read = once(read, whole=F.col("e").isNotNull() & F.col("e._text").isNull() & (F.col("e.claims").isNull() | keyed))
+    read = once(read, o=F.from_json(F.when(~F.col("whole"), F.col("value")), "id STRING, claims MAP<STRING, STRING>, _text STRING", marked)).drop("value")
+    good = ~F.coalesce(F.col("o._text").isNotNull() & F.try_parse_json("o._text").isNull(), F.lit(False))
+    raws = F.map_values(F.when(good, F.col("o.claims")))
+
+    def parsed(raw: Column) -> Column:
+        return F.coalesce(F.from_json(raw, f"ARRAY<{claim}>"), F.transform(F.from_json(raw, "ARRAY<STRING>"), lambda r: F.from_json(r, claim)))
+
+    whole = lambda x, y: F.when(F.col("whole"), x).otherwise(y)
+    properties, subject = whole(F.map_keys("e.claims"), F.map_keys("o.claims")), whole(F.col("e.id"), F.col("o.id"))
+    texts = F.when(~F.col("whole"), F.transform(raws, lambda raw: F.from_json(raw, "ARRAY<STRING>")))
+    lists = once(read, lists=whole(F.map_values("e.claims"), F.transform(raws, parsed)), texts=texts)
+    per_property = lists.select(subject.alias("ID_WIKIDATA"), properties.alias("_p"), "texts", F.posexplode("lists").alias("_i", "_list"))
+    per_property = per_property.select("ID_WIKIDATA", F.get("_p", F.col("_i")).alias("ID_PROPERTY"), F.get("texts", F.col("_i")).alias("t"), "_list")
+    flat = per_property.select("ID_WIKIDATA", "ID_PROPERTY", "t", F.posexplode("_list").alias("pos", "c"))
+    return _claim_rows(flat.withColumn("raw", F.get("t", F.col("pos"))), exact_ids, qualifiers)
+
+
+def _claim_rows(claim: DataFrame, exact_ids: bool, qualifiers: bool) -> DataFrame:
     fallback = ident.canonical_json(F.when(F.coalesce(F.col("c.id"), F.lit("")) == "", F.col("raw")), exact_ids)
     return claim.select(
         "ID_WIKIDATA",
