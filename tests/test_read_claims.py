@@ -56,7 +56,7 @@ def test_odd_lines_give_the_claims_of_the_raw_texts(spark, exact_ids, qualifiers
     assert rows(claims.statements(got)) == rows(claims.statements(want))
 
 
-@pytest.mark.parametrize("name", ["item_values", "claims_exploded"])
+@pytest.mark.parametrize("name", ["item_values", "quantity_units", "claims_exploded"])
 def test_claims_are_read_by_one_parse(spark, name):
     spark.conf.set("spark.sql.maxPlanStringLength", "10000000")
     assert "StructField(claims,MapType(StringType,ArrayType" in entry.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
