@@ -114,20 +114,24 @@ def read_claims(lines: DataFrame, exact_ids: bool = True, qualifiers: bool = Tru
     """
     claim, marked = _CLAIM if qualifiers else _BARE_CLAIM, {"columnNameOfCorruptRecord": "_text"}
     objects = F.when(F.col("value").startswith("{"), F.col("value"))
-    read = once(lines.select("value"), e=F.from_json(objects, f"id STRING, claims MAP<STRING, ARRAY<{claim}>>, _text STRING", marked))
-    keyed = F.coalesce(~F.array_contains(F.flatten(F.map_values("e.claims")).getField("id"), ""), F.lit(False))
-    read = once(read, whole=F.col("e").isNotNull() & F.col("e._text").isNull() & (F.col("e.claims").isNull() | keyed))
-    read = once(read, o=F.from_json(F.when(~F.col("whole"), F.col("value")), "id STRING, claims MAP<STRING, STRING>, _text STRING", marked)).drop("value")
-    good = ~F.coalesce(F.col("o._text").isNotNull() & F.try_parse_json("o._text").isNull(), F.lit(False))
-    raws = F.map_values(F.when(good, F.col("o.claims")))
+    # Parsed fields become columns, not a struct: Spark's pruning of nested fields loses those of a struct kept through several generators.
+    typed = F.from_json(objects, f"id STRING, claims MAP<STRING, ARRAY<{claim}>>, _text STRING", marked)
+    read = lines.select("value", F.inline(F.array(typed)).alias("_id", "_claims", "_bad"))
+    keyed = F.coalesce(~F.array_contains(F.flatten(F.map_values("_claims")).getField("id"), ""), F.lit(False))
+    fits = F.coalesce(F.col("value").startswith("{"), F.lit(False)) & F.col("_bad").isNull()
+    read = once(read, whole=fits & (F.col("_claims").isNull() | keyed)).drop("_bad")
+    rest = F.from_json(F.when(~F.col("whole"), F.col("value")), "id STRING, claims MAP<STRING, STRING>, _text STRING", marked)
+    read = read.select("_id", "_claims", "whole", F.inline(F.array(rest)).alias("_raw_id", "_raws", "_bad"))
+    good = ~F.coalesce(F.col("_bad").isNotNull() & F.try_parse_json("_bad").isNull(), F.lit(False))
+    raws = F.map_values(F.when(good, F.col("_raws")))
 
     def parsed(raw: Column) -> Column:
         return F.coalesce(F.from_json(raw, f"ARRAY<{claim}>"), F.transform(F.from_json(raw, "ARRAY<STRING>"), lambda r: F.from_json(r, claim)))
 
     whole = lambda x, y: F.when(F.col("whole"), x).otherwise(y)
-    properties, subject = whole(F.map_keys("e.claims"), F.map_keys("o.claims")), whole(F.col("e.id"), F.col("o.id"))
+    properties, subject = whole(F.map_keys("_claims"), F.map_keys("_raws")), whole(F.col("_id"), F.col("_raw_id"))
     texts = F.when(~F.col("whole"), F.transform(raws, lambda raw: F.from_json(raw, "ARRAY<STRING>")))
-    lists = once(read, lists=whole(F.map_values("e.claims"), F.transform(raws, parsed)), texts=texts)
+    lists = once(read, lists=whole(F.map_values("_claims"), F.transform(raws, parsed)), texts=texts)
     per_property = lists.select(subject.alias("ID_WIKIDATA"), properties.alias("_p"), "texts", F.posexplode("lists").alias("_i", "_list"))
     per_property = per_property.select("ID_WIKIDATA", F.get("_p", F.col("_i")).alias("ID_PROPERTY"), F.get("texts", F.col("_i")).alias("t"), "_list")
     flat = per_property.select("ID_WIKIDATA", "ID_PROPERTY", "t", F.posexplode("_list").alias("pos", "c"))

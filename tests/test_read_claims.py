@@ -60,3 +60,8 @@ def test_odd_lines_give_the_claims_of_the_raw_texts(spark, exact_ids, qualifiers
 def test_claims_are_read_by_one_parse(spark, name):
     spark.conf.set("spark.sql.maxPlanStringLength", "10000000")
     assert "StructField(claims,MapType(StringType,ArrayType" in entry.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_joined_values_of_lines_still_run(spark):
+    """Of claims kept as a field of a struct, pruning lost the id in this query."""
+    assert entry.queries()["award_count_by_family_from_dump"](spark, SMALL).count() == 106
