@@ -17,6 +17,12 @@ def flat(d, qualifiers=False):
     return claims.statements(claims.read_claims(dump.clean_lines(d.dump_lines), exact_ids=False, qualifiers=qualifiers))
 
 
+def values(d, kind):
+    """One typed value table; lines that cannot hold such a value are not parsed."""
+    lines = dump.clean_lines(claims.naming(d.dump_lines, kind))
+    return claims.value_table(claims.statements(claims.read_claims(lines, exact_ids=False, qualifiers=False)), kind)
+
+
 def wide_qualifiers(d):
     return claims.qualifiers(flat(d, qualifiers=True), exact_ids=False)
 
@@ -61,7 +67,7 @@ def statements_flat(d):
 
 @query("item_values", "SELECT ID_STATEMENT, ID_ITEM FROM kg_claim WHERE VALUE_TYPE='item'")
 def item_values(d):
-    return claims.value_table(flat(d), "item")
+    return values(d, "item")
 
 
 @query(
@@ -70,7 +76,7 @@ def item_values(d):
        FROM kg_claim WHERE VALUE_TYPE='time'""",
 )
 def time_values(d):
-    return claims.value_table(flat(d), "time").select(
+    return values(d, "time").select(
         "ID_STATEMENT", "RAW_TIME_VALUE", "TIME_PRECISION", "TIMEZONE_OFFSET", "YEAR_VALUE", "MONTH_VALUE", "DAY_VALUE"
     )
 
@@ -80,7 +86,7 @@ def time_values(d):
     """SELECT ID_STATEMENT, AMOUNT::DECIMAL(30,10) AS AMOUNT FROM kg_claim WHERE VALUE_TYPE='quantity'""",
 )
 def quantity_values(d):
-    return claims.value_table(flat(d), "quantity").select("ID_STATEMENT", "AMOUNT")
+    return values(d, "quantity").select("ID_STATEMENT", "AMOUNT")
 
 
 @query(
@@ -88,7 +94,7 @@ def quantity_values(d):
     """SELECT 'Q'||(4000000000+l_suppkey) AS UNIT_ID_WIKIDATA, count(*) AS N, sum(l_extendedprice::DECIMAL(15,2))::DECIMAL(38,2) AS TOTAL FROM lineitem WHERE l_returnflag='R' GROUP BY 1""",
 )
 def quantity_units(d):
-    q = claims.value_table(flat(d), "quantity")
+    q = values(d, "quantity")
     return q.groupBy("UNIT_ID_WIKIDATA").agg(F.count(F.lit(1)).alias("N"), F.sum("AMOUNT").cast("decimal(38,2)").alias("TOTAL"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -138,6 +139,16 @@ def read_claims(lines: DataFrame, exact_ids: bool = True, qualifiers: bool = Tru
     return _claim_rows(flat.withColumn("raw", F.get("t", F.col("pos"))), exact_ids, qualifiers)
 
 
+def naming(lines: DataFrame, kind: str) -> DataFrame:
+    """Dump lines that can hold a value of the local type ``kind``, for readers of one typed table.
+
+    Of the others only the text is read. A line may be kept in vain, but none is lost: a datatype stands in the text as
+    it is, or with some of its ASCII characters escaped as four hex digits.
+    """
+    words = [name for name, local in LOCAL_TYPE.items() if local == kind]
+    return lines.filter(reduce(Column.__or__, [F.col("value").contains(word) for word in [*words, r"\u00"]]))
+
+
 def _claim_rows(claim: DataFrame, exact_ids: bool, qualifiers: bool) -> DataFrame:
     fallback = ident.canonical_json(F.when(F.coalesce(F.col("c.id"), F.lit("")) == "", F.col("raw")), exact_ids)
     return claim.select(
@@ -212,14 +223,20 @@ def date_parts(raw: Column, read: Column | None = None) -> list[Column]:
     ]
 
 
-def quantity_value(value: Column) -> Column:
-    number = lambda path: F.try_variant_get(value, path, "string").try_cast("decimal(30,10)")
-    unit = F.nullif(F.try_variant_get(value, "$.unit", "string"), F.lit(""))
+def quantity_read(value: Column) -> Column:
+    """Texts of a quantity's fields, found in one walk over the value."""
+    return F.try_variant_get(value, "$", "STRUCT<amount STRING, unit STRING, lowerBound STRING, upperBound STRING>")
+
+
+def quantity_value(read: Column) -> Column:
+    """Amount, unit and bounds from the texts of ``quantity_read``."""
+    number = lambda name: read.getField(name).try_cast("decimal(30,10)")
+    unit = F.nullif(read.getField("unit"), F.lit(""))
     return F.struct(
-        number("$.amount").alias("AMOUNT"),
+        number("amount").alias("AMOUNT"),
         F.substring_index(unit, "/", -1).alias("UNIT_ID_WIKIDATA"),
-        number("$.lowerBound").alias("LOWER_BOUND"),
-        number("$.upperBound").alias("UPPER_BOUND"),
+        number("lowerBound").alias("LOWER_BOUND"),
+        number("upperBound").alias("UPPER_BOUND"),
     )
 
 
@@ -231,17 +248,18 @@ def _with_value(rows: DataFrame) -> DataFrame:
         .filter(F.col("VALUE_TYPE").isNotNull())
     )
     kind, value, lead = F.col("VALUE_TYPE"), F.col("value"), F.col("lead")
-    typed = once(typed, value=snak_value(F.col("snak"))).drop("snak")
+    measure = F.when(kind == "quantity", quantity_read(snak_value(F.col("snak"))))
+    typed = once(typed, value=snak_value(F.col("snak")), measure=measure).drop("snak")
     # What a kind is read from. One step a kind: a step of all kinds is too long a method for the JVM to compile.
     leading = F.when(kind == "item", item_value(value)).when(kind == "time", F.try_variant_get(value, "$.time", "string"))
-    leading = leading.when(kind == "quantity", F.try_variant_get(value, "$.amount", "string")).otherwise(text_value(value))
+    leading = leading.when(kind == "quantity", F.col("measure.amount")).otherwise(text_value(value))
     typed = once(typed, lead=leading)
     # An empty object counts as no value for times and quantities; one with a time or an amount is not empty.
     shape = F.schema_of_variant(value)
     present = lead.isNotNull() | (shape.startswith("OBJECT<") & (shape != "OBJECT<>"))
     timed = once(typed, read=F.when(kind == "time", date_read(lead)))
     timed = once(timed, TIME=F.when((kind == "time") & present, time_value(value, lead, F.col("read")))).drop("read")
-    measured = once(timed, QUANTITY=F.when((kind == "quantity") & present, quantity_value(value)))
+    measured = once(timed, QUANTITY=F.when((kind == "quantity") & present, quantity_value(F.col("measure")))).drop("measure")
     v = F.struct(
         F.when(kind == "item", lead).alias("ID_ITEM"),
         F.when(kind.isin("string", "external_id", "media"), lead).alias("TEXT"),
