@@ -18,7 +18,7 @@ def flat(d, qualifiers=False):
 
 
 def values(d, kind):
-    """One typed value table; lines that cannot hold such a value are not parsed."""
+    """One typed value table; lines that cannot hold such a value are not parsed. Not for items, which almost every line names."""
     lines = dump.clean_lines(claims.naming(d.dump_lines, kind))
     return claims.value_table(claims.statements(claims.read_claims(lines, exact_ids=False, qualifiers=False)), kind)
 
@@ -67,7 +67,7 @@ def statements_flat(d):
 
 @query("item_values", "SELECT ID_STATEMENT, ID_ITEM FROM kg_claim WHERE VALUE_TYPE='item'")
 def item_values(d):
-    return values(d, "item")
+    return claims.value_table(flat(d), "item")
 
 
 @query(
