@@ -125,7 +125,7 @@ def serie_credits(d):
 
 @query("localized_titles", "SELECT doc_id AS ID_MOVIE, 'en' AS LANG, left(text,250) AS TITLE, text AS OVERVIEW FROM documents")
 def localized_titles(d):
-    return sn.localized(d.movie_payload, "movie").select("ID_MOVIE", "LANG", "TITLE", "OVERVIEW")
+    return sn.translated(d.movie_payload, "movie").select("ID_MOVIE", "LANG", "TITLE", "OVERVIEW")
 
 
 @query("keyword_links", f"SELECT doc_id AS ID_MOVIE, length(w) AS ID_KEYWORD, w AS NAME, i::INT AS DISPLAY_ORDER FROM {WORDS}")

@@ -537,16 +537,21 @@ def season_credits(payloads: DataFrame) -> DataFrame:
     return out.select("ID_SEASON", "ID_SERIE", "y.c.*", F.col("y.n").alias("DISPLAY_ORDER")).drop("o")
 
 
-def localized(payloads: DataFrame, entity: str) -> DataFrame:
-    """Title and overview per language; an empty title is not written."""
+def translated(payloads: DataFrame, entity: str) -> DataFrame:
+    """Title and overview per language as they were answered, an empty title as well."""
     f = _fields()
     title = "title" if entity == "movie" else "name"
     return documents(payloads, entity, "details").filter(F.col("lang").isNotNull()).select(
-        F.col("id").alias(f"ID_{entity.upper()}"), F.col("lang").alias("LANG"), f.filled(title, 250).alias("TITLE"), f.text("overview").alias("OVERVIEW"),
+        F.col("id").alias(f"ID_{entity.upper()}"), F.col("lang").alias("LANG"), f.text(title, 250).alias("TITLE"), f.text("overview").alias("OVERVIEW"),
         f.text("poster_path").alias("POSTER_PATH"), f.text("backdrop_path").alias("BACKDROP_PATH"), f.text("tagline").alias("TAGLINE"),
     )
 
 
+def localized(payloads: DataFrame, entity: str) -> DataFrame:
+    """Title and overview per language as they are stored; an empty title is not written."""
+    return translated(payloads, entity).withColumn("TITLE", F.nullif("TITLE", F.lit("")))
+
+
 def keywords(payloads: DataFrame, entity: str) -> DataFrame:
     """Keyword links in list order; films list them as keywords, series as results."""
     key = "keywords" if entity == "movie" else "results"

@@ -329,10 +329,10 @@ class Driver:
     def _payload(self, df: DataFrame, entity: str, id_: Column, endpoint: str, lang: Column, body: Column) -> DataFrame:
         return self._answers(self.spread(df), entity, id_, endpoint, lang, body)
 
-    def _answers(self, df: DataFrame, entity: str, id_: Column, endpoint: str, lang: Column, body: Column) -> DataFrame:
+    def _answers(self, df: DataFrame, entity: str, id_: Column, endpoint: str, lang: Column, body: Column, **json: str) -> DataFrame:
         return df.select(
             F.lit(entity).alias("entity"), id_.cast("bigint").alias("id"), F.lit(endpoint).alias("endpoint"), lang.alias("lang"),
-            F.lit("2024-02-01 00:00:00").alias("fetched_at"), F.to_json(body).alias("payload"),
+            F.lit("2024-02-01 00:00:00").alias("fetched_at"), F.to_json(body, json).alias("payload"),
         )
 
     @cached_property
@@ -370,8 +370,10 @@ class Driver:
             zipped(iso_639_1=words).alias("spoken_languages"),
             F.struct(cast.alias("cast"), crew.alias("crew")).alias("credits"),
         )
-        body = F.struct(c("doc_id").alias("id"), lists[endpoint]) if endpoint in lists else details
-        return self._answers(docs, "movie", c("doc_id"), endpoint, F.lit("en"), body)
+        if endpoint in lists:
+            return self._answers(docs, "movie", c("doc_id"), endpoint, F.lit("en"), F.struct(c("doc_id").alias("id"), lists[endpoint]))
+        # A text that is NULL is answered as null: a field left out would be read as the empty text.
+        return self._answers(docs, "movie", c("doc_id"), endpoint, F.lit("en"), details, ignoreNullFields="false")
 
     @cached_property
     def person_payload(self) -> DataFrame:
