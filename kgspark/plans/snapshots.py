@@ -907,7 +907,7 @@ def usable(payloads: DataFrame, kind: str, ledger: DataFrame, now: Column) -> Da
     latest = newest(mine, heads.join(shuffled(ok), "id", "left_semi"), keys).select(*payloads.columns)
     # Of a parsed answer the text is kept only for endpoints that are validated as a whole.
     whole = F.when(F.col("endpoint").isin("release_dates", "watch_providers"), F.col("payload"))
-    return cut(with_fields(latest).withColumn("payload", whole), "payloads", "zstd")
+    return cut(with_fields(latest).withColumn("payload", whole), "payloads", "zstd", wide=True)
 
 
 def snapshot_entity(payloads: DataFrame, kind: str, ledger: DataFrame, now: Column) -> dict[str, DataFrame]:

@@ -47,7 +47,11 @@ def _local_root() -> str:
     return tempfile.mkdtemp(prefix="kgspark-")
 
 
-def cut(df: DataFrame, name: str = "cut", codec: str = "snappy") -> DataFrame:
+#: Rows read at once of a table of wide rows.
+FEW_ROWS = 64
+
+
+def cut(df: DataFrame, name: str = "cut", codec: str = "snappy", wide: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Unlike a cached plan the written table survives lost executors, and unlike
@@ -57,7 +61,8 @@ def cut(df: DataFrame, name: str = "cut", codec: str = "snappy") -> DataFrame:
     """
     spark = df.sparkSession
     path = cut_path(spark, name)
-    df.write.mode("overwrite").parquet(path, compression=codec)
+    groups = {"parquet.block.row.count.limit": FEW_ROWS} if wide else {}
+    df.write.mode("overwrite").options(**groups).parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

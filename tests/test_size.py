@@ -123,3 +123,18 @@ def test_type_flips_are_not_broadcast(spark):
 
     rows = spark.range(10).selectExpr("id AS ID_STATEMENT", "'item' AS VALUE_TYPE")
     assert "Broadcast" not in merge.purge_type_flips(rows, rows, "time")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_written_answers_are_read_few_at_a_time(spark):
+    """Columns are read up to 4,096 rows at once, but not beyond a row group; an answer may hold megabytes."""
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from kgspark.plans import snapshots
+    from kgspark.session import FEW_ROWS
+
+    rows = spark.range(3000).selectExpr("'movie' AS entity", "id", "'details' AS endpoint", "'en' AS lang", "'2024' AS fetched_at", "'{\"title\":\"t\"}' AS payload")
+    ledger = spark.createDataFrame([], "ENTITY_TYPE string, ID_ENTITY long, TIM_RETRY_AFTER string")
+    files = [f.removeprefix("file://") for f in snapshots.usable(rows, "movie", ledger, F.lit("2024-01-01")).inputFiles()]
+    groups = duckdb.sql(f"SELECT DISTINCT file_name, row_group_id, row_group_num_rows FROM parquet_metadata({files})").fetchall()
+    assert sum(g[2] for g in groups) == 3000 and max(g[2] for g in groups) <= FEW_ROWS
